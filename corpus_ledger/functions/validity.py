@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from . import variant as V
+from .stages import once
 from .text import SPACE, has_text, strip
 
 # Size limits and marks of a usable file.
@@ -51,7 +52,7 @@ def _false_if_null(c: Column) -> Column:
 def parse_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``_doc`` (VARIANT, NULL when malformed) and ``_is_object``."""
     lead = F.ltrim(F.col(body), F.lit(" \t\n\r"))
-    return df.withColumn("_doc", V.parse(F.col(body))).withColumn(
+    return once(df, {"_doc": V.parse(F.col(body))}).withColumn(
         "_is_object", _false_if_null(F.col("_doc").isNotNull() & lead.startswith("{"))
     )
 
@@ -133,7 +134,7 @@ def with_validity(df: DataFrame, out: str = "is_valid") -> DataFrame:
     verdict = F.when(parser == "grobid", F.col("_structured_ok")).otherwise(
         F.col("_fast_open") & (F.col("_shallow_ok") | (F.col("_deep_chars") >= MIN_TEXT_CHARS))
     )
-    return staged.withColumn(out, _false_if_null(verdict)).select(*df.columns, out)
+    return once(staged, {out: _false_if_null(verdict)}).select(*df.columns, out)
 
 
 def _section_nodes(df: DataFrame) -> DataFrame:
@@ -176,13 +177,13 @@ def with_content_check(df: DataFrame) -> DataFrame:
         | (listed.isNotNull() & V.items_at(listed).isNull() & V.is_truthy(listed))
         | ((error > 0) & ((hit == 0) | (error < hit)))
     )
-    staged = staged.withColumn(
-        "_state",
+    verdict = (
         F.when(F.col("_doc").isNull(), "Invalid JSON")
         .when(shape_error, "Error")
         .when(hit > 0, "ok")
-        .otherwise("Empty content"),
+        .otherwise("Empty content")
     )
+    staged = once(staged, {"_state": verdict})
     state = F.col("_state")
     return staged.withColumns(
         {
@@ -202,7 +203,7 @@ def with_section_list_check(df: DataFrame) -> DataFrame:
         & (holder.isNull() | V.is_object(holder))
         & (listed.isNull() | size.isNotNull())
     )
-    staged = _section_nodes(df).withColumns({"_ok": _false_if_null(valid), "_n": F.coalesce(size, F.lit(0))})
+    staged = once(_section_nodes(df), {"_ok": _false_if_null(valid), "_n": F.coalesce(size, F.lit(0))})
     return staged.select(
         *df.columns, F.col("_ok").alias("is_valid"), (F.col("_ok") & (F.col("_n") > 0)).alias("has_content")
     )

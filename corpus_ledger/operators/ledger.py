@@ -190,6 +190,24 @@ def upsert(ledger: DataFrame, updates: DataFrame, at: Column, seq: str | None =
     ).select(ledger.columns)
 
 
+def patch(ledger: DataFrame, updates: DataFrame, at: Column) -> DataFrame:
+    """Like :func:`upsert`, but a NULL in ``updates`` leaves the column alone."""
+    given = [c for c in updates.columns if c != "doi"]
+    types = {f.name: f.dataType for f in ledger.schema.fields}
+    columns = [c for c in ledger.columns if c != "doi"]
+    new = updates.filter(has_text_sql(F.col("doi"))).select(
+        "doi", F.lit(1).alias("_new"),
+        *[
+            F.col(c).cast(types[c]).alias(c) if c in given else F.lit(None).cast(types[c]).alias(c)
+            for c in columns if c != "last_updated"
+        ],
+        at.cast(types["last_updated"]).alias("last_updated"),
+    )
+    both = ledger.withColumn("_new", F.lit(0)).unionByName(new)
+    merged = both.groupBy("doi").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_new"))).alias(c) for c in columns])
+    return merged.withColumn("retry_count", F.coalesce("retry_count", F.lit(0))).select(ledger.columns)
+
+
 def add_defaults(ledger: DataFrame) -> DataFrame:
     """Columns an older ledger lacks, added as NULL (additive schema change)."""
     have = set(ledger.columns)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import status as S
 from ..functions import variant as V
 from ..functions.identifiers import stem_of
+from ..functions.stages import once
 from ..functions.text import contains_ci, has_text, has_text_sql, is_blank_sql, null_if_empty, spread_key
 from ..schemas import PARSERS
 from .gaps import keyed, missing_abstract, missing_text, needs_update, without_status
@@ -40,7 +41,7 @@ def choose_parser(extractions: DataFrame, legacy: bool = False) -> DataFrame:
 def with_body_flag(bodies: DataFrame) -> DataFrame:
     """``(stem, parser, has_body)``: does the structured file list any section?"""
     doc = F.when(F.col("parser") == "grobid", V.parse(F.col("body")))
-    staged = bodies.select("stem", "parser", doc.alias("_doc"))
+    staged = once(bodies, {"_doc": doc})
     listed = F.coalesce(F.array_size(V.items_at(F.col("_doc"), "$.full_text.body")) > 0, F.lit(False))
     return staged.select("stem", "parser", listed.alias("has_body"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
+from ..functions.stages import once
 from ..functions.text import has_text, null_if_empty, strip, word_count
 from ..schemas import SECTIONS
 from .numbering import running_total
@@ -163,14 +164,15 @@ def last_wins(df: DataFrame, raw: str, out: str) -> DataFrame:
     side by side, so one pass over neighbours finds each first position and last content
     without a shuffle, whatever the number of sections.
     """
-    sorted_by_title = df.withColumn("_s", F.array_sort(F.transform(raw, lambda x: F.struct(x["title"].alias("t"), x["pos"].alias("p"), x["content"].alias("c")))))
+    by_title = F.transform(raw, lambda x: F.struct(x["title"].alias("t"), x["pos"].alias("p"), x["content"].alias("c")))
+    sorted_by_title = once(df, {"_s": F.array_sort(by_title)})
 
     def neighbour(step: int):
         return lambda x, i: F.get(F.col("_s"), i + step)["t"].eqNullSafe(x["t"])
 
     firsts = F.filter("_s", lambda x, i: (i == 0) | ~neighbour(-1)(x, i))
     lasts = F.filter("_s", lambda x, i: (i == F.array_size(F.col("_s")) - 1) | ~neighbour(1)(x, i))
-    merged = sorted_by_title.withColumns({"_f": firsts, "_l": lasts}).withColumn(
+    merged = once(sorted_by_title, {"_f": firsts, "_l": lasts}).withColumn(
         out,
         F.transform(
             F.array_sort(
@@ -189,7 +191,7 @@ def parsed_sections(bodies: DataFrame, drop_blank: bool = False) -> DataFrame:
     a fast extraction may bring a top-level abstract.
     """
     doc, is_fast = F.col("_doc"), F.col("parser") == "pymupdf"
-    staged = bodies.withColumn("_doc", V.parse(F.col("body"))).withColumn(
+    staged = once(bodies, {"_doc": V.parse(F.col("body"))}).withColumn(
         "_items", F.when(is_fast, V.items_at(doc, "$.structured_text.sections")).otherwise(V.items_at(doc, "$.full_text.body"))
     )
     raw = F.transform(
@@ -200,7 +202,7 @@ def parsed_sections(bodies: DataFrame, drop_blank: bool = False) -> DataFrame:
             F.coalesce(V.joined_text(V.at(s, "$.content"), BLOCK_SEP), F.lit("")).alias("content"),
         ),
     )
-    staged = staged.withColumn("_raw", raw)
+    staged = once(staged, {"_raw": raw})
     if drop_blank:
         staged = staged.withColumn("_raw", F.filter("_raw", lambda s: has_text(s["content"])))
     abstract = V.text_at(doc, "$.metadata.abstract")
@@ -209,8 +211,8 @@ def parsed_sections(bodies: DataFrame, drop_blank: bool = False) -> DataFrame:
         "abstract", F.when(is_fast, top_level).otherwise(abstract)
     )
     keep = [c for c in bodies.columns if c != "body"]
-    return merged.select(
-        *keep, "abstract", F.when(F.array_size("sections") > 0, F.col("sections")).alias("sections"),
+    return once(merged, {"_sections": F.when(F.array_size("sections") > 0, F.col("sections"))}).select(
+        *keep, "abstract", F.col("_sections").alias("sections"),
         doc.isNull().alias("unreadable"), (F.coalesce(F.array_size("_items"), F.lit(0)) > 0).alias("has_body"),
     )
 

@@ -1,6 +1,6 @@
 """Registered queries by area; importing this package registers them all."""
 
-from . import gap_queries, ledger_queries  # noqa: F401
+from . import artefact_queries, gap_queries, ledger_queries, work_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
