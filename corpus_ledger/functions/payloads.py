@@ -88,7 +88,8 @@ def europe_pmc_pdf_url(payload: Column) -> Column:
 
 
 def doi_of_pmid(pmid: Column, payload: Column) -> Column:
-    ids = F.get_json_object(payload, F.concat(F.lit("$.result['"), pmid, F.lit("'].articleids")))
+    path = F.concat(F.lit("$.result['"), pmid, F.lit("'].articleids"))
+    ids = F.call_function("get_json_object", payload, path)  # the path differs by row
     listed = F.filter(F.from_json(ids, ARTICLE_IDS), lambda x: x["idtype"] == "doi")
     return F.get(listed, F.lit(0))["value"]
 

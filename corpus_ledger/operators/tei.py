@@ -9,18 +9,26 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Output shapes.
-AUTHOR = "struct<name:string,affiliation:string,email:string>"
+AUTHOR = pa.struct([("name", pa.string()), ("affiliation", pa.string()), ("email", pa.string())])
+_TEXT = ("error", "doi", "title", "abstract", "journal", "volume", "issue", "pages", "year")
+METADATA = pa.schema(
+    [("doc_id", pa.int64()), *[(c, pa.string()) for c in _TEXT], ("authors", pa.list_(AUTHOR)), ("keywords", pa.list_(pa.string()))]
+)
 METADATA_SCHEMA = (
-    "doc_id long, error string, doi string, title string, abstract string, "
-    f"authors array<{AUTHOR}>, journal string, volume string, issue string, pages string, "
-    "year string, keywords array<string>"
+    "doc_id long, " + ", ".join(f"{c} string" for c in _TEXT)
+    + ", authors array<struct<name:string,affiliation:string,email:string>>, keywords array<string>"
 )
+SECTION = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32()), ("title", pa.string()), ("content", pa.string())])
 SECTION_SCHEMA = "doc_id long, pos int, title string, content string"
+REFERENCE = pa.schema(
+    [("doc_id", pa.int64()), ("pos", pa.int32()), ("title", pa.string()), ("authors", pa.list_(pa.string())), ("year", pa.string()), ("raw", pa.string())]
+)
 REFERENCE_SCHEMA = "doc_id long, pos int, title string, authors array<string>, year string, raw string"
+DOCS_PER_BATCH = 64
 UNNAMED = "Unnamed Section"
 
 
@@ -110,17 +118,16 @@ def _references(root: ET.Element) -> Iterator[dict]:
         yield {"pos": pos, **found, "raw": raw}
 
 
-def _per_document(docs: DataFrame, rows_of, schema: str) -> DataFrame:
-    columns = [part.strip().split(" ")[0] for part in schema.replace(f"array<{AUTHOR}>", "x").split(",")]
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _per_document(docs: DataFrame, rows_of, arrow: pa.Schema, schema: str) -> DataFrame:
+    def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            rows = []
-            for doc_id, tei in zip(frame["doc_id"], frame["tei"], strict=True):
-                rows.extend({"doc_id": doc_id, **row} for row in rows_of(tei))
-            yield pd.DataFrame(rows, columns=columns)
+            # Output is cut by documents, so a batch holds the rows of a few texts only.
+            for start in range(0, frame.num_rows, DOCS_PER_BATCH):
+                part = frame.slice(start, DOCS_PER_BATCH).to_pylist()
+                rows = [{"doc_id": d["doc_id"], **row} for d in part for row in rows_of(d["tei"])]
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return docs.select("doc_id", "tei").mapInPandas(batches, schema)
+    return docs.select("doc_id", "tei").mapInArrow(batches, schema)
 
 
 def _metadata_rows(tei: str | None) -> list[dict]:
@@ -146,14 +153,14 @@ def _reference_rows(tei: str | None) -> list[dict]:
 
 def metadata(docs: DataFrame) -> DataFrame:
     """One row per document ``(doc_id, tei)``; ``error`` is set where the markup is malformed."""
-    return _per_document(docs, _metadata_rows, METADATA_SCHEMA)
+    return _per_document(docs, _metadata_rows, METADATA, METADATA_SCHEMA)
 
 
 def sections(docs: DataFrame) -> DataFrame:
     """Body divisions (nested ones too) that hold paragraphs."""
-    return _per_document(docs, _section_rows, SECTION_SCHEMA)
+    return _per_document(docs, _section_rows, SECTION, SECTION_SCHEMA)
 
 
 def references(docs: DataFrame) -> DataFrame:
     """Bibliography entries; ``raw`` holds the text where nothing could be named."""
-    return _per_document(docs, _reference_rows, REFERENCE_SCHEMA)
+    return _per_document(docs, _reference_rows, REFERENCE, REFERENCE_SCHEMA)

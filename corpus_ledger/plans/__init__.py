@@ -1,6 +1,13 @@
 """Registered queries by area; importing this package registers them all."""
 
-from . import artefact_queries, gap_queries, ledger_queries, work_queries  # noqa: F401
+from . import (  # noqa: F401
+    artefact_queries,
+    extract_queries,
+    gap_queries,
+    ledger_queries,
+    merge_queries,
+    work_queries,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
