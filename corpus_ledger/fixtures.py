@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import identifiers as I
+from .session import spread_small
 
 DOI = "concat('10.', CAST(1000 + doc_id % 9000 AS STRING), '/', source, '.', CAST(doc_id AS STRING))"
 STEM = "concat('10.', CAST(1000 + doc_id % 9000 AS STRING), '_', source, '.', CAST(doc_id AS STRING))"
@@ -147,9 +148,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     text = VIEWS[name]
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    if spread:
+        used = {t: spread_small(df) for t, df in used.items()}
     return spark.sql(text, **used)
 
 
@@ -223,12 +226,12 @@ def bodies(extractions: DataFrame) -> DataFrame:
 
 
 def extraction_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bodies(view(spark, sf_dir, "extractions"))
+    return bodies(view(spark, sf_dir, "extractions", spread=True))
 
 
 def layout_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layout rows: a text line is a block; its first word is a span of its own."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("n", "row"))
+    docs = spread_small(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("n", "row"))
     words = F.split(F.col("row"), " ", 2)
     size = F.when(F.size(F.split(F.col("row"), " ")) < 6, 16.0).otherwise(10.0)
     parts = docs.select("doc_id", "n", F.posexplode(words).alias("span", "text"), size.alias("size"))
@@ -246,7 +249,7 @@ def layout_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_log_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text of log blocks, as they stand between two markers."""
-    log = view(spark, sf_dir, "run_log")
+    log = view(spark, sf_dir, "run_log", spread=True)
     block = F.concat(
         F.lit(" "), F.col("doi"), F.lit("\nTimestamp: "), F.col("ts"), F.lit("\nWorker: 3\nResult: "), F.col("result"),
         F.coalesce(F.concat(F.lit("\nParser: "), F.col("parser")), F.lit("")), F.lit("\n----\n"),
@@ -260,7 +263,7 @@ def pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = F.when(F.col("n_chars") % 7 == 0, "").otherwise("%%EOF")
     fill = F.repeat(F.lit("x"), (F.col("n_chars") % 6000).cast("int"))
     content = F.encode(F.concat(head, F.col("text"), tail, fill), "UTF-8")
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_small(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", content.alias("content")).withColumn("length", F.octet_length("content").cast("long"))
 
 
@@ -307,4 +310,4 @@ def tei_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</body><back><listBibl>"), F.array_join(refs, ""), F.lit("</listBibl></back></text>"),
         F.when(F.col("n_chars") % 19 == 0, F.lit("")).otherwise(F.lit("</TEI>")),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", tei.alias("tei"))
+    return spread_small(table(spark, sf_dir, "documents")).select("doc_id", tei.alias("tei"))

@@ -63,24 +63,31 @@ def import_changes(papers: DataFrame, bodies: DataFrame, ledger: DataFrame) -> D
     A paper parsed by something else is overridden by a structured file, even an empty one;
     a paper that is complete and not overridden is skipped. Columns are decided one by one.
     """
-    choice = choose_parser(with_body_flag(bodies)).withColumnRenamed("parser", "chosen")
-    decided = (
-        _targets(papers)
-        .join(choice, "stem")
-        .withColumn("override", F.col("other_parser") & F.col("has_structured"))
-        .withColumn("parser", F.when(F.col("override"), "grobid").otherwise(F.col("chosen")))
-        .withColumn(
-            "skipped", F.col("has_abstract") & (F.col("has_text") | F.col("has_sections")) & ~F.col("override")
-        )
+    targets = _targets(papers)
+    # Only files of papers in question are parsed, each once; Spark places both sides by
+    # stem for this join, and the grouping and the join below keep that placement.
+    needed = bodies.select("stem", "parser", "body").join(targets.select("stem").distinct(), "stem", "left_semi")
+    sides = parsed_sections(needed).groupBy("stem").agg(
+        *[
+            F.max_by(F.struct("abstract", "sections", "has_body"), F.when(F.col("parser") == p, 1)).alias(f"in_{p}") for p in PARSERS
+        ]
     )
-    # Bodies are shuffled once, by (stem, parser), and parsed only for papers that take them.
-    wanted = decided.filter("NOT skipped")
-    content = parsed_sections(
-        bodies.select("stem", "parser", "body").join(wanted.select("stem", "parser").distinct(), ["stem", "parser"], "left_semi")
-    ).select("stem", "parser", F.col("abstract").alias("new_abstract"), "sections")
+    has = {p: F.col(f"in_{p}").isNotNull() for p in PARSERS}
+    override = F.col("other_parser") & has["grobid"]
+    structured = has["grobid"] & (override | ~has["pymupdf"] | F.col("in_grobid.has_body"))
     held = ledger.select("doi", F.lit(True).alias("_tracked"), *[F.col(f"{p}_status").alias(f"_{p}") for p in PARSERS])
-    joined = decided.join(content, ["stem", "parser"], "left").join(held, "doi", "left").withColumn(
-        "new_text", null_if_empty(sections_text(F.col("sections")))
+    decided = targets.join(sides, "stem").withColumns(
+        {"override": override, "parser": F.when(structured, "grobid").otherwise("pymupdf")}
+    )
+    chosen = F.when(F.col("parser") == "grobid", F.col("in_grobid")).otherwise(F.col("in_pymupdf"))
+    joined = once(
+        decided.withColumn("_chosen", chosen).join(held, "doi", "left"),
+        {
+            "skipped": F.col("has_abstract") & (F.col("has_text") | F.col("has_sections")) & ~F.col("override"),
+            "new_abstract": F.col("_chosen.abstract"),
+            "sections": F.col("_chosen.sections"),
+            "new_text": null_if_empty(sections_text(F.col("_chosen.sections"))),
+        },
     )
     live = ~F.col("skipped")
     takes_text = live & F.col("new_text").isNotNull() & (~F.col("has_text") | F.col("override"))
@@ -240,11 +247,30 @@ def apply_changes(papers: DataFrame, changes: DataFrame, key: str = "doi") -> Da
 
 
 def update_all(papers: DataFrame, bodies: DataFrame, ledger: DataFrame, lists: DataFrame, log: DataFrame) -> DataFrame:
-    """The combined update in its fixed order: import, complete, logs, no-DOI."""
-    imported = apply_changes(papers, import_changes(papers, bodies, ledger))
-    completed = apply_changes(imported, complete_changes(imported, lists))
-    logged = apply_changes(completed, log_changes(completed, log))
-    return mark_without_doi(logged)
+    """The combined update in its fixed order: import, complete, logs, no-DOI.
+
+    The later steps only concern papers without a status, so their outcome is known from
+    the paper's old status and the import's. All changes meet in one frame, and the wide
+    table is joined once, however many steps there are.
+    """
+    imported = import_changes(papers, bodies, ledger).select("doi", *CONTENT)
+    asked = lists.select("doi").distinct().withColumn("_asked", F.lit(True))
+    entries = log.select("doi", "result", "parser", F.lit(True).alias("_hit"))
+    unset = keyed(papers).filter(without_status()).select("doi").distinct().withColumn("_unset", F.lit(True))
+    status = (
+        F.when(F.col("parsing_status").isNotNull() | F.col("_unset").isNull(), F.col("parsing_status"))
+        .when(F.col("_asked").isNull(), S.ALREADY_POPULATED)
+        .when(F.col("_hit"), S.log_status(F.col("result"), F.col("parser")))
+        .otherwise(S.NOT_IN_LOGS)
+    )
+    changes = (
+        imported.join(unset, "doi", "full_outer")
+        .join(asked, "doi", "left")
+        .join(entries, "doi", "left")
+        .withColumn("parsing_status", status)
+        .select("doi", *CONTENT)
+    )
+    return mark_without_doi(apply_changes(papers, changes))
 
 
 def latest_log_entry(log: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from . import (  # noqa: F401
     gap_queries,
     ledger_queries,
     merge_queries,
+    stream_queries,
     work_queries,
 )
 from .registry import ORACLES, QUERIES

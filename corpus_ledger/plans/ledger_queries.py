@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identifiers import doi_of_stem
 from ..operators import ledger
+from ..operators.gaps import select_keys
 from .gap_queries import HAS_DOI, WS
 from .registry import Source, query
 
@@ -80,6 +81,15 @@ def removal_preview(spark, sf_dir):
     return ledger.removal_preview(s.tracker, s.run_log).agg(F.count(F.lit(1)).alias("present"))
 
 
+@query(
+    "tracker_for_keys", "tracker", "run_log",
+    sql="SELECT doi, downloaded, pymupdf_status, grobid_status, retry_count FROM tracker WHERE doi IN (SELECT doi FROM run_log)",
+)
+def tracker_for_keys(spark, sf_dir):
+    s = Source(spark, sf_dir)
+    return select_keys(s.tracker, s.run_log).select("doi", "downloaded", "pymupdf_status", "grobid_status", "retry_count")
+
+
 @query(
     "pending_by_stage", "tracker",
     sql="""SELECT 'download' AS stage, doi FROM tracker WHERE scihub_available = 'yes' AND downloaded IS DISTINCT FROM 'yes'

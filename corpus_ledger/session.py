@@ -46,3 +46,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor cannot change its partitions."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal an input of fewer splits than cores out by row, ahead of a CPU-heavy step.
+
+    A small file is one split however costly its rows are. A large input has more splits
+    than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.stages import once
 from ..functions.text import null_if_empty, strip
 
 # Block markers of the two log formats.
@@ -27,15 +28,14 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     result = r"(?s)Result:\s*([^\n]+?)(?=\s+Parser:|\n|$)"
     parser = r"(?s)Result:\s*[^\n]+?\s+Parser:\s*([^\n]+)"
     rest = [c for c in blocks.columns if c != "block"]
+    fields = {
+        "doi": _field(block, r"^\s*([^\n]+)\s+Timestamp:"),
+        "ts": _field(block, r"^\s*[^\n]+\s+Timestamp:\s*([^\n]+)"),
+        "result": _field(block, result),
+        "parser": _field(block, parser),
+    }
     return (
-        blocks.withColumns(
-            {
-                "doi": _field(block, r"^\s*([^\n]+)\s+Timestamp:"),
-                "ts": _field(block, r"^\s*[^\n]+\s+Timestamp:\s*([^\n]+)"),
-                "result": _field(block, result),
-                "parser": _field(block, parser),
-            }
-        )
+        once(blocks, fields)
         .filter("doi IS NOT NULL AND ts IS NOT NULL AND result IS NOT NULL")
         .select("doi", "ts", "result", "parser", *rest)
     )
@@ -46,13 +46,14 @@ def parse_current_blocks(blocks: DataFrame) -> DataFrame:
     block = F.col("block")
     rest = [c for c in blocks.columns if c != "block"]
     return (
-        blocks.withColumns(
+        once(
+            blocks,
             {
                 "doi": _field(block, r"(?m)^DOI:[ \t]*([^\n]+)"),
                 "ts": F.coalesce(_field(block, r"(?m)^Timestamp:[ \t]*([^\n]+)"), F.lit("")),
                 "result": _field(block, r"(?m)^Status:[ \t]*([^\n]+)"),
                 "parser": F.lit(None).cast("string"),
-            }
+            },
         )
         .filter("doi IS NOT NULL AND result IS NOT NULL")
         .select("doi", "ts", "result", "parser", *rest)
