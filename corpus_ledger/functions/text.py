@@ -48,11 +48,6 @@ def collapse_spaces(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
-def word_count(c: Column) -> Column:
-    s = collapse_spaces(c)
-    return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, " ")))
-
-
 def null_if_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

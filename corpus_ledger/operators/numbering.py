@@ -1,4 +1,4 @@
-"""Row numbers and running totals that never gather a table in one task."""
+"""Row numbers and batches that never gather a table in one task."""
 
 from __future__ import annotations
 
@@ -52,26 +52,3 @@ def in_batches(df: DataFrame, size: int, *order: Column | str) -> DataFrame:
     ).select(
         *df.columns, "rn", "batch", "n_batches", F.format_string("batch_%d_of_%d", "batch", "n_batches").alias("batch_name")
     )
-
-
-def running_total(df: DataFrame, key: str, chunk: str, order: list[str], value: Column, name: str) -> DataFrame:
-    """Running sum of ``value`` per ``key`` in ``(chunk, order)`` order, current row included.
-
-    Rows are summed within ``(key, chunk)``; a second window adds the totals of earlier
-    chunks. A key with a huge share of rows is thus spread over its chunks, and the window
-    over the key alone sees one row per chunk.
-    """
-    staged = df.withColumn("_value", value)
-    inner = Window.partitionBy(key, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        staged.groupBy(key, chunk)
-        .agg(F.sum("_value").alias("_sum"))
-        .select(key, chunk, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
-    )
-    return (
-        staged.withColumn("_inner", F.sum("_value").over(inner))
-        .join(starts, [key, chunk])
-        .withColumn(name, F.col("_start") + F.col("_inner"))
-        .drop("_value", "_inner", "_start")
-    )

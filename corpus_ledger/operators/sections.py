@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
 from ..functions.stages import once
-from ..functions.text import has_text, null_if_empty, strip, word_count
+from ..functions.text import has_text, null_if_empty, strip
 from ..schemas import SECTIONS
-from .numbering import running_total
 
 # Layout rules and default titles.
 FONT_SAMPLE_PAGES = 5
@@ -30,17 +29,26 @@ REFERENCE_HEADERS = ["REFERENCES", "References", "BIBLIOGRAPHY", "Bibliography",
 REFERENCE_MARK = r"\n\s*(?:\[\d+\]|\(\d+\)|\d+\.)"
 
 
-def block_rows(spans: DataFrame) -> DataFrame:
-    """One row per non-blank block: text, largest font, bold flag.
+def _all_blocks(spans: DataFrame) -> DataFrame:
+    """One row per block, blank ones included, with what its page adds to the font average.
 
-    Spans are placed by (doc, page) once; every later step on blocks keeps that placement,
-    so a document with a huge share of the spans is spread over its pages.
+    Spans are placed by (doc, page) once, and every later step on blocks keeps that
+    placement: a document with a huge share of the spans is spread over its pages, and the
+    two uses of the blocks below read the same shuffle.
     """
-    placed = spans.repartition("doc_id", "page")
-    per_block = placed.groupBy("doc_id", "page", "block").agg(
-        F.sort_array(F.collect_list(F.struct("line", "span", F.coalesce("text", F.lit("")).alias("text")))).alias("parts"),
-        F.max(F.coalesce("size", F.lit(0.0))).alias("max_size"),
-        F.max(F.col("flags").bitwiseAND(BOLD_FLAG) > 0).alias("is_bold"),
+    size = F.coalesce("size", F.lit(0.0))
+    # Both uses must see the same filter for Spark to see that the shuffle is the same.
+    per_block = (
+        spans.filter("doc_id IS NOT NULL AND page IS NOT NULL")
+        .repartition("doc_id", "page")
+        .groupBy("doc_id", "page", "block")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("line", "span", F.coalesce("text", F.lit("")).alias("text")))).alias("parts"),
+            F.max(size).alias("max_size"),
+            F.max(F.col("flags").bitwiseAND(BOLD_FLAG) > 0).alias("is_bold"),
+            F.sum(size).alias("size_sum"),
+            F.count(F.lit(1)).alias("n_spans"),
+        )
     )
     text = F.array_join(
         F.transform(
@@ -51,8 +59,43 @@ def block_rows(spans: DataFrame) -> DataFrame:
         ),
         "",
     )
+    # Text is stripped, so splitting at white space gives the words.
+    is_short = F.size(F.split(F.col("text"), r"(?U)[\s\x1c-\x1f]+")) < HEADING_MAX_WORDS
+    return once(per_block, {"text": strip(text)}).drop("parts").withColumn("is_short", (F.col("text") != "") & is_short)
+
+
+def block_rows(spans: DataFrame) -> DataFrame:
+    """One row per block that holds text."""
+    return _all_blocks(spans).filter("text <> ''").select("doc_id", "page", "block", "text")
+
+
+def _pages(blocks: DataFrame) -> DataFrame:
+    """Per page: the document's mean font size, and the headings on earlier pages.
+
+    A page is reduced to a few numbers before the shuffle by document. The headings of a
+    page are known once the mean is: bold short blocks, and short blocks clearly larger
+    than the mean, whose sizes the page row lists.
+    """
+    may_head = F.col("is_short") & ~F.col("is_bold")
+    page = blocks.groupBy("doc_id", "page").agg(
+        F.sum("size_sum").alias("size_sum"), F.sum("n_spans").alias("n_spans"),
+        F.count_if(F.col("is_short") & F.col("is_bold")).alias("bold_heads"),
+        F.collect_list(F.when(may_head, F.col("max_size"))).alias("sizes"),
+    )
+    doc = Window.partitionBy("doc_id")
+    earlier = doc.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+
+    def first_pages(column: str) -> Column:
+        return F.sum(F.when(F.col("page") < FONT_SAMPLE_PAGES, F.col(column))).over(doc)
+
+    mean = F.coalesce(F.try_divide(first_pages("size_sum"), first_pages("n_spans")), F.lit(DEFAULT_FONT_SIZE))
+    large = F.array_size(F.filter("sizes", lambda x: x > F.col("avg_size") * LARGER_BY))
     return (
-        per_block.withColumn("text", strip(text)).filter("text <> ''").select("doc_id", "page", "block", "text", "max_size", "is_bold")
+        page.withColumns({"avg_size": mean, "page_count": F.max("page").over(doc) + 1})
+        .withColumn("heads", F.col("bold_heads") + large)
+        .select(
+            "doc_id", "page", "avg_size", "page_count", F.coalesce(F.sum("heads").over(earlier), F.lit(0)).alias("heads_before")
+        )
     )
 
 
@@ -62,53 +105,60 @@ def average_font(spans: DataFrame) -> DataFrame:
     return spans.groupBy("doc_id").agg(F.coalesce(F.avg(early), F.lit(DEFAULT_FONT_SIZE)).alias("avg_size"))
 
 
-def with_headings(spans: DataFrame) -> DataFrame:
-    """Blocks with ``is_heading``: bold or clearly larger than average, and short."""
-    blocks = block_rows(spans)
-    pages = spans.select("doc_id", "page").distinct()
-    # The average reaches the blocks by page, so one busy document does not meet on one task.
-    fonts = pages.join(average_font(spans), "doc_id")
+def _headed_blocks(spans: DataFrame) -> DataFrame:
+    blocks = _all_blocks(spans)
     stands_out = F.col("is_bold") | (F.col("max_size") > F.col("avg_size") * LARGER_BY)
-    return blocks.join(fonts, ["doc_id", "page"]).withColumn(
-        "is_heading", stands_out & (word_count(F.col("text")) < HEADING_MAX_WORDS)
+    return (
+        blocks.filter("text <> ''")
+        .join(_pages(blocks), ["doc_id", "page"])
+        .withColumn("is_heading", F.col("is_short") & stands_out)
     )
 
 
+def with_headings(spans: DataFrame) -> DataFrame:
+    """Blocks with ``is_heading``: bold or clearly larger than average, and short."""
+    return _headed_blocks(spans).select("doc_id", "page", "block", "text", "is_heading")
+
+
 def section_blocks(spans: DataFrame) -> DataFrame:
-    """Blocks with the number of the section they are in; 0 is the text before any heading."""
-    return running_total(
-        with_headings(spans), "doc_id", "page", ["block"], F.col("is_heading").cast("int"), "section"
-    ).select("doc_id", "section", "page", "block", "text", "is_heading")
+    """Blocks with the number of the section they are in; 0 is the text before any heading.
+
+    The number is the count of headings so far: those of earlier pages, and those of the
+    own page up to the block, a window no larger than a page.
+    """
+    on_page = Window.partitionBy("doc_id", "page").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = F.sum(F.col("is_heading").cast("int")).over(on_page)
+    return (
+        _headed_blocks(spans)
+        .withColumn("section", F.col("heads_before") + so_far)
+        .select("doc_id", "section", "page", "block", "text", "is_heading")
+    )
 
 
 def sections(spans: DataFrame) -> DataFrame:
     """One row per section: title and its blocks in order."""
-    rows = section_blocks(spans)
+    return _sections_of(section_blocks(spans)).select(
+        "doc_id", "section", F.coalesce("heading", F.lit(FIRST_TITLE)).alias("title"), "content"
+    )
+
+
+def _sections_of(rows: DataFrame) -> DataFrame:
+    parts = F.collect_list(F.when(~F.col("is_heading"), F.struct("page", "block", "text")))
     return (
         rows.groupBy("doc_id", "section")
-        .agg(
-            F.max(F.when(F.col("is_heading"), F.col("text"))).alias("title"),
-            F.sort_array(
-                F.collect_list(F.when(~F.col("is_heading"), F.struct("page", "block", "text")))
-            ).alias("parts"),
-        )
-        .select(
-            "doc_id", "section", F.coalesce("title", F.lit(FIRST_TITLE)).alias("title"), F.col("parts.text").alias("content")
-        )
+        .agg(F.max(F.when(F.col("is_heading"), F.col("text"))).alias("heading"), F.sort_array(parts).alias("parts"))
+        .select("doc_id", "section", "heading", F.col("parts.text").alias("content"))
     )
 
 
 def full_texts(spans: DataFrame) -> DataFrame:
     """Full text of each document (blocks joined by a blank line) and its page count."""
-    texts = (
-        block_rows(spans)
+    parts = F.collect_list(F.when(F.col("text") != "", F.struct("page", "block", "text")))
+    return (
+        _all_blocks(spans)
         .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list(F.struct("page", "block", "text"))).alias("parts"))
-        .select("doc_id", F.array_join(F.col("parts.text"), BLOCK_SEP).alias("full_text"))
-    )
-    pages = spans.groupBy("doc_id").agg((F.max("page") + 1).alias("page_count"))
-    return pages.join(texts, "doc_id", "left").select(
-        "doc_id", F.coalesce("full_text", F.lit("")).alias("full_text"), "page_count"
+        .agg(F.sort_array(parts).alias("parts"), (F.max("page") + 1).alias("page_count"))
+        .select("doc_id", F.array_join(F.col("parts.text"), BLOCK_SEP).alias("full_text"), "page_count")
     )
 
 
@@ -132,19 +182,34 @@ def references_of(text: Column) -> Column:
 
 
 def structured_documents(spans: DataFrame, mode: str = "structured") -> DataFrame:
-    """Columns of one extraction mode: ``simple`` text, or ``structured``/``full`` sections and references."""
-    texts = full_texts(spans)
+    """Columns of one extraction mode: ``simple`` text, or ``structured``/``full`` sections and references.
+
+    The full text of a document is its sections read in order, so blocks are assembled once.
+    """
     if mode == "simple":
-        return texts.select("doc_id", F.lit(mode).alias("mode"), F.col("full_text").alias("text"))
+        return full_texts(spans).select("doc_id", F.lit(mode).alias("mode"), F.col("full_text").alias("text"))
     if mode not in ("structured", "full"):
         raise ValueError(f"unknown mode {mode!r}")
     listed = (
-        sections(spans)
+        _sections_of(section_blocks(spans))
         .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list(F.struct("section", "title", "content"))).alias("s"))
-        .select("doc_id", F.transform("s", lambda x: F.struct(x["title"].alias("title"), x["content"].alias("content"))).alias("sections"))
+        .agg(F.sort_array(F.collect_list(F.struct("section", "heading", "content"))).alias("s"))
+    )
+    texts = F.flatten(
+        F.transform("s", lambda x: F.when(x["heading"].isNull(), x["content"]).otherwise(F.concat(F.array(x["heading"]), x["content"])))
+    )
+    shaped = F.transform(
+        "s", lambda x: F.struct(F.coalesce(x["heading"], F.lit(FIRST_TITLE)).alias("title"), x["content"].alias("content"))
+    )
+    counts = spans.groupBy("doc_id").agg((F.max("page") + 1).alias("page_count"))
+    joined = once(
+        counts.join(listed, "doc_id", "left"),
+        {
+            "sections": F.coalesce(shaped, F.array().cast("array<struct<title:string,content:array<string>>>")),
+            "full_text": F.coalesce(F.array_join(texts, BLOCK_SEP), F.lit("")),
+        },
     )
-    return texts.join(listed, "doc_id", "left").select(
+    return joined.select(
         "doc_id", F.lit(mode).alias("mode"),
         F.struct("sections", references_of(F.col("full_text")).alias("references"), "full_text", "page_count").alias("structured_text"),
     )

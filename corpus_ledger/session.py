@@ -17,6 +17,8 @@ def local_session(app: str = "corpus_ledger", cores: int | str | None = None) ->
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Lists of a few spans or sections per group: keep more groups hashed before sorting.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "20000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

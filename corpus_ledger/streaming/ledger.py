@@ -62,7 +62,9 @@ def start_event_fold(events: DataFrame, root: str, checkpoint: str, interval: st
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         base = sinks.read_snapshot(batch.sparkSession, root, below=batch_id)
-        sinks.write_snapshot(fold_batch(base, batch), root, batch_id)
+        held = batch.persist()  # the fold reads its events several times
+        sinks.write_snapshot(fold_batch(base, held), root, batch_id)
+        held.unpersist()
 
     return _start(events, apply, checkpoint, interval)
 
