@@ -32,7 +32,8 @@ def read_evaluations(spark: SparkSession, path: str) -> DataFrame:
 def read_tracker_file(spark: SparkSession, *paths: str, version: int = 1) -> DataFrame:
     """Tracker CSV files of one version (11 or 15 columns); empty cells stay empty strings."""
     schema = schemas.TRACKER_FILE_V1 if version == 1 else schemas.TRACKER_FILE_V2
-    return spark.read.csv(list(paths), header=True, schema=schema, nullValue="\x00", emptyValue="", quote='"', escape='"')
+    rows = spark.read.csv(list(paths), header=True, schema=schema, quote='"', escape='"')
+    return rows.na.fill("")
 
 
 def union_tracker_files(*frames: DataFrame) -> DataFrame:

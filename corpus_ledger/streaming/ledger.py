@@ -13,6 +13,10 @@ from ..operators import gaps, ledger
 from ..sources import sinks
 
 
+# Columns of Spark's file source for whole files.
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
 def read_events(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schemas.EVENTS)
     if files_per_trigger:
@@ -81,7 +85,9 @@ def read_new_extractions(spark: SparkSession, folder: str) -> DataFrame:
     The stream's own file log replaces a scan stamp, so files that land during a scan are
     not missed. A rewritten file is not read again: give revisions a name of their own.
     """
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
+    files = (
+        spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "*.json").load(folder)
+    )
     name = F.regexp_replace(F.substring_index("path", "/", -1), r"\.json$", "")
     return files.filter(~name.endswith(FAST_SUFFIX)).select(
         doi_of_stem(name).alias("doi"), F.lit(schemas.YES).alias("downloaded"), F.lit(schemas.YES).alias("scihub_available"),
