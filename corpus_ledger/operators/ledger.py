@@ -26,9 +26,9 @@ from ..schemas import (
     YES,
     tracker_type,
 )
+from . import skew
 from .gaps import content_flags, keyed, remove_keys, select_keys
 
-RETRY_SALTS = 16
 DEFAULT_MAX_RETRIES = 3
 
 
@@ -86,11 +86,11 @@ def _with_optional(events: DataFrame) -> DataFrame:
     return events
 
 
-def _retries(events: DataFrame, errors_count: bool) -> DataFrame:
+def _retries(events: DataFrame, errors_count: bool, hot: dict) -> DataFrame:
     """Retry count per DOI: increments after the last event that set it.
 
-    The few setting events are copied over the salts and joined to the increments by
-    (doi, salt), so the increments of one busy DOI spread over tasks.
+    Each increment has to be compared with its DOI's last setting event; the increments of
+    a busy DOI are salted for that join and counted before the next shuffle.
     """
     seq, kind = F.struct("created_at", "id"), F.col("event_type")
     value = F.when(kind == "reset", F.lit(0)).otherwise(
@@ -104,10 +104,9 @@ def _retries(events: DataFrame, errors_count: bool) -> DataFrame:
     steps = kind == "retry_increment"
     if errors_count:
         steps = steps | (kind.isin(*PARSERS) & has_text_sql(F.col("message")))
-    salted = bases.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(RETRY_SALTS - 1))))
-    increments = events.filter(steps).select("doi", seq.alias("seq"), F.pmod("id", F.lit(RETRY_SALTS)).cast("int").alias("salt"))
+    increments = events.filter(steps).select("doi", "id", seq.alias("seq"))
     counted = (
-        increments.join(salted.select("doi", "salt", "base_seq"), ["doi", "salt"], "left")
+        skew.left_join(increments, bases.select("doi", "base_seq"), "doi", "id", **hot)
         .filter(F.col("base_seq").isNull() | (F.col("seq") > F.col("base_seq")))
         .groupBy("doi")
         .agg(F.count(F.lit(1)).cast("int").alias("n"), F.lit(0).alias("base"))
@@ -119,11 +118,12 @@ def _retries(events: DataFrame, errors_count: bool) -> DataFrame:
     )
 
 
-def fold(events: DataFrame, errors_count: bool = False) -> DataFrame:
+def fold(events: DataFrame, errors_count: bool = False, **hot: int) -> DataFrame:
     """Ledger rows (one per DOI) after all events, in ``(created_at, id)`` order.
 
     ``reset`` clears every column. ``errors_count`` adds a retry for a parser event that
-    carries an error message, as the file-based ledger did.
+    carries an error message, as the file-based ledger did. ``hot`` tunes when a DOI counts
+    as hot (see :mod:`.skew`).
     """
     events = _with_optional(events)
     seq = F.struct("created_at", "id")
@@ -146,7 +146,7 @@ def fold(events: DataFrame, errors_count: bool = False) -> DataFrame:
         ).alias(c)
         for c in TRACKER_COLUMNS
     }
-    return newest.join(_retries(events, errors_count), "doi", "left").select(
+    return newest.join(_retries(events, errors_count, hot), "doi", "left").select(
         "doi", *alive.values(), "last_updated", F.coalesce("retry_count", F.lit(0)).alias("retry_count")
     )
 

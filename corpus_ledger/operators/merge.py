@@ -47,14 +47,20 @@ def with_body_flag(bodies: DataFrame) -> DataFrame:
 
 
 def _targets(papers: DataFrame) -> DataFrame:
-    """Narrow row per paper that an import may change."""
+    """Narrow row per DOI that an import may change.
+
+    Rows that repeat a DOI are one paper: the one with the highest ``pmid`` decides, and the
+    change applies to all of them. The grouping leaves one row per DOI and task.
+    """
     status = F.col("parsing_status")
-    return keyed(papers).filter(needs_update()).select(
-        "doi", stem_of(F.col("doi")).alias("stem"), F.col("parsing_status").alias("old_status"),
-        has_text(F.col("abstract")).alias("has_abstract"), has_text(F.col("full_text")).alias("has_text"),
+    facts = F.struct(
+        status.alias("old_status"), has_text(F.col("abstract")).alias("has_abstract"), has_text(F.col("full_text")).alias("has_text"),
         has_text(F.col("full_text_sections")).alias("has_sections"),
-        (has_text_sql(status) & ~contains_ci(status, "grobid")).alias("other_parser"),
+        (has_text_sql(status) & ~contains_ci(status, "grobid")).alias("other_parser"), "pmid",
     )
+    rows = keyed(papers).filter(needs_update()).select("doi", facts.alias("f"))
+    newest = rows.groupBy("doi").agg(F.max_by("f", F.coalesce("f.pmid", F.lit(""))).alias("f"))
+    return newest.select("doi", stem_of(F.col("doi")).alias("stem"), "f.*").drop("pmid")
 
 
 def import_changes(papers: DataFrame, bodies: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -124,11 +130,10 @@ def legacy_import_changes(papers: DataFrame, bodies: DataFrame, log: DataFrame,
     choice = choose_parser(bodies.select("stem", "parser", F.lit(True).alias("has_body")), legacy=True)
     targets = (
         keyed(papers)
+        .groupBy("doi")
+        .agg(F.max(has_text(F.col("abstract"))).alias("has_abstract"), F.max(has_text(F.col("full_text_sections"))).alias("has_sections"))
         .join(keys.select("doi").distinct(), "doi", "left_semi")
-        .select(
-            "doi", stem_of(F.col("doi")).alias("stem"), has_text(F.col("abstract")).alias("has_abstract"),
-            has_text(F.col("full_text_sections")).alias("has_sections"),
-        )
+        .withColumn("stem", stem_of(F.col("doi")))
         .join(choice.select("stem", "parser"), "stem")
     )
     content = parsed_sections(
@@ -240,7 +245,8 @@ def apply_changes(papers: DataFrame, changes: DataFrame, key: str = "doi") -> Da
     """
     columns = [c for c in changes.columns if c in CONTENT + ("oa_url",)]
     new = changes.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = papers.withColumn("_key", spread_key(F.col(key), F.col("pmid"))).join(new, "_key", "left")
+    row_key = F.xxhash64("pmid", "title")
+    joined = papers.withColumn("_key", spread_key(F.col(key), row_key)).join(new, "_key", "left")
     return joined.select(
         *[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in papers.columns]
     )

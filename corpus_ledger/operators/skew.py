@@ -1,0 +1,44 @@
+"""Joins whose left side may hold one key very often."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MOST_HOT_KEYS = 256
+HOT_ROWS = 100_000
+SALTS = 512
+
+
+def hot_keys(df: DataFrame, key: str, most: int = MOST_HOT_KEYS, at_least: int = HOT_ROWS) -> DataFrame:
+    """The most frequent keys, never more than ``most`` rows.
+
+    Counts are exact and ties go by key, so every evaluation names the same keys. Any other
+    key holds less than ``at_least`` rows, or less than one in ``most`` of all rows.
+    """
+    return (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") >= at_least)
+        .orderBy(F.desc("_n"), key)
+        .limit(most)
+        .select(key, F.lit(True).alias("_hot"))
+    )
+
+
+def left_join(
+    left: DataFrame, right: DataFrame, key: str, row_id: str, most: int = MOST_HOT_KEYS, at_least: int = HOT_ROWS, salts: int = SALTS
+) -> DataFrame:
+    """Left join on ``key`` with the rows of hot keys spread over ``salts`` tasks.
+
+    ``right`` has one row per key; only its hot rows are copied, once per salt, so it grows
+    by ``most * salts`` rows at the most. The broadcast holds ``most`` keys.
+    """
+    hot = F.broadcast(hot_keys(left, key, most, at_least))
+    is_hot = F.col("_hot").isNotNull()
+    salted = left.join(hot, key, "left").withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")).otherwise(0)
+    )
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = right.join(hot, key, "left").withColumn("_salt", F.explode(copies))
+    return salted.drop("_hot").join(spread.drop("_hot"), [key, "_salt"], "left").drop("_salt")

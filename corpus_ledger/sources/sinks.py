@@ -8,14 +8,10 @@ from pyspark.sql import functions as F
 from ..operators.numbering import in_batches
 
 
-def write_identifiers(df: DataFrame, path: str, column: str = "doi", one_file: bool = True) -> None:
-    """Sorted identifier list as text. ``one_file`` suits lists people read.
-
-    The sort runs over all tasks either way; with ``one_file`` the last step only copies
-    sorted runs into one file.
-    """
+def write_identifiers(df: DataFrame, path: str, column: str = "doi") -> None:
+    """Sorted identifier list as text. The part files, read in name order, are the sorted list."""
     lines = df.select(F.col(column).cast("string").alias("value")).orderBy("value")
-    (lines.coalesce(1).sortWithinPartitions("value") if one_file else lines).write.mode("errorifexists").text(path)
+    lines.write.mode("errorifexists").text(path)
 
 
 def write_stamped(df: DataFrame, root: str, run_ts: str, column: str = "doi") -> str:
@@ -34,7 +30,7 @@ def write_raw_markup(df: DataFrame, path: str) -> None:
 
 
 def write_results_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").csv(path, header=True)
+    df.write.mode("errorifexists").csv(path, header=True, escape='"')
 
 
 def write_results_json(results: DataFrame, path: str, run_ts: str) -> None:
@@ -46,7 +42,7 @@ def write_results_json(results: DataFrame, path: str, run_ts: str) -> None:
 
 def write_tracker_file(ledger: DataFrame, path: str) -> None:
     """Tracker CSV sorted by DOI."""
-    ledger.orderBy("doi").write.mode("errorifexists").csv(path, header=True)
+    ledger.orderBy("doi").write.mode("errorifexists").csv(path, header=True, escape='"')
 
 
 def append_events(events: DataFrame, path: str) -> None:

@@ -240,6 +240,15 @@ def test_import_rules(spark):
     assert after["1"]["parsing_status"] is None
 
 
+def test_repeated_doi_is_one_paper(spark):
+    """Rows that share a DOI get one change each, not one per pair."""
+    rows = papers(spark, *[(str(100 + i), "same", None, None, None, None) for i in range(30)])
+    changes = merge.import_changes(rows, bodies(spark, fast("same")), ledger_of(spark))
+    assert changes.count() == 1
+    after = merge.apply_changes(rows, changes)
+    assert after.count() == 30 and after.filter("full_text = 'F\\nf'").count() == 30
+
+
 def test_combined_update(spark):
     rows = papers(
         spark,

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from corpus_ledger import schemas
-from corpus_ledger.operators import ledger, planning, reconcile
+from corpus_ledger.operators import ledger, planning, reconcile, skew
 
 AT = F.lit("2024-06-01 00:00:00").cast("timestamp")
 
@@ -72,16 +72,28 @@ def test_reset_and_retries(spark):
 
 
 def test_one_hot_doi(spark):
-    n = 20_000
+    """A third of all events on one DOI: salted and plain joins count alike."""
+    n, reset_at = 20_000, 9_999
     hot = spark.range(n).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id"))).alias("doi"),
-        F.when(F.col("id") == n // 2 + (n // 2) % 3, "reset").otherwise("retry_increment").alias("event_type"),
+        F.when(F.col("id") == reset_at, "reset").otherwise("retry_increment").alias("event_type"),
         F.lit(None).cast("string").alias("status_to"), F.timestamp_seconds(F.col("id")).alias("created_at"),
     )
-    got = {r["doi"]: r["retry_count"] for r in ledger.fold(hot).filter("doi in ('hot', 'd1')").collect()}
-    resets = [i for i in range(n) if i == n // 2 + (n // 2) % 3]
-    last = max([i for i in resets if i % 3 == 0], default=-1)
-    assert got == {"hot": sum(1 for i in range(n) if i % 3 == 0 and i > last), "d1": 1}
+    want = sum(1 for i in range(n) if i % 3 == 0 and i > reset_at)
+    for tuning in ({}, {"at_least": 100, "most": 4, "salts": 8}):
+        rows = ledger.fold(hot, **tuning)
+        assert rows.count() == 1 + n - len(range(0, n, 3))
+        assert {r["doi"]: r["retry_count"] for r in rows.filter("doi in ('hot', 'd1')").collect()} == {"hot": want, "d1": 1}
+
+
+def test_hot_keys_are_bounded(spark):
+    df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
+    assert sorted(r["k"] for r in skew.hot_keys(df, "k", most=3, at_least=100).collect()) == [0, 1, 2]
+    assert skew.hot_keys(df, "k", at_least=101).count() == 0
+    right = spark.createDataFrame([(k, k * 2) for k in range(0, 10, 2)], "k long, v long")
+    joined = skew.left_join(df, right, "k", "id", most=3, at_least=100, salts=7)
+    assert joined.count() == 1000
+    assert joined.filter("v = k * 2").count() == 500 and joined.filter("v IS NULL").count() == 500
 
 
 TRACKER_ROW = dict.fromkeys(schemas.TRACKER_COLUMNS)
