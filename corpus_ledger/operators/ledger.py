@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import status as S
 from ..functions.text import has_text_sql, is_value
 from ..schemas import (
+    DATE_COLUMNS,
     FAILED,
     NO,
     NOT_ATTEMPTED,
@@ -40,8 +41,11 @@ def _first(*settings: Column) -> Column:
     return F.coalesce(*settings)
 
 
-def event_settings() -> dict[str, Column]:
-    """Column -> struct a ledger event sets it to. ``changes`` carries plain updates."""
+def event_settings(date_type: str = "timestamp") -> dict[str, Column]:
+    """Column -> struct a ledger event sets it to. ``changes`` carries plain updates.
+
+    Dates have the type of the events' own stamps, so no time zone comes in.
+    """
     kind, to, at = F.col("event_type"), F.col("status_to"), F.col("created_at")
     out: dict[str, list[Column]] = {c: [] for c in TRACKER_COLUMNS}
 
@@ -50,7 +54,8 @@ def event_settings() -> dict[str, Column]:
 
     changes = F.col("changes")
     for column in TRACKER_COLUMNS:
-        put(column, F.map_contains_key(changes, column), F.try_element_at(changes, F.lit(column)).try_cast(tracker_type(column)))
+        kind_of = date_type if column in DATE_COLUMNS else "string"
+        put(column, F.map_contains_key(changes, column), F.try_element_at(changes, F.lit(column)).try_cast(kind_of))
     for column in ("scihub_available", "oa_available"):
         put(column, kind == column, to)
 
@@ -127,7 +132,7 @@ def fold(events: DataFrame, errors_count: bool = False, **hot: int) -> DataFrame
     """
     events = _with_optional(events)
     seq = F.struct("created_at", "id")
-    settings = event_settings()
+    settings = event_settings(events.schema["created_at"].dataType.simpleString())
     staged = events.select(
         "doi", seq.alias("_seq"), "created_at", (F.col("event_type") == "reset").alias("_reset"),
         *[value.alias(f"_{c}") for c, value in settings.items()],

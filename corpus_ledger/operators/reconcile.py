@@ -241,33 +241,24 @@ def reset_statistics(actions: DataFrame) -> DataFrame:
 
     A repeat of an identifier resets again, but its files are gone after the first pass.
     """
-    n = F.col("n_listed")
-
-    def total(cond: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col(cond), n)), F.lit(0))
+    n, live = F.col("n_listed"), F.col("reset_tracker")
+    flags = ("invalid_pdf", "invalid_grobid_json", "invalid_pymupdf_json", "drop_grobid_json", "drop_pymupdf_json")
+    per_doi = actions.groupBy(spread_key(F.col("doi"), F.col("identifier")).alias("key")).agg(
+        F.sum(F.when(~F.col("skipped_previously_reset"), n)).alias("total"),
+        F.sum(F.when(F.col("skipped_previously_reset"), n)).alias("skipped"),
+        F.sum(F.when(live, n)).alias("resets"),
+        *[F.max(live & F.col(f)).alias(f) for f in flags],
+    )
 
-    def once(cond: str) -> Column:
-        return F.count_if(F.col(cond))
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0).cast("long"))
 
-    per_doi = actions.filter("reset_tracker").groupBy("doi").agg(
-        *[F.max(c).alias(c) for c in ("invalid_pdf", "invalid_grobid_json", "invalid_pymupdf_json", "drop_grobid_json", "drop_pymupdf_json")],
-        F.lit(0).cast("long").alias("total_dois"), F.lit(0).cast("long").alias("skipped_previously_reset"), F.lit(0).cast("long").alias("tracker_reset"),
-    )
-    files = per_doi.agg(
-        once("invalid_pdf").alias("invalid_pdfs"), once("invalid_grobid_json").alias("invalid_grobid_jsons"),
-        once("invalid_pymupdf_json").alias("invalid_pymupdf_jsons"), once("invalid_pdf").alias("pdfs_deleted"),
-        (once("drop_grobid_json") + once("drop_pymupdf_json")).alias("jsons_deleted"),
+    return per_doi.agg(
+        total("total").alias("total_dois"), total("skipped").alias("skipped_previously_reset"), total("resets").alias("tracker_reset"),
+        F.count_if("invalid_pdf").alias("invalid_pdfs"), F.count_if("invalid_grobid_json").alias("invalid_grobid_jsons"),
+        F.count_if("invalid_pymupdf_json").alias("invalid_pymupdf_jsons"), F.count_if("invalid_pdf").alias("pdfs_deleted"),
+        (F.count_if("drop_grobid_json") + F.count_if("drop_pymupdf_json")).alias("jsons_deleted"),
     )
-    rows = actions.agg(
-        (F.coalesce(F.sum(n), F.lit(0)) - total("skipped_previously_reset")).alias("total_dois"),
-        total("skipped_previously_reset").alias("skipped_previously_reset"), total("reset_tracker").alias("tracker_reset"),
-    )
-    zero = F.lit(0).cast("long")
-    names = rows.columns + files.columns
-    both = rows.select(*rows.columns, *[zero.alias(c) for c in files.columns]).unionByName(
-        files.select(*[zero.alias(c) for c in rows.columns], *files.columns)
-    )
-    return both.agg(*[F.sum(c).alias(c) for c in names])
 
 
 def reset_history(history: DataFrame, actions: DataFrame) -> DataFrame:
@@ -286,6 +277,3 @@ def reset_events(actions: DataFrame) -> DataFrame:
         .withColumn("status", F.lit(FAILED))
     )
 
-
-def tracked_without_key(ledger: DataFrame) -> DataFrame:
-    return ledger.filter(~has_text_sql(F.col("doi")))

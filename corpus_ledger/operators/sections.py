@@ -252,13 +252,24 @@ def last_wins(df: DataFrame, raw: str, out: str) -> DataFrame:
 def parsed_sections(bodies: DataFrame, drop_blank: bool = False) -> DataFrame:
     """Abstract and merged sections per extraction ``(stem, parser, body)``; NULL when there are none.
 
-    ``drop_blank`` is the loader's variant: sections without text are left out first, and
-    a fast extraction may bring a top-level abstract.
+    A document of the wrong shape gives neither. ``drop_blank`` is the loader's variant:
+    sections without text are left out first, a fast extraction may bring a top-level
+    abstract, and an abstract is kept whatever the shape of the sections.
     """
     doc, is_fast = F.col("_doc"), F.col("parser") == "pymupdf"
-    staged = once(bodies, {"_doc": V.parse(F.col("body"))}).withColumn(
-        "_items", F.when(is_fast, V.items_at(doc, "$.structured_text.sections")).otherwise(V.items_at(doc, "$.full_text.body"))
+    staged = once(bodies, {"_doc": V.parse(F.col("body"))}).withColumns(
+        {
+            "_holder": F.when(is_fast, V.at(doc, "$.structured_text")).otherwise(V.at(doc, "$.full_text")),
+            "_listed": F.when(is_fast, V.at(doc, "$.structured_text.sections")).otherwise(V.at(doc, "$.full_text.body")),
+        }
+    )
+    items = V.items_at(F.col("_listed"))
+    well_formed = (
+        (F.col("_holder").isNull() | V.is_object(F.col("_holder")))
+        & (F.col("_listed").isNull() | items.isNotNull())
+        & ~F.coalesce(F.exists(items, lambda s: ~V.is_object(s)), F.lit(False))
     )
+    staged = once(staged, {"_well_formed": well_formed, "_items": F.when(well_formed, items)})
     raw = F.transform(
         F.coalesce(F.col("_items"), F.array().cast("array<variant>")),
         lambda s, i: F.struct(
@@ -271,6 +282,8 @@ def parsed_sections(bodies: DataFrame, drop_blank: bool = False) -> DataFrame:
     if drop_blank:
         staged = staged.withColumn("_raw", F.filter("_raw", lambda s: has_text(s["content"])))
     abstract = V.text_at(doc, "$.metadata.abstract")
+    if not drop_blank:
+        abstract = F.when(F.col("_well_formed"), abstract)
     top_level = V.text_at(doc, "$.abstract") if drop_blank else F.lit(None).cast("string")
     merged = last_wins(staged, "_raw", "sections").withColumn(
         "abstract", F.when(is_fast, top_level).otherwise(abstract)

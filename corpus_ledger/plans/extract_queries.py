@@ -8,6 +8,7 @@ from .. import fixtures
 from ..functions import payloads as P
 from ..functions.identifiers import metadata_doi
 from ..operators import merge, sections, tei
+from ..session import spread_small
 from ..sources import logs
 from .gap_queries import LABEL_SQL, MIRRORS, WS
 from .registry import Source, query
@@ -101,7 +102,7 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS IN
  SELECT doc_id, n, trim(CASE WHEN n = 0 THEN '[0] ' || row ELSE row END, {WS}) AS e FROM l WHERE h IS NOT NULL) x WHERE e <> ''""",
 )
 def references_split(spark, sf_dir):
-    texts = _reference_text(Source(spark, sf_dir).documents)
+    texts = _reference_text(spread_small(Source(spark, sf_dir).documents))
     return texts.select("doc_id", F.posexplode(sections.references_of(F.col("full_text"))).alias("pos", "reference"))
 
 

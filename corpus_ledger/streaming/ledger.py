@@ -47,7 +47,7 @@ def fold_batch(base: DataFrame | None, events: DataFrame) -> DataFrame:
     """
     rows = events.withColumn("seen", F.col("created_at"))
     if base is not None:
-        start = F.timestamp_seconds(F.lit(0))
+        start = F.lit("1970-01-01 00:00:00").cast(events.schema["created_at"].dataType)
         held = as_set_events(base).withColumn("seen", F.col("created_at")).withColumn("created_at", start)
         rows = rows.unionByName(held, allowMissingColumns=True)
     stamps = rows.groupBy("doi").agg(F.max("seen").alias("seen"))

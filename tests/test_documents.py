@@ -107,7 +107,9 @@ def test_last_content_first_position(spark):
     df = bodies(
         spark,
         ("x", "grobid", {"metadata": {"abstract": "abs"}, "full_text": {"body": BODY}}), ("x", "pymupdf", {"abstract": "top", "structured_text": {"sections": BODY}}),
-        ("y", "grobid", {"full_text": {"body": []}}), ("z", "grobid", "{bad"),
+        ("y", "grobid", {"full_text": {"body": []}}), ("z", "grobid", "{bad"), ("s", "grobid", {"metadata": {"abstract": "abs"}, "full_text": "text"}),
+        ("n", "grobid", {"metadata": {"abstract": "abs"}, "full_text": {"body": None}}), ("i", "grobid", {"metadata": {"abstract": "abs"}, "full_text": {"body": [{"content": "a"}, "b"]}}),
+        ("m", "grobid", {"metadata": {"abstract": "abs"}}),
     )
     listed = [(0, "B", "b2"), (1, "A", "a1\n\na2"), (2, "Unnamed Section", "none"), (3, "C", " ")]
     got = parsed(df)
@@ -115,7 +117,10 @@ def test_last_content_first_position(spark):
     assert got["x", "pymupdf"] == (None, listed)
     assert got["y", "grobid"] == (None, None)
     assert got["z", "grobid"] == (None, None)
-    assert parsed(df, drop_blank=True)["x", "pymupdf"] == ("top", listed[:3])
+    assert [got[k, "grobid"] for k in "snim"] == [(None, None), (None, None), (None, None), ("abs", None)]
+    loaded = parsed(df, drop_blank=True)
+    assert loaded["x", "pymupdf"] == ("top", listed[:3])
+    assert [loaded[k, "grobid"] for k in "snim"] == [("abs", None)] * 4
 
 
 def test_section_texts(spark):
