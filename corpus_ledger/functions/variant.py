@@ -61,4 +61,6 @@ def is_truthy(v: Column) -> Column:
 
 def joined_text(v: Column, sep: str = "\n\n") -> Column:
     """A text, or a list of texts joined by ``sep``."""
-    return F.coalesce(as_text(v), F.array_join(F.try_variant_get(v, "$", "array<string>"), sep))
+    return F.coalesce(
+        F.array_join(F.try_variant_get(v, "$", "array<string>"), sep), F.try_variant_get(v, "$", "string")
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import variant as V
 from ..functions.stages import once
-from ..functions.text import has_text, null_if_empty, strip
+from ..functions.text import has_fewer_words, has_text, null_if_empty, strip
 from ..schemas import SECTIONS
 
 # Layout rules and default titles.
@@ -59,9 +59,8 @@ def _all_blocks(spans: DataFrame) -> DataFrame:
         ),
         "",
     )
-    # Text is stripped, so splitting at white space gives the words.
-    is_short = F.size(F.split(F.col("text"), r"(?U)[\s\x1c-\x1f]+")) < HEADING_MAX_WORDS
-    return once(per_block, {"text": strip(text)}).drop("parts").withColumn("is_short", (F.col("text") != "") & is_short)
+    is_short = (F.col("text") != "") & has_fewer_words(F.col("text"), HEADING_MAX_WORDS)
+    return once(per_block, {"text": strip(text)}).drop("parts").withColumn("is_short", is_short)
 
 
 def block_rows(spans: DataFrame) -> DataFrame:
@@ -263,19 +262,18 @@ def parsed_sections(bodies: DataFrame, drop_blank: bool = False) -> DataFrame:
             "_listed": F.when(is_fast, V.at(doc, "$.structured_text.sections")).otherwise(V.at(doc, "$.full_text.body")),
         }
     )
-    items = V.items_at(F.col("_listed"))
-    well_formed = (
-        (F.col("_holder").isNull() | V.is_object(F.col("_holder")))
-        & (F.col("_listed").isNull() | items.isNotNull())
-        & ~F.coalesce(F.exists(items, lambda s: ~V.is_object(s)), F.lit(False))
+    # One cast for the whole list; an entry that is not an object becomes NULL.
+    staged = once(staged, {"_cast": F.try_variant_get("_listed", "$", "array<struct<title:string,content:variant>>")})
+    well_formed = (F.col("_holder").isNull() | V.is_object(F.col("_holder"))) & (
+        F.col("_listed").isNull() | F.coalesce(~F.exists("_cast", lambda s: s.isNull()), F.lit(False))
     )
-    staged = once(staged, {"_well_formed": well_formed, "_items": F.when(well_formed, items)})
+    staged = staged.withColumn("_items", F.when(well_formed, F.col("_cast")))
     raw = F.transform(
-        F.coalesce(F.col("_items"), F.array().cast("array<variant>")),
+        F.coalesce(F.col("_items"), F.array().cast("array<struct<title:string,content:variant>>")),
         lambda s, i: F.struct(
             i.alias("pos"),
-            F.coalesce(V.text_at(s, "$.title"), F.lit(NO_TITLE)).alias("title"),
-            F.coalesce(V.joined_text(V.at(s, "$.content"), BLOCK_SEP), F.lit("")).alias("content"),
+            F.coalesce(s["title"], F.lit(NO_TITLE)).alias("title"),
+            F.coalesce(V.joined_text(s["content"], BLOCK_SEP), F.lit("")).alias("content"),
         ),
     )
     staged = once(staged, {"_raw": raw})
@@ -283,7 +281,7 @@ def parsed_sections(bodies: DataFrame, drop_blank: bool = False) -> DataFrame:
         staged = staged.withColumn("_raw", F.filter("_raw", lambda s: has_text(s["content"])))
     abstract = V.text_at(doc, "$.metadata.abstract")
     if not drop_blank:
-        abstract = F.when(F.col("_well_formed"), abstract)
+        abstract = F.when(well_formed, abstract)
     top_level = V.text_at(doc, "$.abstract") if drop_blank else F.lit(None).cast("string")
     merged = last_wins(staged, "_raw", "sections").withColumn(
         "abstract", F.when(is_fast, top_level).otherwise(abstract)

@@ -17,9 +17,10 @@ from .registry import Source, query
 
 
 def _stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a stream of its files."""
+    """A driver table, one file or a folder of them, as a stream of its files."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    # Written as a pattern, the path may be a single file.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _stream_view(spark: SparkSession, sf_dir: str, name: str, streamed: str) -> DataFrame:
