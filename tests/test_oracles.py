@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from corpus_ledger.plans import ORACLES as PLAN_ORACLES
+from corpus_ledger.plans import QUERIES
 from tests.compare import difference, oracle_connection
 
 SF = "/root/testdata/sf0.001"
@@ -14,8 +16,9 @@ def con():
     return oracle_connection(SF)
 
 
-def test_every_query_has_sql():
-    assert set(ORACLES) == set(entry.queries())
+def test_every_query_of_the_library_has_sql():
+    assert set(QUERIES) == set(PLAN_ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
