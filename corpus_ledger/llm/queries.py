@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints
-from .tables import documents
+from . import decontaminate, fingerprints
+from .tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +26,22 @@ def query(name: str, sql: str | None = None):
 @query("op1_fingerprints")
 def op1_fingerprints(spark, sf_dir):
     return fingerprints.document_fingerprints(documents(spark, sf_dir))
+
+
+BENCHMARK_WORDS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i:i + 12], ' ') AS win FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS i FROM b WHERE len(w) > 0) x),
+h AS (SELECT x.doc_id, x.i, p.n, p.item_id FROM (SELECT doc_id, s.n, i, array_to_string(w[i:i + s.n - 1], ' ') AS win FROM (SELECT DISTINCT n FROM p) s, d, unnest(generate_series(1, len(w) - s.n + 1)) AS g(i)) x
+ JOIN p ON x.win = p.win AND x.n = p.n),
+c AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS k FROM (SELECT DISTINCT doc_id, i, n FROM h) y) z GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) y GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+ coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
+@query("op2_decontaminate", BENCHMARK_WORDS)
+def op2_decontaminate(spark, sf_dir):
+    return decontaminate.decontamination_report(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))

@@ -6,13 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpus_ledger.llm import fingerprints as fp
-
-SCHEMA = "doc_id bigint, text string, sketch string"
-
-
-def frame(spark, rows):
-    return spark.createDataFrame([(i, t, "clash") for i, t in rows], SCHEMA)
-
+from tests.llm.common import frame
 
 def test_edit_order_and_digest(spark):
     rows = [(3, "abcdefghi"), (7, "xyz"), (1, None), (5, "ééééééé!!"), (2, "")]
