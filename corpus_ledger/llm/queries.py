@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, jaccard
+from . import decontaminate, expansion, fingerprints, jaccard, windows
 from .tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,25 @@ FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT doc_id, min(root) AS
 @query("op3_ngram_jaccard", SHINGLE_LINKS)
 def op3_ngram_jaccard(spark, sf_dir):
     return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark, sf_dir):
+    return expansion.deduplicated_bytes(documents(spark, sf_dir))
+
+
+WORD_WINDOWS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS win FROM d, unnest(generate_series(1, len(w) - 34)) AS g(i)),
+r AS (SELECT doc_id, i FROM x WHERE win IN (SELECT win FROM x GROUP BY win HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(generate_series(i, i + 34)) AS k FROM r) y),
+g AS (SELECT doc_id, list(k) AS gone FROM c GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+ sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(generate_series(1, len(w)), i -> NOT list_contains(gone, i)), i -> w[i]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
+
+@query("op8_window_dedup", WORD_WINDOWS)
+def op8_window_dedup(spark, sf_dir):
+    return windows.deduplicated_words(documents(spark, sf_dir))
