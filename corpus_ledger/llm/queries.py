@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, expansion, fingerprints, jaccard, windows
+from . import decontaminate, expansion, fingerprints, jaccard, shards, windows
 from .tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 @query("op8_window_dedup", WORD_WINDOWS)
 def op8_window_dedup(spark, sf_dir):
     return windows.deduplicated_words(documents(spark, sf_dir))
+
+
+@query("op9_sharding")
+def op9_sharding(spark, sf_dir):
+    return shards.sharded(documents(spark, sf_dir))
