@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, expansion, fingerprints, jaccard, shards, windows
+from . import decontaminate, expansion, fingerprints, jaccard, pieces, rans, shards, windows
 from .tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,20 @@ def op8_window_dedup(spark, sf_dir):
 @query("op9_sharding")
 def op9_sharding(spark, sf_dir):
     return shards.sharded(documents(spark, sf_dir))
+
+
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file, as the machine's ``public_tokenizers`` module gives it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op4_rans_tokens")
+def op4_rans_tokens(spark, sf_dir):
+    return rans.encoded_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark, sf_dir):
+    return pieces.encoding_report(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
