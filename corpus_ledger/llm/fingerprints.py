@@ -7,14 +7,16 @@ two are. Everything here is built-in column functions; no Python runs on executo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stages import once
-from ..operators.numbering import with_row_number
 
 SHINGLE_WORDS = 5
 ONE_IN = 4
+#: Text of one bucket of neighbouring ids, about, and the most cells ids are counted in.
+BUCKET_CHARS = 16_000_000
+MOST_CELLS = 1 << 18
 SPACE = "[ \\t-\\r]+"
 
 
@@ -86,49 +88,61 @@ def edited_pairs(docs: DataFrame, id: str = "doc_id", text: str = "text", one_in
     (NULL last), then by a hash of the text, so ties are in a fixed order. Rows that repeat id
     and text share one place in the order and each come out. NULL text counts as empty.
 
-    Only ids, lengths and hashes are sorted. A text goes to its neighbour as the prefix needed
-    there and its sketch, and every text itself is moved once.
+    Texts move once: to the bucket of their id, a range of ids with about ``BUCKET_CHARS`` of
+    text, where the next text is the neighbour in the sort order. Only one text per bucket has
+    its neighbour elsewhere and is fetched for it.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(id).alias("doc_id"),
         body.alias("_text"),
+        F.col(id).isNotNull().alias("_has"),
         F.coalesce(F.col(id).cast("long"), F.lit(0)).alias("_id"),
-        F.xxhash64(F.col(id).isNull(), body).alias("_key"),
+        F.xxhash64(body).alias("_key"),
     )
-    narrow = rows.groupBy("_id", "_key").agg(F.max("doc_id").alias("_order"), F.max(F.length("_text")).alias("_n"))
-    ranked = with_row_number(narrow, F.desc_nulls_last("_order"), F.asc("_key"), name="_rn", total="_total")
-    # The next text learns who precedes it, and how much of it that row needs.
-    before = ranked.select(
-        F.when(F.col("_rn") == F.col("_total"), F.lit(1)).otherwise(F.col("_rn") + 1).alias("_rn"),
-        F.col("_id").alias("_to_id"),
-        F.col("_key").alias("_to_key"),
-        F.floor(F.col("_n") / 3).cast("int").alias("_take"),
+    place = F.struct("_has", "_id", "_key")
+    span = docs.agg(F.min(F.col(id).cast("long")).alias("low"), F.max(F.col(id).cast("long")).alias("high"), F.sum(F.length(text)).alias("chars")).first()
+    low, high = span["low"] or 0, span["high"] or 0
+    wanted = max(1, -(-(span["chars"] or 0) // BUCKET_CHARS))
+    # Ids in cells of equal width, cells in buckets of about equal text; NULL ids by hash, below all others.
+    width = -(-(high - low + 1) // min(MOST_CELLS, 8 * wanted))
+    cell = F.when(F.col("_has"), F.floor((F.col("_id") - low) / F.lit(width))).otherwise(F.floor(F.col("_key") / F.lit(1 << 54)) - 1024)
+    rows = rows.withColumn("_cell", cell.cast("long"))
+    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = rows.groupBy("_cell").agg(F.sum(F.length("_text") + 100).alias("_n")).select(
+        "_cell", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(BUCKET_CHARS)).alias("_bucket")
     )
-    wanted = ranked.select("_rn", "_id", "_key").join(before, "_rn").drop("_rn")
-    given = (
-        rows.drop("doc_id")
-        .join(wanted, ["_id", "_key"])
-        .select(
-            F.col("_to_id").alias("_id"),
-            F.col("_to_key").alias("_key"),
-            F.substring(F.col("_text"), F.lit(1), F.col("_take")).alias("_prefix"),
-            sketch(F.col("_text"), one_in).alias("_next"),
-        )
-        .groupBy("_id", "_key")
-        .agg(F.first("_prefix").alias("_prefix"), F.first("_next").alias("_next"))
+    rows = rows.join(F.broadcast(cells), "_cell").drop("_cell")
+
+    # The last text of each bucket precedes the first of the bucket above; the very last precedes the very first.
+    ends = rows.groupBy("_bucket").agg(F.max(place).alias("_last"))
+    above = Window.orderBy("_bucket")
+    everything = above.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heirs = ends.select(F.coalesce(F.lead("_bucket").over(above), F.min("_bucket").over(everything)).alias("_to"), "_last.*")
+    fetched = (
+        rows.join(F.broadcast(heirs), ["_has", "_id", "_key"])
+        .dropDuplicates(["_to"])
+        .select(F.col("_to").alias("_bucket"), F.col("_text").alias("_far"))
     )
-    n = F.length("_text")
-    edited = F.concat(F.substring(F.col("_text"), F.lit(1), (n - F.floor(n / 3)).cast("int")), F.col("_prefix"))
-    both = rows.join(given, ["_id", "_key"]).select("doc_id", "_text", edited.alias("_edited"), "_next")
-    return once(both, {"sketch": sketch(F.col("_text"), one_in), "edited_sketch": sketch(F.col("_edited"), one_in)}).select(
-        "doc_id",
-        F.col("_text").alias("text"),
-        F.col("_edited").alias("edited"),
-        "sketch",
-        "edited_sketch",
-        F.col("_next").alias("next_sketch"),
+    order = Window.partitionBy("_bucket").orderBy("_has", "_id", "_key")
+    placed = (
+        rows.repartition("_bucket")
+        .groupBy("_bucket", "_has", "_id", "_key")
+        .agg(F.first("_text").alias("_text"), F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("_rows"))
+    )
+    sketched = once(placed, {"sketch": sketch(F.col("_text"), one_in)})
+    beside = sketched.select(
+        "*", F.lag("_text").over(order).alias("_near"), F.lag("sketch").over(order).alias("_near_sketch")
+    ).join(fetched, "_bucket", "left")
+    n, third = F.length("_text"), F.floor(F.length("_text") / 3).cast("int")
+    following = F.coalesce("_near", "_far")
+    edited = F.concat(F.substring(F.col("_text"), F.lit(1), n - third), F.substring(following, F.lit(1), third))
+    ready = once(
+        beside.select("doc_id", "_rows", "_text", "sketch", edited.alias("_edited"), "_near_sketch", "_far"),
+        {"edited_sketch": sketch(F.col("_edited"), one_in), "next_sketch": F.coalesce("_near_sketch", sketch(F.col("_far"), one_in))},
     )
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col("_rows").cast("int")))
+    return ready.select("doc_id", F.col("_text").alias("text"), F.col("_edited").alias("edited"), "sketch", "edited_sketch", "next_sketch", repeated.alias("_copy")).drop("_copy")
 
 
 def document_fingerprints(docs: DataFrame, one_in: int = ONE_IN) -> DataFrame:
