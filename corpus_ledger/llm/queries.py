@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, expansion, fingerprints, jaccard, pieces, rans, shards, windows
+from . import decontaminate, expansion, fingerprints, jaccard, langid, pieces, rans, shards, toxicity, windows
 from .tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,13 @@ def op4_rans_tokens(spark, sf_dir):
 @query("op7_sentencepiece")
 def op7_sentencepiece(spark, sf_dir):
     return pieces.encoding_report(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    return toxicity.toxicity_report(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    return langid.language_report(documents(spark, sf_dir))
