@@ -85,7 +85,7 @@ class Classifier:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """Learn from the labelled rows of ``docs``; without rows of both classes every score is the share of toxic labels (0 without labels)."""
+    """Learn from the labelled rows of ``docs``; without rows of both classes every score is next to 0, or to 1 if all labels are toxic."""
     by_id = usable(labels)
     sample = F.broadcast(training_ids(by_id))  # at most two times MOST_PER_CLASS narrow rows
     rows = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic")
@@ -167,3 +167,15 @@ def scored(docs: DataFrame, classifier: Classifier, id: str = "doc_id", text: st
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` for each row of ``docs``."""
     return scored(docs, fit(docs, labels)).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, classifier: Classifier) -> DataFrame:
+    """Rows of ``docs`` with a score below 0.5, as they are; a NULL or empty text has the score of a text without features."""
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value.table()
+        for batch, data, offsets in buffers.slices(batches, "text"):
+            yield batch.filter(pa.array(shared.value.scores(data, offsets, table) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
