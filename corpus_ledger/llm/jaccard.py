@@ -133,7 +133,7 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def _classes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n", "key", "cell", "hits"]
+    names = ["doc_id", "text_hash", "n", "key", "cell", "hits", "bits"]
     seen: set[int] = set()
     hits = np.zeros(CELLS, np.int32)
     kind = pa.int64()
@@ -147,13 +147,25 @@ def _classes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen.add(key)
         hits += np.bincount((hashes[np.repeat(new, counts)] & buffers.U64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.int32)
         none = pa.nulls(len(keys), pa.int64())
+        first = np.cumsum(counts) - counts
+        bits = [parity_bits(hashes[first[k] : first[k] + counts[k]]) if new[k] and counts[k] else np.zeros(0, np.int64) for k in range(len(keys))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(batch.schema.get_field_index("doc_id")), pa.array(counts), pa.array(keys, mask=counts == 0), none, none], names=names
+            [
+                batch.column(batch.schema.get_field_index("doc_id")),
+                batch.column(batch.schema.get_field_index("text_hash")),
+                pa.array(counts),
+                pa.array(keys, mask=counts == 0),
+                none,
+                none,
+                buffers.lists(np.concatenate([np.zeros(0, np.int64), *bits]), [len(b) for b in bits], pa.int64()),
+            ],
+            names=names,
         )
     # Shingles in one of 250 sets of this task, or in 16: what is rarer is not common anywhere.
     often = np.flatnonzero(hits >= max(16, len(seen) // 250))
     none = pa.nulls(len(often), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.nulls(len(often), kind), none, none, pa.array(often), pa.array(hits[often], pa.int64())], names=names)
+    empty = pa.nulls(len(often), pa.list_(pa.int64()))
+    yield pa.RecordBatch.from_arrays([pa.nulls(len(often), kind), none, none, none, pa.array(often), pa.array(hits[often], pa.int64()), empty], names=names)
 
 
 def _signed_rows(common, seed: int):
@@ -245,40 +257,47 @@ def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.add(key)
                 kept.append(k)
         sets = [hashes[first[k] : first[k] + counts[k]] for k in kept]
-        bits = [parity_bits(s) for s in sets]
+        flat = buffers.signed(np.concatenate([np.zeros(0, buffers.U64), *sets]))
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys[kept], pa.int64()),
-                pa.array(counts[kept], pa.int64()),
-                buffers.lists(buffers.signed(np.concatenate(sets)) if sets else [], [len(s) for s in sets], pa.int64()),
-                buffers.lists(np.concatenate(bits) if bits else [], [len(s) for s in bits], pa.int64()),
-            ],
-            names=["key", "n", "shingles", "bits"],
+            [pa.array(keys[kept], pa.int64()), buffers.lists(flat, [len(s) for s in sets], pa.int64())], names=["key", "shingles"]
         )
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (``a``, ``b``) whose sets are alike enough: first by sketch, then by the sets themselves."""
+def _close(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``) whose sizes and dense sketches allow enough similarity."""
 
-    def side(name: str, column: str) -> DataFrame:
-        return sets.select(F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col(column).alias(f"{column}_{name}"))
+    def side(name: str) -> DataFrame:
+        return sketches.select(F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
 
     total = F.col("n_a") + F.col("n_b")
-    close = (
-        pairs.join(side("a", "bits"), "a")
-        .join(side("b", "bits"), "b")
+    return (
+        pairs.join(side("a"), "a")
+        .join(side("b"), "b")
         .filter(F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3)
         .filter(hamming(F.col("bits_a"), F.col("bits_b")) * 7 <= total)
-        .select("a", "b")
+        .select("a", "b", total.alias("total"))
     )
-    shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return (
-        close.join(side("a", "shingles"), "a")
-        .join(side("b", "shingles"), "b")
-        .select("a", "b", total.alias("total"), shared.cast("long").alias("shared"))
-        .filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * 75)
+
+
+def verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose sets are alike enough. Sets are built only for pairs that their sketches let through."""
+    close = written(_close(pairs, sketches), "close")
+    keys = close.select(F.col("a").alias("key")).unionByName(close.select(F.col("b").alias("key"))).distinct()
+    wanted = classes.join(keys, "key").select(F.col("least").alias("doc_id"))
+    texts = rows.join(wanted, "doc_id", "left_semi").select("text")
+    sets = written(texts.mapInArrow(_sets, "key bigint, shingles array<bigint>"), "sets")
+    release(rows.sparkSession)
+    shared = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
+    matched = (
+        close.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("shingles_a")), "a")
+        .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("shingles_b")), "b")
+        .select("a", "b", "total", shared.alias("shared"))
+        .filter("shared * 100 >= (total - shared) * 75")
         .select("a", "b")
     )
+    links = written(matched, "links")
+    release(rows.sparkSession)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -291,13 +310,18 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     texts, and rows without an id, link with nothing and keep their own id. Repeated rows each
     come out. Sets are compared by 64-bit shingle hashes.
     """
+    return placed_rows(docs, id, text).drop("text_hash")
+
+
+def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``near_duplicates``, and ``text_hash`` (``xxhash64`` of the text), which tells rows of one id apart."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    noted = written(rows.mapInArrow(_classes, f"doc_id {kind}, n bigint, key bigint, cell bigint, hits bigint"), "classes")
+    noted = written(rows.mapInArrow(_classes, f"doc_id {kind}, text_hash bigint, n bigint, key bigint, cell bigint, hits bigint, bits array<bigint>"), "classes")
     often = noted.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("hits").alias("hits")).orderBy(F.desc("hits"), "cell").limit(COMMON)
     common = spark.sparkContext.broadcast(np.array([r["cell"] for r in often.collect()], np.int64))
-    members = noted.filter("cell IS NULL").select("doc_id", "n", "key")
+    members = noted.filter("cell IS NULL").select("doc_id", "text_hash", "n", "key")
     listed = members.filter("key IS NOT NULL AND doc_id IS NOT NULL")
     classes = listed.groupBy("key").agg(F.min("doc_id").alias("least"))
 
@@ -312,13 +336,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     del signs, sorted_signs
     release(spark)
 
-    wanted = buckets.select("key").distinct().join(classes, "key").select(F.col("least").alias("doc_id"))
-    sets = written(
-        rows.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets, "key bigint, n bigint, shingles array<bigint>, bits array<bigint>"), "sets"
-    )
-    release(spark)
+    sketches = noted.filter(F.size("bits") > 0).dropDuplicates(["key"]).select("key", "n", "bits")
     stars = buckets.filter("pivot <> key").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
-    links = written(verified(stars, sets), "links")
+    links = verified(stars, sketches, rows, classes)
     parts = written(components(links), "parts")
     # What shares a bucket and is not connected yet is compared in full.
     placed = buckets.join(parts, buckets["key"] == parts["node"], "left").select("sign", "key", "n", F.coalesce("root", "key").alias("part"))
@@ -332,13 +352,34 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         .distinct()
         .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
-    more = written(verified(apart, sets), "links")
+    more = verified(apart, sketches, rows, classes)
     if not more.isEmpty():
         parts = written(components(links.unionByName(more)), "parts")
     release(spark)
     rooted = classes.join(parts, classes["key"] == parts["node"], "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     component = rooted.join(smallest, "root").select("key", "component_id")
-    linked = listed.join(component, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = members.filter("key IS NULL OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    linked = listed.join(component, "key").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id")
+    alone = members.filter("key IS NULL OR doc_id IS NULL").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` without near duplicates: of each component, the row with its smallest id.
+
+    Of rows that repeat that id, the one with the smallest text hash stays, and one of rows that
+    repeat the text too. Texts without words, and rows without an id, are linked with nothing and
+    all stay.
+    """
+    found = placed_rows(docs).filter("doc_id IS NOT NULL AND n_shingles > 0")
+    by_row = found.groupBy("doc_id", "text_hash").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    by_row = written(by_row, "placed")
+    least = by_row.filter("component_id = doc_id").groupBy("doc_id").agg(F.min("text_hash").alias("least"))
+    gone = by_row.join(least, "doc_id", "left").filter("component_id <> doc_id OR text_hash <> least").select("doc_id", "text_hash")
+    again = by_row.filter("n > 1").select("doc_id", "text_hash")
+    own = docs.withColumn("_hash", F.xxhash64("text"))
+    kept = own.join(gone, (own["doc_id"] == gone["doc_id"]) & (own["_hash"] == gone["text_hash"]), "left_anti")
+    if not again.isEmpty():  # whole rows are grouped only where rows repeat
+        on = (kept["doc_id"] == again["doc_id"]) & (kept["_hash"] == again["text_hash"])
+        kept = kept.join(again, on, "left_anti").unionByName(kept.join(again, on, "left_semi").dropDuplicates(["doc_id", "_hash"]))
+    return kept.select(*docs.columns)
