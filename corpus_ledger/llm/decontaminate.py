@@ -194,3 +194,9 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
         is_contaminated().alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that are not contaminated, as they are."""
+    packed = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("doc_id"), "text")
+    return contamination(packed, benchmark).filter(~is_contaminated()).select("doc_id.*", "text").select(*docs.columns)

@@ -136,6 +136,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["key", "content", "n", "bytes"])
 
 
+FINER_ROWS = "key bigint, content bigint, n bigint, anchor bigint, at int, length int, core bigint, piece bigint, bytes binary"
+
+
 def _finer(width: int, inner: int, step: int):
     """Cut contents of crowded anchors into pieces of at most ``step`` windows, keyed by what their windows have in common.
 
@@ -186,37 +189,30 @@ def _spans_of_contents(found: DataFrame, runs: DataFrame, distinct: DataFrame) -
     )
     crowds = shared.filter(F.col("contents") > CROWD).select("key")
     solved = _solve(pieces.join(crowds, "key", "left_anti"))
-    # Crowded anchors: pieces of fewer windows, keyed by what those share; single windows are decided by their count.
-    crowded, anchor = pieces.join(crowds, "key", "left_semi"), F.lit(None).cast("bigint")
-    if crowded.isEmpty():
-        return solved
-    level = crowded.select("key", "content", "n", "bytes", anchor.alias("anchor"))
-    origin = None
+    level = pieces.join(crowds, "key", "left_semi").withColumn("anchor", F.lit(None).cast("bigint"))
+    # Places of the present pieces in the contents they were first cut from.
+    places = level.select(F.col("key").alias("key0"), F.col("content").alias("content0"), F.lit(0).alias("at0"), "key", "content")
     for step in FINER:
-        schema = "key bigint, content bigint, n bigint, anchor bigint, at int, length int, core bigint, piece bigint, bytes binary"
-        cut = written(level.mapInArrow(_finer(WINDOW_BYTES, ANCHOR_BYTES, step), schema), "finer")
-        link = cut.select("key", "content", "at", "core", "piece")
-        # Places of the piece in the original content, whatever level it is cut at.
-        origin = link.select(F.col("key").alias("k0"), F.col("content").alias("c0"), "at", "core", "piece") if origin is None else (
-            origin.join(link.select(F.col("key").alias("core"), F.col("content").alias("piece"), F.col("at").alias("more"), F.col("core").alias("core2"), F.col("piece").alias("piece2")), ["core", "piece"])
-            .select("k0", "c0", (F.col("at") + F.col("more")).cast("int").alias("at"), F.col("core2").alias("core"), F.col("piece2").alias("piece"))
+        if level.isEmpty():
+            break
+        cut = written(level.mapInArrow(_finer(WINDOW_BYTES, ANCHOR_BYTES, step), FINER_ROWS), "finer")
+        places = places.join(cut.select("key", "content", "at", "core", "piece"), ["key", "content"]).select(
+            "key0", "content0", (F.col("at0") + F.col("at")).alias("at0"), F.col("core").alias("key"), F.col("piece").alias("content")
         )
-        one = cut.groupBy("core", "piece").agg(F.sum("n").alias("n"), F.max("length").alias("length"), F.first("bytes").alias("bytes"), F.first("anchor").alias("anchor"))
-        one = written(one.withColumnsRenamed({"core": "key", "piece": "content"}), "pieces")
+        one = cut.groupBy(F.col("core").alias("key"), F.col("piece").alias("content")).agg(
+            F.sum("n").alias("n"), F.max("length").alias("length"), F.first("bytes").alias("bytes"), F.first("anchor").alias("anchor")
+        )
+        one = written(one, "pieces")
         shared = repeats.shared_anchors(one)
-        crowds = shared.filter(F.col("contents") > (CROWD if step > 1 else 0)).select("key")
-        open_ = one.filter("n = 1").join(shared.select("key"), "key", "left_semi") if step == 1 else one.join(shared.select("key"), "key", "left_semi")
+        crowds = shared.filter(F.col("contents") > CROWD).select("key")
         parts = repeats.whole_runs(one)
         if step > 1:
-            parts = parts.unionByName(_solve(open_.join(crowds, "key", "left_anti").select("key", "content", "n", "bytes")))
-        placed = origin.join(parts.withColumnsRenamed({"key": "core", "content": "piece"}), ["core", "piece"]).select(
-            F.col("k0").alias("key"), F.col("c0").alias("content"),
-            F.expr(f"CAST(transform(spans, s -> named_struct('from', s.from + at, 'to', s.to + at)) AS {repeats.SPANS})").alias("spans"),
+            parts = parts.unionByName(_solve(one.join(shared.select("key"), "key", "left_semi").join(crowds, "key", "left_anti")))
+        moved = F.expr(f"CAST(transform(spans, s -> named_struct('from', s.from + at0, 'to', s.to + at0)) AS {repeats.SPANS})")
+        solved = solved.unionByName(
+            places.join(parts, ["key", "content"]).select(F.col("key0").alias("key"), F.col("content0").alias("content"), moved.alias("spans"))
         )
-        solved = solved.unionByName(placed)
         level = one.join(crowds, "key", "left_semi").select("key", "content", "n", "bytes", "anchor")
-        if step == 1 or level.isEmpty():
-            break
     return solved.groupBy("key", "content").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
@@ -225,12 +221,12 @@ def _solve(pieces: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_expanded(WINDOW_BYTES), f"key bigint, content bigint, spans {repeats.SPANS}")
 
 
-def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", whole: bool = False, valid: bool = False) -> DataFrame:
     """One row per row of ``docs``: bytes, removed bytes, maximal removed runs, digest of the bytes that stay.
 
     A byte goes if a window of 400 bytes over it also starts anywhere else, in the same text or
     another; windows do not cross texts. With ``whole``, ``kept`` holds the bytes that stay, which
-    need not be UTF-8. NULL and empty texts have no bytes; repeated rows are documents of their
+    need not be UTF-8; with ``valid``, what is left of cut characters is dropped there. NULL and empty texts have no bytes; repeated rows are documents of their
     own. Copies of a run of windows are one content with a count. A content that is alone under
     its anchor is decided by that count, contents that share an anchor by interval expansion.
     """
@@ -244,8 +240,21 @@ def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", whol
     release(docs.sparkSession)
     # The expansion sees counts, so it also tells what is whole; the rest is alone under its anchor.
     alone = repeats.whole_runs(distinct.join(solved.select("key", "content"), ["key", "content"], "left_anti"))
-    return repeats.removal(found, runs, solved.unionByName(alone), kind, whole)
+    return repeats.removal(found, runs, solved.unionByName(alone), kind, whole, valid)
 
 
 def deduplicated_bytes(docs: DataFrame) -> DataFrame:
     return repeated_bytes(docs).select("doc_id", F.col("n_items").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with repeated bytes, and what is left of cut characters, taken out of ``text``.
+
+    ``n_chars``, where there is one, counts what is left. NULL texts stay NULL.
+    """
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    packed = docs.select(F.struct(*others, F.col("text").isNull().alias("_null")).alias("doc_id"), "text")
+    found = repeated_bytes(packed, whole=True, valid=True).select("doc_id.*", F.expr("IF(doc_id._null, NULL, CAST(kept AS string))").alias("text"))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)

@@ -244,9 +244,11 @@ def whole_runs(distinct: DataFrame) -> DataFrame:
     return distinct.filter("n > 1").select("key", "content", F.expr(f"CAST(array(named_struct('from', 0, 'to', length)) AS {SPANS})").alias("spans"))
 
 
-def removal(found: DataFrame, runs: DataFrame, repeated: DataFrame, kind: Kind, whole: bool = False) -> DataFrame:
+def removal(found: DataFrame, runs: DataFrame, repeated: DataFrame, kind: Kind, whole: bool = False, valid: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``n_items``, ``n_removed``, ``n_spans``, ``kept_sha256``; with ``whole``, ``kept``.
 
+    With ``valid``, ``kept`` is without bytes that are no whole UTF-8 characters.
+
     ``repeated`` tells for contents which windows (``spans`` within the run) occur more than once.
     """
     spans = (
@@ -275,6 +277,7 @@ def removal(found: DataFrame, runs: DataFrame, repeated: DataFrame, kind: Kind,
                 kept = None
                 if whole:
                     kept = body if gone is None else np.frombuffer(body, np.uint8)[~gone].tobytes()
+                    kept = kept.decode(errors="ignore").encode() if valid else kept
                 out.append((doc_id, n, 0 if gone is None else int(gone.sum()), n_spans, digest, kept))
             columns = list(zip(*out, strict=True)) if out else [[]] * 6
             kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
