@@ -11,18 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import identifiers as I
-from .session import spread_small
 
-DOI = "concat('10.', CAST(1000 + doc_id % 9000 AS STRING), '/', source, '.', CAST(doc_id AS STRING))"
-STEM = "concat('10.', CAST(1000 + doc_id % 9000 AS STRING), '_', source, '.', CAST(doc_id AS STRING))"
+# Every fourth DOI holds an underscore, so its file stem cannot be turned back.
+DOI = "concat('10.', CAST(1000 + doc_id % 9000 AS STRING), '/', source, CASE WHEN doc_id % 4 = 1 THEN '_' ELSE '.' END, CAST(doc_id AS STRING))"
+STEM = f"replace({DOI}, '/', '_')"
 
 VIEWS: dict[str, str] = {}
 
 VIEWS["papers"] = f"""
-SELECT CAST(doc_id AS STRING) AS pmid,
+SELECT CASE WHEN doc_id % 31 = 0 THEN NULL WHEN doc_id % 23 = 0 THEN CAST(doc_id - 1 AS STRING) ELSE CAST(doc_id AS STRING) END AS pmid,
  CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN '' ELSE {DOI} END AS doi,
- substr(text, 1, 80) AS title,
- CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' ELSE substr(text, 1, 200) END AS abstract,
+ split_part(text, chr(10), 1) AS title,
+ CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN '' ELSE text END AS abstract,
  CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '   ' ELSE text END AS full_text,
  CASE WHEN doc_id % 3 = 0 OR doc_id % 13 = 0 THEN NULL ELSE text END AS full_text_sections,
  CASE WHEN doc_id % 6 = 0 THEN NULL WHEN doc_id % 6 = 1 THEN ''
@@ -111,7 +111,7 @@ SELECT doc_id AS pos,
   WHEN 7 THEN CAST(100000 + n_chars AS STRING)
   WHEN 8 THEN concat('PMID: ', CAST(n_chars * 37 AS STRING))
   WHEN 9 THEN concat('10.', CAST(1000 + doc_id AS STRING))
-  WHEN 10 THEN concat(substr(text, 1, 60), chr(10), ' x')
+  WHEN 10 THEN concat(split_part(text, chr(10), 1), chr(10), ' x')
   ELSE {DOI} END AS identifier
 FROM {{documents}}"""
 
@@ -148,11 +148,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = VIEWS[name]
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
-    if spread:
-        used = {t: spread_small(df) for t, df in used.items()}
     return spark.sql(text, **used)
 
 
@@ -168,10 +166,20 @@ def oracle(*names: str, sql: str) -> str:
     return f"WITH {head}\n{body}"
 
 
+def with_doi(files: str, *known: str) -> str:
+    """SQL: rows of ``files`` with ``doi``: the known DOI that has the stem, else the stem turned back."""
+    dois = " UNION ".join(f"SELECT doi FROM {k} WHERE doi IS NOT NULL AND doi <> ''" for k in known)
+    return f"(SELECT f0.*, coalesce(k0.doi, replace(f0.stem, '_', '/')) AS doi FROM {files} f0 LEFT JOIN ({dois}) k0 ON replace(k0.doi, '/', '_') = f0.stem)"
+
+
 def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def first_line(text: Column) -> Column:
+    return F.split_part(text, F.lit("\n"), F.lit(1))
+
+
 def bodies(extractions: DataFrame) -> DataFrame:
     """``(stem, parser, length, body)`` of the JSON each parser would have written."""
     text, ok = F.col("text"), F.col("state") != "empty"
@@ -185,10 +193,10 @@ def bodies(extractions: DataFrame) -> DataFrame:
         F.struct(
             F.struct(
                 doi.alias("doi"),
-                F.when(F.col("state") == "untitled", F.substring(text, 1, 4))
-                .otherwise(F.substring(text, 1, 80))
+                F.when(F.col("state") == "untitled", "none")
+                .otherwise(first_line(text))
                 .alias("title"),
-                F.when(F.col("n_chars") % 3 != 0, F.substring(text, 1, 120)).alias("abstract"),
+                F.when(F.col("n_chars") % 3 != 0, text).alias("abstract"),
                 F.array().cast("array<struct<name:string>>").alias("authors"),
             ).alias("metadata"),
             F.struct(
@@ -226,12 +234,12 @@ def bodies(extractions: DataFrame) -> DataFrame:
 
 
 def extraction_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bodies(view(spark, sf_dir, "extractions", spread=True))
+    return bodies(view(spark, sf_dir, "extractions"))
 
 
 def layout_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layout rows: a text line is a block; its first word is a span of its own."""
-    docs = spread_small(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("n", "row"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("n", "row"))
     words = F.split(F.col("row"), " ", 2)
     size = F.when(F.size(F.split(F.col("row"), " ")) < 6, 16.0).otherwise(10.0)
     parts = docs.select("doc_id", "n", F.posexplode(words).alias("span", "text"), size.alias("size"))
@@ -249,7 +257,7 @@ def layout_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_log_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text of log blocks, as they stand between two markers."""
-    log = view(spark, sf_dir, "run_log", spread=True)
+    log = view(spark, sf_dir, "run_log")
     block = F.concat(
         F.lit(" "), F.col("doi"), F.lit("\nTimestamp: "), F.col("ts"), F.lit("\nWorker: 3\nResult: "), F.col("result"),
         F.coalesce(F.concat(F.lit("\nParser: "), F.col("parser")), F.lit("")), F.lit("\n----\n"),
@@ -263,8 +271,8 @@ def pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = F.when(F.col("n_chars") % 7 == 0, "").otherwise("%%EOF")
     fill = F.repeat(F.lit("x"), (F.col("n_chars") % 6000).cast("int"))
     content = F.encode(F.concat(head, F.col("text"), tail, fill), "UTF-8")
-    docs = spread_small(table(spark, sf_dir, "documents"))
-    return docs.select("doc_id", content.alias("content")).withColumn("length", F.octet_length("content").cast("long"))
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.expr(STEM).alias("stem"), content.alias("content")).withColumn("length", F.octet_length("content").cast("long"))
 
 
 def tei_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +305,7 @@ def tei_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     tei = F.concat(
         F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt><title> '),
-        esc(F.substring(text, 1, 40)),
+        esc(first_line(text)),
         F.lit('</title></titleStmt><sourceDesc><biblStruct><analytic><author><persName><forename>A</forename><surname>B'),
         ident,
         F.lit("</surname></persName><email>b@x.org</email><affiliation>Lab</affiliation></author>"
@@ -310,4 +318,4 @@ def tei_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</body><back><listBibl>"), F.array_join(refs, ""), F.lit("</listBibl></back></text>"),
         F.when(F.col("n_chars") % 19 == 0, F.lit("")).otherwise(F.lit("</TEI>")),
     )
-    return spread_small(table(spark, sf_dir, "documents")).select("doc_id", tei.alias("tei"))
+    return table(spark, sf_dir, "documents").select("doc_id", tei.alias("tei"))

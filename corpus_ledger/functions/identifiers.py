@@ -118,9 +118,5 @@ def safe_file_name(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)[^\w\-_.]", "_")
 
 
-def best_identifier(doi: Column, title: Column) -> Column:
-    return F.coalesce(null_if_empty(doi), null_if_empty(title))
-
-
 def clean_title(c: Column) -> Column:
     return null_if_empty(collapse_spaces(c))

@@ -33,10 +33,6 @@ def has_text(c: Column) -> Column:
     return F.coalesce(strip(c) != F.lit(""), F.lit(False))
 
 
-def is_blank_trim(c: Column) -> Column:
-    return ~has_text(c)
-
-
 def is_value(c: Column, value: str) -> Column:
     """Equality that is false, not unknown, on NULL."""
     return c.eqNullSafe(F.lit(value))

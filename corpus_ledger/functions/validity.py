@@ -212,7 +212,3 @@ def with_section_list_check(df: DataFrame) -> DataFrame:
 def is_lenient_pdf(extracted_text: Column, page_count: Column) -> Column:
     """A file with a bad header is kept if the fast parser read something from it."""
     return (_length(extracted_text) >= LENIENT_TEXT_CHARS) | (F.coalesce(page_count, F.lit(0)) >= 1)
-
-
-def is_scanned(text_of_first_pages: Column) -> Column:
-    return ~has_text(text_of_first_pages)

@@ -206,7 +206,8 @@ def oa_lookup(identifiers: DataFrame, papers: DataFrame) -> DataFrame:
         keyed(papers)
         .filter(has_text_sql(F.col("oa_url")))
         .groupBy("doi")
-        .agg(F.min_by("oa_url", "pmid").alias("oa_url"))
+        .agg(F.min(F.struct(F.col("pmid").isNull(), "pmid", "oa_url")).alias("_first"))
+        .select("doi", F.col("_first.oa_url").alias("oa_url"))
     )
     return identifiers.select("doi").distinct().join(known, "doi", "left")
 

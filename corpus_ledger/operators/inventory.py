@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import validity as VA
-from ..functions.identifiers import doi_of_stem, stem_of
+from ..functions.identifiers import FAST_SUFFIX, doi_of_stem, stem_of
+from ..functions.text import has_text_sql
 from ..schemas import PARSERS
 from .gaps import keyed, missing_all_text
 
@@ -16,9 +19,26 @@ KEEP_PDFS_FACTOR = 2
 EXAMPLES = 5
 
 
-def valid_parsers(bodies: DataFrame) -> DataFrame:
-    """``(doi, parser)`` of valid extractions; the DOI is read back from the stem."""
-    return VA.with_validity(bodies).filter("is_valid").select(doi_of_stem(F.col("stem")).alias("doi"), "parser")
+def with_doi(files: DataFrame, *known: DataFrame) -> DataFrame:
+    """Add ``doi`` to files with a ``stem``: the known DOI that has this stem.
+
+    ``known`` are tables with a ``doi`` column. Only a stem no known DOI has is turned back,
+    which is lossy for DOIs with an underscore. Two known DOIs with one stem give two rows.
+    """
+    dois = [k.select("doi").filter(has_text_sql(F.col("doi"))) for k in known]
+    stems = reduce(DataFrame.unionByName, dois).distinct().select(stem_of(F.col("doi")).alias("_stem"), F.col("doi").alias("_known"))
+    plain = F.regexp_replace("stem", f"{FAST_SUFFIX}$", "")
+    return (
+        files.withColumn("_stem", plain)
+        .join(stems, "_stem", "left")
+        .withColumn("doi", F.coalesce("_known", doi_of_stem(F.col("stem"))))
+        .drop("_stem", "_known")
+    )
+
+
+def valid_parsers(bodies: DataFrame, *known: DataFrame) -> DataFrame:
+    """``(doi, parser)`` of valid extractions."""
+    return with_doi(VA.with_validity(bodies).filter("is_valid").select("stem", "parser"), *known).select("doi", "parser")
 
 
 def parser_sets(keys: DataFrame) -> DataFrame:
@@ -118,12 +138,12 @@ def files_without_extraction(pdfs: DataFrame, extractions: DataFrame, parser: st
     return pdfs.select("stem").distinct().join(done, "stem", "left_anti")
 
 
-def presence_by_stem(pdfs: DataFrame, extractions: DataFrame) -> DataFrame:
+def presence_by_stem(pdfs: DataFrame, extractions: DataFrame, directory: str = "papers") -> DataFrame:
     """``(stem, has_pdf, has_pymupdf, has_grobid)``: one tagged union, one grouping.
 
-    Empty files do not count as present.
+    Only PDFs of the primary folder count, and no empty files.
     """
-    tagged = pdfs.filter("length > 0").select("stem", F.lit("pdf").alias("kind")).unionByName(
+    tagged = pdfs.filter((F.col("length") > 0) & (F.col("dir") == directory)).select("stem", F.lit("pdf").alias("kind")).unionByName(
         extractions.filter("length > 0").select("stem", F.col("parser").alias("kind"))
     )
     return tagged.groupBy("stem").agg(*[F.max(F.col("kind") == k).alias(f"has_{k}") for k in ("pdf", *PARSERS)])

@@ -27,7 +27,6 @@ from ..schemas import (
     YES,
     tracker_type,
 )
-from . import skew
 from .gaps import content_flags, keyed, remove_keys, select_keys
 
 DEFAULT_MAX_RETRIES = 3
@@ -91,11 +90,12 @@ def _with_optional(events: DataFrame) -> DataFrame:
     return events
 
 
-def _retries(events: DataFrame, errors_count: bool, hot: dict) -> DataFrame:
+def _retries(events: DataFrame, errors_count: bool) -> DataFrame:
     """Retry count per DOI: increments after the last event that set it.
 
-    Each increment has to be compared with its DOI's last setting event; the increments of
-    a busy DOI are salted for that join and counted before the next shuffle.
+    Each increment has to be compared with its DOI's last setting event. A busy DOI has its
+    increments on the left side of that join, where Spark splits large tasks, and they are
+    counted before the next shuffle.
     """
     seq, kind = F.struct("created_at", "id"), F.col("event_type")
     value = F.when(kind == "reset", F.lit(0)).otherwise(
@@ -111,7 +111,7 @@ def _retries(events: DataFrame, errors_count: bool, hot: dict) -> DataFrame:
         steps = steps | (kind.isin(*PARSERS) & has_text_sql(F.col("message")))
     increments = events.filter(steps).select("doi", "id", seq.alias("seq"))
     counted = (
-        skew.left_join(increments, bases.select("doi", "base_seq"), "doi", "id", **hot)
+        increments.join(bases.select("doi", "base_seq"), "doi", "left")
         .filter(F.col("base_seq").isNull() | (F.col("seq") > F.col("base_seq")))
         .groupBy("doi")
         .agg(F.count(F.lit(1)).cast("int").alias("n"), F.lit(0).alias("base"))
@@ -123,12 +123,11 @@ def _retries(events: DataFrame, errors_count: bool, hot: dict) -> DataFrame:
     )
 
 
-def fold(events: DataFrame, errors_count: bool = False, **hot: int) -> DataFrame:
+def fold(events: DataFrame, errors_count: bool = False) -> DataFrame:
     """Ledger rows (one per DOI) after all events, in ``(created_at, id)`` order.
 
     ``reset`` clears every column. ``errors_count`` adds a retry for a parser event that
-    carries an error message, as the file-based ledger did. ``hot`` tunes when a DOI counts
-    as hot (see :mod:`.skew`).
+    carries an error message, as the file-based ledger did.
     """
     events = _with_optional(events)
     seq = F.struct("created_at", "id")
@@ -151,7 +150,7 @@ def fold(events: DataFrame, errors_count: bool = False, **hot: int) -> DataFrame
         ).alias(c)
         for c in TRACKER_COLUMNS
     }
-    return newest.join(_retries(events, errors_count, hot), "doi", "left").select(
+    return newest.join(_retries(events, errors_count), "doi", "left").select(
         "doi", *alive.values(), "last_updated", F.coalesce("retry_count", F.lit(0)).alias("retry_count")
     )
 
@@ -491,12 +490,3 @@ def rebuild_statistics(rebuilt: DataFrame) -> DataFrame:
     return counts.select(
         "total", *parts, *[F.round(F.try_divide(F.col(n) * 100.0, F.col("total")), 1).alias(f"{n}_pct") for n in parts]
     )
-
-
-def file_defaults_row(keys: DataFrame, at: Column) -> DataFrame:
-    """Rows a file-based ledger starts a DOI with."""
-    return keys.select(
-        "doi", *[F.lit(TRACKER_FILE_DEFAULTS[c]).alias(c) for c in ("scihub_available", *KEPT)],
-        at.cast("string").alias("last_updated"), F.lit("").alias("error_msg"), F.lit("0").alias("retry_count"),
-    )
-

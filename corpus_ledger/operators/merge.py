@@ -185,14 +185,19 @@ def loader_changes(keys: DataFrame, bodies: DataFrame) -> DataFrame:
 
 
 def fetched_changes(papers: DataFrame, fetched: DataFrame) -> DataFrame:
-    """Changes keyed by ``pmid``: only columns that were missing; sections only with text.
+    """One change per ``pmid``: only columns that were missing; sections only with text.
 
-    ``fetched(pmid, abstract, full_text, full_text_sections)``.
+    ``fetched(pmid, abstract, full_text, full_text_sections)``. Papers that share a ``pmid`` are
+    changed alike, in what any of them lacks; of several fetched rows the fullest wins.
     """
-    narrow = papers.filter(F.col("pmid").isNotNull()).filter(missing_text() | missing_abstract()).select(
-        "pmid", missing_abstract().alias("no_abstract"), missing_text().alias("no_text")
+    narrow = (
+        papers.filter(has_text_sql(F.col("pmid")))
+        .filter(missing_text() | missing_abstract())
+        .groupBy("pmid")
+        .agg(F.max(missing_abstract()).alias("no_abstract"), F.max(missing_text()).alias("no_text"))
     )
-    new = fetched.select("pmid", *[null_if_empty(F.col(c)).alias(c) for c in ("abstract", "full_text", "full_text_sections")])
+    parts = [null_if_empty(F.col(c)).alias(c) for c in ("full_text", "abstract", "full_text_sections")]
+    new = fetched.groupBy("pmid").agg(F.max(F.struct(*[p.isNotNull() for p in parts], *parts)).alias("f")).select("pmid", "f.full_text", "f.abstract", "f.full_text_sections")
     takes_text = F.col("no_text") & F.col("full_text").isNotNull()
     rows = narrow.join(new, "pmid").select(
         "pmid",
@@ -241,11 +246,12 @@ def apply_changes(papers: DataFrame, changes: DataFrame, key: str = "doi") -> Da
 
     Papers without a key get one of their own, so they do not meet on one task. A changes
     frame that turns out small is broadcast by Spark, and then the wide table is not
-    shuffled at all.
+    shuffled at all. Changes that repeat a key count as one, so no paper is multiplied.
     """
     columns = [c for c in changes.columns if c in CONTENT + ("oa_url",)]
-    new = changes.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
-    row_key = F.xxhash64("pmid", "title")
+    one = changes.groupBy(key).agg(*[F.max(c).alias(c) for c in columns])
+    new = one.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    row_key = F.xxhash64(*papers.columns)
     joined = papers.withColumn("_key", spread_key(F.col(key), row_key)).join(new, "_key", "left")
     return joined.select(
         *[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in papers.columns]

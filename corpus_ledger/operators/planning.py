@@ -85,11 +85,6 @@ def partition_sizes(plan: DataFrame) -> DataFrame:
     return plan.groupBy("bucket").agg(F.count(F.lit(1)).alias("identifiers"), F.sum("n_listed").alias("listed"))
 
 
-def limited(work: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` keys in sorted order (each task keeps ``n``, nothing is sorted in full)."""
-    return work.orderBy("doi").limit(n)
-
-
 def _rank(source: Column) -> Column:
     """Place of a source in the order, NULL for one that is not in it."""
     return F.nullif(F.array_position(F.array(*[F.lit(s) for s in SOURCE_ORDER]), source), F.lit(0))

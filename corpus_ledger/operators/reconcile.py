@@ -10,6 +10,7 @@ from ..functions.identifiers import doi_of_stem, normalize_doi, stem_of
 from ..functions.text import has_text_sql, is_value, spread_key
 from ..schemas import FAILED, NO, NOT_ATTEMPTED, PARSERS, SUCCESS, YES
 from .gaps import content_flags, key_union, keyed
+from .inventory import with_doi
 
 # Columns of the per-DOI summary kept beside the paper table.
 STATE_LEDGER_COLUMNS = (
@@ -82,8 +83,8 @@ def reset_missing_counts(ledger: DataFrame, extractions: DataFrame) -> DataFrame
     return success_without_file(ledger, extractions).groupBy("parser").agg(F.count(F.lit(1)).alias("resets"))
 
 
-def invalid_updates(bodies: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Updates for extractions without content: failed, with a reason and one more retry each.
+def invalid_updates(bodies: DataFrame, ledger: DataFrame, at: Column) -> DataFrame:
+    """Updates for extractions without content: failed at ``at``, with a reason and one more retry each.
 
     A DOI with two bad files gets both retries; the structured parser's message, applied
     last, stays. Only DOIs that are tracked have a retry count to raise.
@@ -91,24 +92,25 @@ def invalid_updates(bodies: DataFrame, ledger: DataFrame) -> DataFrame:
     bad = (
         VA.with_content_check(bodies)
         .filter("NOT is_valid OR NOT has_content")
-        .select(doi_of_stem(F.col("stem")).alias("doi"), "parser", F.concat_ws(": ", "parser", "reason").alias("message"))
+        .select("stem", "parser", F.concat_ws(": ", "parser", "reason").alias("message"))
     )
-    per_doi = bad.groupBy("doi").agg(
+    per_doi = with_doi(bad, ledger).groupBy("doi").agg(
         F.count(F.lit(1)).cast("int").alias("steps"),
         *[F.max(F.when(F.col("parser") == p, FAILED)).alias(f"{p}_status") for p in PARSERS],
+        *[F.max(F.when(F.col("parser") == p, at.cast("timestamp"))).alias(f"{p}_date") for p in PARSERS],
         F.min_by("message", "parser").alias("error_msg"),
     )
     held = ledger.select("doi", F.coalesce(F.col("retry_count").cast("int"), F.lit(0)).alias("held"))
     retries = F.when(F.col("held").isNotNull(), F.col("held") + F.col("steps")).otherwise(F.col("steps") - 1)
     return per_doi.join(held, "doi", "left").select(
-        "doi", *[f"{p}_status" for p in PARSERS], "error_msg", retries.alias("retry_count")
+        "doi", *[f"{p}_{x}" for p in PARSERS for x in ("status", "date")], "error_msg", retries.alias("retry_count")
     )
 
 
 def structured_scan(extractions: DataFrame, ledger: DataFrame) -> DataFrame:
     """Updates for structured outputs the ledger does not show as parsed."""
     done = ledger.filter(is_value(F.col("grobid_status"), SUCCESS)).select("doi")
-    found = extractions.filter(F.col("parser") == "grobid").select(doi_of_stem(F.col("stem")).alias("doi")).distinct()
+    found = with_doi(extractions.filter(F.col("parser") == "grobid").select("stem").distinct(), ledger).select("doi").distinct()
     return found.join(done, "doi", "left_anti").select(
         "doi", F.lit(YES).alias("downloaded"), F.lit(YES).alias("scihub_available"), F.lit(SUCCESS).alias("grobid_status")
     )
@@ -125,9 +127,9 @@ def seeds_from_files(extractions: DataFrame, pdfs: DataFrame, ledger: DataFrame)
         .unionByName(pdfs.select("stem", F.lit(True).alias("pdf")))
         .groupBy("stem")
         .agg(F.max("pdf").alias("pdf"))
-        .select(doi_of_stem(F.col("stem")).alias("doi"), F.when(F.col("pdf"), YES).alias("downloaded"))
     )
-    return seen.join(ledger.select("doi"), "doi", "left_anti")
+    rows = with_doi(seen, ledger).select("doi", F.when(F.col("pdf"), YES).alias("downloaded"))
+    return rows.join(ledger.select("doi"), "doi", "left_anti")
 
 
 def rebuild(papers: DataFrame, extractions: DataFrame, pdfs: DataFrame, at: Column) -> DataFrame:

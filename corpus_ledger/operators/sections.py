@@ -63,11 +63,6 @@ def _all_blocks(spans: DataFrame) -> DataFrame:
     return once(per_block, {"text": strip(text)}).drop("parts").withColumn("is_short", is_short)
 
 
-def block_rows(spans: DataFrame) -> DataFrame:
-    """One row per block that holds text."""
-    return _all_blocks(spans).filter("text <> ''").select("doc_id", "page", "block", "text")
-
-
 def _pages(blocks: DataFrame) -> DataFrame:
     """Per page: the document's mean font size, and the headings on earlier pages.
 

@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import validity as VA
-from ..functions.identifiers import doi_of_stem
 from ..operators import inventory, ledger, reconcile
 from .gap_queries import HAS_DOI, NO_SECTIONS, NO_TEXT, WS
 from .registry import Source, query
 
 LINE_CHARS = f"coalesce(list_sum(list_transform(string_split(text, chr(10)), lambda x: length(trim(x, {WS})))), 0)"
 VALID = f"""CASE WHEN state = 'broken' THEN false
- WHEN parser = 'grobid' THEN length(trim(substr(text, 1, CASE WHEN state = 'untitled' THEN 4 ELSE 80 END), {WS})) >= 5 OR (state <> 'empty' AND {LINE_CHARS} >= 50)
+ WHEN parser = 'grobid' THEN length(trim(CASE WHEN state = 'untitled' THEN 'none' ELSE split_part(text, chr(10), 1) END, {WS})) >= 5 OR (state <> 'empty' AND {LINE_CHARS} >= 50)
  ELSE state <> 'empty' AND (length(trim(text, {WS})) >= 50 OR {LINE_CHARS} >= 50) END"""
+PDF_VALID = "(n_chars % 5 <> 0 AND n_chars % 7 <> 0 AND n_chars % 6000 + 5 <= 4096 AND 10 + strlen(text) + n_chars % 6000 >= 1024)"
 HAS_CONTENT = "(state NOT IN ('broken', 'empty') AND (parser = 'pymupdf' OR text <> '' AND replace(text, chr(10), '') <> ''))"
 CONTENT = f"""SELECT stem, parser, state <> 'broken' AS is_valid, {HAS_CONTENT} AS has_content,
  CASE WHEN state = 'broken' THEN 'Invalid JSON' WHEN NOT {HAS_CONTENT} THEN 'Empty content' END AS reason FROM extractions"""
@@ -66,27 +66,29 @@ def quarantine(spark, sf_dir):
 
 
 @query(
-    "valid_parser_sets", "extractions",
-    sql=f"SELECT replace(stem, '_', '/') AS doi, string_agg(parser, ',' ORDER BY parser) AS parsers FROM extractions WHERE {VALID} GROUP BY stem",
+    "valid_parser_sets", "extractions", "papers", "tracker",
+    sql=f"SELECT doi, string_agg(parser, ',' ORDER BY parser) AS parsers FROM {fixtures.with_doi('extractions', 'papers', 'tracker')} e WHERE {VALID} GROUP BY doi",
 )
 def valid_parser_sets(spark, sf_dir):
-    keys = inventory.valid_parsers(Source(spark, sf_dir).bodies)
+    s = Source(spark, sf_dir)
+    keys = inventory.valid_parsers(s.bodies, s.papers, s.tracker)
     return inventory.parser_sets(keys).select("doi", F.array_join("parsers", ",").alias("parsers"))
 
 
 @query(
-    "present_parser_sets", "extractions",
-    sql="SELECT replace(stem, '_', '/') AS doi, string_agg(parser, ',' ORDER BY parser) AS parsers FROM extractions GROUP BY stem",
+    "present_parser_sets", "extractions", "papers", "tracker",
+    sql=f"SELECT doi, string_agg(parser, ',' ORDER BY parser) AS parsers FROM {fixtures.with_doi('extractions', 'papers', 'tracker')} e GROUP BY doi",
 )
 def present_parser_sets(spark, sf_dir):
-    keys = Source(spark, sf_dir).presence.select(doi_of_stem(F.col("stem")).alias("doi"), "parser")
+    s = Source(spark, sf_dir)
+    keys = inventory.with_doi(s.presence, s.papers, s.tracker).select("doi", "parser")
     return inventory.parser_sets(keys).select("doi", F.array_join("parsers", ",").alias("parsers"))
 
 
 @query(
     "pdf_validity",
-    sql="""SELECT doc_id, CAST(5 + strlen(text) + CASE WHEN n_chars % 7 = 0 THEN 0 ELSE 5 END + n_chars % 6000 AS BIGINT) AS length,
- (n_chars % 5 <> 0 AND n_chars % 7 <> 0 AND n_chars % 6000 + 5 <= 4096 AND 10 + strlen(text) + n_chars % 6000 >= 1024) AS is_valid FROM documents""",
+    sql=f"""SELECT doc_id, CAST(5 + strlen(text) + CASE WHEN n_chars % 7 = 0 THEN 0 ELSE 5 END + n_chars % 6000 AS BIGINT) AS length,
+ {PDF_VALID} AS is_valid FROM documents""",
 )
 def pdf_validity(spark, sf_dir):
     files = fixtures.pdf_files(spark, sf_dir)
@@ -156,10 +158,10 @@ STATE = "CASE WHEN state = 'broken' THEN 'json_invalid' WHEN state = 'empty' THE
 @query(
     "content_with_artefact", "papers", "extractions",
     sql=f"""
-WITH f AS (SELECT replace(stem, '_', '/') AS doi, max({STATE}) FILTER (WHERE parser = 'grobid') AS g, max({STATE}) FILTER (WHERE parser = 'pymupdf') AS p FROM extractions GROUP BY stem)
-SELECT f.doi, CASE WHEN g <> 'ok' THEN g WHEN p <> 'ok' THEN p WHEN g IS NOT NULL AND p IS NOT NULL THEN 'has_both' WHEN g IS NOT NULL THEN 'has_grobid' ELSE 'has_pymupdf' END AS class,
+WITH f AS (SELECT stem, max({STATE}) FILTER (WHERE parser = 'grobid') AS g, max({STATE}) FILTER (WHERE parser = 'pymupdf') AS p FROM extractions GROUP BY stem)
+SELECT m.doi, CASE WHEN g <> 'ok' THEN g WHEN p <> 'ok' THEN p WHEN g IS NOT NULL AND p IS NOT NULL THEN 'has_both' WHEN g IS NOT NULL THEN 'has_grobid' ELSE 'has_pymupdf' END AS class,
  CASE WHEN g = 'ok' THEN 'grobid' WHEN p = 'ok' THEN 'pymupdf' END AS usable_parser
-FROM f WHERE doi IN (SELECT doi FROM papers WHERE {HAS_DOI} AND {NO_TEXT} AND {NO_SECTIONS})""",
+FROM f JOIN (SELECT DISTINCT doi FROM papers WHERE {HAS_DOI} AND {NO_TEXT} AND {NO_SECTIONS}) m ON replace(m.doi, '/', '_') = f.stem""",
 )
 def content_with_artefact(spark, sf_dir):
     s = Source(spark, sf_dir)
@@ -169,9 +171,9 @@ def content_with_artefact(spark, sf_dir):
 @query(
     "artefact_counts", "papers", "extractions",
     sql=f"""
-WITH f AS (SELECT replace(stem, '_', '/') AS doi, bool_or(parser = 'grobid') AS g, bool_or(parser = 'pymupdf') AS p FROM extractions GROUP BY stem)
+WITH f AS (SELECT stem, bool_or(parser = 'grobid') AS g, bool_or(parser = 'pymupdf') AS p FROM extractions GROUP BY stem)
 SELECT count(*) AS missing, count(*) FILTER (WHERE g) AS have_json, count(*) FILTER (WHERE p AND NOT g) AS have_fast, count(*) FILTER (WHERE g OR p) AS have_either
-FROM (SELECT DISTINCT doi FROM papers WHERE {HAS_DOI} AND {NO_TEXT} AND {NO_SECTIONS}) m LEFT JOIN f ON m.doi = f.doi""",
+FROM (SELECT DISTINCT doi FROM papers WHERE {HAS_DOI} AND {NO_TEXT} AND {NO_SECTIONS}) m LEFT JOIN f ON replace(m.doi, '/', '_') = f.stem""",
 )
 def artefact_counts(spark, sf_dir):
     s = Source(spark, sf_dir)
@@ -200,7 +202,7 @@ def attempt_counts(spark, sf_dir):
     return reconcile.attempt_counts(Source(spark, sf_dir).ledger_events)
 
 
-FILES = "SELECT replace(stem, '_', '/') AS doi, max(CASE WHEN parser = 'pymupdf' THEN 1 ELSE 0 END) AS p, max(CASE WHEN parser = 'grobid' THEN 1 ELSE 0 END) AS g FROM extractions GROUP BY stem"
+FILES = "SELECT stem, max(CASE WHEN parser = 'pymupdf' THEN 1 ELSE 0 END) AS p, max(CASE WHEN parser = 'grobid' THEN 1 ELSE 0 END) AS g FROM extractions GROUP BY stem"
 
 
 @query(
@@ -210,15 +212,15 @@ FILES = "SELECT replace(stem, '_', '/') AS doi, max(CASE WHEN parser = 'pymupdf'
  CAST(coalesce(scihub_attempts, 0) AS INT) AS scihub_attempts, CAST(coalesce(oa_attempts, 0) AS INT) AS oa_attempts,
  CAST(coalesce(p, 0) AS INT) AS files_pymupdf, CAST(coalesce(g, 0) AS INT) AS files_grobid,
  CAST(CASE WHEN (coalesce(p, 0) = 1) <> (coalesce(pymupdf_status, '') = 'success') OR (coalesce(g, 0) = 1) <> (coalesce(grobid_status, '') = 'success') THEN 1 ELSE 0 END AS INT) AS mismatch_files_tracker,
- last_updated FROM tracker t LEFT JOIN ({ATTEMPTS}) a ON t.doi = a.doi LEFT JOIN ({FILES}) f ON t.doi = f.doi""",
+ last_updated FROM tracker t LEFT JOIN ({ATTEMPTS}) a ON t.doi = a.doi LEFT JOIN ({FILES}) f ON replace(t.doi, '/', '_') = f.stem""",
 )
 def processing_state(spark, sf_dir):
     s = Source(spark, sf_dir)
     return reconcile.processing_state(s.tracker, s.ledger_events, s.presence)
 
 
-LOST = f"""SELECT t.doi, 'pymupdf' AS parser FROM tracker t LEFT JOIN ({FILES}) f ON t.doi = f.doi WHERE pymupdf_status = 'success' AND coalesce(p, 0) = 0
-UNION ALL SELECT t.doi, 'grobid' FROM tracker t LEFT JOIN ({FILES}) f ON t.doi = f.doi WHERE grobid_status = 'success' AND coalesce(g, 0) = 0"""
+LOST = f"""SELECT t.doi, 'pymupdf' AS parser FROM tracker t LEFT JOIN ({FILES}) f ON replace(t.doi, '/', '_') = f.stem WHERE pymupdf_status = 'success' AND coalesce(p, 0) = 0
+UNION ALL SELECT t.doi, 'grobid' FROM tracker t LEFT JOIN ({FILES}) f ON replace(t.doi, '/', '_') = f.stem WHERE grobid_status = 'success' AND coalesce(g, 0) = 0"""
 
 
 @query("status_without_artefact", "tracker", "extractions", sql=LOST)
@@ -246,20 +248,21 @@ def reset_missing_counts(spark, sf_dir):
 @query(
     "invalid_updates", "extractions", "tracker",
     sql=f"""
-WITH b AS (SELECT replace(stem, '_', '/') AS doi, parser, parser || ': ' || reason AS message FROM ({CONTENT}) c WHERE NOT is_valid OR NOT has_content),
+WITH b AS (SELECT doi, parser, parser || ': ' || reason AS message FROM {fixtures.with_doi(f'({CONTENT})', 'tracker')} c WHERE NOT is_valid OR NOT has_content),
 g AS (SELECT doi, CAST(count(*) AS INT) AS steps, max(CASE WHEN parser = 'pymupdf' THEN 'failed' END) AS pymupdf_status, max(CASE WHEN parser = 'grobid' THEN 'failed' END) AS grobid_status,
+ max(CASE WHEN parser = 'pymupdf' THEN CAST('2024-06-01 00:00:00' AS TIMESTAMP) END) AS pymupdf_date, max(CASE WHEN parser = 'grobid' THEN CAST('2024-06-01 00:00:00' AS TIMESTAMP) END) AS grobid_date,
  arg_min(message, parser) AS error_msg FROM b GROUP BY doi)
-SELECT g.doi, g.pymupdf_status, g.grobid_status, g.error_msg, CASE WHEN t.doi IS NULL THEN steps - 1 ELSE t.retry_count + steps END AS retry_count FROM g LEFT JOIN tracker t ON g.doi = t.doi""",
+SELECT g.doi, g.pymupdf_status, g.grobid_status, g.pymupdf_date, g.grobid_date, g.error_msg, CASE WHEN t.doi IS NULL THEN steps - 1 ELSE t.retry_count + steps END AS retry_count FROM g LEFT JOIN tracker t ON g.doi = t.doi""",
 )
 def invalid_updates(spark, sf_dir):
     s = Source(spark, sf_dir)
-    return reconcile.invalid_updates(s.bodies, s.tracker)
+    return reconcile.invalid_updates(s.bodies, s.tracker, F.lit("2024-06-01 00:00:00"))
 
 
 @query(
     "structured_scan", "extractions", "tracker",
-    sql="""SELECT replace(stem, '_', '/') AS doi, 'yes' AS downloaded, 'yes' AS scihub_available, 'success' AS grobid_status FROM extractions
-WHERE parser = 'grobid' AND replace(stem, '_', '/') NOT IN (SELECT doi FROM tracker WHERE grobid_status = 'success')""",
+    sql=f"""SELECT doi, 'yes' AS downloaded, 'yes' AS scihub_available, 'success' AS grobid_status FROM {fixtures.with_doi('extractions', 'tracker')} e
+WHERE parser = 'grobid' AND doi NOT IN (SELECT doi FROM tracker WHERE grobid_status = 'success')""",
 )
 def structured_scan(spark, sf_dir):
     s = Source(spark, sf_dir)
@@ -274,8 +277,8 @@ def seeds_from_papers(spark, sf_dir):
 
 @query(
     "seeds_from_files", "extractions", "pdfs", "tracker",
-    sql="""SELECT replace(stem, '_', '/') AS doi, max(d) AS downloaded FROM (SELECT stem, NULL AS d FROM extractions UNION ALL SELECT stem, 'yes' FROM pdfs) f
-WHERE replace(stem, '_', '/') NOT IN (SELECT doi FROM tracker) GROUP BY stem""",
+    sql=f"""SELECT doi, max(d) AS downloaded FROM {fixtures.with_doi("(SELECT stem, NULL AS d FROM extractions UNION ALL SELECT stem, 'yes' FROM pdfs)", 'tracker')} f
+WHERE doi NOT IN (SELECT doi FROM tracker) GROUP BY doi""",
 )
 def seeds_from_files(spark, sf_dir):
     s = Source(spark, sf_dir)
@@ -285,10 +288,10 @@ def seeds_from_files(spark, sf_dir):
 @query(
     "rebuild_tracker", "papers", "extractions", "pdfs",
     sql=f"""
-WITH k AS (SELECT doi FROM papers WHERE {HAS_DOI} UNION SELECT replace(stem, '_', '/') FROM extractions UNION SELECT replace(stem, '_', '/') FROM pdfs),
+WITH k AS (SELECT doi FROM papers WHERE {HAS_DOI} UNION SELECT doi FROM {fixtures.with_doi('extractions', 'papers')} e UNION SELECT doi FROM {fixtures.with_doi('pdfs', 'papers')} p),
 c AS (SELECT doi, bool_or(coalesce(trim(abstract, {WS}) <> '', false) OR coalesce(trim(full_text, {WS}) <> '', false) OR coalesce(trim(full_text_sections, {WS}) <> '', false)) AS c FROM papers WHERE {HAS_DOI} GROUP BY doi),
-s AS (SELECT DISTINCT replace(stem, '_', '/') AS doi FROM pdfs WHERE dir = 'papers'), o AS (SELECT DISTINCT replace(stem, '_', '/') AS doi FROM pdfs WHERE dir = 'pdfs'),
-f AS ({FILES})
+s AS (SELECT DISTINCT doi FROM {fixtures.with_doi('pdfs', 'papers')} p WHERE dir = 'papers'), o AS (SELECT DISTINCT doi FROM {fixtures.with_doi('pdfs', 'papers')} p WHERE dir = 'pdfs'),
+f AS (SELECT * FROM {fixtures.with_doi(f'({FILES})', 'papers')} q)
 SELECT k.doi, CASE WHEN s.doi IS NOT NULL THEN 'yes' END AS scihub_available, CASE WHEN s.doi IS NOT NULL THEN 'yes' END AS scihub_downloaded,
  CASE WHEN o.doi IS NOT NULL THEN 'yes' END AS oa_available, CASE WHEN o.doi IS NOT NULL THEN 'yes' END AS oa_downloaded,
  CASE WHEN s.doi IS NOT NULL OR o.doi IS NOT NULL THEN 'yes' END AS downloaded, CASE WHEN s.doi IS NOT NULL OR o.doi IS NOT NULL THEN CAST('2024-06-01 00:00:00' AS TIMESTAMP) END AS download_date,
@@ -310,7 +313,7 @@ def rebuild_tracker(spark, sf_dir):
  CASE WHEN p = 1 THEN 'success' ELSE coalesce(pymupdf_status, 'not_attempted') END AS pymupdf_status, CASE WHEN g = 1 THEN 'success' ELSE coalesce(grobid_status, 'not_attempted') END AS grobid_status,
  coalesce(CAST(retry_count AS VARCHAR), '0') AS retry_count
 FROM (SELECT doi, bool_or(coalesce(trim(full_text, {WS}) <> '', false) OR coalesce(trim(full_text_sections, {WS}) <> '', false)) AS c, bool_or(coalesce(trim(oa_url, {WS}) <> '', false)) AS u
- FROM papers WHERE {HAS_DOI} GROUP BY doi) x LEFT JOIN tracker t ON x.doi = t.doi LEFT JOIN ({FILES}) f ON x.doi = f.doi""",
+ FROM papers WHERE {HAS_DOI} GROUP BY doi) x LEFT JOIN tracker t ON x.doi = t.doi LEFT JOIN ({FILES}) f ON replace(x.doi, '/', '_') = f.stem""",
 )
 def enrich_papers(spark, sf_dir):
     s = Source(spark, sf_dir)
@@ -329,23 +332,24 @@ def normalized(table: str) -> str:
 RESET = f"""
 WITH l AS (SELECT identifier, count(*) AS n_listed FROM (SELECT identifier FROM id_list UNION ALL SELECT doi FROM tracker) x GROUP BY 1),
 d AS ({normalized('l')}),
-f AS (SELECT replace(stem, '_', '/') AS doi, bool_and({VALID}) FILTER (WHERE parser = 'grobid') AS g, bool_and({VALID}) FILTER (WHERE parser = 'pymupdf') AS p FROM extractions GROUP BY stem),
-q AS (SELECT replace(stem, '_', '/') AS doi, bool_and(length % 3 <> 0) AS ok FROM pdfs GROUP BY stem),
+f AS (SELECT stem, bool_and({VALID}) FILTER (WHERE parser = 'grobid') AS g, bool_and({VALID}) FILTER (WHERE parser = 'pymupdf') AS p FROM extractions GROUP BY stem),
+q AS (SELECT {fixtures.STEM} AS stem, {PDF_VALID} AS ok FROM documents),
 j AS (SELECT d.identifier, d.doi, l.n_listed, d.doi IN (SELECT doi FROM run_log) AS skipped, q.ok AS pdf_ok, f.g, f.p
- FROM d JOIN l ON d.identifier = l.identifier LEFT JOIN q ON d.doi = q.doi LEFT JOIN f ON d.doi = f.doi),
+ FROM d JOIN l ON d.identifier = l.identifier LEFT JOIN q ON replace(d.doi, '/', '_') = q.stem LEFT JOIN f ON replace(d.doi, '/', '_') = f.stem),
 a AS (SELECT *, coalesce(skipped, false) AS was, doi IS NOT NULL AND NOT coalesce(skipped, false) AS act FROM j),
 b AS (SELECT *, act AND coalesce(NOT pdf_ok, false) AS bad FROM a),
 r AS (SELECT identifier, doi, n_listed, was AS skipped_previously_reset, act AS reset_tracker, bad AS invalid_pdf,
  act AND NOT bad AND coalesce(NOT g, false) AS invalid_grobid_json, act AND NOT bad AND coalesce(NOT p, false) AS invalid_pymupdf_json,
  (bad AND g IS NOT NULL) OR (act AND NOT bad AND coalesce(NOT g, false)) AS drop_grobid_json, (bad AND p IS NOT NULL) OR (act AND NOT bad AND coalesce(NOT p, false)) AS drop_pymupdf_json FROM b)
 """
-RESET_VIEWS = ("id_list", "tracker", "extractions", "pdfs", "run_log")
+RESET_VIEWS = ("id_list", "tracker", "extractions", "run_log")
 
 
 def _reset(spark, sf_dir):
     s = Source(spark, sf_dir)
     listed = s.id_list.select("identifier").unionByName(s.tracker.select(F.col("doi").alias("identifier")))
-    pdfs = s.pdfs.select("stem", (F.col("length") % 3 != 0).alias("is_valid"))
+    files = fixtures.pdf_files(spark, sf_dir)
+    pdfs = files.select("stem", VA.is_valid_pdf(F.col("length"), F.col("content")).alias("is_valid"))
     return reconcile.reset_actions(listed, s.run_log, pdfs, s.bodies)
 
 
@@ -384,14 +388,15 @@ def reset_events(spark, sf_dir):
 @query(
     "ledger_after_cleanup", "extractions", "tracker",
     sql=f"""
-WITH b AS (SELECT replace(stem, '_', '/') AS doi, parser FROM ({CONTENT}) c WHERE NOT is_valid OR NOT has_content),
+WITH b AS (SELECT doi, parser FROM {fixtures.with_doi(f'({CONTENT})', 'tracker')} c WHERE NOT is_valid OR NOT has_content),
 g AS (SELECT doi, bool_or(parser = 'grobid') AS g, bool_or(parser = 'pymupdf') AS p FROM b GROUP BY doi)
 SELECT coalesce(t.doi, g.doi) AS doi, CASE WHEN g.doi IS NULL THEN t.pymupdf_status WHEN g.p THEN 'failed' ELSE t.pymupdf_status END AS pymupdf_status,
- CASE WHEN g.doi IS NULL THEN t.grobid_status WHEN g.g THEN 'failed' ELSE t.grobid_status END AS grobid_status FROM tracker t FULL JOIN g ON t.doi = g.doi""",
+ CASE WHEN g.doi IS NULL THEN t.grobid_status WHEN g.g THEN 'failed' ELSE t.grobid_status END AS grobid_status,
+ CASE WHEN g.p THEN CAST('2024-06-01 00:00:00' AS TIMESTAMP) ELSE t.pymupdf_date END AS pymupdf_date, CASE WHEN g.g THEN CAST('2024-06-01 00:00:00' AS TIMESTAMP) ELSE t.grobid_date END AS grobid_date FROM tracker t FULL JOIN g ON t.doi = g.doi""",
 )
 def ledger_after_cleanup(spark, sf_dir):
     s = Source(spark, sf_dir)
-    updates = reconcile.invalid_updates(s.bodies, s.tracker)
     at = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    updates = reconcile.invalid_updates(s.bodies, s.tracker, at)
     after = ledger.patch(s.tracker, updates, at)
-    return after.select("doi", "pymupdf_status", "grobid_status")
+    return after.select("doi", "pymupdf_status", "pymupdf_date", "grobid_status", "grobid_date")

@@ -8,7 +8,6 @@ from .. import fixtures
 from ..functions import payloads as P
 from ..functions.identifiers import metadata_doi
 from ..operators import merge, sections, tei
-from ..session import spread_small
 from ..sources import logs
 from .gap_queries import LABEL_SQL, MIRRORS, WS
 from .registry import Source, query
@@ -76,8 +75,7 @@ def scanned_documents(spark, sf_dir):
     return sections.scanned_documents(Source(spark, sf_dir).spans)
 
 
-HEADERS = ["References", "Bibliography", "REFERENCES", "LITERATURE CITED", "BIBLIOGRAPHY"]
-HEADER_SQL = "CASE doc_id % 6 " + " ".join(f"WHEN {i} THEN '{h}'" for i, h in enumerate(HEADERS)) + " END"
+HEADER_SQL = "CASE doc_id % 6 " + " ".join(f"WHEN {i} THEN '{h}'" for i, h in enumerate(sections.REFERENCE_HEADERS)) + " END"
 
 
 def _reference_text(documents):
@@ -102,13 +100,13 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS IN
  SELECT doc_id, n, trim(CASE WHEN n = 0 THEN '[0] ' || row ELSE row END, {WS}) AS e FROM l WHERE h IS NOT NULL) x WHERE e <> ''""",
 )
 def references_split(spark, sf_dir):
-    texts = _reference_text(spread_small(Source(spark, sf_dir).documents))
+    texts = _reference_text(Source(spark, sf_dir).documents)
     return texts.select("doc_id", F.posexplode(sections.references_of(F.col("full_text"))).alias("pos", "reference"))
 
 
 # Sections of the fixture's JSON: line i is a section titled S<i % 4>; the last line of a title wins.
 PARSED = """
-WITH l AS (SELECT stem, parser, state, n_chars, substr(text, 1, 120) AS lead, unnest(range(0, len(string_split(text, chr(10))))) AS n, unnest(string_split(text, chr(10))) AS row FROM extractions),
+WITH l AS (SELECT stem, parser, state, n_chars, text AS lead, unnest(range(0, len(string_split(text, chr(10))))) AS n, unnest(string_split(text, chr(10))) AS row FROM extractions),
 t AS (SELECT stem, parser, 'S' || (n % 4) AS title, min(n) AS p, arg_max(row, n) AS c FROM l WHERE state NOT IN ('broken', 'empty') GROUP BY stem, parser, title),
 x AS (SELECT stem, parser, count(*) AS n_sections, sum(length(c)) AS chars, max(length(c)) AS longest, string_agg(title || chr(10) || c, chr(10) || chr(10) ORDER BY p) AS full_text,
  string_agg('## ' || title || chr(10) || chr(10) || c, chr(10) || chr(10) ORDER BY p) AS markdown, '{' || string_agg('"' || title || '": ' || to_json(c), ', ' ORDER BY p) || '}' AS js FROM t GROUP BY stem, parser)
@@ -117,7 +115,7 @@ x AS (SELECT stem, parser, count(*) AS n_sections, sum(length(c)) AS chars, max(
 
 @query(
     "sections_last_wins", "extractions",
-    sql=PARSED + """SELECT e.stem, e.parser, CASE WHEN e.parser = 'grobid' AND e.state <> 'broken' AND e.n_chars % 3 <> 0 THEN md5(substr(e.text, 1, 120)) END AS abstract_md5,
+    sql=PARSED + """SELECT e.stem, e.parser, CASE WHEN e.parser = 'grobid' AND e.state <> 'broken' AND e.n_chars % 3 <> 0 THEN md5(e.text) END AS abstract_md5,
  x.n_sections, md5(x.full_text) AS text_md5, md5(x.markdown) AS markdown_md5, md5(x.js) AS json_md5, e.state = 'broken' AS unreadable FROM extractions e LEFT JOIN x ON e.stem = x.stem AND e.parser = x.parser""",
 )
 def sections_last_wins(spark, sf_dir):
@@ -155,11 +153,11 @@ def extraction_fallback(spark, sf_dir):
 
 @query(
     "keywords",
-    sql="SELECT doc_id, CAST(len(string_split(substr(text, 1, 200), ',')) AS INT) AS n, string_split(substr(text, 1, 200), ',')[1] AS first FROM documents WHERE text <> ''",
+    sql="SELECT doc_id, CAST(len(string_split(text, ',')) AS INT) AS n, string_split(text, ',')[1] AS first FROM documents WHERE text <> ''",
 )
 def keywords(spark, sf_dir):
     docs = Source(spark, sf_dir).documents.filter("text <> ''")
-    found = sections.keywords_of(F.substring("text", 1, 200))
+    found = sections.keywords_of(F.col("text"))
     return docs.select("doc_id", F.size(found).alias("n"), F.get(found, F.lit(0)).alias("first"))
 
 
@@ -263,7 +261,7 @@ def europe_pmc_url(spark, sf_dir):
 
 @query(
     "pmid_to_doi", "papers",
-    sql="SELECT pmid, CASE WHEN doi IS NOT NULL THEN doi END AS doi FROM papers",
+    sql="SELECT pmid, CASE WHEN pmid IS NOT NULL THEN doi END AS doi FROM papers",
 )
 def pmid_to_doi(spark, sf_dir):
     ids = F.concat(
@@ -303,7 +301,7 @@ OK_TEI = "n_chars % 19 <> 0"
 
 @query(
     "tei_metadata",
-    sql=f"""SELECT doc_id, NOT ({OK_TEI}) AS malformed, CASE WHEN {OK_TEI} THEN '10.1/' || doc_id END AS doi, CASE WHEN {OK_TEI} THEN trim(substr(text, 1, 40), {WS}) END AS title,
+    sql=f"""SELECT doc_id, NOT ({OK_TEI}) AS malformed, CASE WHEN {OK_TEI} THEN '10.1/' || doc_id END AS doi, CASE WHEN {OK_TEI} THEN trim(split_part(text, chr(10), 1), {WS}) END AS title,
  CASE WHEN {OK_TEI} THEN 'one two' END AS abstract, CASE WHEN {OK_TEI} THEN 'J' END AS journal, CASE WHEN {OK_TEI} THEN CAST(doc_id % 40 AS VARCHAR) END AS volume, CASE WHEN {OK_TEI} THEN '2019' END AS year,
  CASE WHEN {OK_TEI} THEN 'k1' ELSE '' END AS keywords,
  CASE WHEN {OK_TEI} THEN 'A B' || doc_id || '|Lab|b@x.org' || repeat(';R Q' || doc_id || '||', CASE n_chars % 3 WHEN 0 THEN 1 WHEN 1 THEN 1 ELSE 2 END) ELSE '' END AS authors FROM documents""",
@@ -357,8 +355,8 @@ def _word_counter(stem: str, content: bytes) -> str | None:
 
 @query(
     "batch_extraction", "extractions", "papers",
-    sql="""SELECT status, count(*) AS files FROM (SELECT CASE WHEN strlen(text) <> length(text) THEN 'error' WHEN length(text) >= 200 THEN 'success' ELSE 'failed' END AS status
- FROM documents d WHERE replace(concat('10.', CAST(1000 + doc_id % 9000 AS VARCHAR), '_', source, '.', CAST(doc_id AS VARCHAR)), '/', '_') NOT IN (SELECT stem FROM extractions WHERE parser = 'pymupdf')) x GROUP BY status""",
+    sql=f"""SELECT status, count(*) AS files FROM (SELECT CASE WHEN strlen(text) <> length(text) THEN 'error' WHEN length(text) >= 200 THEN 'success' ELSE 'failed' END AS status
+ FROM documents d WHERE {fixtures.STEM} NOT IN (SELECT stem FROM extractions WHERE parser = 'pymupdf')) x GROUP BY status""",
 )
 def batch_extraction(spark, sf_dir):
     s = Source(spark, sf_dir)
@@ -382,7 +380,7 @@ def latest_log_entry(spark, sf_dir):
 
 @query(
     "file_metadata_doi", "pdfs",
-    sql="SELECT stem, replace(stem, '_', '/') AS doi FROM pdfs WHERE dir = 'papers'",
+    sql="SELECT dir, stem, replace(stem, '_', '/') AS doi FROM pdfs",
 )
 def file_metadata_doi(spark, sf_dir):
-    return Source(spark, sf_dir).pdfs.filter("dir = 'papers'").select("stem", metadata_doi(F.col("stem")).alias("doi"))
+    return Source(spark, sf_dir).pdfs.select("dir", "stem", metadata_doi(F.col("stem")).alias("doi"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import fixtures
 from ..functions import identifiers as I
 from ..functions import urls as U
-from ..operators import gaps
+from ..operators import gaps, inventory
 from .registry import Source, query
 
 BLANK = "({0} IS NULL OR {0} = '')"
@@ -175,7 +176,7 @@ SELECT pmid, d AS doi, u AS url FROM (
  SELECT pmid, d, 'https://arxiv.org/pdf/' || pmid || '.pdf' AS u FROM t WHERE k = 0
  UNION ALL SELECT pmid, d, 'https://www.biorxiv.org/content/' || d || 'v1.full.pdf' FROM t WHERE contains(d, '10.1101/')
  UNION ALL SELECT pmid, d, 'https://www.sciencedirect.com/science/article/pii/S' || pmid || '/pdfft' FROM t
- UNION ALL SELECT pmid, d, 'https://www.sciencedirect.com/science/article/pii/S' || pmid || '/pdf' FROM t) x""",
+ UNION ALL SELECT pmid, d, 'https://www.sciencedirect.com/science/article/pii/S' || pmid || '/pdf' FROM t) x WHERE u IS NOT NULL""",
 )
 def candidate_urls(spark, sf_dir):
     k = F.col("pmid").cast("long") % 3
@@ -352,13 +353,13 @@ def list_status(spark, sf_dir):
 
 @query(
     "key_union", "papers", "tracker", "extractions", "pdfs",
-    sql=f"""SELECT doi FROM papers WHERE {HAS_DOI} UNION SELECT doi FROM tracker UNION SELECT replace(stem, '_', '/') FROM extractions
-UNION SELECT replace(stem, '_', '/') FROM pdfs""",
+    sql=f"""SELECT doi FROM papers WHERE {HAS_DOI} UNION SELECT doi FROM tracker UNION SELECT doi FROM {fixtures.with_doi('extractions', 'papers', 'tracker')} e
+UNION SELECT doi FROM {fixtures.with_doi('pdfs', 'papers', 'tracker')} p""",
 )
 def key_union(spark, sf_dir):
     s = Source(spark, sf_dir)
-    files = [f.select(I.doi_of_stem(F.col("stem")).alias("doi")) for f in (s.extractions, s.pdfs)]
-    return gaps.key_union(s.papers, s.tracker, *files)
+    stems = s.extractions.select("stem").unionByName(s.pdfs.select("stem")).distinct()
+    return gaps.key_union(s.papers, s.tracker, inventory.with_doi(stems, s.papers, s.tracker))
 
 
 @query(

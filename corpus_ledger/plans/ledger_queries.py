@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import doi_of_stem
-from ..operators import ledger
+from .. import fixtures
+from ..operators import inventory, ledger
 from ..operators.gaps import select_keys
 from .gap_queries import HAS_DOI, WS
 from .registry import Source, query
@@ -282,7 +282,7 @@ def migrate_file(spark, sf_dir):
 REBUILD = f"""
 WITH {OLD_FILE}, p AS (SELECT doi, coalesce(trim(full_text, {WS}) <> '', false) OR coalesce(trim(full_text_sections, {WS}) <> '', false) AS c,
  coalesce(trim(oa_url, {WS}) <> '', false) AS u FROM papers WHERE {HAS_DOI}),
-a AS (SELECT replace(stem, '_', '/') AS doi, bool_or(parser = 'pymupdf') AS f, bool_or(parser = 'grobid') AS g FROM extractions GROUP BY 1),
+a AS (SELECT doi, bool_or(parser = 'pymupdf') AS f, bool_or(parser = 'grobid') AS g FROM {fixtures.with_doi('extractions', 'papers', 'tracker')} e GROUP BY doi),
 k AS (SELECT doi FROM p UNION SELECT doi FROM old),
 r AS (SELECT k.doi, coalesce(scihub_available, 'unknown') AS scihub_available, coalesce(downloaded, 'unknown') AS scihub_downloaded,
  CASE WHEN u THEN 'yes' ELSE 'no' END AS oa_available, 'unknown' AS oa_downloaded,
@@ -296,7 +296,7 @@ r AS (SELECT k.doi, coalesce(scihub_available, 'unknown') AS scihub_available, c
 
 
 def _rebuilt(s: Source):
-    keys = s.extractions.select(doi_of_stem(F.col("stem")).alias("doi"), "parser")
+    keys = inventory.with_doi(s.extractions.select("stem", "parser"), s.papers, s.tracker)
     return ledger.rebuild_file(_old_file(s), s.papers, keys, F.lit("2024-06-01"))
 
 

@@ -11,7 +11,7 @@ from .extract_queries import PARSED
 from .gap_queries import HAS_DOI, NO_ABSTRACT, NO_SECTIONS, NO_TEXT, WS
 from .registry import Source, query
 
-CHOICE = """ch AS (SELECT replace(stem, '_', '/') AS doi, stem, bool_or(parser = 'grobid') AS hs,
+CHOICE = """ch AS (SELECT stem, bool_or(parser = 'grobid') AS hs,
  CASE WHEN bool_or(parser = 'grobid') AND bool_or(parser = 'pymupdf') THEN CASE WHEN bool_or(parser = 'grobid' AND state NOT IN ('broken', 'empty')) THEN 'grobid' ELSE 'pymupdf' END
   WHEN bool_or(parser = 'grobid') THEN 'grobid' ELSE 'pymupdf' END AS chosen FROM extractions GROUP BY stem)"""
 
@@ -34,10 +34,10 @@ def parser_choice_legacy(spark, sf_dir):
 
 
 IMPORT = PARSED + f""", {CHOICE},
-c AS (SELECT e.stem, e.parser, CASE WHEN e.parser = 'grobid' AND e.state <> 'broken' AND e.n_chars % 3 <> 0 THEN substr(e.text, 1, 120) END AS na, x.full_text AS nt, x.js
+c AS (SELECT e.stem, e.parser, CASE WHEN e.parser = 'grobid' AND e.state <> 'broken' AND e.n_chars % 3 <> 0 THEN e.text END AS na, x.full_text AS nt, x.js
  FROM extractions e LEFT JOIN x ON e.stem = x.stem AND e.parser = x.parser),
 d AS (SELECT p.doi, p.parsing_status AS old, {filled('abstract')} AS ha, {filled('full_text')} AS ht, {filled('full_text_sections')} AS hx, ch.stem, ch.hs, ch.chosen,
- (parsing_status IS NOT NULL AND parsing_status <> '' AND NOT contains(lower(parsing_status), 'grobid')) AND ch.hs AS ov FROM papers p JOIN ch ON p.doi = ch.doi
+ (parsing_status IS NOT NULL AND parsing_status <> '' AND NOT contains(lower(parsing_status), 'grobid')) AND ch.hs AS ov FROM papers p JOIN ch ON replace(p.doi, '/', '_') = ch.stem
  WHERE {HAS_DOI.replace('doi', 'p.doi')} AND ({NO_ABSTRACT} OR {NO_TEXT} OR {NO_SECTIONS} OR (parsing_status IS NOT NULL AND parsing_status <> '' AND NOT contains(lower(parsing_status), 'grobid')))),
 k AS (SELECT *, CASE WHEN ov THEN 'grobid' ELSE chosen END AS pu, ha AND (ht OR hx) AND NOT ov AS skip FROM d),
 changes AS (SELECT k.doi, k.pu AS parser_used, k.ov AS override, k.skip AS skipped, CASE WHEN NOT skip AND NOT ha AND c.na <> '' THEN c.na END AS abstract,
@@ -116,7 +116,7 @@ def update_all(spark, sf_dir):
     sql=IMPORT + f""", lg AS ({LATEST})
 SELECT p.doi, CASE WHEN NOT {filled('p.abstract')} AND c.na <> '' THEN c.na END AS abstract, md5(CASE WHEN NOT {filled('p.full_text_sections')} THEN c.js END) AS sections_md5,
  CASE WHEN lg.doi IS NOT NULL THEN lg.result || ' (parser: ' || q.label || ')' ELSE 'parser: ' || q.label END AS parsing_status
-FROM papers p JOIN (SELECT doi, stem, CASE WHEN hs THEN 'grobid' ELSE 'pymupdf' END AS parser, CASE WHEN hs THEN 'grobid' ELSE 'PyMuPDF' END AS label FROM ch) q ON p.doi = q.doi
+FROM papers p JOIN (SELECT stem, CASE WHEN hs THEN 'grobid' ELSE 'pymupdf' END AS parser, CASE WHEN hs THEN 'grobid' ELSE 'PyMuPDF' END AS label FROM ch) q ON replace(p.doi, '/', '_') = q.stem
 LEFT JOIN c ON q.stem = c.stem AND q.parser = c.parser LEFT JOIN lg ON p.doi = lg.doi WHERE p.doi IN (SELECT doi FROM tracker)""",
 )
 def legacy_import(spark, sf_dir):
@@ -126,7 +126,7 @@ def legacy_import(spark, sf_dir):
 
 
 LOADER = PARSED.replace("GROUP BY stem, parser, title)", f"AND trim(row, {WS}) <> '' GROUP BY stem, parser, title)") + f"""
-, c AS (SELECT e.stem, bool_or(e.parser = 'grobid' AND x.js IS NOT NULL) AS g, max(CASE WHEN e.parser = 'grobid' AND e.state <> 'broken' AND e.n_chars % 3 <> 0 AND trim(substr(e.text, 1, 120), {WS}) <> '' THEN substr(e.text, 1, 120) END) AS a,
+, c AS (SELECT e.stem, bool_or(e.parser = 'grobid' AND x.js IS NOT NULL) AS g, max(CASE WHEN e.parser = 'grobid' AND e.state <> 'broken' AND e.n_chars % 3 <> 0 AND trim(e.text, {WS}) <> '' THEN e.text END) AS a,
  max(CASE WHEN e.parser = 'grobid' THEN x.js END) AS gj, max(CASE WHEN e.parser = 'pymupdf' THEN x.js END) AS pj FROM extractions e LEFT JOIN x ON e.stem = x.stem AND e.parser = x.parser GROUP BY e.stem)
 """
 
@@ -144,32 +144,48 @@ def loader_changes(spark, sf_dir):
     return merge.loader_changes(keys, s.bodies).select("doi", "abstract", F.md5("full_text_sections").alias("sections_md5"), "parsing_status")
 
 
-@query(
-    "fetched_changes", "papers",
-    sql=f"""
-WITH n AS (SELECT CAST(doc_id AS VARCHAR) AS pmid, CASE WHEN n_chars % 4 <> 0 THEN substr(text, 1, 90) ELSE '' END AS a, CASE WHEN n_chars % 5 <> 0 THEN text END AS t, '[]' AS s FROM documents)
-SELECT * FROM (SELECT p.pmid, CASE WHEN {NO_ABSTRACT} THEN nullif(n.a, '') END AS abstract, CASE WHEN {NO_TEXT} THEN nullif(n.t, '') END AS full_text, CASE WHEN {NO_TEXT} AND nullif(n.t, '') IS NOT NULL THEN n.s END AS full_text_sections
- FROM papers p JOIN n ON p.pmid = n.pmid WHERE {NO_TEXT} OR {NO_ABSTRACT}) x WHERE abstract IS NOT NULL OR full_text IS NOT NULL""",
-)
-def fetched_changes(spark, sf_dir):
-    s = Source(spark, sf_dir)
+FETCHED = f"""
+WITH n AS (SELECT CAST(doc_id AS VARCHAR) AS pmid, CASE WHEN n_chars % 4 <> 0 THEN text ELSE '' END AS a, CASE WHEN n_chars % 5 <> 0 THEN text END AS t, '[]' AS s FROM documents),
+g AS (SELECT pmid, bool_or({NO_ABSTRACT}) AS na, bool_or({NO_TEXT}) AS nt FROM papers WHERE pmid <> '' AND ({NO_TEXT} OR {NO_ABSTRACT}) GROUP BY pmid),
+c AS (SELECT * FROM (SELECT g.pmid, CASE WHEN na THEN nullif(n.a, '') END AS abstract, CASE WHEN nt THEN nullif(n.t, '') END AS full_text, CASE WHEN nt AND nullif(n.t, '') IS NOT NULL THEN n.s END AS full_text_sections
+ FROM g JOIN n ON g.pmid = n.pmid) x WHERE abstract IS NOT NULL OR full_text IS NOT NULL)
+"""
+
+
+def _fetched(s: Source):
     fetched = s.documents.select(
-        F.col("doc_id").cast("string").alias("pmid"), F.when(F.col("n_chars") % 4 != 0, F.substring("text", 1, 90)).otherwise("").alias("abstract"),
+        F.col("doc_id").cast("string").alias("pmid"), F.when(F.col("n_chars") % 4 != 0, F.col("text")).otherwise("").alias("abstract"),
         F.when(F.col("n_chars") % 5 != 0, F.col("text")).alias("full_text"), F.lit("[]").alias("full_text_sections"),
     )
     return merge.fetched_changes(s.papers, fetched)
 
 
+@query("fetched_changes", "papers", sql=FETCHED + "SELECT * FROM c")
+def fetched_changes(spark, sf_dir):
+    return _fetched(Source(spark, sf_dir))
+
+
+@query(
+    "fetched_merge", "papers",
+    sql=FETCHED + """SELECT p.pmid, p.doi, coalesce(c.abstract, p.abstract) AS abstract, md5(coalesce(c.full_text, p.full_text)) AS text_md5,
+ md5(coalesce(c.full_text_sections, p.full_text_sections)) AS sections_md5 FROM papers p LEFT JOIN c ON p.pmid = c.pmid""",
+)
+def fetched_merge(spark, sf_dir):
+    s = Source(spark, sf_dir)
+    merged = merge.apply_changes(s.papers, _fetched(s), "pmid")
+    return merged.select("pmid", "doi", "abstract", F.md5("full_text").alias("text_md5"), F.md5("full_text_sections").alias("sections_md5"))
+
+
 @query(
     "oa_url_merge", "papers", "pdfs",
-    sql=f"""SELECT p.pmid, coalesce(u.url, p.oa_url) AS oa_url FROM papers p LEFT JOIN (SELECT DISTINCT replace(stem, '_', '/') AS doi, 'https://files.example.org/' || stem AS url FROM pdfs WHERE dir = 'pdfs') u
-ON p.doi = u.doi""",
+    sql=f"""SELECT p.pmid, coalesce(u.url, p.oa_url) AS oa_url FROM papers p LEFT JOIN (SELECT DISTINCT stem, 'https://files.example.org/' || stem AS url FROM pdfs WHERE dir = 'pdfs') u
+ON replace(p.doi, '/', '_') = u.stem""",
 )
 def oa_url_merge(spark, sf_dir):
-    from ..functions.identifiers import doi_of_stem
+    from ..operators import inventory
 
     s = Source(spark, sf_dir)
-    found = s.pdfs.filter("dir = 'pdfs'").select(doi_of_stem(F.col("stem")).alias("doi"), F.concat(F.lit("https://files.example.org/"), "stem").alias("oa_url"))
+    found = inventory.with_doi(s.pdfs.filter("dir = 'pdfs'").select("stem"), s.papers).select("doi", F.concat(F.lit("https://files.example.org/"), "stem").alias("oa_url"))
     return merge.apply_changes(s.papers, merge.oa_url_changes(s.papers, found)).select("pmid", "oa_url")
 
 

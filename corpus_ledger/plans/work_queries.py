@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import fixtures
 from ..operators import inventory, numbering, planning, reports
 from .artefact_queries import normalized
 from .gap_queries import HAS_DOI, NO_ABSTRACT, NO_SECTIONS
@@ -19,11 +20,11 @@ def plan_sql(parser: str) -> str:
     return f"""
 WITH l AS (SELECT identifier, count(*) AS n_listed FROM (SELECT identifier FROM id_list UNION ALL SELECT doi FROM papers WHERE {HAS_DOI}) x GROUP BY 1),
 d AS ({normalized('l')}),
-f AS (SELECT replace(stem, '_', '/') AS doi, bool_or(k = 'pdf') AS pdf, bool_or(k = '{parser}') AS json FROM
- (SELECT stem, 'pdf' AS k FROM pdfs WHERE length > 0 UNION ALL SELECT stem, parser FROM extractions) u GROUP BY stem),
+f AS (SELECT stem, bool_or(k = 'pdf') AS pdf, bool_or(k = '{parser}') AS json FROM
+ (SELECT stem, 'pdf' AS k FROM pdfs WHERE length > 0 AND dir = 'papers' UNION ALL SELECT stem, parser FROM extractions) u GROUP BY stem),
 j AS (SELECT d.identifier, d.doi, l.n_listed, {parser}_status AS st, downloaded = 'yes' AS dl, retry_count AS rc, coalesce(pdf, false) AS pdf, coalesce(json, false) AS json,
  coalesce({EXHAUSTED}, false) AS ex
- FROM d JOIN l ON d.identifier = l.identifier LEFT JOIN tracker t ON d.identifier = t.doi LEFT JOIN f ON d.doi = f.doi),
+ FROM d JOIN l ON d.identifier = l.identifier LEFT JOIN tracker t ON d.identifier = t.doi LEFT JOIN f ON replace(d.doi, '/', '_') = f.stem),
 plan AS (SELECT identifier, doi, n_listed, CASE WHEN ex AND rc >= 1 THEN 'skipped_failed' WHEN st = 'success' THEN 'complete' WHEN st = 'failed' AND rc >= 2 THEN 'skipped_failed'
  WHEN dl AND pdf THEN 'needs_parse_only' WHEN dl THEN 'needs_download' WHEN doi IS NULL THEN 'needs_download' WHEN NOT pdf THEN 'needs_download' WHEN NOT json THEN 'needs_parse_only' ELSE 'complete' END AS bucket FROM j)
 """
@@ -77,7 +78,7 @@ def waterfall_pick(spark, sf_dir):
 
 
 RESOLVED = WATERFALL + f""", pr AS (SELECT doi, bool_or(status_to = 'scihub') AS ok FROM ledger_events WHERE event_type = 'download' GROUP BY doi),
-man AS (SELECT DISTINCT replace(stem, '_', '/') AS doi FROM pdfs WHERE dir = 'pdfs'),
+man AS (SELECT DISTINCT doi FROM {fixtures.with_doi('pdfs', 'papers')} f WHERE dir = 'pdfs'),
 res AS (SELECT w.doi, CASE WHEN pr.ok THEN 'primary' WHEN fall.found THEN fall.source WHEN man.doi IS NOT NULL THEN 'manual' END AS download_source
  FROM (SELECT DISTINCT doi FROM papers WHERE {HAS_DOI} AND ({NO_ABSTRACT} OR {NO_SECTIONS})) w LEFT JOIN pr ON w.doi = pr.doi LEFT JOIN fall ON w.doi = fall.doi LEFT JOIN man ON w.doi = man.doi),
 resolved AS (SELECT *, CASE WHEN download_source IS NULL THEN 'failed' WHEN download_source = 'manual' THEN 'manual' ELSE 'success' END AS download_status,
@@ -87,12 +88,11 @@ RESOLVE_VIEWS = ("attempts", "ledger_events", "pdfs", "papers")
 
 
 def _resolved(s: Source):
-    from ..functions.identifiers import doi_of_stem
     from ..operators import gaps
 
     work = gaps.keyed(s.papers).filter(gaps.missing_abstract_or_sections()).select("doi")
     primary = s.ledger_events.filter("event_type = 'download'").select("doi", (F.col("status_to") == "scihub").alias("ok"))
-    manual = s.pdfs.filter("dir = 'pdfs'").select(doi_of_stem(F.col("stem")).alias("doi"))
+    manual = inventory.with_doi(s.pdfs.filter("dir = 'pdfs'").select("stem"), s.papers)
     return planning.resolve_downloads(work, primary, planning.waterfall(s.attempts), manual)
 
 

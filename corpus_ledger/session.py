@@ -16,6 +16,9 @@ def local_session(app: str = "corpus_ledger", cores: int | str | None = None) ->
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        # A small input of several row groups or files is read by all cores.
+        .config("spark.sql.files.minPartitionNum", str(cores))
+        .config("spark.sql.files.openCostInBytes", str(64 << 10))
         .config("spark.driver.memory", "8g")
         # Lists of a few spans or sections per group: keep more groups hashed before sorting.
         .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "20000")
@@ -50,13 +53,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor cannot change its partitions."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal an input of fewer splits than cores out by row, ahead of a CPU-heavy step.
-
-    A small file is one split however costly its rows are. A large input has more splits
-    than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..functions.identifiers import FAST_SUFFIX, doi_of_stem
+from ..functions.identifiers import FAST_SUFFIX
 from ..functions.text import is_value
 from ..operators import gaps, ledger
+from ..operators.inventory import with_doi
 from ..sources import sinks
 
 
@@ -80,7 +81,7 @@ def _start(stream: DataFrame, apply, checkpoint: str, interval: str | None) -> S
 
 
 def read_new_extractions(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream of structured outputs as ledger updates.
+    """Stream of structured outputs, by file stem, as ledger updates.
 
     The stream's own file log replaces a scan stamp, so files that land during a scan are
     not missed. A rewritten file is not read again: give revisions a name of their own.
@@ -90,7 +91,7 @@ def read_new_extractions(spark: SparkSession, folder: str) -> DataFrame:
     )
     name = F.regexp_replace(F.substring_index("path", "/", -1), r"\.json$", "")
     return files.filter(~name.endswith(FAST_SUFFIX)).select(
-        doi_of_stem(name).alias("doi"), F.lit(schemas.YES).alias("downloaded"), F.lit(schemas.YES).alias("scihub_available"),
+        name.alias("stem"), F.lit(schemas.YES).alias("downloaded"), F.lit(schemas.YES).alias("scihub_available"),
         F.lit(schemas.SUCCESS).alias("grobid_status"), F.col("modificationTime").alias("seen"),
     )
 
@@ -104,7 +105,8 @@ def start_extraction_watch(spark: SparkSession, folder: str, root: str, checkpoi
         if base is None:
             base = session.createDataFrame([], schemas.TRACKER)
         stamp = F.current_timestamp()
-        sinks.write_snapshot(ledger.upsert(ledger.add_defaults(base), batch.drop("seen"), stamp), root, batch_id)
+        found = with_doi(batch.drop("seen"), base).drop("stem")
+        sinks.write_snapshot(ledger.upsert(ledger.add_defaults(base), found, stamp), root, batch_id)
 
     return _start(read_new_extractions(spark, folder), apply, checkpoint, interval)
 
@@ -141,11 +143,15 @@ def start_work_list(evaluations: DataFrame, papers: DataFrame, out: str, checkpo
 
 
 def start_work_filter(identifiers: DataFrame, root: str, out: str, checkpoint: str, parser: str = "grobid") -> StreamingQuery:
-    """Pass on identifiers a parser has not finished yet, judged against the newest ledger."""
+    """Pass on identifiers a parser has not finished yet.
+
+    Batch ``n`` is judged against the newest ledger version up to ``n``, so a batch that is run
+    again gives the same list.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         wanted = batch.select("doi").distinct()
-        base = sinks.read_snapshot(batch.sparkSession, root)
+        base = sinks.read_snapshot(batch.sparkSession, root, below=batch_id + 1)
         if base is not None:
             done = base.filter(is_value(F.col(f"{parser}_status"), schemas.SUCCESS)).select("doi")
             wanted = wanted.join(done, "doi", "left_anti")

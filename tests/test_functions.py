@@ -75,8 +75,6 @@ def test_names(one):
     assert one(I.doi_of_stem(V), v="10.1_fast_track") == "10.1/fast/track"
     assert one(I.metadata_doi(V), v="report") is None
     assert one(I.safe_file_name(V), v="10.1/é<a>-b") == "10.1_é_a_-b"
-    assert one(I.best_identifier(F.col("a"), F.col("b")), a="", b="T") == "T"
-    assert one(I.best_identifier(F.col("a"), F.col("b")), a=None, b="") is None
     assert one(I.clean_title(V), v="  a \n b\t c ") == "a b c"
 
 

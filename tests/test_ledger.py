@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from corpus_ledger import schemas
-from corpus_ledger.operators import ledger, planning, reconcile, skew
+from corpus_ledger.operators import gaps, inventory, ledger, merge, planning, reconcile
 
 AT = F.lit("2024-06-01 00:00:00").cast("timestamp")
 
@@ -72,7 +72,7 @@ def test_reset_and_retries(spark):
 
 
 def test_one_hot_doi(spark):
-    """A third of all events on one DOI: salted and plain joins count alike."""
+    """A third of all events on one DOI are counted right."""
     n, reset_at = 20_000, 9_999
     hot = spark.range(n).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id"))).alias("doi"),
@@ -80,20 +80,45 @@ def test_one_hot_doi(spark):
         F.lit(None).cast("string").alias("status_to"), F.timestamp_seconds(F.col("id")).alias("created_at"),
     )
     want = sum(1 for i in range(n) if i % 3 == 0 and i > reset_at)
-    for tuning in ({}, {"at_least": 100, "most": 4, "salts": 8}):
-        rows = ledger.fold(hot, **tuning)
-        assert rows.count() == 1 + n - len(range(0, n, 3))
-        assert {r["doi"]: r["retry_count"] for r in rows.filter("doi in ('hot', 'd1')").collect()} == {"hot": want, "d1": 1}
-
-
-def test_hot_keys_are_bounded(spark):
-    df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
-    assert sorted(r["k"] for r in skew.hot_keys(df, "k", most=3, at_least=100).collect()) == [0, 1, 2]
-    assert skew.hot_keys(df, "k", at_least=101).count() == 0
-    right = spark.createDataFrame([(k, k * 2) for k in range(0, 10, 2)], "k long, v long")
-    joined = skew.left_join(df, right, "k", "id", most=3, at_least=100, salts=7)
-    assert joined.count() == 1000
-    assert joined.filter("v = k * 2").count() == 500 and joined.filter("v IS NULL").count() == 500
+    rows = ledger.fold(hot)
+    assert rows.count() == 1 + n - len(range(0, n, 3))
+    assert {r["doi"]: r["retry_count"] for r in rows.filter("doi in ('hot', 'd1')").collect()} == {"hot": want, "d1": 1}
+
+
+def test_known_stems_are_not_turned_back(spark):
+    """A DOI with an underscore keeps its file; only files no DOI claims have theirs read back."""
+    known = tracker(spark, **{"10.1_x": {"grobid_status": "success"}})
+    known = known.withColumn("doi", F.lit("10.1/a_b"))
+    files = spark.createDataFrame([("10.1_a_b", "grobid"), ("10.2_c_d", "grobid"), ("10.2_c_d_fast", "pymupdf")], "stem string, parser string")
+    assert [r["doi"] for r in reconcile.structured_scan(files, known).collect()] == ["10.2/c/d"]
+    seeds = reconcile.seeds_from_files(files.limit(1), files.select("stem").limit(0), known)
+    assert seeds.collect() == []
+    two = known.unionByName(known.withColumn("doi", F.lit("10.1/a/b")))
+    got = inventory.with_doi(files, two).filter("stem = '10.1_a_b'").collect()
+    assert sorted(r["doi"] for r in got) == ["10.1/a/b", "10.1/a_b"]
+
+
+def test_pmid_merge_keeps_rows(spark):
+    """Papers that share a pmid are changed alike and never multiplied; blank pmids are left alone."""
+    papers = spark.createDataFrame(
+        [("1", "10.1/a", "", None, None), ("1", "10.1/b", "has", "", None), ("", None, None, None, None), (None, None, None, None, None)],
+        "pmid string, doi string, abstract string, full_text string, full_text_sections string",
+    ).withColumns({"title": F.lit("t"), "parsing_status": F.lit(None).cast("string"), "oa_url": F.lit("u")})
+    fetched = spark.createDataFrame(
+        [("1", "A", "T", "[]"), ("1", "B", None, None), ("", "x", "y", "[]"), (None, "x", "y", "[]")],
+        "pmid string, abstract string, full_text string, full_text_sections string",
+    )
+    changes = merge.fetched_changes(papers, fetched)
+    assert [tuple(r) for r in changes.collect()] == [("1", "A", "T", "[]")]
+    after = merge.apply_changes(papers, changes, "pmid")
+    assert after.count() == 4
+    assert {(r["doi"], r["full_text"]) for r in after.filter("pmid = '1'").collect()} == {("10.1/a", "T"), ("10.1/b", "T")}
+
+
+def test_lookup_of_papers_without_pmid(spark):
+    papers = spark.createDataFrame([(None, "10.1/a", "u1"), ("5", "10.1/b", "u2"), (None, "10.1/b", "u3")], "pmid string, doi string, oa_url string")
+    got = gaps.oa_lookup(papers.select("doi"), papers).collect()
+    assert {(r["doi"], r["oa_url"]) for r in got} == {("10.1/a", "u1"), ("10.1/b", "u2")}
 
 
 TRACKER_ROW = dict.fromkeys(schemas.TRACKER_COLUMNS)
