@@ -30,7 +30,11 @@ BAND = 4  # sizes of one band differ by less than this factor
 #: Cells of the table that marks common shingles, and how many cells may be marked. It only steers
 #: the order of blocks: any table gives the same links.
 CELLS = 1 << 20
+OFTEN = 1 << 11
 COMMON = 1 << 16
+#: Rounds with other pivots while all open pairs are more than so many times the open rows.
+PIVOT_ROUNDS = 8
+MANY = 4
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,8 +165,9 @@ def _classes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             names=names,
         )
-    # Shingles in one of 250 sets of this task, or in 16: what is rarer is not common anywhere.
-    often = np.flatnonzero(hits >= max(16, len(seen) // 250))
+    # The task's most frequent cells; what is rarer in all tasks is not common anywhere.
+    often = np.argpartition(hits, CELLS - OFTEN)[-OFTEN:]
+    often = often[hits[often] > 1]
     none = pa.nulls(len(often), pa.int64())
     empty = pa.nulls(len(often), pa.list_(pa.int64()))
     yield pa.RecordBatch.from_arrays([pa.nulls(len(often), kind), none, none, none, pa.array(often), pa.array(hits[often], pa.int64()), empty], names=names)
@@ -300,13 +305,40 @@ def verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, classes: Da
     return links
 
 
+def _unsettled(buckets: DataFrame, parts: DataFrame) -> tuple[int, int, DataFrame]:
+    """Rows of buckets whose sets are in several components, with ``part``; how many, and how many pairs they make."""
+    placed = buckets.join(parts, buckets["key"] == parts["node"], "left").select("sign", "key", "n", F.coalesce("root", "key").alias("part"))
+    mixed = placed.groupBy("sign").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("sign")
+    found = written(placed.join(mixed, "sign", "left_semi"), "open")
+    sizes = found.groupBy("sign", "part").agg(F.count(F.lit(1)).alias("c")).groupBy("sign").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    n = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+    return int(n[0] or 0), int(n[1] or 0), found
+
+
+def _pivoted(unsettled: DataFrame, turn: int) -> DataFrame:
+    """Each set with the pivot of each of its buckets, if that is in another component.
+
+    The pivot is drawn by a hash of set, bucket and turn, so a set meets many others of a large
+    group of near copies, and the group grows together without all its pairs being compared.
+    """
+    drawn = F.struct(F.xxhash64("key", "sign", F.lit(turn)).alias("h"), "key", "n", "part")
+    pivots = unsettled.groupBy("sign").agg(F.min(drawn).alias("p"))
+    return (
+        unsettled.join(pivots, "sign")
+        .filter("part <> p.part AND 4 * least(n, p.n) >= 3 * greatest(n, p.n)")
+        .select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for each row of ``docs``.
 
     Texts link if their sets of 5-word shingles have Jaccard similarity 0.75 or more; the
     component id is the smallest id reachable by links. Texts of equal sets are one class, and
     links are sought between classes: in each bucket of sets that share a block, all sets are
-    compared with a pivot, then any two that are still in different components. NULL and empty
+    compared with a pivot, with other pivots while much is open, and then any two that are still
+    in different components. NULL and empty
     texts, and rows without an id, link with nothing and keep their own id. Repeated rows each
     come out. Sets are compared by 64-bit shingle hashes.
     """
@@ -340,21 +372,24 @@ def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     stars = buckets.filter("pivot <> key").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     links = verified(stars, sketches, rows, classes)
     parts = written(components(links), "parts")
+    for turn in range(PIVOT_ROUNDS):
+        rows_open, pairs_open, unsettled = _unsettled(buckets, parts)
+        if pairs_open <= MANY * rows_open:
+            break
+        links = links.unionByName(verified(_pivoted(unsettled, turn), sketches, rows, classes))
+        parts = written(components(links), "parts")
     # What shares a bucket and is not connected yet is compared in full.
-    placed = buckets.join(parts, buckets["key"] == parts["node"], "left").select("sign", "key", "n", F.coalesce("root", "key").alias("part"))
-    mixed = placed.groupBy("sign").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("sign")
-    open_rows = written(placed.join(mixed, "sign", "left_semi"), "open")
-    left, right = open_rows.alias("l"), open_rows.alias("r")
-    apart = (
-        left.join(right, F.col("l.sign") == F.col("r.sign"))
-        .filter("l.key < r.key AND l.part <> r.part AND 4 * least(l.n, r.n) >= 3 * greatest(l.n, r.n)")
-        .select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
-        .distinct()
-        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    )
-    more = verified(apart, sketches, rows, classes)
-    if not more.isEmpty():
-        parts = written(components(links.unionByName(more)), "parts")
+    _, pairs_open, unsettled = _unsettled(buckets, parts)
+    if pairs_open:
+        left, right = unsettled.alias("l"), unsettled.alias("r")
+        apart = (
+            left.join(right, F.col("l.sign") == F.col("r.sign"))
+            .filter("l.key < r.key AND l.part <> r.part AND 4 * least(l.n, r.n) >= 3 * greatest(l.n, r.n)")
+            .select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
+            .distinct()
+        )
+        links = links.unionByName(verified(apart, sketches, rows, classes))
+        parts = written(components(links), "parts")
     release(spark)
     rooted = classes.join(parts, classes["key"] == parts["node"], "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

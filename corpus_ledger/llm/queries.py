@@ -53,8 +53,8 @@ s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 l AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM l JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
-both AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT both.b, r.root FROM r JOIN both ON both.a = r.doc_id)
+pairs AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT pairs.b, r.root FROM r JOIN pairs ON pairs.a = r.doc_id)
 SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.root, w.doc_id) AS component_id
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c ON c.doc_id = w.doc_id
 """
@@ -77,7 +77,7 @@ r AS (SELECT doc_id, i FROM x WHERE win IN (SELECT win FROM x GROUP BY win HAVIN
 c AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(generate_series(i, i + 34)) AS k FROM r) y),
 g AS (SELECT doc_id, list(k) AS gone FROM c GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
- sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(generate_series(1, len(w)), i -> NOT list_contains(gone, i)), i -> w[i]) END, ' ')) AS kept_sha256
+ sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(generate_series(1, len(w)), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
