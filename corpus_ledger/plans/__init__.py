@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     artefact_queries,
     extract_queries,
     gap_queries,
+    io_queries,
     ledger_queries,
     merge_queries,
     stream_queries,

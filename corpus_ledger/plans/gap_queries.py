@@ -8,6 +8,8 @@ from .. import fixtures
 from ..functions import identifiers as I
 from ..functions import urls as U
 from ..operators import gaps, inventory
+from ..session import scratch_folder
+from ..sources import lists
 from .registry import Source, query
 
 BLANK = "({0} IS NULL OR {0} = '')"
@@ -87,13 +89,14 @@ def detect_type(spark, sf_dir):
 @query(
     "identifier_set", "id_list",
     sql=f"""SELECT DISTINCT trim(identifier, {WS}) AS identifier FROM id_list
-WHERE trim(identifier, {WS}) <> '' AND trim(identifier, {WS}) NOT LIKE '#%'""",
+WHERE NOT contains(identifier, chr(10)) AND trim(identifier, {WS}) <> '' AND trim(identifier, {WS}) NOT LIKE '#%'""",
 )
 def identifier_set(spark, sf_dir):
-    from ..functions.text import strip
-
-    rows = Source(spark, sf_dir).id_list.select(strip(F.col("identifier")).alias("identifier"))
-    return rows.filter((F.col("identifier") != "") & ~F.col("identifier").startswith("#")).distinct()
+    # Written as a history list with comments and read back; an identifier may not break its line.
+    path = f"{scratch_folder(spark)}/list"
+    lines = Source(spark, sf_dir).id_list.select(F.col("identifier").alias("value")).unionByName(spark.sql("SELECT '# a comment' AS value"))
+    lines.filter("NOT contains(value, chr(10))").write.text(path)
+    return lists.read_identifier_set(spark, path, f"{path}-missing", comments=True).select(F.col("doi").alias("identifier"))
 
 
 @query(

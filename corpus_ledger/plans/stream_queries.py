@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_folder
 from ..sources import sinks
 from ..streaming import ledger as stream
 from .gap_queries import HAS_DOI, NO_ABSTRACT, NO_SECTIONS, WORTH
@@ -31,14 +29,9 @@ def _stream_view(spark: SparkSession, sf_dir: str, name: str, streamed: str) ->
     return spark.sql(text, **used)
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder all executors see, for the tables and checkpoints of one run."""
-    return f"{ensure_checkpoint_dir(spark)}/run-{uuid4().hex}"
-
-
 @query("stream_ledger_fold", "ledger_events", sql=FOLD_SQL)
 def stream_ledger_fold(spark, sf_dir):
-    root = _scratch(spark)
+    root = scratch_folder(spark)
     events = _stream_view(spark, sf_dir, "ledger_events", "events")
     stream.start_event_fold(events, f"{root}/ledger", f"{root}/checkpoint").awaitTermination()
     return sinks.read_snapshot(spark, f"{root}/ledger").select(FOLD_COLUMNS)
@@ -49,7 +42,7 @@ def stream_ledger_fold(spark, sf_dir):
     sql=f"SELECT DISTINCT doi FROM papers WHERE {HAS_DOI} AND ({NO_ABSTRACT} OR {NO_SECTIONS}) AND doi IN ({WORTH})",
 )
 def stream_new_work(spark, sf_dir):
-    root = _scratch(spark)
+    root = scratch_folder(spark)
     evaluations = _stream_view(spark, sf_dir, "evaluations", "labels")
     papers = Source(spark, sf_dir).papers
     stream.start_work_list(evaluations, papers, f"{root}/work", f"{root}/checkpoint").awaitTermination()
@@ -61,7 +54,7 @@ def stream_new_work(spark, sf_dir):
     sql=f"SELECT DISTINCT doi FROM papers WHERE {HAS_DOI} AND doi NOT IN (SELECT doi FROM tracker WHERE grobid_status = 'success')",
 )
 def stream_work_filter(spark, sf_dir):
-    root = _scratch(spark)
+    root = scratch_folder(spark)
     sinks.write_snapshot(Source(spark, sf_dir).tracker, f"{root}/ledger", 0)
     wanted = _stream_view(spark, sf_dir, "papers", "documents").filter("doi <> ''").select("doi")
     stream.start_work_filter(wanted, f"{root}/ledger", f"{root}/work", f"{root}/checkpoint").awaitTermination()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder all executors see, for the tables and checkpoints of one run."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-{uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor cannot change its partitions."""
     ensure_checkpoint_dir(df.sparkSession)
