@@ -29,6 +29,11 @@ REFERENCE_HEADERS = ["REFERENCES", "References", "BIBLIOGRAPHY", "Bibliography",
 REFERENCE_MARK = r"\n\s*(?:\[\d+\]|\(\d+\)|\d+\.)"
 
 
+def _placed(spans: DataFrame) -> DataFrame:
+    """Spans with a document and a page; the others belong nowhere and count nowhere."""
+    return spans.filter("doc_id IS NOT NULL AND page IS NOT NULL")
+
+
 def _all_blocks(spans: DataFrame) -> DataFrame:
     """One row per block, blank ones included, with what its page adds to the font average.
 
@@ -39,7 +44,7 @@ def _all_blocks(spans: DataFrame) -> DataFrame:
     size = F.coalesce("size", F.lit(0.0))
     # Both uses must see the same filter for Spark to see that the shuffle is the same.
     per_block = (
-        spans.filter("doc_id IS NOT NULL AND page IS NOT NULL")
+        _placed(spans)
         .repartition("doc_id", "page")
         .groupBy("doc_id", "page", "block")
         .agg(
@@ -68,13 +73,16 @@ def _pages(blocks: DataFrame) -> DataFrame:
 
     A page is reduced to a few numbers before the shuffle by document. The headings of a
     page are known once the mean is: bold short blocks, and short blocks clearly larger
-    than the mean, whose sizes the page row lists.
+    than the mean, of which the page row has a count for each size.
     """
     may_head = F.col("is_short") & ~F.col("is_bold")
-    page = blocks.groupBy("doc_id", "page").agg(
+    by_size = blocks.groupBy("doc_id", "page", F.when(may_head, F.col("max_size")).alias("size")).agg(
         F.sum("size_sum").alias("size_sum"), F.sum("n_spans").alias("n_spans"),
-        F.count_if(F.col("is_short") & F.col("is_bold")).alias("bold_heads"),
-        F.collect_list(F.when(may_head, F.col("max_size"))).alias("sizes"),
+        F.count_if(F.col("is_short") & F.col("is_bold")).alias("bold_heads"), F.count(F.lit(1)).alias("n"),
+    )
+    page = by_size.groupBy("doc_id", "page").agg(
+        F.sum("size_sum").alias("size_sum"), F.sum("n_spans").alias("n_spans"), F.sum("bold_heads").alias("bold_heads"),
+        F.collect_list(F.when(F.col("size").isNotNull(), F.struct("size", "n"))).alias("sizes"),
     )
     doc = Window.partitionBy("doc_id")
     earlier = doc.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
@@ -83,7 +91,7 @@ def _pages(blocks: DataFrame) -> DataFrame:
         return F.sum(F.when(F.col("page") < FONT_SAMPLE_PAGES, F.col(column))).over(doc)
 
     mean = F.coalesce(F.try_divide(first_pages("size_sum"), first_pages("n_spans")), F.lit(DEFAULT_FONT_SIZE))
-    large = F.array_size(F.filter("sizes", lambda x: x > F.col("avg_size") * LARGER_BY))
+    large = F.aggregate(F.filter("sizes", lambda x: x["size"] > F.col("avg_size") * LARGER_BY), F.lit(0).cast("long"), lambda a, x: a + x["n"])
     return (
         page.withColumns({"avg_size": mean, "page_count": F.max("page").over(doc) + 1})
         .withColumn("heads", F.col("bold_heads") + large)
@@ -96,7 +104,7 @@ def _pages(blocks: DataFrame) -> DataFrame:
 def average_font(spans: DataFrame) -> DataFrame:
     """Mean span size over the first pages of each document; a default where there is none."""
     early = F.when(F.col("page") < FONT_SAMPLE_PAGES, F.coalesce("size", F.lit(0.0)))
-    return spans.groupBy("doc_id").agg(F.coalesce(F.avg(early), F.lit(DEFAULT_FONT_SIZE)).alias("avg_size"))
+    return _placed(spans).groupBy("doc_id").agg(F.coalesce(F.avg(early), F.lit(DEFAULT_FONT_SIZE)).alias("avg_size"))
 
 
 def _headed_blocks(spans: DataFrame) -> DataFrame:
@@ -159,7 +167,7 @@ def full_texts(spans: DataFrame) -> DataFrame:
 def scanned_documents(spans: DataFrame) -> DataFrame:
     """Documents whose first pages hold no text at all."""
     early = F.col("page") < FONT_SAMPLE_PAGES
-    return spans.groupBy("doc_id").agg(
+    return _placed(spans).groupBy("doc_id").agg(
         (F.count_if(early & has_text(F.col("text"))) == 0).alias("is_scanned")
     )
 
@@ -195,7 +203,7 @@ def structured_documents(spans: DataFrame, mode: str = "structured") -> DataFram
     shaped = F.transform(
         "s", lambda x: F.struct(F.coalesce(x["heading"], F.lit(FIRST_TITLE)).alias("title"), x["content"].alias("content"))
     )
-    counts = spans.groupBy("doc_id").agg((F.max("page") + 1).alias("page_count"))
+    counts = _placed(spans).groupBy("doc_id").agg((F.max("page") + 1).alias("page_count"))
     joined = once(
         counts.join(listed, "doc_id", "left"),
         {

@@ -25,6 +25,10 @@ sec AS (SELECT doc_id, CAST(section AS BIGINT) AS section, coalesce(max(t) FILTE
 """
 
 
+TEXTS = """SELECT s.doc_id, coalesce(md5(f.t), md5('')) AS text_md5, s.page_count FROM (SELECT doc_id, CAST(max(n) // 4 + 1 AS INT) AS page_count FROM s GROUP BY doc_id) s
+LEFT JOIN (SELECT doc_id, string_agg(t, chr(10) || chr(10) ORDER BY n) AS t FROM b GROUP BY doc_id) f ON s.doc_id = f.doc_id"""
+
+
 @query("average_font", sql=BLOCKS + "SELECT doc_id, round(avg_size, 6) AS avg_size FROM a")
 def average_font(spark, sf_dir):
     return sections.average_font(Source(spark, sf_dir).spans).select("doc_id", F.round("avg_size", 6).alias("avg_size"))
@@ -48,8 +52,7 @@ def sections_from_blocks(spark, sf_dir):
 
 @query(
     "full_text_join",
-    sql=BLOCKS + """SELECT s.doc_id, coalesce(md5(f.t), md5('')) AS text_md5, s.page_count FROM (SELECT doc_id, CAST(max(n) // 4 + 1 AS INT) AS page_count FROM s GROUP BY doc_id) s
-LEFT JOIN (SELECT doc_id, string_agg(t, chr(10) || chr(10) ORDER BY n) AS t FROM b GROUP BY doc_id) f ON s.doc_id = f.doc_id""",
+    sql=BLOCKS + TEXTS,
 )
 def full_text_join(spark, sf_dir):
     return sections.full_texts(Source(spark, sf_dir).spans).select("doc_id", F.md5("full_text").alias("text_md5"), "page_count")
@@ -67,6 +70,18 @@ def structured_mode(spark, sf_dir):
     )
 
 
+@query("simple_mode", sql=BLOCKS + f"SELECT doc_id, 'simple' AS mode, text_md5 FROM ({TEXTS}) x")
+def simple_mode(spark, sf_dir):
+    docs = sections.structured_documents(Source(spark, sf_dir).spans, "simple")
+    return docs.select("doc_id", "mode", F.md5("text").alias("text_md5"))
+
+
+@query("full_mode", sql=BLOCKS + f"SELECT doc_id, 'full' AS mode, text_md5, page_count FROM ({TEXTS}) x")
+def full_mode(spark, sf_dir):
+    docs = sections.structured_documents(Source(spark, sf_dir).spans, "full")
+    return docs.select("doc_id", "mode", F.md5("structured_text.full_text").alias("text_md5"), "structured_text.page_count")
+
+
 @query(
     "scanned_documents",
     sql=BLOCKS + "SELECT doc_id, count(*) FILTER (WHERE n < 20 AND t <> '') = 0 AS is_scanned FROM s GROUP BY doc_id",
