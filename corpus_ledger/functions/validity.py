@@ -50,7 +50,13 @@ def _false_if_null(c: Column) -> Column:
 
 
 def parse_bodies(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``_doc`` (VARIANT, NULL when malformed) and ``_is_object``."""
+    """Add ``_doc`` (VARIANT, NULL when malformed) and ``_is_object``.
+
+    A frame that has them is returned as it is, so several checks share one parse; the checks
+    keep the columns they were given.
+    """
+    if "_doc" in df.columns:
+        return df
     lead = F.ltrim(F.col(body), F.lit(" \t\n\r"))
     return once(df, {"_doc": V.parse(F.col(body))}).withColumn(
         "_is_object", _false_if_null(F.col("_doc").isNotNull() & lead.startswith("{"))
@@ -64,7 +70,7 @@ def _is_filled(length: Column, body: Column) -> Column:
 def with_plain_check(df: DataFrame, out: str = "is_plain") -> DataFrame:
     """The weakest check: a non-empty JSON object of at least ten bytes."""
     checked = parse_bodies(df).withColumn(out, _false_if_null(_is_filled(F.col("length"), F.col("body"))))
-    return checked.drop("_doc", "_is_object")
+    return checked.select(*df.columns, out)
 
 
 def _nested_text_chars(node: object) -> int:

@@ -48,7 +48,7 @@ def parser_sets(keys: DataFrame) -> DataFrame:
 
 def split_valid(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable extractions, and the quarantine with its reason. No file moves."""
-    judged = VA.with_content_check(VA.with_validity(bodies, "is_usable").drop("is_valid"))
+    judged = VA.with_content_check(VA.with_validity(VA.parse_bodies(bodies), "is_usable"))
     return (
         judged.filter("is_usable").select(*bodies.columns),
         judged.filter("NOT is_usable").select(

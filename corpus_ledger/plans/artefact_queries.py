@@ -22,7 +22,7 @@ CONTENT = f"""SELECT stem, parser, state <> 'broken' AS is_valid, {HAS_CONTENT}
 
 @query("json_validity", "extractions", sql=f"SELECT stem, parser, {VALID} AS is_valid, state <> 'broken' AS is_plain FROM extractions")
 def json_validity(spark, sf_dir):
-    checked = VA.with_plain_check(VA.with_validity(Source(spark, sf_dir).bodies))
+    checked = VA.with_plain_check(VA.with_validity(VA.parse_bodies(Source(spark, sf_dir).bodies)))
     return checked.select("stem", "parser", "is_valid", "is_plain")
 
 
