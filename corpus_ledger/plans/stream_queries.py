@@ -34,7 +34,7 @@ def stream_ledger_fold(spark, sf_dir):
     root = scratch_folder(spark)
     events = _stream_view(spark, sf_dir, "ledger_events", "events")
     stream.start_event_fold(events, f"{root}/ledger", f"{root}/checkpoint").awaitTermination()
-    return sinks.read_snapshot(spark, f"{root}/ledger").select(FOLD_COLUMNS)
+    return sinks.read_buckets(spark, f"{root}/ledger").select(FOLD_COLUMNS)
 
 
 @query(
@@ -55,7 +55,7 @@ def stream_new_work(spark, sf_dir):
 )
 def stream_work_filter(spark, sf_dir):
     root = scratch_folder(spark)
-    sinks.write_snapshot(Source(spark, sf_dir).tracker, f"{root}/ledger", 0)
+    sinks.write_buckets(Source(spark, sf_dir).tracker, f"{root}/ledger", 0)
     wanted = _stream_view(spark, sf_dir, "papers", "documents").filter("doi <> ''").select("doi")
     stream.start_work_filter(wanted, f"{root}/ledger", f"{root}/work", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/work").select("doi").distinct()

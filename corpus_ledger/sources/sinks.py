@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.numbering import in_batches
@@ -114,6 +114,59 @@ def write_snapshot(df: DataFrame, root: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
 
 
+# -- a ledger in buckets -----------------------------------------------------------------
+#
+# ``version=<n>/bucket=<b>`` holds the rows of bucket b as of version n. A version has only the
+# buckets it changed; the ledger is the newest version of each bucket.
+
+LEDGER_BUCKETS = 32
+KEPT_VERSIONS = 2
+
+
+def bucket_of(key: str = "doi") -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(LEDGER_BUCKETS)).cast("int")
+
+
+def bucket_versions(spark: SparkSession, root: str, below: int | None = None) -> dict[int, list[int]]:
+    """Finished versions of each bucket, newest first."""
+    fs, path = _file_system(spark, root)
+    found: dict[int, list[int]] = {}
+    if not fs.exists(path):
+        return found
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    for entry in fs.listStatus(path):
+        name = entry.getPath().getName()
+        if not name.startswith("version=") or not fs.exists(hadoop_path(entry.getPath(), "_SUCCESS")):
+            continue
+        number = int(name.removeprefix("version="))
+        if below is None or number < below:
+            for inner in fs.listStatus(entry.getPath()):
+                if inner.getPath().getName().startswith("bucket="):
+                    found.setdefault(int(inner.getPath().getName().removeprefix("bucket=")), []).append(number)
+    return {b: sorted(v, reverse=True) for b, v in found.items()}
+
+
+def read_buckets(spark: SparkSession, root: str, below: int | None = None, only: list[int] | None = None) -> DataFrame | None:
+    """The ledger, or some buckets of it, from the newest version of each; nothing if there is none."""
+    newest = {b: v[0] for b, v in bucket_versions(spark, root, below).items() if only is None or b in only}
+    paths = [f"{root}/version={v}/bucket={b}" for b, v in sorted(newest.items())]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def write_buckets(df: DataFrame, root: str, version: int) -> None:
+    """Write the buckets ``df`` has rows of as one version; writing it again replaces it."""
+    placed = df.withColumn("bucket", bucket_of()).repartition("bucket")
+    placed.write.partitionBy("bucket").mode("overwrite").parquet(f"{root}/version={version}")
+
+
+def expire_buckets(spark: SparkSession, root: str, kept: int = KEPT_VERSIONS) -> None:
+    """Delete versions of a bucket that ``kept`` newer ones replace. The newest stay for a batch that runs again."""
+    fs, _ = _file_system(spark, root)
+    for bucket, versions in bucket_versions(spark, root).items():
+        for old in versions[kept:]:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}/bucket={bucket}"), True)
+
+
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "doi") -> None:
     """Table bucketed and sorted by key: joins with tables of equal buckets need no shuffle."""
     df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)

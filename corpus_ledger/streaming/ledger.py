@@ -61,19 +61,33 @@ def fold_batch(base: DataFrame | None, events: DataFrame) -> DataFrame:
 def start_event_fold(events: DataFrame, root: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Keep the ledger under ``root`` up to date with an event stream.
 
-    Every batch writes version ``batch_id`` out of the newest version below it, so a batch
-    that is run again gives the same version: each event counts once.
+    A batch rewrites only the buckets its DOIs fall in, as version ``batch_id`` out of the
+    versions below it, so a batch that is run again gives the same: each event counts once.
+    In those buckets only the DOIs of the batch are folded.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        base = sinks.read_snapshot(batch.sparkSession, root, below=batch_id)
+        session = batch.sparkSession
         held = batch.persist()  # the fold reads its events several times
-        sinks.write_snapshot(fold_batch(base, held), root, batch_id)
+        base = sinks.read_buckets(session, root, batch_id, changed_buckets(held))
+        if base is None:
+            rows = fold_batch(None, held)
+        else:
+            dois = held.select("doi").distinct()
+            rest = base.join(dois, "doi", "left_anti")
+            rows = fold_batch(base.join(dois, "doi", "left_semi"), held)
+            rows = rest.select(rows.columns).unionByName(rows)
+        sinks.write_buckets(rows, root, batch_id)
         held.unpersist()
+        sinks.expire_buckets(session, root)
 
     return _start(events, apply, checkpoint, interval)
 
 
+def changed_buckets(rows: DataFrame) -> list[int]:
+    return [r["b"] for r in rows.select(sinks.bucket_of().alias("b")).distinct().collect()]
+
+
 def _start(stream: DataFrame, apply, checkpoint: str, interval: str | None) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
@@ -101,12 +115,14 @@ def start_extraction_watch(spark: SparkSession, folder: str, root: str, checkpoi
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        base = sinks.read_snapshot(session, root, below=batch_id)
-        if base is None:
-            base = session.createDataFrame([], schemas.TRACKER)
-        stamp = F.current_timestamp()
-        found = with_doi(batch.drop("seen"), base).drop("stem")
-        sinks.write_snapshot(ledger.upsert(ledger.add_defaults(base), found, stamp), root, batch_id)
+        empty = session.createDataFrame([], schemas.TRACKER)
+        known = sinks.read_buckets(session, root, batch_id)
+        found = with_doi(batch.drop("seen"), empty if known is None else known).drop("stem").persist()
+        base = sinks.read_buckets(session, root, batch_id, changed_buckets(found))
+        rows = ledger.upsert(ledger.add_defaults(empty if base is None else base), found, F.current_timestamp())
+        sinks.write_buckets(rows, root, batch_id)
+        found.unpersist()
+        sinks.expire_buckets(session, root)
 
     return _start(read_new_extractions(spark, folder), apply, checkpoint, interval)
 
@@ -151,7 +167,7 @@ def start_work_filter(identifiers: DataFrame, root: str, out: str, checkpoint: s
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         wanted = batch.select("doi").distinct()
-        base = sinks.read_snapshot(batch.sparkSession, root, below=batch_id + 1)
+        base = sinks.read_buckets(batch.sparkSession, root, below=batch_id + 1)
         if base is not None:
             done = base.filter(is_value(F.col(f"{parser}_status"), schemas.SUCCESS)).select("doi")
             wanted = wanted.join(done, "doi", "left_anti")

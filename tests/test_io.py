@@ -158,12 +158,29 @@ def test_event_stream_in_batches(spark, tmp_path):
         events.filter((F.col("id") >= part * 60) & (F.col("id") < part * 60 + 60)).coalesce(1).write.mode("append").parquet(folder)
     source = stream.read_events(spark, folder, files_per_trigger=1)
     stream.start_event_fold(source, f"{tmp_path}/ledger", f"{tmp_path}/checkpoint").awaitTermination()
-    assert sinks.latest_version(spark, f"{tmp_path}/ledger") == 3
-    got = sorted(sinks.read_snapshot(spark, f"{tmp_path}/ledger").collect())
+    assert max(v[0] for v in sinks.bucket_versions(spark, f"{tmp_path}/ledger").values()) == 3
+    got = sorted(sinks.read_buckets(spark, f"{tmp_path}/ledger").collect())
     assert got == sorted(ledger.fold(events).select(got[0].__fields__).collect())
     # Nothing new: a second run leaves the ledger as it is.
     stream.start_event_fold(source, f"{tmp_path}/ledger", f"{tmp_path}/checkpoint").awaitTermination()
-    assert sorted(sinks.read_snapshot(spark, f"{tmp_path}/ledger").collect()) == got
+    assert sorted(sinks.read_buckets(spark, f"{tmp_path}/ledger").collect()) == got
+
+
+def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
+    folder, root = f"{tmp_path}/events", f"{tmp_path}/ledger"
+    source = None
+    for batch, dois in enumerate((["a", "b", "c", "d"], ["a"], ["a"], ["a"])):
+        rows = [(batch * 10 + k, d, "pymupdf", None, "success", None, datetime(2024, 1, 1, batch), None) for k, d in enumerate(dois)]
+        spark.createDataFrame(rows, schemas.EVENTS).coalesce(1).write.mode("append").parquet(folder)
+        source = source or stream.read_events(spark, folder)
+        stream.start_event_fold(source, root, f"{tmp_path}/checkpoint").awaitTermination()
+    bucket = {d: spark.createDataFrame([(d,)], "doi string").select(sinks.bucket_of().alias("b")).first()["b"] for d in "abcd"}
+    versions = sinks.bucket_versions(spark, root)
+    assert versions[bucket["a"]] == [3, 2]  # older ones have expired
+    assert all(versions[bucket[d]] == [0] for d in "bcd" if bucket[d] != bucket["a"])
+    assert sorted(r["doi"] for r in sinks.read_buckets(spark, root).collect()) == ["a", "b", "c", "d"]
+    # A batch that runs again sees what it saw before.
+    assert {r["doi"]: r["pymupdf_date"].hour for r in sinks.read_buckets(spark, root, below=3).collect()}["a"] == 2
 
 
 def test_extraction_watch(spark, tmp_path):
@@ -171,10 +188,10 @@ def test_extraction_watch(spark, tmp_path):
     write(out, **{"10.1_a__json": "{}", "10.1_a_fast__json": "{}"})
     root, checkpoint = f"{tmp_path}/ledger", f"{tmp_path}/checkpoint"
     stream.start_extraction_watch(spark, str(out), root, checkpoint).awaitTermination()
-    assert [(r["doi"], r["grobid_status"], r["downloaded"]) for r in sinks.read_snapshot(spark, root).collect()] == [("10.1/a", "success", "yes")]
+    assert [(r["doi"], r["grobid_status"], r["downloaded"]) for r in sinks.read_buckets(spark, root).collect()] == [("10.1/a", "success", "yes")]
     write(out, **{"10.1_b__json": "{}"})
     stream.start_extraction_watch(spark, str(out), root, checkpoint).awaitTermination()
-    assert {r["doi"] for r in sinks.read_snapshot(spark, root).collect()} == {"10.1/a", "10.1/b"}
+    assert {r["doi"] for r in sinks.read_buckets(spark, root).collect()} == {"10.1/a", "10.1/b"}
 
 
 def test_work_streams(spark, tmp_path):
