@@ -52,6 +52,22 @@ SELECT e.event_id AS id, d.doi_key AS doi,
  e.ts AS created_at
 FROM {{events}} e JOIN (SELECT doc_id, {DOI} AS doi_key FROM {{documents}}) d ON e.user_id = d.doc_id"""
 
+# Events of every kind the ledger knows: availability, attempts and downloads of the open sources,
+# downloads by outcome, plain column updates (one column and value each), and resets.
+VIEWS["source_events"] = f"""
+SELECT e.event_id AS id, d.doi_key AS doi,
+ CASE e.event_id % 13 WHEN 0 THEN 'scihub_available' WHEN 1 THEN 'oa_available' WHEN 2 THEN 'arxiv_attempted' WHEN 3 THEN 'arxiv_download'
+  WHEN 4 THEN 'biorxiv_attempted' WHEN 5 THEN 'biorxiv_download' WHEN 6 THEN 'europepmc_attempted' WHEN 7 THEN 'europepmc_download'
+  WHEN 8 THEN 'unpaywall_attempted' WHEN 9 THEN 'unpaywall_download' WHEN 10 THEN 'download' WHEN 11 THEN 'update'
+  ELSE CASE WHEN e.event_id % 5 = 0 THEN 'reset' ELSE 'retry_increment' END END AS event_type,
+ CASE WHEN e.event_id % 13 < 2 THEN CASE WHEN e.event_id % 2 = 0 THEN 'yes' ELSE 'no' END
+  WHEN e.event_id % 13 IN (3, 5, 7, 9) THEN CASE WHEN e.event_id % 4 = 0 THEN 'success' ELSE 'failed' END
+  WHEN e.event_id % 13 = 10 THEN CASE e.event_id % 4 WHEN 0 THEN 'success' WHEN 1 THEN 'failed' WHEN 2 THEN 'oa' ELSE 'scihub' END END AS status_to,
+ CASE WHEN e.event_id % 13 = 11 THEN CASE e.event_id % 3 WHEN 0 THEN 'downloaded' WHEN 1 THEN 'grobid_status' ELSE 'has_content_in_db' END END AS upd_column,
+ CASE WHEN e.event_id % 13 = 11 THEN concat('v', CAST(e.event_id % 7 AS STRING)) END AS upd_value,
+ e.ts AS created_at
+FROM {{events}} e JOIN (SELECT doc_id, {DOI} AS doi_key FROM {{documents}}) d ON e.user_id = d.doc_id"""
+
 VIEWS["tracker"] = f"""
 SELECT {DOI} AS doi,
  CASE doc_id % 4 WHEN 0 THEN 'no' WHEN 1 THEN 'yes' WHEN 2 THEN 'unknown' ELSE NULL END AS scihub_available,

@@ -41,6 +41,56 @@ def ledger_fold(spark, sf_dir):
     return ledger.fold(Source(spark, sf_dir).ledger_events).select(FOLD_COLUMNS)
 
 
+SOURCES = ("arxiv", "biorxiv", "europepmc", "unpaywall")
+SOURCE_COLUMNS = [
+    "scihub_available", "oa_available", "scihub_downloaded", "oa_downloaded",
+    *[f"{s}_{x}" for s in SOURCES for x in ("attempted", "downloaded")], "downloaded", "download_source", "grobid_status", "has_content_in_db",
+]
+CELLS = """SELECT doi, id, event_type AS c, status_to AS v FROM source_events WHERE event_type IN ('scihub_available', 'oa_available')
+UNION ALL SELECT doi, id, status_to || '_downloaded', 'yes' FROM source_events WHERE event_type = 'download' AND status_to IN ('scihub', 'oa')
+UNION ALL SELECT doi, id, 'downloaded', CASE WHEN status_to = 'failed' THEN 'no' ELSE 'yes' END FROM source_events WHERE event_type = 'download'
+UNION ALL SELECT doi, id, 'download_source', status_to FROM source_events WHERE event_type = 'download' AND status_to NOT IN ('success', 'failed')
+UNION ALL SELECT doi, id, upd_column, upd_value FROM source_events WHERE event_type = 'update'""" + "".join(
+    f"""
+UNION ALL SELECT doi, id, '{s}_attempted', 'yes' FROM source_events WHERE event_type = '{s}_attempted'
+UNION ALL SELECT doi, id, '{s}_downloaded', CASE WHEN status_to = 'success' THEN 'yes' ELSE 'no' END FROM source_events WHERE event_type = '{s}_download'
+UNION ALL SELECT doi, id, 'downloaded', 'yes' FROM source_events WHERE event_type = '{s}_download' AND status_to = 'success'
+UNION ALL SELECT doi, id, 'download_source', '{s}' FROM source_events WHERE event_type = '{s}_download' AND status_to = 'success'"""
+    for s in SOURCES
+)
+
+
+@query(
+    "ledger_fold_sources", "source_events",
+    sql=f"""
+WITH r AS (SELECT doi, max(id) AS rid FROM source_events WHERE event_type = 'reset' GROUP BY doi),
+c AS ({CELLS}),
+f AS (SELECT c.doi, {', '.join(f"arg_max(v, id) FILTER (WHERE c = '{x}') AS {x}" for x in SOURCE_COLUMNS)} FROM c LEFT JOIN r ON c.doi = r.doi WHERE rid IS NULL OR id > rid GROUP BY c.doi),
+k AS (SELECT e.doi, max(created_at) AS last_updated, CAST(count(*) FILTER (WHERE event_type = 'retry_increment' AND (rid IS NULL OR id > rid)) AS INT) AS retry_count
+ FROM source_events e LEFT JOIN r ON e.doi = r.doi GROUP BY e.doi)
+SELECT k.doi, {', '.join(SOURCE_COLUMNS)}, last_updated, retry_count FROM k LEFT JOIN f ON k.doi = f.doi""",
+)
+def ledger_fold_sources(spark, sf_dir):
+    """Every kind of event but parsing: availability, attempts, downloads by source and outcome, plain updates."""
+    events = Source(spark, sf_dir).source_events
+    changes = F.when(F.col("upd_column").isNotNull(), F.create_map("upd_column", "upd_value"))
+    return ledger.fold(events.withColumn("changes", changes)).select("doi", *SOURCE_COLUMNS, "last_updated", "retry_count")
+
+
+@query(
+    "ledger_upsert_order", "tracker", "ledger_events",
+    sql="""
+WITH u AS (SELECT doi, arg_max(status_to, id) AS g FROM ledger_events WHERE event_type = 'grobid' GROUP BY doi)
+SELECT coalesce(t.doi, u.doi) AS doi, t.pymupdf_status, coalesce(u.g, t.grobid_status) AS grobid_status, coalesce(t.retry_count, 0) AS retry_count FROM tracker t FULL JOIN u ON t.doi = u.doi""",
+)
+def ledger_upsert_order(spark, sf_dir):
+    """Several updates of one DOI apply in the order of their number."""
+    s = Source(spark, sf_dir)
+    updates = s.ledger_events.filter("event_type = 'grobid'").select("doi", "id", F.col("status_to").alias("grobid_status"))
+    after = ledger.upsert(s.tracker, updates, F.lit("2024-06-01 00:00:00").cast("timestamp"), seq="id")
+    return after.select("doi", "pymupdf_status", "grobid_status", "retry_count")
+
+
 @query(
     "ledger_upsert", "tracker", "papers",
     sql=f"""
