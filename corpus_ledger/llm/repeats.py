@@ -162,7 +162,7 @@ class Kind:
         return len(body), hashlib.sha256(left).hexdigest()
 
 
-LISTS = "start array<int>, length array<int>, key array<bigint>, content array<bigint>, windows array<bigint>"
+LISTS = "start array<int>, length array<int>, key array<bigint>, content array<bigint>, windows array<array<bigint>>"
 
 
 def candidate_runs(docs: DataFrame, kind: Kind, whole: bool = False) -> DataFrame:
@@ -170,7 +170,7 @@ def candidate_runs(docs: DataFrame, kind: Kind, whole: bool = False) -> DataFram
 
     A document without such runs is finished: it has the digest of its text, and no text unless
     ``whole`` asks for it. ``content`` is a hash of the run's items; for words, ``windows`` lists
-    the hashes of all windows of the runs, one run after the other.
+    the hashes of each run's windows.
     """
     spark = docs.sparkSession
     wanted = spark.sparkContext.broadcast(count_min_filter(docs.select("text"), kind.anchors))
@@ -191,9 +191,9 @@ def candidate_runs(docs: DataFrame, kind: Kind, whole: bool = False) -> DataFram
             if kind.words:
                 begin = np.repeat(start, length) + buffers.places(length)
                 window = buffers.run_hashes(codes, begin, begin + kind.width) if len(begin) else key
-                per_window = np.bincount(text, weights=length, minlength=n).astype(np.int64)
             else:
-                window, per_window = np.zeros(0, buffers.U64), np.zeros(n, np.int64)
+                window = np.zeros(0, buffers.U64)
+            windows = buffers.lists(buffers.signed(window), length if kind.words else np.zeros(len(length), np.int64), pa.int64())
             bodies, digests, sizes = [], [], np.diff(at)
             for k in range(n):
                 body = None if per_text[k] and not whole else data[offsets[k] : offsets[k + 1]].tobytes()
@@ -210,7 +210,7 @@ def candidate_runs(docs: DataFrame, kind: Kind, whole: bool = False) -> DataFram
                     buffers.lists(length, per_text, pa.int32()),
                     buffers.lists(buffers.signed(key), per_text, pa.int64()),
                     buffers.lists(buffers.signed(content), per_text, pa.int64()),
-                    buffers.lists(buffers.signed(window), per_window, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_text)]), pa.int32()), windows),
                 ],
                 names=["row", "doc_id", "n_items", "digest", "body", "start", "length", "key", "content", "windows"],
             )
@@ -227,8 +227,13 @@ def occurrences(found: DataFrame) -> DataFrame:
 
 
 def contents(runs: DataFrame) -> DataFrame:
-    """Distinct contents: ``key``, ``content``, ``length`` and how often each occurs (``n``)."""
-    return runs.groupBy("key", "content").agg(F.max("length").alias("length"), F.count(F.lit(1)).alias("n"))
+    """Distinct contents: ``key``, ``content``, ``length``, how often each occurs (``n``), and one place (``row``, ``start``)."""
+    place = F.min(F.struct("row", "start")).alias("at")
+    return (
+        runs.groupBy("key", "content")
+        .agg(F.max("length").alias("length"), F.count(F.lit(1)).alias("n"), place)
+        .select("key", "content", "length", "n", "at.row", "at.start")
+    )
 
 
 def shared_anchors(distinct: DataFrame) -> DataFrame:

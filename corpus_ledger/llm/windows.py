@@ -30,16 +30,8 @@ def repeated_words(docs: DataFrame, id: str = "doc_id", text: str = "text", widt
     distinct = written(repeats.contents(runs), "contents")
     shared = repeats.shared_anchors(distinct).select("key")
     # Windows of contents that share an anchor, each content once with its count.
-    places = F.transform(
-        F.arrays_zip("key", "content", "length"),
-        lambda r, k: F.struct(
-            r["key"].alias("key"),
-            r["content"].alias("content"),
-            F.slice("windows", F.aggregate(F.slice("length", F.lit(1), k), F.lit(0), lambda a, b: a + b) + 1, r["length"]).alias("hashes"),
-        ),
-    )
-    listed = found.filter(F.size("key") > 0).select(F.inline(places))
-    several = listed.join(shared, "key", "left_semi").groupBy("key", "content").agg(F.first("hashes").alias("hashes"), F.count(F.lit(1)).alias("n"))
+    listed = found.filter(F.size("key") > 0).select("row", F.inline(F.arrays_zip("start", F.col("windows").alias("hashes"))))
+    several = distinct.join(shared, "key", "left_semi").select("key", "content", "n", "row", "start").join(listed, ["row", "start"])
     windows = written(several.select("key", "content", "n", F.posexplode("hashes").alias("place", "window")), "windows")
     often = windows.groupBy("key", "window").agg(F.sum("n").alias("total")).filter("total > 1").select("key", "window")
     partly = (
