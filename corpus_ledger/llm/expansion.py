@@ -170,20 +170,12 @@ def _finer(width: int, inner: int, step: int):
     return run
 
 
-def _spans_of_contents(found: DataFrame, runs: DataFrame, distinct: DataFrame) -> DataFrame:
+def _spans_of_contents(found: DataFrame, distinct: DataFrame) -> DataFrame:
     """``key``, ``content``, ``spans`` for contents that share their anchor with others."""
     shared = repeats.shared_anchors(distinct)
     # One occurrence of each content is cut out of its text.
-    chosen = (
-        runs.join(shared, "key")
-        .groupBy("key", "content")
-        .agg(F.min(F.struct("row", "start", "length")).alias("at"), F.count(F.lit(1)).alias("n"), F.max("contents").alias("contents"))
-    )
-    wanted = chosen.groupBy(F.col("at.row").alias("row")).agg(
-        F.collect_list(
-            F.struct("key", "content", "n", F.col("at.start").alias("start"), (F.col("at.start") + F.col("at.length") + WINDOW_BYTES - 1).alias("end"))
-        ).alias("cuts")
-    )
+    end = (F.col("start") + F.col("length") + WINDOW_BYTES - 1).alias("end")
+    wanted = distinct.join(shared, "key").groupBy("row").agg(F.collect_list(F.struct("key", "content", "n", "start", end)).alias("cuts"))
     pieces = written(
         found.select("row", "body").join(wanted, "row").select("body", "cuts").mapInArrow(_cut_out, "key bigint, content bigint, n bigint, bytes binary"), "pieces"
     )
@@ -217,7 +209,9 @@ def _spans_of_contents(found: DataFrame, runs: DataFrame, distinct: DataFrame) -
 
 
 def _solve(pieces: DataFrame) -> DataFrame:
-    ordered = pieces.select("key", "content", "n", "bytes").repartition("key").sortWithinPartitions("key", "content")
+    # Sorting costs far more than its bytes tell, so the tasks are not put together by size.
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = pieces.select("key", "content", "n", "bytes").repartition(tasks, "key").sortWithinPartitions("key", "content")
     return ordered.mapInArrow(_expanded(WINDOW_BYTES), f"key bigint, content bigint, spans {repeats.SPANS}")
 
 
@@ -236,7 +230,7 @@ def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", whol
     release(docs.sparkSession)
     runs = repeats.occurrences(found)
     distinct = written(repeats.contents(runs), "contents")
-    solved = written(_spans_of_contents(found, runs, distinct), "spans")
+    solved = written(_spans_of_contents(found, distinct), "spans")
     release(docs.sparkSession)
     # The expansion sees counts, so it also tells what is whole; the rest is alone under its anchor.
     alone = repeats.whole_runs(distinct.join(solved.select("key", "content"), ["key", "content"], "left_anti"))
