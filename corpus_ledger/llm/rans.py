@@ -122,8 +122,30 @@ def decode_block(n: int, words: bytes, states: bytes, places: bytes, tables) ->
     return out.reshape(-1)[:n]
 
 
+#: Marks the tokenizer always parts from a letter beside them.
+MARKS = b".,;:!?"
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans the tokenizer treats one by one: words, cut where a-z and ``MARKS`` meet."""
+    starts, ends, at = buffers.word_spans(data, offsets, buffers.separators())
+    if not len(starts):
+        return starts, ends, at
+    letter, mark = (data >= 0x61) & (data <= 0x7A), ~buffers.separators(bytes(set(range(256)) - set(MARKS)))[data]
+    cut = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+    edge = offsets[(offsets > 0) & (offsets < len(data))]
+    cut[edge - 1] = False
+    cuts = np.flatnonzero(cut) + 1
+    starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+#: Words a worker remembers at most; past it, it starts anew.
+MOST_WORDS = 1_000_000
+
+
 class WordIds:
-    """Ids of whole texts by a tokenizer that never joins across white space: each word once per task."""
+    """Ids of whole texts by a tokenizer that lowers case and never joins across white space: each word once per worker."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -131,24 +153,38 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[int, int] = {}
         self.flat: list[np.ndarray] = []
-        self.size = np.zeros(1 << 16, np.int64)
+
+    @classmethod
+    def of_worker(cls, path: str) -> WordIds:
+        """The one this Python worker keeps from task to task. Code of tasks is new each time, so it hangs on a library's module."""
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_words_of_worker", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        own = kept[path]
+        fresh = cls.__new__(cls)
+        fresh.__dict__ = own.__dict__
+        return fresh
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and how many each has."""
-        starts, ends, at = buffers.word_spans(data, offsets, buffers.separators())
+        if b"<|" not in data.tobytes():  # special tokens are told by case
+            data = buffers.lower_ascii()[data]
+        starts, ends, at = units(data, offsets)
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
-        _, first, inverse = np.unique(buffers.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        hashes = buffers.word_hashes(data, starts, ends)[first].tolist()
+        hashes, first, inverse = np.unique(buffers.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        hashes = hashes.tolist()
         new = [k for k, h in enumerate(hashes) if h not in self.known]
         body = data.tobytes()
         words = [body[starts[first[k]] : ends[first[k]]].decode(errors="replace") for k in new]
-        if len(self.known) > 2_000_000:
+        if len(self.known) > MOST_WORDS:
             self.known, self.flat, new = {}, [], list(range(len(hashes)))
             words = [body[starts[f] : ends[f]].decode(errors="replace") for f in first]
-        for k, e in zip(new, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+        for k, e in zip(new, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
             self.known[hashes[k]] = len(self.flat)
-            self.flat.append(np.array(e.ids, np.int64))
+            self.flat.append(np.array(e.ids, np.int32))
         per = [self.flat[self.known[h]] for h in hashes]
         size = np.array([len(p) for p in per], np.int64)
         table, begin = np.concatenate(per), np.cumsum(size) - size
@@ -161,8 +197,8 @@ class WordIds:
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``ids``: little-endian unsigned 32-bit ids of each row's text and the end id.
 
-    ``tokenizer`` is a file of the tokenizers library that splits on white space and adds no
-    special tokens. NULL and empty texts have the end id alone.
+    ``tokenizer`` is a file of the tokenizers library that lowers case, parts letters from
+    punctuation, splits on white space and adds no special tokens. NULL and empty texts have the end id alone.
     """
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
 
@@ -170,7 +206,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id: str = "
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = WordIds(tokenizer)
+        words = WordIds.of_worker(tokenizer)
         for batch, data, offsets in buffers.slices(batches, "text"):
             ids, counts = words(data, offsets)
             n = batch.num_rows

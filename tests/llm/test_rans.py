@@ -23,6 +23,7 @@ TEXTS = [
     "日本語 テスト 👩‍👩‍👧 İstanbul ǅ ß ﬁ",
     "don't DON'T 'S 's'd'll 12a34 ... --- a.b.c",
     "w" + " word" * 30000,
+    "A.b,C;;d:'S!'s?!x .'s é.a.é ,'ll I'm.I'M \u0130.\u0307a, a.\u0301b",
 ]
 
 
