@@ -7,8 +7,8 @@ into blocks; each block is kept as the XOR of 64-bit codes of its set bits, so o
 bits are held. If one set fills more blocks than the two may differ in, the sets share a filled
 block, and it is found among the d + 1 first blocks of both in any order all sets agree on.
 
-The order puts blocks last that hold common shingles only, so a passage that many documents
-share does not bring them together. Sets are sketched per size band, with as many blocks as the
+The order puts blocks last that hold common shingles only, the commonest at the very end, so a
+passage that many documents share does not bring them together. Sets are sketched per size band, with as many blocks as the
 band's sizes need, and once more in the band below if a partner can be there.
 """
 
@@ -27,13 +27,13 @@ from .tables import release, written
 
 SHINGLE_WORDS = 5
 BAND = 4  # sizes of one band differ by less than this factor
-#: Cells of the table that marks common shingles, and how many cells may be marked. It only steers
-#: the order of blocks: any table gives the same links.
-CELLS = 1 << 20
-OFTEN = 1 << 11
-COMMON = 1 << 16
-#: Rounds with other pivots while all open pairs are more than so many times the open rows.
-PIVOT_ROUNDS = 8
+#: Cells of the table that grades how common shingles are, the most cells one task reports, and the
+#: most that are graded. It only steers the order of blocks: any table gives the same links.
+CELLS = 1 << 22
+OFTEN = 1 << 16
+COMMON = 1 << 18
+#: Rounds with other pivots for buckets whose open pairs are more than so many times their rows.
+PIVOT_ROUNDS = 6
 MANY = 4
 
 
@@ -88,8 +88,11 @@ def entries(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate([own, below]), np.concatenate([band[own], band[below] - 1]), np.concatenate([most, less])
 
 
-def signatures(hashes: np.ndarray, counts: np.ndarray, common: np.ndarray, seed: int):
-    """The first ``d + 1`` blocks of every sketch: set, signature; and sets with too few filled blocks."""
+def signatures(hashes: np.ndarray, counts: np.ndarray, grade: np.ndarray, seed: int):
+    """The first ``d + 1`` blocks of every sketch: set, signature; and sets with too few filled blocks.
+
+    ``grade`` (0 to 31) tells for each cell how common its shingles are; a block counts as its rarest shingle.
+    """
     own, band, differ = entries(counts)
     kept = differ > 0  # sets that may not differ at all meet by their class key
     own, band, differ = own[kept], band[kept], differ[kept]
@@ -106,13 +109,13 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, common: np.ndarray, seed:
     place = place[order]
     start = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     code = np.bitwise_xor.reduceat(buffers.mix(h + buffers.U64(0x9FB21C651E98DF25))[order], start)
-    rare = ~np.logical_and.reduceat(common[(h & buffers.U64(CELLS - 1)).astype(np.int64)][order], start)
+    common = np.minimum.reduceat(grade[(h & buffers.U64(CELLS - 1)).astype(np.int64)][order], start)
     entry, block = place[start] >> 32, place[start] & 0xFFFFFFFF
     filled = np.bincount(entry, minlength=len(own))
     poor = own[filled <= differ]
     sign = buffers.mix(code ^ buffers.mix((block << 8 | band[entry]).astype(buffers.U64)))
     bits = int(len(own)).bit_length()
-    rank = entry.astype(buffers.U64) << buffers.U64(64 - bits) | (sign >> buffers.U64(bits + 1)) | np.where(rare, buffers.U64(0), buffers.U64(1 << (63 - bits)))
+    rank = entry.astype(buffers.U64) << buffers.U64(64 - bits) | common.astype(buffers.U64) << buffers.U64(59 - bits) | sign >> buffers.U64(bits + 5)
     order = np.argsort(rank, kind="stable")
     order = order[buffers.places(filled) <= differ[entry[order]]]
     return own[entry[order]], sign[order], poor
@@ -175,8 +178,9 @@ def _classes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _signed_rows(common, seed: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, seen = np.zeros(CELLS, bool), set()
-        marks[common.value] = True
+        grade, seen = np.zeros(CELLS, np.uint8), set()
+        cells, hits = common.value
+        grade[cells] = np.minimum(31, np.ceil(np.log2(hits + 1))).astype(np.uint8)
         for _, data, offsets in buffers.slices(rows, "text"):
             hashes, counts = shingle_sets(data, offsets)
             keys = buffers.signed(class_keys(hashes, counts))
@@ -185,7 +189,7 @@ def _signed_rows(common, seed: int):
                 new[k] = key not in seen
                 seen.add(key)
             hashes, counts, keys = hashes[np.repeat(new, counts)], counts[new], keys[new]
-            own, sign, poor = signatures(hashes, counts, marks, seed)
+            own, sign, poor = signatures(hashes, counts, grade, seed)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(buffers.signed(sign)), pa.array(keys[own]), pa.array(counts[own])], names=["sign", "key", "n"]
             )
@@ -305,24 +309,30 @@ def verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, classes: Da
     return links
 
 
-def _unsettled(buckets: DataFrame, parts: DataFrame) -> tuple[int, int, DataFrame]:
-    """Rows of buckets whose sets are in several components, with ``part``; how many, and how many pairs they make."""
+def _unsettled(buckets: DataFrame, parts: DataFrame) -> tuple[DataFrame, int, int]:
+    """Rows (with ``part``) of buckets whose sets are in several components, how many pairs that leaves open, and how many in heavy buckets."""
     placed = buckets.join(parts, buckets["key"] == parts["node"], "left").select("sign", "key", "n", F.coalesce("root", "key").alias("part"))
-    mixed = placed.groupBy("sign").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("sign")
-    found = written(placed.join(mixed, "sign", "left_semi"), "open")
-    sizes = found.groupBy("sign", "part").agg(F.count(F.lit(1)).alias("c")).groupBy("sign").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    n = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-    return int(n[0] or 0), int(n[1] or 0), found
+    by_part = placed.groupBy("sign", "part").agg(F.count(F.lit(1)).alias("c"))
+    sizes = by_part.groupBy("sign").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    mixed = sizes.select("sign", "rows", ((F.col("rows") * F.col("rows") - F.col("q")) / 2).cast("long").alias("pairs")).filter("pairs > 0")
+    mixed = written(mixed.withColumn("heavy", F.col("pairs") > F.col("rows") * MANY), "mixed")
+    n = mixed.agg(F.sum("pairs"), F.sum(F.when(F.col("heavy"), F.col("pairs")))).first()
+    return written(placed.join(mixed.select("sign", "heavy"), "sign"), "open"), n[0] or 0, n[1] or 0
 
 
 def _pivoted(unsettled: DataFrame, turn: int) -> DataFrame:
     """Each set with the pivot of each of its buckets, if that is in another component.
 
-    The pivot is drawn by a hash of set, bucket and turn, so a set meets many others of a large
-    group of near copies, and the group grows together without all its pairs being compared.
+    First it is the set that is in most buckets: of near copies, that is the text they were made
+    from, which is more alike to each than they are to one another. Later pivots are drawn by a
+    hash of set, bucket and turn, so a set meets many others, and the group grows together
+    without all its pairs being compared.
     """
-    drawn = F.struct(F.xxhash64("key", "sign", F.lit(turn)).alias("h"), "key", "n", "part")
-    pivots = unsettled.groupBy("sign").agg(F.min(drawn).alias("p"))
+    rank = F.xxhash64("key", "sign", F.lit(turn)).alias("rank")
+    if turn == 0:
+        degree = unsettled.groupBy("key").agg((-F.count(F.lit(1))).alias("degree"))
+        unsettled, rank = unsettled.join(degree, "key"), F.col("degree").alias("rank")
+    pivots = unsettled.groupBy("sign").agg(F.min(F.struct(rank, "key", "n", "part")).alias("p"))
     return (
         unsettled.join(pivots, "sign")
         .filter("part <> p.part AND 4 * least(n, p.n) >= 3 * greatest(n, p.n)")
@@ -352,7 +362,8 @@ def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     kind = rows.schema["doc_id"].dataType.simpleString()
     noted = written(rows.mapInArrow(_classes, f"doc_id {kind}, text_hash bigint, n bigint, key bigint, cell bigint, hits bigint, bits array<bigint>"), "classes")
     often = noted.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("hits").alias("hits")).orderBy(F.desc("hits"), "cell").limit(COMMON)
-    common = spark.sparkContext.broadcast(np.array([r["cell"] for r in often.collect()], np.int64))
+    often = often.toArrow()
+    common = spark.sparkContext.broadcast((np.asarray(often.column("cell").combine_chunks()), np.asarray(often.column("hits").combine_chunks())))
     members = noted.filter("cell IS NULL").select("doc_id", "text_hash", "n", "key")
     listed = members.filter("key IS NOT NULL AND doc_id IS NOT NULL")
     classes = listed.groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -372,15 +383,18 @@ def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     stars = buckets.filter("pivot <> key").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     links = verified(stars, sketches, rows, classes)
     parts = written(components(links), "parts")
+    unsettled, open_pairs, heavy = _unsettled(buckets, parts)
     for turn in range(PIVOT_ROUNDS):
-        rows_open, pairs_open, unsettled = _unsettled(buckets, parts)
-        if pairs_open <= MANY * rows_open:
+        if not heavy:
             break
-        links = links.unionByName(verified(_pivoted(unsettled, turn), sketches, rows, classes))
+        links = links.unionByName(verified(_pivoted(unsettled.filter("heavy"), turn), sketches, rows, classes))
         parts = written(components(links), "parts")
+        before = heavy
+        unsettled, open_pairs, heavy = _unsettled(buckets, parts)
+        if turn > 1 and heavy > before * 0.7:
+            break  # what is left there is alike without being linked
     # What shares a bucket and is not connected yet is compared in full.
-    _, pairs_open, unsettled = _unsettled(buckets, parts)
-    if pairs_open:
+    if open_pairs:
         left, right = unsettled.alias("l"), unsettled.alias("r")
         apart = (
             left.join(right, F.col("l.sign") == F.col("r.sign"))
