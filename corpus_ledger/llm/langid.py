@@ -21,6 +21,7 @@ SIZES = (1, 2, 3)
 CELLS = 1 << 12
 #: Bound of the k-means sample of each language: rows whose hash falls below the share that gives so many.
 MOST_PER_LANGUAGE = 600
+MOST_LANGUAGES = 4096
 CENTROIDS = 3
 ROUNDS = 12
 #: Texts per matrix, and the share of a language's sample that lies beyond its rejection distance.
@@ -100,7 +101,8 @@ def fit(docs: DataFrame) -> Model | None:
     """Learn from text and language of the rows that are not held out; None if there are none."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Only languages of more rows than are wanted need thinning; a language past the bound keeps all its few rows.
+    large = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MOST_PER_LANGUAGE).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
     frequency = {r["cell"]: r["n"] for r in rows.select("text").mapInArrow(_document_frequency, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     texts = frequency.pop(-1, 0)
     if not texts:
@@ -110,7 +112,8 @@ def fit(docs: DataFrame) -> Model | None:
     idf = np.log((1 + texts) / (1 + df)).astype(np.float32) + np.float32(0.1)
     # A row's place in the hash range decides, so a language of n rows gives MOST_PER_LANGUAGE on average.
     place = F.xxhash64("doc_id", "text") / F.lit(float(1 << 63))
-    sample = rows.join(sizes, "lang").filter(place < F.least(F.lit(1.0), 2.0 * MOST_PER_LANGUAGE / F.col("n") - 1.0)).select("lang", "text")
+    share = F.coalesce(2.0 * MOST_PER_LANGUAGE / F.col("n") - 1.0, F.lit(2.0))
+    sample = rows.join(F.broadcast(large), "lang", "left").filter(place < share).select("lang", "text")
 
     def vector(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in _pieces(batches):
