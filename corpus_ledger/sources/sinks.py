@@ -160,11 +160,68 @@ def write_buckets(df: DataFrame, root: str, version: int) -> None:
 
 
 def expire_buckets(spark: SparkSession, root: str, kept: int = KEPT_VERSIONS) -> None:
-    """Delete versions of a bucket that ``kept`` newer ones replace. The newest stay for a batch that runs again."""
+    """Delete versions of a bucket that ``kept`` newer ones replace. The newest stay for a batch that runs again.
+
+    What the ledger was at a pinned version stays too. Pins are listed after the versions, see ``pin_newest``.
+    """
     fs, _ = _file_system(spark, root)
-    for bucket, versions in bucket_versions(spark, root).items():
+    found = bucket_versions(spark, root)
+    pins = pinned_versions(spark, root)
+    for bucket, versions in found.items():
+        held = {max((v for v in versions if v <= pin), default=None) for pin in pins}
         for old in versions[kept:]:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}/bucket={bucket}"), True)
+            if old not in held:
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}/bucket={bucket}"), True)
+
+
+# A reader that may have to read the same ledger again pins its version: an empty file
+# ``_pins/<owner>/<version>`` under the ledger. The version it chose for good is noted beside
+# its output as ``_judged/<owner>/<batch>/<version>``. -1 stands for no ledger yet.
+
+
+def _numbers_in(spark: SparkSession, folder: str) -> list[int]:
+    fs, path = _file_system(spark, folder)
+    return [int(entry.getPath().getName()) for entry in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def pinned_versions(spark: SparkSession, root: str) -> set[int]:
+    fs, path = _file_system(spark, f"{root}/_pins")
+    owners = [entry.getPath().getName() for entry in fs.listStatus(path)] if fs.exists(path) else []
+    return {v for owner in owners for v in _numbers_in(spark, f"{root}/_pins/{owner}")}
+
+
+def pin_newest(spark: SparkSession, root: str, owner: str) -> int:
+    """Pin the newest finished version in place of the owner's earlier pins.
+
+    The pin counts once it is in place and its version is still the newest: any later one is
+    then finished, and anything it replaces expired, by a writer that sees the pin.
+    """
+    fs, _ = _file_system(spark, root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    while True:
+        newest = latest_version(spark, root)
+        version = -1 if newest is None else newest
+        fs.createNewFile(path(f"{root}/_pins/{owner}/{version}"))
+        if latest_version(spark, root) == newest:
+            break
+    for old in _numbers_in(spark, f"{root}/_pins/{owner}"):
+        if old != version:
+            fs.delete(path(f"{root}/_pins/{owner}/{old}"), False)
+    return version
+
+
+def version_for(spark: SparkSession, root: str, out: str, owner: str, batch_id: int) -> int:
+    """The ledger version a batch is judged against: the newest on its first run, the same one when it runs again."""
+    noted = f"{out}/_judged/{owner}/{batch_id}"
+    known = _numbers_in(spark, noted)
+    if not known:
+        known = [pin_newest(spark, root, owner)]
+        fs, path = _file_system(spark, f"{noted}/{known[0]}")
+        fs.createNewFile(path)
+    version = known[0]
+    if version >= 0 and latest_version(spark, root, below=version + 1) != version:
+        raise RuntimeError(f"version {version} of {root}, which batch {batch_id} was judged against, is gone or being written")
+    return version
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "doi") -> None:

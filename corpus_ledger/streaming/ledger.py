@@ -158,16 +158,25 @@ def start_work_list(evaluations: DataFrame, papers: DataFrame, out: str, checkpo
     )
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the query of a checkpoint; a new checkpoint is a new query."""
+    return spark.read.text(f"{checkpoint}/metadata", wholetext=True).select(F.get_json_object("value", "$.id")).first()[0]
+
+
 def start_work_filter(identifiers: DataFrame, root: str, out: str, checkpoint: str, parser: str = "grobid") -> StreamingQuery:
     """Pass on identifiers a parser has not finished yet.
 
-    Batch ``n`` is judged against the newest ledger version up to ``n``, so a batch that is run
-    again gives the same list.
+    A batch is judged against the newest ledger version at its first run, whatever its own
+    number. That version is noted beside the output and pinned in the ledger until the next
+    batch, so a batch that is run again gives the same list. The pin of a filter that will not
+    run again (``_pins/<query id>`` under ``root``) may be deleted.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         wanted = batch.select("doi").distinct()
-        base = sinks.read_buckets(batch.sparkSession, root, below=batch_id + 1)
+        version = sinks.version_for(session, root, out, _query_id(session, checkpoint), batch_id)
+        base = sinks.read_buckets(session, root, below=version + 1)
         if base is not None:
             done = base.filter(is_value(F.col(f"{parser}_status"), schemas.SUCCESS)).select("doi")
             wanted = wanted.join(done, "doi", "left_anti")

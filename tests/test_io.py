@@ -204,6 +204,46 @@ def test_work_streams(spark, tmp_path):
     assert sorted(r["doi"] for r in spark.read.parquet(f"{tmp_path}/work").collect()) == ["a", "c"]
 
 
+def test_work_filter_over_a_ledger_with_a_past(spark, tmp_path):
+    """Identifier batches start at 0 whatever the ledger's version, and a batch that runs again sees the same ledger."""
+    root, folder, out, checkpoint = (f"{tmp_path}/{name}" for name in ("ledger", "ids", "work", "checkpoint"))
+
+    def advance(version, *done):
+        rows = spark.createDataFrame([(d, "success") for d in done], "doi string, grobid_status string")
+        base = sinks.read_buckets(spark, root)
+        sinks.write_buckets(rows if base is None else base.join(rows, "doi", "left_anti").unionByName(rows), root, version)
+        sinks.expire_buckets(spark, root)
+
+    def listed(*new):
+        if new:
+            spark.createDataFrame([(d,) for d in new], "doi string").coalesce(1).write.mode("append").parquet(folder)
+        ids = spark.readStream.schema("doi string").parquet(folder)
+        stream.start_work_filter(ids, root, out, checkpoint).awaitTermination()
+        return {v: sorted(r["doi"] for r in spark.read.parquet(f"{out}/version={v}").collect()) for v in range(sinks.latest_version(spark, out) + 1)}
+
+    for version, doi in ((5, "a"), (6, "b"), (7, "c")):
+        advance(version, doi)
+    assert listed("a", "b", "c", "d", "e") == {0: ["d", "e"]}
+    # The ledger moves on and expires versions; batch 0 was not committed and runs again.
+    for version in (8, 9, 10, 11):
+        advance(version, "d")
+    for name in ("0", ".0.crc"):
+        (tmp_path / "checkpoint/commits" / name).unlink()
+    assert listed() == {0: ["d", "e"]}
+    # The next batch sees the newest ledger and gives up the pin of the one before.
+    assert listed("a", "d", "f") == {0: ["d", "e"], 1: ["f"]}
+    assert sinks.pinned_versions(spark, root) == {11}
+    sinks.expire_buckets(spark, root)
+    assert all(len(v) <= sinks.KEPT_VERSIONS for v in sinks.bucket_versions(spark, root).values())
+
+
+def test_work_filter_before_there_is_a_ledger(spark, tmp_path):
+    root, out = f"{tmp_path}/ledger", f"{tmp_path}/work"
+    assert sinks.version_for(spark, root, out, "q", 0) == -1
+    sinks.write_buckets(spark.createDataFrame([("a", "success")], "doi string, grobid_status string"), root, 0)
+    assert sinks.version_for(spark, root, out, "q", 0) == -1 and sinks.version_for(spark, root, out, "q", 1) == 0
+
+
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     for name in ("left_t", "right_t"):
         path = f"{tmp_path}/{name}"
