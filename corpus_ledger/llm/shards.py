@@ -1,7 +1,8 @@
-"""Sharding by minimax contiguous partition: the smallest capacity that ordered atomic groups fit into."""
+"""Sharding by contiguous partition of ordered atomic groups: the largest shard as small as any cut allows, the others near equal."""
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,27 +72,73 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class Groups:
+    """Group ends, written once as sorted ranges, with the sums of each range on the driver.
+
+    ``groups`` has ``size`` and ``last``, a number that gives the order. Sums are made by tasks.
+    """
+
+    def __init__(self, groups: DataFrame):
+        self.sums = written(groups.select("size", "last").repartitionByRange("last").sortWithinPartitions("last").mapInArrow(_running, "part int, upto bigint, rank bigint, size bigint, last bigint"), "groups")
+        totals = self.sums.groupBy("part").agg(F.max("upto").alias("s"), F.max("rank").alias("n"), F.min("last").alias("first"), F.max("size").alias("most")).orderBy("first").collect()
+        self.parts = [r["part"] for r in totals]
+        self.ranks = np.concatenate([[0], np.cumsum([r["n"] for r in totals], dtype=np.int64)])
+        before = np.concatenate([[0], np.cumsum([r["s"] for r in totals], dtype=np.int64)])
+        self.total, self.count, self.most = int(before[-1]), int(self.ranks[-1]), max([r["most"] for r in totals], default=0)
+        self.offsets = groups.sparkSession.createDataFrame(
+            [(p, int(before[k]), int(self.ranks[k])) for k, p in enumerate(self.parts)], "part int, size_before bigint, rank_before bigint"
+        )
+        self.ends = self._ends(self.sums)
+
+    def _ends(self, sums: DataFrame) -> DataFrame:
+        return sums.join(F.broadcast(self.offsets), "part").select(
+            (F.col("upto") + F.col("size_before")).alias("upto"), (F.col("rank") + F.col("rank_before")).alias("rank"), "last", "size"
+        )
+
+    def read(self, low: int, high: int, stride: int) -> list[tuple[int, int, int]]:
+        """``(upto, rank, last)`` of every ``stride``-th rank above ``low`` and up to ``high``, and of ``high``; other ranges are not read."""
+        a, b = np.searchsorted(self.ranks, [low, high - 1], side="right") - 1
+        near = self._ends(self.sums.filter(F.col("part").isin(self.parts[a : b + 1])))
+        rows = near.filter(F.col("rank").between(low + 1, high) & ((F.col("rank") % stride == 0) | (F.col("rank") == high)))
+        return [tuple(r) for r in rows.select("upto", "rank", "last").orderBy("rank").collect()]
+
+    def largest(self, n: int) -> list[tuple[int, int]]:
+        """``(size, upto)`` of the ``n`` largest groups, largest first."""
+        return [tuple(r) for r in self.ends.select("size", "upto").orderBy(F.desc("size"), "upto").limit(n).collect()]
+
+
+class Lookup:
+    """Group ends next to a running size: from a spaced choice of them, and closer reads inside one gap."""
+
+    def __init__(self, groups: Groups, fences: int):
+        self.groups, self.fences = groups, fences
+        stride = max(1, -(-groups.count // fences))
+        self.known = [(0, 0, 0), *groups.read(0, groups.count, stride)]
+
+    def around(self, x: int) -> tuple[tuple[int, int, int], tuple[int, int, int]]:
+        """The largest end up to ``x`` (0 is one), and the smallest above; ``x`` lies below the last end."""
+        rows = self.known
+        while True:
+            k = bisect_right(rows, x, key=lambda r: r[0])
+            a, b = rows[k - 1], rows[k]
+            if b[1] - a[1] == 1:
+                return a, b
+            rows = [a, *self.groups.read(a[1], b[1], max(1, -(-(b[1] - a[1]) // self.fences)))]
+
+
 def minimax_cuts(groups: DataFrame, shards: int, fences: int = FENCES) -> tuple[int, list[tuple[int, int]]]:
-    """Smallest capacity, and for each shard the end of its last group: (running size, ``last``).
+    """Smallest capacity, and for each shard, filled as far as it goes, the end of its last group: (running size, ``last``).
 
-    ``groups`` has ``size`` and ``last``, a number that gives the order. Sums are made by tasks
-    over sorted ranges. The driver holds at most about ``fences`` group ends at a time: from a
-    spaced choice it brackets the capacity and each cut, and reads on only inside the brackets.
+    The driver holds at most about ``fences`` group ends at a time: from a spaced choice it
+    brackets the capacity and each cut, and reads on only inside the brackets.
     """
-    sums = written(groups.select("size", "last").repartitionByRange("last").sortWithinPartitions("last").mapInArrow(_running, "part int, upto bigint, rank bigint, size bigint, last bigint"), "groups")
-    totals = sums.groupBy("part").agg(F.max("upto").alias("s"), F.max("rank").alias("n"), F.min("last").alias("first"), F.max("size").alias("most")).orderBy("first").collect()
-    if not totals:
+    return _minimax(Groups(groups), shards, fences)
+
+
+def _minimax(groups: Groups, shards: int, fences: int) -> tuple[int, list[tuple[int, int]]]:
+    if not groups.count:
         return 0, []
-    before = np.concatenate([[0], np.cumsum([r["s"] for r in totals])])
-    ranks = np.concatenate([[0], np.cumsum([r["n"] for r in totals])])
-    spark = groups.sparkSession
-    offsets = spark.createDataFrame(
-        [(r["part"], int(before[k]), int(ranks[k])) for k, r in enumerate(totals)], "part int, size_before bigint, rank_before bigint"
-    )
-    ends = sums.join(F.broadcast(offsets), "part").select(
-        (F.col("upto") + F.col("size_before")).alias("upto"), (F.col("rank") + F.col("rank_before")).alias("rank"), "last"
-    )
-    total, count, most = int(before[-1]), int(ranks[-1]), max(r["most"] for r in totals)
+    ends, total, count, most = groups.ends, groups.total, groups.count, groups.most
     low, high = max(most, -(-total // shards)), total
     inside, stride, brackets, starts = F.lit(True), max(1, -(-count // fences)), [(0, total)], [0]
     while True:
@@ -112,14 +159,59 @@ def minimax_cuts(groups: DataFrame, shards: int, fences: int = FENCES) -> tuple[
         stride = max(1, min(stride // 2, -(-ends.filter(inside).count() // fences)))
 
 
+def fair_share(size: int, shards: int, largest: list[int]) -> float:
+    """Bytes of a shard if ``size`` is spread over ``shards``: groups above an equal share, largest first, take a shard of their own."""
+    for big in largest:
+        if shards == 1 or big * shards <= size:
+            break
+        size, shards = size - big, shards - 1
+    return size / shards
+
+
+def level_cuts(groups: DataFrame, shards: int, fences: int = FENCES) -> tuple[int, list[tuple[int, int]]]:
+    """Smallest capacity, and cuts under it with shards of near equal size; none is empty if there are as many groups.
+
+    Each cut is the group end nearest to a fair share of what remains. It is moved where the
+    shard would exceed the capacity or have no group, or where the rest would not fit the
+    shards that remain or leave one of them without a group.
+    """
+    table = Groups(groups)
+    capacity, _ = _minimax(table, shards, fences)
+    if not table.count:
+        return 0, []
+    count, total = table.count, table.total
+    tail = {r[1]: r for r in table.read(max(0, count - shards), count, 1)}
+    if count <= shards:
+        return capacity, [tail[min(k, count)][::2] for k in range(1, shards + 1)]
+    near, big = Lookup(table, fences), table.largest(shards)
+    # From the back: the smallest end whose rest fits the last 0, 1, 2, ... shards.
+    least = [tail[count]]
+    while len(least) < shards:
+        x = least[-1][0] - capacity
+        least.append((0, 0, 0) if x <= 0 else near.around(x - 1)[1])
+    at, cuts = (0, 0, 0), []
+    for left in range(shards - 1, 0, -1):
+        share = fair_share(total - at[0], left + 1, [s for s, upto in big if upto > at[0]])
+        want = at[0] + min(share, capacity)
+        # The last end is above any wish, as at least one group per shard is left.
+        below, above = near.around(min(int(want), total - 1))
+        full = above[0] > at[0] + capacity
+        at_best = below if below[0] > at[0] and (full or want - below[0] <= above[0] - want) else above
+        at = max(at_best, least[left])
+        at = min(at, tail[count - left])
+        cuts.append((at[0], at[2]))
+    return capacity, [*cuts, (total, tail[count][2])]
+
+
 def shard(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int = SHARDS, fences: int = FENCES) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, ``shard``, ``slot`` for each row; equal texts stay together.
 
     A row's size is its UTF-8 bytes plus 8 (NULL text has none). Groups of equal texts, told by
     two 64-bit hashes, are ordered by these hashes and are never split; shards are runs of
-    groups, and the largest shard is as small as any such cut allows. Within a shard, slots
-    follow the order of groups, then ids (NULL first). Repeated rows take a slot each. With fewer
-    groups than shards, the last shards stay empty; an empty table gives no rows.
+    groups, the largest shard is as small as any such cut allows, and the others are of near
+    equal size (``level_cuts``). Within a shard, slots follow the order of groups, then ids (NULL
+    first). Repeated rows take a slot each. Only with fewer groups than shards do the last shards
+    stay empty; an empty table gives no rows.
     """
     body = F.col(text)
     rows = docs.select(
@@ -131,7 +223,7 @@ def shard(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int =
     )
     numbered = with_row_number(rows, "_g1", "_g2", "doc_id", name="_rn", total="_total")
     groups = numbered.groupBy("_g1", "_g2").agg(F.sum("size").alias("size"), F.max("_rn").alias("last"))
-    _, cuts = minimax_cuts(groups, shards, fences)
+    _, cuts = level_cuts(groups, shards, fences)
     last = [0, *[n for _, n in cuts]]
     number = F.lit(0)
     for n in last[1:-1]:

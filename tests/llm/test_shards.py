@@ -43,6 +43,48 @@ def test_cuts_are_smallest(spark, seed, fences):
     assert [last for _, last in cuts] == want + [len(sizes)] * (n - len(want))
 
 
+def loads_of(spark, sizes, n, fences):
+    rows = [(s, k + 1) for k, s in enumerate(sizes)]
+    random.Random(0).shuffle(rows)
+    capacity, cuts = shards.level_cuts(spark.createDataFrame(rows, "size bigint, last bigint").repartition(3), n, fences)
+    ends = [0, *[last for _, last in cuts]]
+    loads = [sum(sizes[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+    assert len(cuts) == n and ends[-1] == len(sizes) and ends == sorted(ends)
+    assert [upto for upto, _ in cuts] == [sum(sizes[:e]) for e in ends[1:]]
+    assert capacity == best(sizes, n) and max(loads) == capacity
+    return loads
+
+
+@pytest.mark.parametrize("fences", [20_000, 11])
+def test_a_large_group_leaves_no_shard_empty(spark, fences):
+    sizes = [random.Random(5).randrange(1, 60) for _ in range(400)]
+    sizes[150] = sum(sizes) // 2  # a third of all bytes
+    loads = loads_of(spark, sizes, 12, fences)
+    rest = sorted(loads)[:-1]
+    assert min(loads) > 0 and rest[-1] <= 1.3 * sum(rest) / 11 and rest[1] >= 0.7 * sum(rest) / 11
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_level_cuts_keep_the_minimax(spark, seed):
+    rnd = random.Random(seed)
+    sizes = [rnd.choice([1, 3, 40, 700 if seed % 2 else 50]) for _ in range(rnd.randrange(7, 60))]
+    assert min(loads_of(spark, sizes, 7, 5 if seed < 2 else 20_000)) > 0
+
+
+def test_fewer_groups_than_shards(spark):
+    assert loads_of(spark, [5, 900, 5], 5, 20_000) == [5, 900, 5, 0, 0]
+
+
+def test_large_group_of_documents(spark):
+    """Copies of one text take a shard; the other texts fill all others."""
+    rows = [(k, "x" * 200 + str(k)) for k in range(400)] + [(1000 + k, "copy " * 40) for k in range(200)]
+    loads = defaultdict(int)
+    for r in shards.sharded(frame(spark, rows, "size")).collect():
+        loads[r["shard"]] += r["size"]
+    rest = sorted(loads.values())[:-1]
+    assert sorted(loads) == list(range(shards.SHARDS)) and rest[-1] <= 1.3 * sum(rest) / len(rest)
+
+
 def test_documents(spark):
     rnd = random.Random(3)
     rows = [(k, "z" * rnd.randrange(1, 300) + str(k % 150)) for k in range(200)]
