@@ -7,16 +7,18 @@ two are. Everything here is built-in column functions; no Python runs on executo
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stages import once
+from .tables import written
 
 SHINGLE_WORDS = 5
 ONE_IN = 4
-#: Text of one bucket of neighbouring ids, about, and the most cells ids are counted in.
+#: Text of one bucket of neighbouring ids, about; a single longer text has one of its own.
 BUCKET_CHARS = 16_000_000
-MOST_CELLS = 1 << 18
 SPACE = "[ \\t-\\r]+"
 
 
@@ -80,6 +82,42 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", one_in
     return docs.select(F.col(id).alias("doc_id"), sketch(F.col(text), one_in).alias("sketch"))
 
 
+def bucket_starts(rows: DataFrame) -> list[tuple[bool, int, int]]:
+    """The least ``(_has, _id, _key)`` of each bucket, in order: runs of texts in that order, cut by running size.
+
+    Only ids, hashes and lengths are sorted, by ranges that are written once; the driver gets one
+    row per range and one per bucket. However uneven the ids, a bucket holds ``BUCKET_CHARS`` and
+    at most one text more; only rows that repeat id and text stay together.
+    """
+    place = F.struct("_has", "_id", "_key")
+    narrow = written(rows.groupBy("_has", "_id", "_key").agg(F.sum((F.length("_text") + 100).cast("long")).alias("_n")), "lengths")
+    ranged = written(narrow.repartitionByRange("_has", "_id", "_key").withColumn("_part", F.spark_partition_id()), "ranges")
+    totals = sorted(ranged.groupBy("_part").agg(F.min(place).alias("first"), F.sum("_n").alias("n")).collect(), key=lambda r: tuple(r["first"]))
+    if not totals:
+        return []
+    before = [0, *accumulate(r["n"] for r in totals)]
+    offsets = rows.sparkSession.createDataFrame([(r["_part"], before[k]) for k, r in enumerate(totals)], "_part int, _before long")
+    earlier = Window.partitionBy("_part").orderBy("_has", "_id", "_key").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    numbered = ranged.join(F.broadcast(offsets), "_part").select(place.alias("place"), F.floor(at / F.lit(BUCKET_CHARS)).alias("_bucket"))
+    return sorted(tuple(r["start"]) for r in numbered.groupBy("_bucket").agg(F.min("place").alias("start")).collect())
+
+
+def bucket_of(place: Column, starts: list[tuple[bool, int, int]]) -> Column:
+    """Number of the last start up to ``place``, by binary search in a constant array."""
+    if not starts:
+        return F.lit(0)
+    # Each array is folded into one literal.
+    columns = [F.split(F.lit(",".join(str(x).lower() for x in c)), ",").cast(f"array<{t}>") for c, t in zip(zip(*starts, strict=True), ("boolean", "bigint", "bigint"), strict=True)]
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(starts).bit_length()))])
+
+    def further(at: Column, step: Column) -> Column:
+        start = F.struct(*[F.get(c, at + step) for c in columns])
+        return F.when((at + step < len(starts)) & (start <= place), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), further)
+
+
 def edited_pairs(docs: DataFrame, id: str = "doc_id", text: str = "text", one_in: int = ONE_IN) -> DataFrame:
     """Each text, its next in descending id order, and an edit that mixes the two.
 
@@ -88,9 +126,9 @@ def edited_pairs(docs: DataFrame, id: str = "doc_id", text: str = "text", one_in
     (NULL last), then by a hash of the text, so ties are in a fixed order. Rows that repeat id
     and text share one place in the order and each come out. NULL text counts as empty.
 
-    Texts move once: to the bucket of their id, a range of ids with about ``BUCKET_CHARS`` of
-    text, where the next text is the neighbour in the sort order. Only one text per bucket has
-    its neighbour elsewhere and is fetched for it.
+    Texts move once: to their bucket, a run of about ``BUCKET_CHARS`` of text in that order,
+    where the next text is the neighbour in the sort order. Only one text per bucket has its
+    neighbour elsewhere and is fetched for it.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
@@ -101,18 +139,7 @@ def edited_pairs(docs: DataFrame, id: str = "doc_id", text: str = "text", one_in
         F.xxhash64(body).alias("_key"),
     )
     place = F.struct("_has", "_id", "_key")
-    span = docs.agg(F.min(F.col(id).cast("long")).alias("low"), F.max(F.col(id).cast("long")).alias("high"), F.sum(F.length(text)).alias("chars")).first()
-    low, high = span["low"] or 0, span["high"] or 0
-    wanted = max(1, -(-(span["chars"] or 0) // BUCKET_CHARS))
-    # Ids in cells of equal width, cells in buckets of about equal text; NULL ids by hash, below all others.
-    width = -(-(high - low + 1) // min(MOST_CELLS, 8 * wanted))
-    cell = F.when(F.col("_has"), F.floor((F.col("_id") - low) / F.lit(width))).otherwise(F.floor(F.col("_key") / F.lit(1 << 54)) - 1024)
-    rows = rows.withColumn("_cell", cell.cast("long"))
-    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = rows.groupBy("_cell").agg(F.sum(F.length("_text") + 100).alias("_n")).select(
-        "_cell", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(BUCKET_CHARS)).alias("_bucket")
-    )
-    rows = rows.join(F.broadcast(cells), "_cell").drop("_cell")
+    rows = rows.withColumn("_bucket", bucket_of(place, bucket_starts(rows)))
 
     # The last text of each bucket precedes the first of the bucket above; the very last precedes the very first.
     ends = rows.groupBy("_bucket").agg(F.max(place).alias("_last"))

@@ -32,6 +32,31 @@ def test_equal_texts_repeated_rows_and_null_ids(spark):
     assert two["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("ids", [[*range(300), 10**15], [7 * 10**12 + i for i in range(300)] + [-(10**18), None], [5] * 301])
+def test_uneven_ids_are_spread_by_text_size(spark, monkeypatch, ids):
+    """No task gets much more than a bucket of text, and the order stays right across buckets."""
+    monkeypatch.setattr(fp, "BUCKET_CHARS", 3000)
+    rows = [(i, f"{k} " * 40) for k, i in enumerate(ids)]
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        got = fp.edited_pairs(frame(spark, rows)).select("doc_id", "text", "edited", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set(coalesce, old)
+    load = {}
+    for r in got:
+        load[r["task"]] = load.get(r["task"], 0) + len(r["text"]) + 100
+    assert len(load) > 1 and max(load.values()) <= 0.5 * sum(load.values())
+    assert sorted(r["text"] for r in got) == sorted(t for _, t in rows)
+    if len(set(ids)) == len(ids):
+        order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+        edited = {r["doc_id"]: r["edited"] for r in got}
+        for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+            k = len(t) // 3
+            assert edited[i] == t[: len(t) - k] + after[:k]
+
+
 def test_empty_table(spark):
     assert fp.document_fingerprints(frame(spark, [])).collect() == []
 
