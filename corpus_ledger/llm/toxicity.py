@@ -86,7 +86,8 @@ class Classifier:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Learn from the labelled rows of ``docs``; without rows of both classes every score is next to 0, or to 1 if all labels are toxic."""
-    by_id = usable(labels)
+    # The bound is spent on ids that are there: labels may cover other documents too.
+    by_id = usable(labels).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     sample = F.broadcast(training_ids(by_id))  # at most two times MOST_PER_CLASS narrow rows
     rows = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic")
     cells = rows.mapInArrow(_presence, "cell bigint, clean bigint, toxic bigint").groupBy("cell").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))

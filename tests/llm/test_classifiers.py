@@ -52,6 +52,13 @@ def test_toxicity_of_awkward_rows(spark, docs, labels):
     assert {tuple(r) for r in kept} <= {(i, t, "clash") for i, t in rows} and len(kept) >= 5
 
 
+def test_labels_of_absent_documents_take_no_place(spark, docs, labels, monkeypatch):
+    monkeypatch.setattr(toxicity, "training_ids", lambda by_id, most=20, pick=toxicity.training_ids: pick(by_id, most))
+    others = spark.range(10**9, 10**9 + 4000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
+    want, got = toxicity.fit(docs, labels), toxicity.fit(docs, labels.select("doc_id", "quality", "toxic").unionByName(others))
+    assert len(got.cells) and (got.cells == want.cells).all() and np.allclose(got.weights, want.weights)
+
+
 def test_toxicity_without_labels(spark, docs, labels):
     none = labels.limit(0)
     assert all(r["score"] < 1e-100 for r in toxicity.toxicity_report(docs.limit(5), none).collect())
