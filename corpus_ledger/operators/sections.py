@@ -155,10 +155,13 @@ def _sections_of(rows: DataFrame) -> DataFrame:
 
 def full_texts(spans: DataFrame) -> DataFrame:
     """Full text of each document (blocks joined by a blank line) and its page count."""
-    parts = F.collect_list(F.when(F.col("text") != "", F.struct("page", "block", "text")))
+    # A page is joined where its spans already are; one string per page moves to its document.
+    blocks = F.collect_list(F.when(F.col("text") != "", F.struct("block", "text")))
+    pages = _all_blocks(spans).groupBy("doc_id", "page").agg(F.sort_array(blocks).alias("blocks"))
+    joined = pages.select("doc_id", "page", F.when(F.size("blocks") > 0, F.array_join(F.col("blocks.text"), BLOCK_SEP)).alias("text"))
+    parts = F.collect_list(F.when(F.col("text").isNotNull(), F.struct("page", "text")))
     return (
-        _all_blocks(spans)
-        .groupBy("doc_id")
+        joined.groupBy("doc_id")
         .agg(F.sort_array(parts).alias("parts"), (F.max("page") + 1).alias("page_count"))
         .select("doc_id", F.array_join(F.col("parts.text"), BLOCK_SEP).alias("full_text"), "page_count")
     )

@@ -56,6 +56,15 @@ def test_full_text_and_scans(spark):
     assert {r["doc_id"]: r["is_scanned"] for r in sections.scanned_documents(df).collect()} == {1: False, 2: True}
 
 
+def test_full_text_joins_pages_first(spark):
+    rows = [(1, page, block, 0, f"p{page}b{block}" if block != 3 else " ", 1.0, 0) for page in (10, 0, 2) for block in (11, 3, 2)]
+    out = sections.full_texts(spans(spark, *rows))
+    assert [tuple(r) for r in out.collect()] == [(1, "\n\n".join(f"p{p}b{b}" for p in (0, 2, 10) for b in (2, 11)), 11)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    per_document = [line for line in plan.splitlines() if "Aggregate [doc_id#" in line and "page#" not in line.split("]")[0]]
+    assert len(per_document) == 1 and "block" not in per_document[0]  # no block reaches the group of a document
+
+
 def test_modes(spark):
     df = spans(spark, (1, 0, 0, 0, "Head", 10.0, 16), (1, 0, 1, 0, "body", 10.0, 0), (2, 0, 0, 0, " ", 10.0, 0))
     simple = {r["doc_id"]: r["text"] for r in sections.structured_documents(df, "simple").collect()}
