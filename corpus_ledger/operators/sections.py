@@ -367,13 +367,27 @@ def with_fallback(structured: DataFrame, raw_text: DataFrame) -> DataFrame:
 RESULT_SCHEMA = "stem string, status string, doi string, error string, body string"
 
 
-def run_extractor(pending: DataFrame, extract: Callable[[str, bytes], str | None], tasks: int | None = None) -> DataFrame:
+def first_files(pending: DataFrame, limit: int | None = None) -> DataFrame:
+    """Pending files of the first ``limit`` stems; all of them without a limit, or with one below 1."""
+    if limit is None or limit < 1:
+        return pending
+    # Only stems are sorted: contents stay where they are.
+    return pending.join(pending.select("stem").distinct().orderBy("stem").limit(limit), "stem", "left_semi")
+
+
+def run_extractor(
+    pending: DataFrame, extract: Callable[[str, bytes], str | None], tasks: int | None = None, limit: int | None = None, dry_run: bool = False
+) -> DataFrame:
     """Run a plug-in over pending files ``(stem, content)``: one result row per file.
 
     ``extract(stem, content)`` gives JSON text, or nothing when it finds none. A file that
     raises becomes an error row; it never fails the batch. Filter ``pending`` first: Spark
-    cannot move a filter through Python.
+    cannot move a filter through Python. ``limit`` takes the files of the first stems only; a
+    ``dry_run`` gives the stems that would be extracted and runs nothing.
     """
+    pending = first_files(pending, limit)
+    if dry_run:
+        return pending.select("stem")
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -374,10 +374,30 @@ def _word_counter(stem: str, content: bytes) -> str | None:
  FROM documents d WHERE {fixtures.STEM} NOT IN (SELECT stem FROM extractions WHERE parser = 'pymupdf')) x GROUP BY status""",
 )
 def batch_extraction(spark, sf_dir):
+    return sections.extraction_totals(sections.run_extractor(_pending_files(spark, sf_dir), _word_counter))
+
+
+def _pending_files(spark, sf_dir):
     s = Source(spark, sf_dir)
     files = s.documents.select(F.expr(fixtures.STEM).alias("stem"), F.encode("text", "UTF-8").alias("content"))
-    pending = files.join(s.presence.filter("parser = 'pymupdf'").select("stem"), "stem", "left_anti")
-    return sections.extraction_totals(sections.run_extractor(pending, _word_counter))
+    return files.join(s.presence.filter("parser = 'pymupdf'").select("stem"), "stem", "left_anti")
+
+
+PENDING_SQL = f"FROM (SELECT {fixtures.STEM} AS stem, text FROM documents) d WHERE stem NOT IN (SELECT stem FROM extractions WHERE parser = 'pymupdf')"
+
+
+@query(
+    "batch_extraction_files", "extractions", "papers",
+    sql=f"""SELECT stem, status, replace(stem, '_', '/') AS doi, CASE WHEN status = 'error' THEN 'ValueError: not plain text' END AS error FROM (
+ SELECT stem, CASE WHEN strlen(text) <> length(text) THEN 'error' WHEN length(text) >= 200 THEN 'success' ELSE 'failed' END AS status {PENDING_SQL}) x""",
+)
+def batch_extraction_files(spark, sf_dir):
+    return sections.run_extractor(_pending_files(spark, sf_dir), _word_counter).select("stem", "status", "doi", "error")
+
+
+@query("batch_extraction_dry_run", "extractions", "papers", sql=f"SELECT stem {PENDING_SQL} AND stem IN (SELECT DISTINCT stem {PENDING_SQL} ORDER BY stem LIMIT 20)")
+def batch_extraction_dry_run(spark, sf_dir):
+    return sections.run_extractor(_pending_files(spark, sf_dir), _word_counter, limit=20, dry_run=True)
 
 
 @query("log_blocks", "run_log", sql="SELECT doi, ts, result, parser, file_ord, pos FROM run_log")

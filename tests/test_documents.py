@@ -195,6 +195,19 @@ def test_batch_never_fails(spark):
     assert totals == {"success": 1, "failed": 1, "error": 1}
 
 
+def test_extractor_limit_and_dry_run(spark):
+    files = spark.createDataFrame([(f"s{k}", b"x") for k in (3, 1, 2, 0)], "stem string, content binary")
+
+    def never(stem, content):
+        raise AssertionError("a dry run extracts nothing")
+
+    run = sections.run_extractor
+    assert sorted(r["stem"] for r in run(files, lambda stem, content: "{}", limit=2).collect()) == ["s0", "s1"]
+    dry = run(files, never, limit=3, dry_run=True)
+    assert dry.columns == ["stem"] and sorted(r["stem"] for r in dry.collect()) == ["s0", "s1", "s2"]
+    assert run(files, never, dry_run=True).count() == run(files, never, limit=0).count() == 4
+
+
 # -- merge -----------------------------------------------------------------------------
 
 PAPER = ["pmid", "doi", "abstract", "full_text", "full_text_sections", "parsing_status"]
