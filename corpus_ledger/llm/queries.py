@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, expansion, fingerprints, jaccard, langid, pieces, rans, shards, toxicity, windows
+from . import decontaminate, expansion, fingerprints, jaccard, langid, pieces, rans, runs, shards, toxicity, windows
 from .tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +119,27 @@ def op6_toxicity(spark, sf_dir):
 @query("op10_language_id")
 def op10_language_id(spark, sf_dir):
     return langid.language_report(documents(spark, sf_dir))
+
+
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's edit: in a tenth of the documents, told by the checksum of the id, a tail becomes periodic."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    root = words[first : first + period]
+    return words[:first] + (root * ((n - first) // period + 1))[: n - first]
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    found = runs.document_runs(documents(spark, sf_dir), edit=repeated_tail).withColumn("best", runs.strongest(F.col("runs")))
+    line = lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
