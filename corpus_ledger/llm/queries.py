@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, expansion, fingerprints, jaccard, langid, pieces, rans, runs, shards, toxicity, windows
+from . import decontaminate, expansion, fingerprints, jaccard, langid, pieces, rans, runs, shards, toxicity, whitening, windows
 from .tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,8 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
