@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, expansion, fingerprints, jaccard, langid, pieces, rans, runs, shards, toxicity, whitening, windows
+from . import decontaminate, expansion, fingerprints, jaccard, langid, pieces, rans, runs, secrets, shards, toxicity, whitening, windows
 from .tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,18 @@ def op12_periodic_runs(spark, sf_dir):
     )
 
 
+@query("op11_secret_scan")
+def op11_secret_scan(spark, sf_dir):
+    found = secrets.secret_spans(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    names = [f"n_{kind}" for kind in secrets.KINDS]
+    return found.select(
+        "doc_id", *[count(k).alias(name) for k, name in enumerate(names)],
+        F.sha2(secrets.as_text(F.filter("spans", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op13_embedding_whitening")
 def op13_embedding_whitening(spark, sf_dir):
     return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
