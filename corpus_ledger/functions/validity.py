@@ -16,7 +16,7 @@ from .text import SPACE, has_text, strip
 PDF_MIN_BYTES = 1024
 PDF_HEADER = "255044462D"  # %PDF-
 PDF_TRAILER = "2525454F46"  # %%EOF
-PDF_TAIL_BYTES = 4096
+PDF_HEAD_BYTES, PDF_TAIL_BYTES = 5, 4096
 JSON_MIN_BYTES = 10
 MIN_TITLE_CHARS = 5
 MIN_TEXT_CHARS = 50
@@ -27,9 +27,14 @@ def is_valid_pdf(length: Column, content: Column) -> Column:
     tail = F.when(length >= PDF_TAIL_BYTES, F.substring(content, -PDF_TAIL_BYTES, PDF_TAIL_BYTES)).otherwise(
         content
     )
+    return is_valid_pdf_edges(length, F.substring(content, 1, PDF_HEAD_BYTES), tail)
+
+
+def is_valid_pdf_edges(length: Column, head: Column, tail: Column) -> Column:
+    """The same from the first and the last bytes of a file."""
     return F.coalesce(
         (length >= PDF_MIN_BYTES)
-        & (F.substring(content, 1, 5) == F.unhex(F.lit(PDF_HEADER)))
+        & (head == F.unhex(F.lit(PDF_HEADER)))
         & F.contains(tail, F.unhex(F.lit(PDF_TRAILER))),
         F.lit(False),
     )

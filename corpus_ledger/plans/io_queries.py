@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from .. import fixtures
-from ..operators import gaps
+from ..operators import gaps, inventory
 from ..session import scratch_folder
-from ..sources import lists, logs, sinks, tables
+from ..sources import artefacts, files, lists, logs, sinks, tables
+from .artefact_queries import PDF_VALID, VALID
 from .gap_queries import HAS_DOI, WS
 from .ledger_queries import OLD_FILE, _old_file
 from .registry import Source, query
@@ -90,19 +93,79 @@ def log_files(spark, sf_dir):
     return logs.read_logs(spark, [f"{path}/0", f"{path}/1"]).select("doi", "ts", "result", "parser", "file_ord")
 
 
-@query("document_files", "extractions", sql="SELECT stem, parser, state <> 'broken' AS whole FROM extractions")
+@query(
+    "document_files", "extractions",
+    sql="SELECT stem, parser, 'output' AS dir, CAST(strlen(coalesce(text, '')) AS BIGINT) AS length FROM extractions",
+)
 def document_files(spark, sf_dir):
-    path = f"{scratch_folder(spark)}/documents"
-    sinks.write_documents(Source(spark, sf_dir).bodies, path)
-    read = spark.read.schema("stem string, body string, parser string").json(path)
-    return read.select("stem", "parser", F.try_parse_json("body").isNotNull().alias("whole"))
+    """One file per extraction, and the listing of the folder: names and sizes."""
+    path = f"{scratch_folder(spark)}/output"
+    sinks.write_documents(Source(spark, sf_dir).extractions.select("stem", "parser", F.col("text").alias("body")), path)
+    return artefacts.list_extractions(spark, path).select("stem", "parser", "dir", "length")
 
 
-@query("markup_files", sql="SELECT doc_id, n_chars % 19 <> 0 AS closed FROM documents")
+@query(
+    "document_files_read", "extractions", "papers", "tracker",
+    sql=f"SELECT doi, string_agg(parser, ',' ORDER BY parser) AS parsers FROM {fixtures.with_doi('extractions', 'papers', 'tracker')} e WHERE {VALID} GROUP BY doi",
+)
+def document_files_read(spark, sf_dir):
+    """Extractions written as files, read back whole and validated: the parsers of each paper."""
+    s = Source(spark, sf_dir)
+    path = f"{scratch_folder(spark)}/output"
+    sinks.write_documents(s.bodies, path)
+    keys = inventory.valid_parsers(artefacts.read_extractions(spark, path), s.papers, s.tracker)
+    return inventory.parser_sets(keys).select("doi", F.array_join("parsers", ",").alias("parsers"))
+
+
+TEI_BYTES = "SELECT doc_id, n_chars % 19 <> 0 AS closed FROM documents"
+
+
+@query("markup_files", sql=TEI_BYTES)
 def markup_files(spark, sf_dir):
+    """One markup file per document; their last bytes, by ranged reads, tell which are closed."""
     path = f"{scratch_folder(spark)}/tei"
     sinks.write_raw_markup(fixtures.tei_documents(spark, sf_dir), path)
-    return spark.read.parquet(path).select("doc_id", F.col("tei").endswith("</TEI>").alias("closed"))
+    edges = files.file_edges(spark, path, pattern="*.tei.xml", head=5, tail=6)
+    closed = (F.col("head") == F.lit(b"<TEI ")) & (F.col("tail") == F.lit(b"</TEI>"))
+    return edges.select(F.substring_index("name", ".", 1).cast("long").alias("doc_id"), closed.alias("closed"))
+
+
+LENGTH = "CAST(5 + strlen(coalesce(text, '')) + CASE WHEN n_chars % 7 = 0 THEN 0 ELSE 5 END + n_chars % 6000 AS BIGINT)"
+
+
+@query(
+    "pdf_scan",
+    sql=f"""SELECT stem, dir, length, is_valid, CASE WHEN length < 1024 THEN 0 ELSE 5 + least(length, 4096) END AS bytes_read
+FROM (SELECT {fixtures.STEM} AS stem, CASE WHEN doc_id % 3 = 0 THEN 'pdfs' ELSE 'papers' END AS dir, {LENGTH} AS length, {PDF_VALID} AS is_valid FROM documents WHERE text IS NOT NULL) x""",
+)
+def pdf_scan(spark, sf_dir):
+    """PDF files in two folders, validated by their two ends only."""
+    root = scratch_folder(spark)
+    pdfs = fixtures.pdf_files(spark, sf_dir).filter("content IS NOT NULL").withColumn("name", F.concat("stem", F.lit(".PDF")))
+    for k, folder in enumerate(("pdfs", "papers")):
+        files.write_files(pdfs.filter((F.col("doc_id") % 3 == 0) == (k == 0)), f"{root}/{folder}", body="content")
+    return artefacts.checked_pdfs(spark, f"{root}/pdfs", f"{root}/papers").select("stem", "dir", "length", "is_valid", "bytes_read")
+
+
+@query(
+    "files_since_scan", "extractions",
+    sql="""SELECT stem, parser, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS scan FROM extractions
+UNION ALL SELECT stem, parser, 2 AS scan FROM extractions WHERE doc_id % 3 = 0 AND doc_id % 2 = 0""",
+)
+def files_since_scan(spark, sf_dir):
+    """Two scans with a kept mark: a third of the files before the first; the rest, and half of that third rewritten, before the second."""
+    root = scratch_folder(spark)
+    rows = Source(spark, sf_dir).extractions.select("doc_id", "stem", "parser", F.col("state").alias("body"))
+    found = []
+    for k, some in enumerate(("doc_id % 3 = 0", "doc_id % 3 <> 0 OR doc_id % 2 = 0"), 1):
+        sinks.write_documents(rows.filter(some), f"{root}/output", "overwrite")
+        time.sleep(0.05)
+        scan = artefacts.Scan(spark, f"{root}/output", f"{root}/marks", "*.json", settle_ms=0)
+        out = f"{root}/scan={k}"
+        scan.files().select("stem", "parser", F.lit(k).alias("scan")).write.parquet(out)
+        scan.done()
+        found.append(out)
+    return spark.read.parquet(*found)
 
 
 @query("results_csv", "run_results", sql="SELECT identifier, status, mode, seconds FROM run_results")

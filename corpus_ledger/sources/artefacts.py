@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import validity as VA
 from ..functions.identifiers import FAST_SUFFIX
+from . import files, sinks
 
 INVENTORY = ["stem", "dir", "parser", "length", "modificationTime"]
 
@@ -45,25 +49,41 @@ def list_pdfs(spark: SparkSession, *folders: str) -> DataFrame:
     )
 
 
-def read_pdfs(spark: SparkSession, *folders: str, min_bytes: int = VA.PDF_MIN_BYTES) -> DataFrame:
-    """PDF files with content. Files below ``min_bytes`` keep their row but bring no bytes.
-
-    The size is known before a file is opened; the filter on it reaches the file listing.
-    """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(list(folders))
-    named = files.withColumns(_name_columns(F.col("path")))
-    columns = ["stem", "dir", "length", "modificationTime"]
-    large = named.filter(F.col("length") >= min_bytes).select(*columns, "content")
-    small = named.filter(F.col("length") < min_bytes).select(*columns, F.lit(None).cast("binary").alias("content"))
-    return large.unionByName(small)
-
-
 def checked_pdfs(spark: SparkSession, *folders: str) -> DataFrame:
-    """PDF inventory with ``is_valid``."""
-    files = read_pdfs(spark, *folders)
-    return files.withColumn("is_valid", VA.is_valid_pdf(F.col("length"), F.col("content"))).drop("content")
+    """PDF inventory with ``is_valid``. Of each file the head and the last 4 KB are read, of one below the least size nothing."""
+    edges = files.file_edges(
+        spark, *folders, pattern="*.pdf", head=VA.PDF_HEAD_BYTES, tail=VA.PDF_TAIL_BYTES, min_length=VA.PDF_MIN_BYTES
+    )
+    return edges.withColumns(_name_columns(F.col("path"))).select(
+        "stem", "dir", "length", "modificationTime", "bytes_read", VA.is_valid_pdf_edges(F.col("length"), F.col("head"), F.col("tail")).alias("is_valid")
+    )
 
 
 def newer_than(files: DataFrame, stamp: Column) -> DataFrame:
-    """Files changed after a stamp (the batch form of the watch)."""
+    """Files changed after a stamp, out of a listing that is there."""
     return files.filter(F.col("modificationTime") > stamp)
+
+
+class Scan:
+    """Files of a folder that were written since the scan before, and the mark to keep once they are dealt with."""
+
+    def __init__(self, spark: SparkSession, folder: str, marks: str, pattern: str = "*", settle_ms: int = 1000):
+        self.spark, self.folder, self.marks, self.pattern = spark, folder, marks, pattern
+        self.after = max(sinks.numbers_in(spark, marks), default=0)
+        # Taken before the folder is listed: what lands from now on belongs to the next scan.
+        self.before = max(self.after, int(time.time() * 1000) - settle_ms)
+
+    def files(self) -> DataFrame:
+        """Name columns, size and time; the times are tested while listing, no content is read."""
+        reader = self.spark.read.format("binaryFile").option("pathGlobFilter", self.pattern).option("timeZone", "UTC")
+        reader = reader.option("modifiedBefore", _iso(self.before)).option("modifiedAfter", _iso(self.after - 1))  # both ends are open
+        found = reader.load(self.folder)
+        return found.withColumns(_name_columns(F.col("path"))).select(INVENTORY)
+
+    def done(self) -> None:
+        """Keep the mark: the next scan starts here."""
+        sinks.noted(self.spark, f"{self.marks}/{self.before}", 1)
+
+
+def _iso(millis: int) -> str:
+    return datetime.fromtimestamp(max(millis, 0) / 1000, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")

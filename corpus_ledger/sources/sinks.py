@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.identifiers import FAST_SUFFIX
 from ..operators.numbering import in_batches
+from ..schemas import PARSERS
+from .files import write_files
 
 
 def write_identifiers(df: DataFrame, path: str, column: str = "doi") -> None:
@@ -20,13 +23,15 @@ def write_stamped(df: DataFrame, root: str, run_ts: str, column: str = "doi") ->
     return path
 
 
-def write_documents(df: DataFrame, path: str) -> None:
-    """Extractions as JSON lines under ``parser=``; ``body`` is the document's JSON text."""
-    df.select("stem", "parser", "body").write.partitionBy("parser").mode("append").json(path)
+def write_documents(df: DataFrame, path: str, mode: str = "append") -> None:
+    """One JSON file per extraction, ``<stem>.json`` or ``<stem>_fast.json``: all of them, or none if the job fails."""
+    suffix = F.when(F.col("parser") == PARSERS[0], FAST_SUFFIX).otherwise("")
+    write_files(df.select(F.concat("stem", suffix, F.lit(".json")).alias("name"), "body"), path, mode=mode)
 
 
-def write_raw_markup(df: DataFrame, path: str) -> None:
-    df.select("doc_id", "tei").write.mode("append").parquet(path)
+def write_raw_markup(df: DataFrame, path: str, mode: str = "append") -> None:
+    """One ``<doc_id>.tei.xml`` per document."""
+    write_files(df.select(F.concat(F.col("doc_id").cast("string"), F.lit(".tei.xml")).alias("name"), F.col("tei").alias("body")), path, mode=mode)
 
 
 def write_results_csv(df: DataFrame, path: str) -> None:
@@ -114,114 +119,21 @@ def write_snapshot(df: DataFrame, root: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
 
 
-# -- a ledger in buckets -----------------------------------------------------------------
-#
-# ``version=<n>/bucket=<b>`` holds the rows of bucket b as of version n. A version has only the
-# buckets it changed; the ledger is the newest version of each bucket.
-
-LEDGER_BUCKETS = 32
-KEPT_VERSIONS = 2
-
-
-def bucket_of(key: str = "doi") -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(LEDGER_BUCKETS)).cast("int")
-
-
-def bucket_versions(spark: SparkSession, root: str, below: int | None = None) -> dict[int, list[int]]:
-    """Finished versions of each bucket, newest first."""
-    fs, path = _file_system(spark, root)
-    found: dict[int, list[int]] = {}
-    if not fs.exists(path):
-        return found
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    for entry in fs.listStatus(path):
-        name = entry.getPath().getName()
-        if not name.startswith("version=") or not fs.exists(hadoop_path(entry.getPath(), "_SUCCESS")):
-            continue
-        number = int(name.removeprefix("version="))
-        if below is None or number < below:
-            for inner in fs.listStatus(entry.getPath()):
-                if inner.getPath().getName().startswith("bucket="):
-                    found.setdefault(int(inner.getPath().getName().removeprefix("bucket=")), []).append(number)
-    return {b: sorted(v, reverse=True) for b, v in found.items()}
-
-
-def read_buckets(spark: SparkSession, root: str, below: int | None = None, only: list[int] | None = None) -> DataFrame | None:
-    """The ledger, or some buckets of it, from the newest version of each; nothing if there is none."""
-    newest = {b: v[0] for b, v in bucket_versions(spark, root, below).items() if only is None or b in only}
-    paths = [f"{root}/version={v}/bucket={b}" for b, v in sorted(newest.items())]
-    return spark.read.parquet(*paths) if paths else None
-
-
-def write_buckets(df: DataFrame, root: str, version: int) -> None:
-    """Write the buckets ``df`` has rows of as one version; writing it again replaces it."""
-    placed = df.withColumn("bucket", bucket_of()).repartition("bucket")
-    placed.write.partitionBy("bucket").mode("overwrite").parquet(f"{root}/version={version}")
-
-
-def expire_buckets(spark: SparkSession, root: str, kept: int = KEPT_VERSIONS) -> None:
-    """Delete versions of a bucket that ``kept`` newer ones replace. The newest stay for a batch that runs again.
-
-    What the ledger was at a pinned version stays too. Pins are listed after the versions, see ``pin_newest``.
-    """
-    fs, _ = _file_system(spark, root)
-    found = bucket_versions(spark, root)
-    pins = pinned_versions(spark, root)
-    for bucket, versions in found.items():
-        held = {max((v for v in versions if v <= pin), default=None) for pin in pins}
-        for old in versions[kept:]:
-            if old not in held:
-                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}/bucket={bucket}"), True)
-
-
-# A reader that may have to read the same ledger again pins its version: an empty file
-# ``_pins/<owner>/<version>`` under the ledger. The version it chose for good is noted beside
-# its output as ``_judged/<owner>/<batch>/<version>``. -1 stands for no ledger yet.
-
-
-def _numbers_in(spark: SparkSession, folder: str) -> list[int]:
+def numbers_in(spark: SparkSession, folder: str) -> list[int]:
+    """Names below a folder that are numbers."""
     fs, path = _file_system(spark, folder)
-    return [int(entry.getPath().getName()) for entry in fs.listStatus(path)] if fs.exists(path) else []
-
-
-def pinned_versions(spark: SparkSession, root: str) -> set[int]:
-    fs, path = _file_system(spark, f"{root}/_pins")
-    owners = [entry.getPath().getName() for entry in fs.listStatus(path)] if fs.exists(path) else []
-    return {v for owner in owners for v in _numbers_in(spark, f"{root}/_pins/{owner}")}
-
-
-def pin_newest(spark: SparkSession, root: str, owner: str) -> int:
-    """Pin the newest finished version in place of the owner's earlier pins.
-
-    The pin counts once it is in place and its version is still the newest: any later one is
-    then finished, and anything it replaces expired, by a writer that sees the pin.
-    """
-    fs, _ = _file_system(spark, root)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    while True:
-        newest = latest_version(spark, root)
-        version = -1 if newest is None else newest
-        fs.createNewFile(path(f"{root}/_pins/{owner}/{version}"))
-        if latest_version(spark, root) == newest:
-            break
-    for old in _numbers_in(spark, f"{root}/_pins/{owner}"):
-        if old != version:
-            fs.delete(path(f"{root}/_pins/{owner}/{old}"), False)
-    return version
-
-
-def version_for(spark: SparkSession, root: str, out: str, owner: str, batch_id: int) -> int:
-    """The ledger version a batch is judged against: the newest on its first run, the same one when it runs again."""
-    noted = f"{out}/_judged/{owner}/{batch_id}"
-    known = _numbers_in(spark, noted)
-    if not known:
-        known = [pin_newest(spark, root, owner)]
-        fs, path = _file_system(spark, f"{noted}/{known[0]}")
-        fs.createNewFile(path)
-    version = known[0]
-    if version >= 0 and latest_version(spark, root, below=version + 1) != version:
-        raise RuntimeError(f"version {version} of {root}, which batch {batch_id} was judged against, is gone or being written")
-    return version
+    names = [entry.getPath().getName() for entry in fs.listStatus(path)] if fs.exists(path) else []
+    return [int(n) for n in names if n.lstrip("-").isdigit()]
+
+
+def noted(spark: SparkSession, folder: str, number: int) -> int:
+    """The number noted under a folder; the first call notes its own (as the name of an empty file)."""
+    known = numbers_in(spark, folder)
+    if known:
+        return known[0]
+    fs, path = _file_system(spark, f"{folder}/{number}")
+    fs.createNewFile(path)
+    return number
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "doi") -> None:

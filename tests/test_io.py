@@ -1,13 +1,12 @@
 """Sources, sinks, snapshots, numbering and streams on files in a scratch folder."""
 
 import json
-from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpus_ledger import schemas
-from corpus_ledger.operators import ledger, numbering, reports
+from corpus_ledger.operators import numbering, reports
 from corpus_ledger.sources import artefacts, lists, logs, sinks, tables
 from corpus_ledger.streaming import ledger as stream
 
@@ -120,7 +119,7 @@ def test_sinks(spark, tmp_path):
     sinks.write_quarantine(bodies, f"{tmp_path}/quarantine")
     sinks.write_raw_markup(spark.createDataFrame([(1, "<TEI/>")], "doc_id long, tei string"), f"{tmp_path}/tei")
     sinks.append_events(spark.createDataFrame([], schemas.EVENTS), f"{tmp_path}/events")
-    assert spark.read.json(f"{tmp_path}/docs").first()["parser"] == "grobid"
+    assert (tmp_path / "docs/s.json").read_text() == '{"a": 1}' and (tmp_path / "tei/1.tei.xml").read_text() == "<TEI/>"
     sinks.write_stage_lists(spark.createDataFrame([("download", "b"), ("download", "a"), ("grobid", "a")], "stage string, doi string"), f"{tmp_path}/stages")
     assert sorted(r["value"] for r in spark.read.text(f"{tmp_path}/stages/stage=download").collect()) == ["a", "b"]
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
@@ -145,55 +144,6 @@ def test_first_keys_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_event_stream_in_batches(spark, tmp_path):
-    """Events in several files and batches end in the same ledger as one fold."""
-    kinds = ["download", "pymupdf", "grobid", "retry_increment", "error", "reset"]
-    rows = [
-        (i, f"d{i % 5}", kinds[(i * 7) % 6], None, {"download": "oa"}.get(kinds[(i * 7) % 6], "success"), f"m{i}", datetime(2024, 1, 1, 0, i // 60, i % 60), {"downloaded": "no"} if i % 31 == 0 else None)
-        for i in range(240)
-    ]
-    events = spark.createDataFrame(rows, schemas.EVENTS)
-    folder = f"{tmp_path}/events"
-    for part in range(4):
-        events.filter((F.col("id") >= part * 60) & (F.col("id") < part * 60 + 60)).coalesce(1).write.mode("append").parquet(folder)
-    source = stream.read_events(spark, folder, files_per_trigger=1)
-    stream.start_event_fold(source, f"{tmp_path}/ledger", f"{tmp_path}/checkpoint").awaitTermination()
-    assert max(v[0] for v in sinks.bucket_versions(spark, f"{tmp_path}/ledger").values()) == 3
-    got = sorted(sinks.read_buckets(spark, f"{tmp_path}/ledger").collect())
-    assert got == sorted(ledger.fold(events).select(got[0].__fields__).collect())
-    # Nothing new: a second run leaves the ledger as it is.
-    stream.start_event_fold(source, f"{tmp_path}/ledger", f"{tmp_path}/checkpoint").awaitTermination()
-    assert sorted(sinks.read_buckets(spark, f"{tmp_path}/ledger").collect()) == got
-
-
-def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
-    folder, root = f"{tmp_path}/events", f"{tmp_path}/ledger"
-    source = None
-    for batch, dois in enumerate((["a", "b", "c", "d"], ["a"], ["a"], ["a"])):
-        rows = [(batch * 10 + k, d, "pymupdf", None, "success", None, datetime(2024, 1, 1, batch), None) for k, d in enumerate(dois)]
-        spark.createDataFrame(rows, schemas.EVENTS).coalesce(1).write.mode("append").parquet(folder)
-        source = source or stream.read_events(spark, folder)
-        stream.start_event_fold(source, root, f"{tmp_path}/checkpoint").awaitTermination()
-    bucket = {d: spark.createDataFrame([(d,)], "doi string").select(sinks.bucket_of().alias("b")).first()["b"] for d in "abcd"}
-    versions = sinks.bucket_versions(spark, root)
-    assert versions[bucket["a"]] == [3, 2]  # older ones have expired
-    assert all(versions[bucket[d]] == [0] for d in "bcd" if bucket[d] != bucket["a"])
-    assert sorted(r["doi"] for r in sinks.read_buckets(spark, root).collect()) == ["a", "b", "c", "d"]
-    # A batch that runs again sees what it saw before.
-    assert {r["doi"]: r["pymupdf_date"].hour for r in sinks.read_buckets(spark, root, below=3).collect()}["a"] == 2
-
-
-def test_extraction_watch(spark, tmp_path):
-    out = tmp_path / "output"
-    write(out, **{"10.1_a__json": "{}", "10.1_a_fast__json": "{}"})
-    root, checkpoint = f"{tmp_path}/ledger", f"{tmp_path}/checkpoint"
-    stream.start_extraction_watch(spark, str(out), root, checkpoint).awaitTermination()
-    assert [(r["doi"], r["grobid_status"], r["downloaded"]) for r in sinks.read_buckets(spark, root).collect()] == [("10.1/a", "success", "yes")]
-    write(out, **{"10.1_b__json": "{}"})
-    stream.start_extraction_watch(spark, str(out), root, checkpoint).awaitTermination()
-    assert {r["doi"] for r in sinks.read_buckets(spark, root).collect()} == {"10.1/a", "10.1/b"}
-
-
 def test_work_streams(spark, tmp_path):
     folder = f"{tmp_path}/evaluations"
     papers = spark.createDataFrame([("1", "a", None, "s"), ("2", "b", "x", "s"), ("3", "c", "x", None)], "pmid string, doi string, abstract string, full_text_sections string")
@@ -204,46 +154,6 @@ def test_work_streams(spark, tmp_path):
     assert sorted(r["doi"] for r in spark.read.parquet(f"{tmp_path}/work").collect()) == ["a", "c"]
 
 
-def test_work_filter_over_a_ledger_with_a_past(spark, tmp_path):
-    """Identifier batches start at 0 whatever the ledger's version, and a batch that runs again sees the same ledger."""
-    root, folder, out, checkpoint = (f"{tmp_path}/{name}" for name in ("ledger", "ids", "work", "checkpoint"))
-
-    def advance(version, *done):
-        rows = spark.createDataFrame([(d, "success") for d in done], "doi string, grobid_status string")
-        base = sinks.read_buckets(spark, root)
-        sinks.write_buckets(rows if base is None else base.join(rows, "doi", "left_anti").unionByName(rows), root, version)
-        sinks.expire_buckets(spark, root)
-
-    def listed(*new):
-        if new:
-            spark.createDataFrame([(d,) for d in new], "doi string").coalesce(1).write.mode("append").parquet(folder)
-        ids = spark.readStream.schema("doi string").parquet(folder)
-        stream.start_work_filter(ids, root, out, checkpoint).awaitTermination()
-        return {v: sorted(r["doi"] for r in spark.read.parquet(f"{out}/version={v}").collect()) for v in range(sinks.latest_version(spark, out) + 1)}
-
-    for version, doi in ((5, "a"), (6, "b"), (7, "c")):
-        advance(version, doi)
-    assert listed("a", "b", "c", "d", "e") == {0: ["d", "e"]}
-    # The ledger moves on and expires versions; batch 0 was not committed and runs again.
-    for version in (8, 9, 10, 11):
-        advance(version, "d")
-    for name in ("0", ".0.crc"):
-        (tmp_path / "checkpoint/commits" / name).unlink()
-    assert listed() == {0: ["d", "e"]}
-    # The next batch sees the newest ledger and gives up the pin of the one before.
-    assert listed("a", "d", "f") == {0: ["d", "e"], 1: ["f"]}
-    assert sinks.pinned_versions(spark, root) == {11}
-    sinks.expire_buckets(spark, root)
-    assert all(len(v) <= sinks.KEPT_VERSIONS for v in sinks.bucket_versions(spark, root).values())
-
-
-def test_work_filter_before_there_is_a_ledger(spark, tmp_path):
-    root, out = f"{tmp_path}/ledger", f"{tmp_path}/work"
-    assert sinks.version_for(spark, root, out, "q", 0) == -1
-    sinks.write_buckets(spark.createDataFrame([("a", "success")], "doi string, grobid_status string"), root, 0)
-    assert sinks.version_for(spark, root, out, "q", 0) == -1 and sinks.version_for(spark, root, out, "q", 1) == 0
-
-
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     for name in ("left_t", "right_t"):
         path = f"{tmp_path}/{name}"
