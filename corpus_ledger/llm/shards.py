@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.numbering import with_row_number
+from ..session import cut_lineage
 from .tables import written
 
 SHARDS = 24
@@ -203,6 +203,27 @@ def level_cuts(groups: DataFrame, shards: int, fences: int = FENCES) -> tuple[in
     return capacity, [*cuts, (total, tail[count][2])]
 
 
+ROW_BITS = (1 << 33) - 1
+
+
+def numbered_in_order(df: DataFrame, *order: str) -> DataFrame:
+    """Add ``_rn``, the place of each row in global order, from 1.
+
+    The sorted rows are written once, so partitions and the order within are fixed even if an executor is lost. Partition
+    sizes are then counted, one row per partition, and each row adds its place in its own.
+    """
+    placed = (
+        cut_lineage(df.orderBy(*order))
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)))
+    )
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = placed.join(F.broadcast(starts), "_part").withColumn("_rn", F.col("_start") + F.col("_place") + 1)
+    return numbered.drop("_part", "_place", "_start")
+
+
 def shard(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int = SHARDS, fences: int = FENCES) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, ``shard``, ``slot`` for each row; equal texts stay together.
 
@@ -221,7 +242,7 @@ def shard(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int =
         F.xxhash64(body).alias("_g1"),
         F.xxhash64(F.lit(1), F.coalesce(body, F.lit("")), body.isNull()).alias("_g2"),
     )
-    numbered = with_row_number(rows, "_g1", "_g2", "doc_id", name="_rn", total="_total")
+    numbered = numbered_in_order(rows, "_g1", "_g2", "doc_id")
     groups = numbered.groupBy("_g1", "_g2").agg(F.sum("size").alias("size"), F.max("_rn").alias("last"))
     _, cuts = level_cuts(groups, shards, fences)
     last = [0, *[n for _, n in cuts]]
