@@ -46,19 +46,19 @@ def parser_sets(keys: DataFrame) -> DataFrame:
     return keys.groupBy("doi").agg(F.array_sort(F.collect_set("parser")).alias("parsers"))
 
 
-def split_valid(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Usable extractions, and the quarantine with its reason. No file moves."""
+def routed(bodies: DataFrame) -> DataFrame:
+    """Every extraction with its ``route``, usable or quarantine, and the ``reason`` of the latter: one parse decides both."""
     judged = VA.with_content_check(VA.with_validity(VA.parse_bodies(bodies), "is_usable"))
-    return (
-        judged.filter("is_usable").select(*bodies.columns),
-        judged.filter("NOT is_usable").select(
-            *bodies.columns, F.coalesce("reason", F.lit("Too little content")).alias("reason")
-        ),
+    usable = F.coalesce(F.col("is_usable"), F.lit(False))
+    return judged.select(
+        *bodies.columns, F.when(~usable, F.coalesce("reason", F.lit("Too little content"))).alias("reason"),
+        F.when(usable, "usable").otherwise("quarantine").alias("route"),
     )
 
 
 def quarantine(bodies: DataFrame) -> DataFrame:
-    return split_valid(bodies)[1]
+    """Extractions that are not usable, with their reason. No file moves."""
+    return routed(bodies).filter("route = 'quarantine'").drop("route")
 
 
 def check_types(bodies: DataFrame) -> DataFrame:

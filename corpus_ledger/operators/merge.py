@@ -7,7 +7,7 @@ the scan; text moves only for rows that get new text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import status as S
@@ -75,7 +75,7 @@ def import_changes(papers: DataFrame, bodies: DataFrame, ledger: DataFrame) -> D
     needed = bodies.select("stem", "parser", "body").join(targets.select("stem").distinct(), "stem", "left_semi")
     sides = parsed_sections(needed).groupBy("stem").agg(
         *[
-            F.max_by(F.struct("abstract", "sections", "has_body"), F.when(F.col("parser") == p, 1)).alias(f"in_{p}") for p in PARSERS
+            F.max_by(F.struct("abstract", "sections", "has_body", "unreadable"), F.when(F.col("parser") == p, 1)).alias(f"in_{p}") for p in PARSERS
         ]
     )
     has = {p: F.col(f"in_{p}").isNotNull() for p in PARSERS}
@@ -107,19 +107,31 @@ def import_changes(papers: DataFrame, bodies: DataFrame, ledger: DataFrame) -> D
         F.when(takes_abstract, F.col("new_abstract")).alias("abstract"),
         F.when(takes_text, F.col("new_text")).alias("full_text"),
         F.when(takes_sections, sections_json(F.col("sections"))).alias("full_text_sections"),
-        F.when(live, status).alias("parsing_status"),
+        F.when(live, status).alias("parsing_status"), (live & F.coalesce(F.col("_chosen.unreadable"), F.lit(False))).alias("unreadable"),
     )
 
 
-def import_counters(changes: DataFrame) -> DataFrame:
-    """One row of import counters; ``sections_updated`` counts full-text updates."""
-    return changes.agg(
+def _counters() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("json_updates"),
         F.count_if("skipped").alias("skipped_already_complete"),
         F.count("abstract").alias("abstract_updated"),
         F.count("full_text").alias("sections_updated"),
         F.count("parsing_status").alias("status_from_jsons"),
-    )
+        F.count_if("unreadable").alias("errors"),
+    ]
+
+
+def import_counters(changes: DataFrame) -> DataFrame:
+    """One row of import counters; ``sections_updated`` counts full-text updates, ``errors`` files in use that hold no JSON."""
+    return changes.agg(*_counters())
+
+
+def write_import(changes: DataFrame, path: str) -> dict[str, int]:
+    """Write the changes of an import and return its counters, observed while they are written."""
+    seen = Observation()
+    changes.observe(seen, *_counters()).write.mode("errorifexists").parquet(path)
+    return seen.get
 
 
 def legacy_import_changes(papers: DataFrame, bodies: DataFrame, log: DataFrame, keys: DataFrame) -> DataFrame:
@@ -246,11 +258,12 @@ def apply_changes(papers: DataFrame, changes: DataFrame, key: str = "doi") -> Da
 
     Papers without a key get one of their own, so they do not meet on one task. A changes
     frame that turns out small is broadcast by Spark, and then the wide table is not
-    shuffled at all. Changes that repeat a key count as one, so no paper is multiplied.
+    shuffled at all. Of changes that repeat a key the greatest, column by column from the first, is taken as a
+    whole, so no paper is multiplied and no two versions are mixed.
     """
     columns = [c for c in changes.columns if c in CONTENT + ("oa_url",)]
-    one = changes.groupBy(key).agg(*[F.max(c).alias(c) for c in columns])
-    new = one.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    one = changes.groupBy(key).agg(F.max(F.struct(*columns)).alias("_one"))
+    new = one.select(F.col(key).alias("_key"), *[F.col(f"_one.{c}").alias(f"_new_{c}") for c in columns])
     row_key = F.xxhash64(*papers.columns)
     joined = papers.withColumn("_key", spread_key(F.col(key), row_key)).join(new, "_key", "left")
     return joined.select(

@@ -1,47 +1,57 @@
-"""Row numbers and batches that never gather a table in one task."""
+"""Row numbers and batches that never gather a table in one task and run nothing before they are asked for."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+#: Ranges a table is numbered in are this power of two.
+RANGE_BITS = 10
 
-ROW_BITS = (1 << 33) - 1
 
+def _borders(keys: DataFrame, bits: int) -> DataFrame:
+    """One row: the sorted ``borders`` of up to ``2**bits`` ranges of ``(key, h)``.
 
-def with_row_number(df: DataFrame, *order: Column | str, name: str = "rn", total: str = "total") -> DataFrame:
-    """Number rows from 1 in global order and add the row total.
+    Of each of so many hash buckets of keys the one with the least hash is a border: a fair sample of the distinct
+    keys that depends on nothing but the keys, so every run and every task gets the same. The least hashes are sums of
+    fixed size; a second look at the keys finds what they belong to.
+    """
+    least = keys.groupBy(F.pmod(F.xxhash64("h"), F.lit(1 << bits)).alias("bucket")).agg(F.min("h").alias("h"))
+    sampled = keys.join(F.broadcast(least.select("h")), "h", "left_semi")
+    return sampled.agg(F.sort_array(F.collect_set("key")).alias("borders"))
+
+
+def with_row_number(df: DataFrame, *order: str, name: str = "rn", total: str = "total", bits: int = RANGE_BITS) -> DataFrame:
+    """Number rows from 1 in the order of some columns (ascending, NULL first) and add the row total.
 
-    The sorted rows are written once, so partition ids and the order in each partition are
-    fixed even if an executor is lost. Partition sizes are then counted, and each row adds
-    its place in its own partition. The counts table has one row per partition, which is
-    what bounds the window and the broadcast.
+    Rows are numbered within ranges of their key, and each range starts after the rows of those before it. Borders and
+    counts are tables of at most ``2**bits`` rows, made by the same plan: nothing runs until the result does, and what
+    runs again places every row alike. The input is read four times, so it should be a stored table. Rows with equal
+    order columns are told apart by a hash of the row, so a frequent key spreads over ranges; only rows alike in
+    all columns stay in one.
     """
-    placed = (
-        cut_lineage(df.orderBy(*order))
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)))
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    starts = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_part",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-            F.sum("_n").over(everything).alias(total),
-        )
-    )
+    row_hash = F.xxhash64(*df.columns)
+    key = F.struct(*[F.col(c) for c in order], row_hash.alias("_h"))
+    borders = _borders(df.select(key.alias("key"), F.xxhash64(row_hash).alias("h")), bits).scalar()
+    placed = df.withColumns({"_key": key, "_range": F.lit(0)})
+    for k in reversed(range(bits + 1)):  # binary search: how many borders are not above the key
+        step = 1 << k
+        further = F.get(borders, F.col("_range") + (step - 1)) <= F.col("_key")  # NULL beyond the last border
+        placed = placed.withColumn("_range", F.col("_range") + F.when(further, step).otherwise(0))
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(everything).alias(total))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
     return (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn(name, F.col("_start") + F.col("_place") + 1)
-        .drop("_part", "_place", "_start")
+        placed.withColumn("_place", place)
+        .join(F.broadcast(starts), "_range")
+        .withColumn(name, F.col("_start") + F.col("_place"))
+        .select(*df.columns, total, name)
     )
 
 
-def in_batches(df: DataFrame, size: int, *order: Column | str) -> DataFrame:
+def in_batches(df: DataFrame, size: int, *order: str) -> DataFrame:
     """Fixed-size batches in order, with ``batch``, ``n_batches`` and ``batch_name``; the last may be short."""
     numbered = with_row_number(df, *order, total="_total")
     return numbered.withColumns(

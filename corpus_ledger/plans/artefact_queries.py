@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..functions import validity as VA
 from ..operators import inventory, ledger, reconcile
+from ..session import scratch_folder
+from ..sources import sinks
 from .gap_queries import HAS_DOI, NO_SECTIONS, NO_TEXT, WS
 from .registry import Source, query
 
@@ -65,6 +67,19 @@ def quarantine(spark, sf_dir):
     return inventory.quarantine(Source(spark, sf_dir).bodies).select("stem", "parser", "reason")
 
 
+@query(
+    "routed_write", "extractions",
+    sql=f"""SELECT e.stem, e.parser, CASE WHEN e.ok THEN 'usable' ELSE 'quarantine' END AS route, CASE WHEN NOT e.ok THEN coalesce(c.reason, 'Too little content') END AS reason
+FROM (SELECT *, {VALID} AS ok FROM extractions) e JOIN ({CONTENT}) c ON e.stem = c.stem AND e.parser = c.parser""",
+)
+def routed_write(spark, sf_dir):
+    """Good and bad extractions leave one parse in one write; both sides are read back from their folders."""
+    path = f"{scratch_folder(spark)}/routed"
+    sinks.write_routed(inventory.routed(Source(spark, sf_dir).bodies), path)
+    sides = [spark.read.parquet(path).filter(F.col("route") == side) for side in ("usable", "quarantine")]
+    return sides[0].unionAll(sides[1]).select("stem", "parser", "route", "reason")
+
+
 @query(
     "valid_parser_sets", "extractions", "papers", "tracker",
     sql=f"SELECT doi, string_agg(parser, ',' ORDER BY parser) AS parsers FROM {fixtures.with_doi('extractions', 'papers', 'tracker')} e WHERE {VALID} GROUP BY doi",

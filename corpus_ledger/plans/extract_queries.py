@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import payloads as P
 from ..functions.identifiers import metadata_doi
-from ..operators import merge, sections, tei
-from ..sources import logs
+from ..operators import extraction, merge, sections, tei
+from ..session import scratch_folder
+from ..sources import files, logs
 from .gap_queries import LABEL_SQL, MIRRORS, WS
 from .registry import Source, query
 
@@ -400,6 +404,42 @@ def batch_extraction_dry_run(spark, sf_dir):
     return sections.run_extractor(_pending_files(spark, sf_dir), _word_counter, limit=20, dry_run=True)
 
 
+def _line_sections(frame, mode):
+    """Plug-in over batches: text lines become sections; anything but plain ASCII is refused."""
+    out = []
+    for stem, content in zip(frame["stem"], frame["content"]):
+        if any(b > 127 for b in content):
+            raise ValueError("not plain text")
+        text = content.decode()
+        lines = [line for line in text.split("\n") if line]
+        parts = {"text": text} if mode == "simple" else {"sections": lines} if mode == "structured" else {"text": text, "sections": lines}
+        out.append((stem, json.dumps({"mode": mode, **parts}) if len(text) >= 200 else None))
+    return pd.DataFrame(out, columns=["stem", "body"])
+
+
+FILE_STATUS = "CASE WHEN strlen(text) <> length(text) THEN 'error' WHEN length(text) >= 200 THEN 'success' ELSE 'failed' END"
+
+
+@query(
+    "extraction_resumed",
+    sql=f"""SELECT {fixtures.STEM} AS stem, 'full' AS mode, {FILE_STATUS} AS status, replace({fixtures.STEM}, '_', '/') AS doi,
+ CASE WHEN {FILE_STATUS} = 'error' THEN 'ValueError: not plain text' END AS error, CASE WHEN {FILE_STATUS} = 'success' THEN md5(text) END AS text_md5,
+ CASE WHEN {FILE_STATUS} = 'success' THEN len(list_filter(string_split(text, chr(10)), lambda x: x <> '')) END AS lines FROM documents WHERE text IS NOT NULL""",
+)
+def extraction_resumed(spark, sf_dir):
+    """Files extracted in batches: the first run stops after one, a second one goes on with the rest."""
+    root = scratch_folder(spark)
+    docs = Source(spark, sf_dir).documents.filter("text IS NOT NULL")
+    files.write_files(docs.select(F.concat(F.expr(fixtures.STEM), F.lit(".pdf")).alias("name"), "text"), f"{root}/in", body="text")
+    listed = files.file_edges(spark, f"{root}/in", pattern="*.pdf", head=0, tail=0)
+    extraction.plan(listed.select(F.regexp_replace("name", r"\.pdf$", "").alias("stem"), "path"), f"{root}/run", max(1, docs.count() // 3))
+    extraction.run_batches(spark, _line_sections, f"{root}/run", "full", stop_after=1)
+    extraction.run_batches(spark, _line_sections, f"{root}/run", "full")
+    body = F.from_json("body", "text string, sections array<string>")
+    found = extraction.results(spark, f"{root}/run").withColumn("parsed", body)
+    return found.select("stem", "mode", "status", "doi", "error", F.md5("parsed.text").alias("text_md5"), F.array_size("parsed.sections").cast("long").alias("lines"))
+
+
 @query("log_blocks", "run_log", sql="SELECT doi, ts, result, parser, file_ord, pos FROM run_log")
 def log_blocks(spark, sf_dir):
     return logs.parse_blocks(fixtures.run_log_blocks(spark, sf_dir))

@@ -88,14 +88,14 @@ def detect_type(spark, sf_dir):
 
 @query(
     "identifier_set", "id_list",
-    sql=f"""SELECT DISTINCT trim(identifier, {WS}) AS identifier FROM id_list
-WHERE NOT contains(identifier, chr(10)) AND trim(identifier, {WS}) <> '' AND trim(identifier, {WS}) NOT LIKE '#%'""",
+    sql=f"""SELECT DISTINCT identifier FROM (SELECT trim(replace(identifier, chr(10), ' '), {WS}) AS identifier FROM id_list) x
+WHERE identifier <> '' AND identifier NOT LIKE '#%'""",
 )
 def identifier_set(spark, sf_dir):
-    # Written as a history list with comments and read back; an identifier may not break its line.
+    # Written as a history list with comments and read back; a line break in an identifier becomes a space.
     path = f"{scratch_folder(spark)}/list"
-    lines = Source(spark, sf_dir).id_list.select(F.col("identifier").alias("value")).unionByName(spark.sql("SELECT '# a comment' AS value"))
-    lines.filter("NOT contains(value, chr(10))").write.text(path)
+    lines = Source(spark, sf_dir).id_list.select(F.replace("identifier", F.lit("\n"), F.lit(" ")).alias("value")).unionByName(spark.sql("SELECT '# a comment' AS value"))
+    lines.write.text(path)
     return lists.read_identifier_set(spark, path, f"{path}-missing", comments=True).select(F.col("doi").alias("identifier"))
 
 

@@ -15,17 +15,18 @@ from .gap_queries import HAS_DOI, WS
 from .ledger_queries import OLD_FILE, _old_file
 from .registry import Source, query
 
-ONE_LINE = "NOT contains(identifier, chr(10))"
+# A list has one identifier per line, so a line break in one is written as a space.
+ONE_LINE = "replace(identifier, chr(10), ' ')"
 
 
 @query(
     "list_lines", "id_list",
-    sql=f"SELECT trim(identifier, {WS}) AS identifier, count(*) AS n FROM id_list WHERE {ONE_LINE} AND trim(identifier, {WS}) <> '' GROUP BY 1",
+    sql=f"SELECT trim({ONE_LINE}, {WS}) AS identifier, count(*) AS n FROM id_list WHERE trim({ONE_LINE}, {WS}) <> '' GROUP BY 1",
 )
 def list_lines(spark, sf_dir):
     """Identifier list with repeats, of two files and one that is missing."""
     path = scratch_folder(spark)
-    rows = Source(spark, sf_dir).id_list.filter(ONE_LINE)
+    rows = Source(spark, sf_dir).id_list.withColumn("identifier", F.expr(ONE_LINE))
     for k in range(2):
         rows.filter(F.col("pos") % 2 == k).select(F.col("identifier").alias("value")).write.text(f"{path}/{k}")
     read = lists.read_identifiers(spark, f"{path}/0", f"{path}/1", f"{path}/2")
@@ -65,14 +66,32 @@ def point_lookup(spark, sf_dir):
     return tables.status_of(tracker, tracker.agg(F.max("doi")).first()[0] or "")
 
 
+def _bucketed(spark, df, name):
+    root = scratch_folder(spark)
+    return tables.write_bucketed(df, f"{name}_{root.rsplit('-', 1)[-1]}", f"{root}/{name}", 8)
+
+
 @query("tracker_rows", "tracker", "papers", sql=f"SELECT t.* FROM tracker t WHERE doi IN (SELECT doi FROM papers WHERE {HAS_DOI})")
 def tracker_rows(spark, sf_dir):
-    """A bucketed table read back and joined by its key; the paper table through its reader."""
+    """Tracker and paper table in equal buckets, joined where they lie; the paper table through its reader."""
     s = Source(spark, sf_dir)
     path = f"{scratch_folder(spark)}/papers"
     s.papers.drop("parsing_status").write.parquet(path)
     papers = tables.read_papers(spark, path, ["doi", "parsing_status"]).filter("parsing_status IS NULL")
-    return gaps.select_keys(s.tracker, gaps.keyed(papers))
+    # Papers without a DOI match nothing and would share a bucket.
+    return gaps.select_keys(_bucketed(spark, s.tracker, "tracker"), _bucketed(spark, gaps.keyed(papers), "papers"))
+
+
+@query(
+    "keyed_scan", "tracker",
+    sql="SELECT doi, downloaded, retry_count FROM tracker WHERE doi IN ((SELECT max(doi) FROM tracker), (SELECT min(doi) FROM tracker), 'no such doi')",
+)
+def keyed_scan(spark, sf_dir):
+    """Rows of given keys out of a bucketed table."""
+    tracker = Source(spark, sf_dir).tracker
+    ends = tracker.agg(F.max("doi").alias("a"), F.min("doi").alias("b")).first()
+    keys = [k for k in (ends["a"], ends["b"], "no such doi") if k]
+    return tables.read_keyed(_bucketed(spark, tracker, "tracker"), keys, ["doi", "downloaded", "retry_count"])
 
 
 @query("evaluation_table", "evaluations", sql="SELECT doi, result, CAST(confidence_score AS DOUBLE) AS confidence_score FROM evaluations")

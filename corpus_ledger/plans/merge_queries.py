@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..operators import merge
+from ..session import scratch_folder
 from ..sources import logs
 from .extract_queries import PARSED
 from .gap_queries import HAS_DOI, NO_ABSTRACT, NO_SECTIONS, NO_TEXT, WS
@@ -67,10 +68,13 @@ def import_changes(spark, sf_dir):
 @query(
     "import_counters", *IMPORT_VIEWS,
     sql=IMPORT + """SELECT count(*) AS json_updates, count(*) FILTER (WHERE skipped) AS skipped_already_complete, count(abstract) AS abstract_updated, count(full_text) AS sections_updated,
- count(parsing_status) AS status_from_jsons FROM changes""",
+ count(parsing_status) AS status_from_jsons, count(*) FILTER (WHERE NOT skipped AND broken) AS errors FROM (SELECT changes.*, e.state = 'broken' AS broken FROM changes
+ JOIN extractions e ON e.stem = replace(changes.doi, '/', '_') AND e.parser = changes.parser_used) x""",
 )
 def import_counters(spark, sf_dir):
-    return merge.import_counters(_changes(Source(spark, sf_dir)))
+    """Counters observed while the changes are written, not counted by a scan of their own."""
+    counters = merge.write_import(_changes(Source(spark, sf_dir)), f"{scratch_folder(spark)}/changes")
+    return spark.createDataFrame([counters])
 
 
 MERGED = """, m AS (SELECT p.pmid, p.doi, coalesce(c.abstract, p.abstract) AS abstract, coalesce(c.full_text, p.full_text) AS full_text, coalesce(c.full_text_sections, p.full_text_sections) AS full_text_sections,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import FAST_SUFFIX
 from ..operators.numbering import in_batches
+from ..operators.reports import RUN_STATES
 from ..schemas import PARSERS
 from .files import write_files
 
@@ -39,10 +40,23 @@ def write_results_csv(df: DataFrame, path: str) -> None:
 
 
 def write_results_json(results: DataFrame, path: str, run_ts: str) -> None:
-    """Result rows, and one row of statistics beside them."""
-    results.write.mode("errorifexists").json(f"{path}/results")
-    stats = results.groupBy("status").agg(F.count(F.lit(1)).alias("papers")).withColumn("timestamp", F.lit(run_ts))
-    stats.coalesce(1).write.mode("errorifexists").json(f"{path}/statistics")
+    """Result rows, and a row of statistics per status beside them.
+
+    The known statuses are counted while the rows are written, so results are computed once. Rows with any other status
+    are counted from what was written.
+    """
+    known = {f"n{k}": s for k, s in enumerate(RUN_STATES)}
+    seen = Observation()
+    counts = [F.count_if(F.col("status") == s).alias(n) for n, s in known.items()]
+    counted = results.observe(seen, F.count(F.lit(1)).alias("all"), *counts)
+    counted.write.mode("errorifexists").json(f"{path}/results")
+    spark, got = results.sparkSession, seen.get
+    rows = [(s, got[n]) for n, s in known.items() if got[n]]
+    if sum(n for _, n in rows) < got["all"]:
+        written = spark.read.schema("status string").json(f"{path}/results").groupBy("status").agg(F.count(F.lit(1)).alias("papers"))
+    else:
+        written = spark.createDataFrame(rows, "status string, papers bigint")
+    written.withColumn("timestamp", F.lit(run_ts)).coalesce(1).write.mode("errorifexists").json(f"{path}/statistics")
 
 
 def write_tracker_file(ledger: DataFrame, path: str) -> None:
@@ -85,6 +99,11 @@ def write_quarantine(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def write_routed(routed: DataFrame, path: str) -> None:
+    """Good and bad rows in one write, each route a folder of its own; a route read back is a scan of its folder."""
+    routed.write.partitionBy("route").mode("errorifexists").parquet(path)
+
+
 # -- snapshots -------------------------------------------------------------------------
 
 
@@ -119,23 +138,24 @@ def write_snapshot(df: DataFrame, root: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
 
 
-def numbers_in(spark: SparkSession, folder: str) -> list[int]:
-    """Names below a folder that are numbers."""
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, found = _file_system(spark, path)
+    return fs.exists(found)
+
+
+def numbers_in(spark: SparkSession, folder: str, prefix: str = "") -> set[int]:
+    """Names below a folder that are numbers, after a prefix."""
     fs, path = _file_system(spark, folder)
     names = [entry.getPath().getName() for entry in fs.listStatus(path)] if fs.exists(path) else []
-    return [int(n) for n in names if n.lstrip("-").isdigit()]
+    own = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+    return {int(n) for n in own if n.lstrip("-").isdigit()}
 
 
 def noted(spark: SparkSession, folder: str, number: int) -> int:
     """The number noted under a folder; the first call notes its own (as the name of an empty file)."""
     known = numbers_in(spark, folder)
     if known:
-        return known[0]
+        return min(known)
     fs, path = _file_system(spark, f"{folder}/{number}")
     fs.createNewFile(path)
     return number
-
-
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "doi") -> None:
-    """Table bucketed and sorted by key: joins with tables of equal buckets need no shuffle."""
-    df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)

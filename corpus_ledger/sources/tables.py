@@ -11,18 +11,31 @@ from .. import schemas
 from ..functions.text import has_text_sql
 
 
+def _with_status(df: DataFrame) -> DataFrame:
+    # added on demand by older tables' owners
+    return df if "parsing_status" in df.columns else df.withColumn("parsing_status", F.lit(None).cast("string"))
+
+
 def read_papers(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Paper table (parquet). Columns and the key filter reach the scan."""
-    df = spark.read.parquet(path)
-    have = set(df.columns)
-    if "parsing_status" not in have:  # added on demand by older tables' owners
-        df = df.withColumn("parsing_status", F.lit(None).cast("string"))
+    """Paper table (parquet), some of its columns or all; Spark reads no others."""
+    df = _with_status(spark.read.parquet(path))
     return df.select(*columns) if columns else df
 
 
-def read_papers_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int, upper: int, parts: int) -> DataFrame:
-    """Paper table over JDBC, read in ``parts`` ranges of a numeric column."""
-    return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper, numPartitions=parts)
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "doi") -> DataFrame:
+    """A table of one sorted file per bucket of the key, read back.
+
+    Tables with the same number of buckets meet on their key without a shuffle, and a filter on a key reads its
+    bucket only. One key has one row here; a table in which a key repeats a lot is better left unbucketed.
+    """
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("errorifexists").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def read_keyed(table: DataFrame, keys: list[str], columns: list[str] | None = None, key: str = "doi") -> DataFrame:
+    """Rows of a few keys. The filter reaches the scan, which opens only the buckets that can hold them."""
+    rows = table.filter(F.col(key).isin(*keys) if keys else F.lit(False))
+    return rows.select(*columns) if columns else rows
 
 
 def read_evaluations(spark: SparkSession, path: str) -> DataFrame:

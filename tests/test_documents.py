@@ -260,7 +260,7 @@ def test_import_rules(spark):
         "space": ("grobid", False, None, *g, "  | grobid: success"),
     }
     counters = merge.import_counters(changes).first().asDict()
-    assert counters == {"json_updates": 10, "skipped_already_complete": 1, "abstract_updated": 2, "sections_updated": 7, "status_from_jsons": 9}
+    assert counters == {"json_updates": 10, "skipped_already_complete": 1, "abstract_updated": 2, "sections_updated": 7, "status_from_jsons": 9, "errors": 0}
     after = {r["pmid"]: r for r in merge.apply_changes(rows, changes).collect()}
     assert len(after) == 14 and after["12"]["doi"] is None and after["13"]["doi"] == ""
     assert (after["7"]["abstract"], after["7"]["full_text"]) == ("old", "T\ng")

@@ -2,11 +2,12 @@
 
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from corpus_ledger import schemas
-from corpus_ledger.operators import numbering, reports
+from corpus_ledger.operators import extraction, gaps, inventory, numbering, reports
 from corpus_ledger.sources import artefacts, lists, logs, sinks, tables
 from corpus_ledger.streaming import ledger as stream
 
@@ -155,17 +156,117 @@ def test_work_streams(spark, tmp_path):
 
 
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
-    for name in ("left_t", "right_t"):
-        path = f"{tmp_path}/{name}"
-        df = spark.range(100).select(F.col("id").cast("string").alias("doi"), F.lit(name).alias("v"))
-        df.write.bucketBy(4, "doi").sortBy("doi").mode("overwrite").option("path", path).saveAsTable(name)
+    sides = [
+        tables.write_bucketed(spark.range(100).select(F.col("id").cast("string").alias("doi"), F.lit(n).alias("v")), n, f"{tmp_path}/{n}", 4)
+        for n in ("left_t", "right_t")
+    ]
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = spark.table("left_t").join(spark.table("right_t"), "doi")
-        assert joined.count() == 100
-        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+        for joined in (sides[0].join(sides[1], "doi"), gaps.select_keys(sides[0], sides[1])):
+            assert joined.count() == 100
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan.replace("BroadcastExchange", "")
+        some = tables.read_keyed(sides[0], ["7", "none"], ["doi"])
+        assert [r["doi"] for r in some.collect()] == ["7"] and tables.read_keyed(sides[0], []).count() == 0
+        one = tables.read_keyed(sides[0], ["7"], ["doi"])
+        one.collect()
+        plan = one._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        assert "EqualTo(doi,7)" in plan.split("PushedFilters: [")[1].split("]")[0]
+        spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # else buckets do not show in the plan
+        one = tables.read_keyed(sides[0], ["7"], ["doi"])._jdf.queryExecution()
+        plan = one.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        assert "SelectedBucketsCount: 1 out of 4" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
         spark.sql("DROP TABLE left_t")
         spark.sql("DROP TABLE right_t")
+
+
+def test_numbering_runs_nothing_until_asked(spark):
+    """No job runs while the plan is built; ties, repeated rows, NULLs and any number of ranges are numbered in order."""
+    rows = [(None if i % 40 == 0 else "hot" if i % 3 == 0 else f"k{i * 7919 % 500:03d}", i % 50) for i in range(600)]
+    df = spark.createDataFrame(rows, "doi string, x int").repartition(5)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("numbering", "plan only")
+    for bits in (0, 1, 4, 10):
+        numbered = numbering.with_row_number(df, "doi", "x", bits=bits)
+        assert not jobs.getJobIdsForGroup("numbering")
+        assert "Checkpoint" not in numbered._jdf.queryExecution().executedPlan().toString()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        got = sorted((r["rn"], r["doi"], r["x"], r["total"]) for r in numbered.collect())
+        assert [g[0] for g in got] == list(range(1, 601)) and {g[3] for g in got} == {600}
+        assert [g[1:3] for g in got] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+        spark.sparkContext.setJobGroup("numbering", "plan only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_routes_leave_one_scan(spark, tmp_path):
+    good = json.dumps({"metadata": {"title": "abcdef"}, "full_text": {"body": [{"title": "t", "content": "x" * 60}]}})
+    source = f"{tmp_path}/bodies"
+    spark.createDataFrame([("a", "grobid", good), ("b", "grobid", "{bad"), ("c", "pymupdf", "{}")], "stem string, parser string, body string").selectExpr(
+        "stem", "parser", "cast(octet_length(body) AS bigint) AS length", "body"
+    ).write.parquet(source)
+    routed = inventory.routed(spark.read.parquet(source))
+    assert routed._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    sinks.write_routed(routed, f"{tmp_path}/routed")
+    sides = {side: {r["stem"]: r["reason"] for r in spark.read.parquet(f"{tmp_path}/routed/route={side}").collect()} for side in ("usable", "quarantine")}
+    assert sides["usable"] == {"a": None} and sides["quarantine"].keys() == {"b", "c"} and sides["quarantine"]["b"] == "Invalid JSON"
+
+
+def test_results_are_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def status(x):
+        seen.add(1)
+        return x
+
+    rows = [("a", "success"), ("b", "success"), ("c", "not_found"), ("d", "processing_failed")]
+    df = spark.createDataFrame(rows, "identifier string, status string").withColumn("status", status("status"))
+    sinks.write_results_json(df, f"{tmp_path}/known", "now")
+    assert seen.value == 4
+    stats = {r["status"]: r["papers"] for r in spark.read.json(f"{tmp_path}/known/statistics").collect()}
+    assert stats == {"success": 2, "not_found": 1, "processing_failed": 1}
+    other = spark.createDataFrame([*rows, ("e", "odd"), ("f", None)], "identifier string, status string")
+    sinks.write_results_json(other, f"{tmp_path}/other", "now")
+    stats = {r.asDict().get("status"): r["papers"] for r in spark.read.schema("status string, papers bigint").json(f"{tmp_path}/other/statistics").collect()}
+    assert stats == {"success": 2, "not_found": 1, "processing_failed": 1, "odd": 1, None: 1}
+
+
+def test_extraction_goes_on_where_it_stopped(spark, tmp_path):
+    folder = write(tmp_path / "in", **{f"10.1_{i:02d}__pdf": ("bad" if i == 4 else "nothing" if i == 7 else f"text {i}") for i in range(12)})
+    pending = spark.createDataFrame([(f"10.1_{i:02d}", f"{folder}/10.1_{i:02d}.pdf") for i in range(12)] + [("10.1_99", f"{folder}/none.pdf")], "stem string, path string")
+    calls = f"{tmp_path}/calls"
+
+    def extract(frame, mode):
+        with open(calls, "a") as f:
+            f.writelines(f"{s}\n" for s in frame["stem"])
+        if (frame["content"] == b"bad").any():
+            raise ValueError("broken")
+        kept = frame[frame["content"] != b"nothing"]
+        return pd.DataFrame({"stem": kept["stem"], "body": [mode + c.decode() for c in kept["content"]]})
+
+    out = f"{tmp_path}/run"
+    extraction.plan(pending, out, 5)
+    assert extraction.results(spark, out).count() == 0
+    assert not extraction.run_batches(spark, extract, out, "simple", stop_after=1)
+    assert sorted((r["batch"], r["files"], r["done"]) for r in extraction.progress(spark, out).collect()) == [(1, 5, True), (2, 5, False), (3, 3, False)]
+    # A batch that was cut off while writing is not done, and is written anew.
+    (tmp_path / "run/results/batch=2").mkdir()
+    (tmp_path / "run/results/batch=2/part-half.parquet").write_text("torn")
+    before = open(calls).read()
+    extraction.plan(pending.limit(0), out, 1)  # the stored plan stays
+    assert extraction.run_batches(spark, extract, out, "simple")
+    assert extraction.run_batches(spark, extract, out, "simple")
+    assert "10.1_00\n" in before and "10.1_00\n" not in open(calls).read().removeprefix(before)
+    got = {r["stem"]: (r["status"], r["error"], r["body"]) for r in extraction.results(spark, out).collect()}
+    assert len(got) == 13 and got["10.1_03"] == ("success", None, "simpletext 3") and got["10.1_07"] == ("failed", None, None)
+    assert got["10.1_04"] == ("error", "ValueError: broken", None) and got["10.1_99"][0] == "error"
+    assert {r["mode"] for r in extraction.results(spark, out).collect()} == {"simple"}
+    with pytest.raises(ValueError, match="unknown mode"):
+        extraction.extracted(pending, extract, "loud")
+    limited = f"{tmp_path}/limited"
+    extraction.plan(pending, limited, 5, limit=3)
+    assert extraction.progress(spark, limited).agg(F.sum("files")).first()[0] == 3
