@@ -62,15 +62,26 @@ def full_text_join(spark, sf_dir):
     return sections.full_texts(Source(spark, sf_dir).spans).select("doc_id", F.md5("full_text").alias("text_md5"), "page_count")
 
 
+# Titles and contents of all sections of a document, in order.
+CONTENTS = "string_agg(title || ':' || n_blocks || ':' || content_md5, ',' ORDER BY section)"
+
+
+def _contents(listed):
+    line = lambda s: F.concat_ws(":", s["title"], F.size(s["content"]), F.md5(F.array_join(s["content"], "\n\n")))
+    return F.md5(F.array_join(F.transform(F.coalesce(listed, F.array().cast("array<struct<title:string,content:array<string>>>")), line), ","))
+
+
 @query(
     "structured_mode",
-    sql=BLOCKS + """SELECT d.doc_id, 'structured' AS mode, coalesce(x.n, 0) AS n_sections, x.first_title FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, arg_min(title, section) AS first_title FROM sec GROUP BY doc_id) x ON d.doc_id = x.doc_id""",
+    sql=BLOCKS + f"""SELECT d.doc_id, 'structured' AS mode, coalesce(x.n, 0) AS n_sections, x.first_title, md5(coalesce(x.c, '')) AS contents_md5 FROM documents d
+LEFT JOIN (SELECT doc_id, count(*) AS n, arg_min(title, section) AS first_title, {CONTENTS} AS c FROM sec GROUP BY doc_id) x ON d.doc_id = x.doc_id""",
 )
 def structured_mode(spark, sf_dir):
     docs = sections.structured_documents(Source(spark, sf_dir).spans, "structured")
     listed = F.col("structured_text.sections")
     return docs.select(
-        "doc_id", "mode", F.coalesce(F.array_size(listed), F.lit(0)).cast("long").alias("n_sections"), F.get(listed, F.lit(0))["title"].alias("first_title")
+        "doc_id", "mode", F.coalesce(F.array_size(listed), F.lit(0)).cast("long").alias("n_sections"), F.get(listed, F.lit(0))["title"].alias("first_title"),
+        _contents(listed).alias("contents_md5"),
     )
 
 
@@ -80,10 +91,14 @@ def simple_mode(spark, sf_dir):
     return docs.select("doc_id", "mode", F.md5("text").alias("text_md5"))
 
 
-@query("full_mode", sql=BLOCKS + f"SELECT doc_id, 'full' AS mode, text_md5, page_count FROM ({TEXTS}) x")
+@query(
+    "full_mode",
+    sql=BLOCKS + f"""SELECT x.doc_id, 'full' AS mode, text_md5, page_count, md5(coalesce(c.c, '')) AS contents_md5 FROM ({TEXTS}) x
+LEFT JOIN (SELECT doc_id, {CONTENTS} AS c FROM sec GROUP BY doc_id) c ON c.doc_id = x.doc_id""",
+)
 def full_mode(spark, sf_dir):
     docs = sections.structured_documents(Source(spark, sf_dir).spans, "full")
-    return docs.select("doc_id", "mode", F.md5("structured_text.full_text").alias("text_md5"), "structured_text.page_count")
+    return docs.select("doc_id", "mode", F.md5("structured_text.full_text").alias("text_md5"), "structured_text.page_count", _contents(F.col("structured_text.sections")).alias("contents_md5"))
 
 
 @query(
