@@ -1,10 +1,12 @@
-"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a Viterbi search.
-
-The pieces and their scores come from a given model; the encoding of a text is the split into
-pieces with the largest sum of scores. One pass over the text: the automaton reports all pieces
-that end at a position, following its output links, and each relaxes the best score there. No
-piece joins a space to what is before it, so the best split of a text is the best splits of its
-words one after the other, and each word is searched once per task.
+"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives one pass over each text.
+
+The model's scores are merge ranks: its own encoding merges the best pair of neighbours again and again. That is
+no largest sum of scores, but it can be told from neighbours alone: a split is the model's if each piece is what merging
+makes of its own characters, and each two neighbours are what merging makes of theirs. So the pass relaxes, at each
+position, the pieces that end there, longest first along the automaton's output links: a piece is taken if it stays apart from
+the piece the best split ends with where it begins. Exactly one does. Whether two pieces stay apart is read off their
+merge trees (``Merges.apart``). No piece joins a space to what is before it, so the split of a text is the splits of its words one
+after the other, and each word is searched once per task.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ class Model:
             inner = self.pieces[k].lstrip(SPACE)
             if SPACE in inner or ("\n" in self.pieces[k] and len(self.pieces[k]) > 1):
                 raise ValueError("a piece crosses words")
-        self.fallback = min(s for s in self.scores if s > -1e6) - 10
+        self.rank, self.left, self.right = merge_trees(self.pieces, self.scores, self.plain)
 
     def bodies(self) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all pieces, one after the other, and where each begins."""
@@ -58,49 +60,111 @@ class Model:
         return np.frombuffer(b"".join(own), np.uint8), at
 
 
+def merge_trees(pieces: list[str], scores: list[float], plain: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """For each piece its place in the order of merges (best first; -1 for single characters) and the two pieces of its last merge.
+
+    A piece that merging its characters does not give has no parts (-1, -1) and is never used.
+    """
+    ids = {pieces[k]: k for k in plain}
+    place = {k: n for n, k in enumerate(sorted(plain, key=lambda k: (-scores[k], k)))}
+    rank, left, right = [-1] * len(pieces), [-1] * len(pieces), [-1] * len(pieces)
+    for k in plain:
+        if len(pieces[k]) == 1:
+            continue
+        rank[k] = place[k]
+        parts = [ids.get(c, -1) for c in pieces[k]]
+        while len(parts) > 2:
+            pairs = [(place[m], i) for i in range(len(parts) - 1) if (m := ids.get(pieces[parts[i]] + pieces[parts[i + 1]])) is not None] if -1 not in parts else []
+            if not pairs:
+                break
+            i = min(pairs)[1]
+            parts[i : i + 2] = [ids[pieces[parts[i]] + pieces[parts[i + 1]]]]
+        if len(parts) == 2 and -1 not in parts:
+            left[k], right[k] = parts
+    return rank, left, right
+
+
+#: Words longer than this are searched each time; kept words take so many bytes at most (each counts for its ids as well).
+LONG_WORD = 256
+KEPT_BYTES = 48 << 20
+
+
 class Encoder:
-    """Best split of single words, and of whole texts with every word searched once."""
+    """The model's split of single words, and of whole texts with every word searched once."""
 
     def __init__(self, model: Model):
         import ahocorasick
 
         self.model = model
+        self.ids = {model.pieces[k]: k for k in model.plain}
         self.automaton = ahocorasick.Automaton()
         for k in model.plain:
-            self.automaton.add_word(model.pieces[k], (len(model.pieces[k]), model.scores[k], k))
+            if len(model.pieces[k]) == 1 or model.left[k] >= 0:
+                self.automaton.add_word(model.pieces[k], (len(model.pieces[k]), k))
         self.automaton.make_automaton()
         self.body, self.at = model.bodies()
         self.known: dict[int, np.ndarray] = {}
+        self.kept = 0
+        self.pairs: dict[int, bool] = {}
+
+    def apart(self, a: int, b: int) -> bool:
+        """Do two neighbouring pieces stay apart when their characters are merged?
+
+        The merges that made them are undone, the last one first. Whenever what then touches could have merged before the merge
+        that was undone last, they would not be two pieces: of equal merges the one to the left comes first.
+        """
+        key = a << 24 | b
+        known = self.pairs.get(key)
+        if known is not None:
+            return known
+        m, x, y = self.model, a, b
+        limit, result = len(m.pieces), True
+        while True:
+            both = self.ids.get(m.pieces[x] + m.pieces[y])
+            if both is not None and m.rank[both] < limit:
+                result = False
+                break
+            if m.rank[x] < 0 and m.rank[y] < 0:
+                break
+            if m.rank[x] >= m.rank[y]:
+                # Equal pieces: the left one was made first, so the right one is undone first.
+                if m.rank[x] == m.rank[y]:
+                    limit, y = m.rank[y] + 1, m.left[y]
+                else:
+                    limit, x = m.rank[x], m.right[x]
+            else:
+                limit, y = m.rank[y] + 1, m.left[y]
+        if len(self.pairs) > 2_000_000:
+            self.pairs = {}
+        self.pairs[key] = result
+        return result
 
     def word(self, text: str) -> list[int]:
-        """Piece ids of a text whose spaces are replaced; ties go to the longer last piece."""
+        """Piece ids of a text whose spaces are replaced. A character no piece has is one byte piece for each byte."""
         n = len(text)
-        best, back = [0.0] + [-np.inf] * n, [(0, -1)] * (n + 1)
-        fallback, done = self.model.fallback, 0
-
-        def reach(end: int):
-            # Characters no piece has covered so far cost one byte piece for each byte.
-            nonlocal done
-            for e in range(done + 1, end + 1):
-                s = best[e - 1] + fallback * len(raw(text[e - 1]))
-                if s > best[e]:
-                    best[e], back[e] = s, (1, -1)
-            done = max(done, end)
-
-        for end, (size, score, piece) in self.automaton.iter(text):
-            reach(end)
-            s = best[end + 1 - size] + score
-            if s > best[end + 1] or (s == best[end + 1] and size > back[end + 1][0]):
-                best[end + 1], back[end + 1] = s, (size, piece)
-        reach(n)
+        last = [-2] * (n + 1)  # the piece the split up to here ends with; -1 for a character without one, -2 for none yet
+        last[0] = -1
+        size, done = [0] * (n + 1), 0
+        for end, (length, piece) in self.automaton.iter(text):
+            end += 1
+            while done < end:  # characters without a piece stay alone
+                if last[done] == -2:
+                    last[done], size[done] = -1, 1
+                done += 1
+            if last[end] == -2:
+                before = last[end - length]
+                if before == -1 or self.apart(before, piece):
+                    last[end], size[end] = piece, length
+        for e in range(1, n + 1):
+            if last[e] == -2:
+                last[e], size[e] = -1, 1
         out, e = [], n
         while e:
-            size, piece = back[e]
-            if piece < 0:
+            if last[e] < 0:
                 out += [self.model.byte_ids[b] for b in reversed(raw(text[e - 1]))]
             else:
-                out.append(piece)
-            e -= size
+                out.append(last[e])
+            e -= size[e]
         return out[::-1]
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,14 +181,17 @@ class Encoder:
         front = first[starts]
         hashes = buffers.word_hashes(data, starts, ends) ^ front.astype(buffers.U64)
         own, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > 1_000_000:
-            self.known = {}
+        if self.kept > KEPT_BYTES:
+            self.known, self.kept = {}, 0
         body, parts = data.tobytes(), []
         for h, k in zip(own.tolist(), where.tolist(), strict=True):
             ids = self.known.get(h)
             if ids is None:
                 unit = body[starts[k] : ends[k]].decode().replace(SPACE, LITERAL).replace(" ", SPACE)
-                ids = self.known[h] = np.array(self.word(SPACE + unit if front[k] else unit), np.int32)
+                ids = np.array(self.word(SPACE + unit if front[k] else unit), np.int32)
+                if ends[k] - starts[k] <= LONG_WORD:
+                    self.known[h] = ids
+                    self.kept += 200 + ids.nbytes
             parts.append(ids)
         size = np.array([len(p) for p in parts], np.int64)
         table, begin = np.concatenate(parts), np.cumsum(size) - size
