@@ -7,6 +7,7 @@ Hashes are 64 bits wide and depend on content only, so they agree between tasks
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,23 @@ import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
 
+
+def lean(run):
+    """Batches of a task, and then back to the machine what memory the task held.
+
+    A Python worker serves one task after another, and keeps what its allocators have once had.
+    """
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1  # odd, so that its powers have inverses modulo 2**64
 WHITE = bytes([0x20, *range(0x09, 0x0E)])

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import buffers
 from .fm_index import FMIndex
-from .tables import written
+from .tables import opened, shared, written
 
 WINDOW_WORDS = 13
 #: Phrases searched in one pass over the documents; more are searched in further passes.
@@ -130,8 +130,9 @@ def merged_spans(hit: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.n
 def _step(phrases):
     lower, outside = buffers.lower_ascii(), buffers.separators(OUTSIDE)
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = phrases.value
+        wanted = opened(Phrases, phrases)
         for batch, data, offsets in buffers.slices(batches, "text"):
             data = lower[data]
             words = buffers.word_spans(data, offsets, outside)
@@ -176,7 +177,7 @@ def contamination(
     nothing = ["0L AS n_words", "0L AS n_hit", "CAST(array() AS array<string>) AS items", f"CAST(array() AS {SPANS}) AS spans"]
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).selectExpr("*", *nothing)
     for k, group in enumerate(passes(benchmark, item, item_text, most)):
-        rows = (rows if k == 0 else written(rows, "decontaminate")).mapInArrow(_step(spark.sparkContext.broadcast(group)), rows.schema)
+        rows = (rows if k == 0 else written(rows, "decontaminate")).mapInArrow(_step(shared(spark, group)), rows.schema)
     return rows
 
 

@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from . import buffers, repeats
 from .fm_index import WaveletMatrix
-from .tables import release, written
+from .tables import release, unused, written
 
 WINDOW_BYTES = 400
 ANCHOR_BYTES = 200
 #: Bytes that are sorted together at least, as far as a task has them.
-SORTED_BYTES = 2 << 20
+SORTED_BYTES = 1 << 20
 #: Contents of one anchor that are sorted together at most; anchors with more are cut finer first.
 CROWD = 4000
 FINER = (25, 1)
@@ -37,16 +37,19 @@ def bounded_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     for j in range(min(7, n)):
         key[: n - j] |= (symbols[j:].astype(np.uint64) + np.uint64(1)) << np.uint64(9 * (6 - j))
     width = 7
-    order = np.argsort(key)
+    # Places and ranks take four bytes each; only the sorting keys are wider.
+    order = np.argsort(key).astype(np.int32)
     while True:
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[1], 1 + np.cumsum(ordered[1:] != ordered[:-1])])
+        new = np.ones(n, np.int32)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        rank = np.empty(n, np.int32)
+        rank[order] = np.cumsum(new, dtype=np.int32)
         if width >= depth or rank[order[-1]] == n:
             return order
-        key = rank * (n + 1)
+        del order, new
+        key = rank.astype(np.int64) * (n + 1)
         key[: max(0, n - width)] += rank[width:]
-        order = np.argsort(key)
+        order = np.argsort(key).astype(np.int32)
         width *= 2
 
 
@@ -57,11 +60,11 @@ def equal_windows(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarr
     never one of two different windows that count.
     """
     present = np.flatnonzero(np.bincount(data, minlength=256))
-    dense = np.zeros(256, np.int64)
+    dense = np.zeros(256, np.int16)
     dense[present] = np.arange(2, len(present) + 2)
     # 0 ends the sequence, 1 stands before each content.
-    sequence = np.ones(len(data) + len(offsets), np.int64)
-    place = np.arange(len(data)) + np.repeat(np.arange(1, len(offsets)), np.diff(offsets))
+    sequence = np.ones(len(data) + len(offsets), np.int16)
+    place = np.arange(len(data), dtype=np.int32) + np.repeat(np.arange(1, len(offsets), dtype=np.int32), np.diff(offsets))
     sequence[place] = dense[data]
     sequence[-1] = 0
     n = len(sequence)
@@ -81,8 +84,9 @@ def equal_windows(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarr
         fresh = ~border[high]
         low, high = low[fresh], high[fresh]
         border[high] = True
-    classes = np.empty(n, np.int64)
-    classes[order] = np.cumsum(border[:-1])
+    del before, sequence
+    classes = np.empty(n, np.int32)
+    classes[order] = np.cumsum(border[:-1], dtype=np.int32)
     return classes[place]
 
 
@@ -92,6 +96,7 @@ def repeated_spans(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, w
     sizes = np.diff(offsets)
     left = np.repeat(offsets[1:], sizes) - np.arange(len(data))
     weight = np.where(left >= width, np.repeat(weights, sizes), 0)
+    del left
     often = (np.bincount(classes, weights=weight)[classes] > 1) & (weight > 0)
     out = []
     for a, b in zip(offsets[:-1], offsets[1:], strict=True):
@@ -109,6 +114,7 @@ def _expanded(width: int):
         spans = repeated_spans(np.frombuffer(b"".join(bodies), np.uint8), offsets, np.array(weights, np.int64), width)
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(spans, kind)], names=["key", "content", "spans"])
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
@@ -125,6 +131,7 @@ def _expanded(width: int):
     return run
 
 
+@buffers.lean
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the runs listed with each body."""
     for batch in batches:
@@ -145,6 +152,7 @@ def _finer(width: int, inner: int, step: int):
     Places are counted from the anchor, so equal windows fall into pieces with equal cores.
     """
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "content", "n", "anchor", "at", "length", "core", "piece", "bytes"]
         kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.binary()]
@@ -247,8 +255,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     ``n_chars``, where there is one, counts what is left. NULL texts stay NULL.
     """
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    packed = docs.select(F.struct(*others, F.col("text").isNull().alias("_null")).alias("doc_id"), "text")
-    found = repeated_bytes(packed, whole=True, valid=True).select("doc_id.*", F.expr("IF(doc_id._null, NULL, CAST(kept AS string))").alias("text"))
+    null = unused(docs, "_null")
+    packed = docs.select(F.struct(*others, F.col("text").isNull().alias(null)).alias("doc_id"), "text")
+    found = repeated_bytes(packed, whole=True, valid=True).select("doc_id.*", F.expr(f"IF(doc_id.{null}, NULL, CAST(kept AS string))").alias("text"))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import buffers
 from .components import components
-from .tables import release, written
+from .tables import release, unused, written
 
 SHINGLE_WORDS = 5
 BAND = 4  # sizes of one band differ by less than this factor
@@ -139,6 +139,7 @@ def hamming(a: Column, b: Column) -> Column:
     return F.aggregate(odd, F.lit(0), lambda s, x: s + x)
 
 
+@buffers.lean
 def _classes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "text_hash", "n", "key", "cell", "hits", "bits"]
     seen: set[int] = set()
@@ -177,6 +178,7 @@ def _classes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _signed_rows(common, seed: int):
+    @buffers.lean
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grade, seen = np.zeros(CELLS, np.uint8), set()
         cells, hits = common.value
@@ -199,6 +201,7 @@ def _signed_rows(common, seed: int):
     return run
 
 
+@buffers.lean
 def _buckets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by signature, size and key: keep signatures of two sets or more, each set with a pivot.
 
@@ -254,6 +257,7 @@ def _buckets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = fresh_next
 
 
+@buffers.lean
 def _sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for _, data, offsets in buffers.slices(rows, "text", buffers.SLICE_BYTES // 2):
@@ -426,9 +430,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     least = by_row.filter("component_id = doc_id").groupBy("doc_id").agg(F.min("text_hash").alias("least"))
     gone = by_row.join(least, "doc_id", "left").filter("component_id <> doc_id OR text_hash <> least").select("doc_id", "text_hash")
     again = by_row.filter("n > 1").select("doc_id", "text_hash")
-    own = docs.withColumn("_hash", F.xxhash64("text"))
-    kept = own.join(gone, (own["doc_id"] == gone["doc_id"]) & (own["_hash"] == gone["text_hash"]), "left_anti")
+    mark = unused(docs, "_hash")
+    own = docs.withColumn(mark, F.xxhash64("text"))
+    kept = own.join(gone, (own["doc_id"] == gone["doc_id"]) & (own[mark] == gone["text_hash"]), "left_anti")
     if not again.isEmpty():  # whole rows are grouped only where rows repeat
-        on = (kept["doc_id"] == again["doc_id"]) & (kept["_hash"] == again["text_hash"])
-        kept = kept.join(again, on, "left_anti").unionByName(kept.join(again, on, "left_semi").dropDuplicates(["doc_id", "_hash"]))
+        on = (kept["doc_id"] == again["doc_id"]) & (kept[mark] == again["text_hash"])
+        kept = kept.join(again, on, "left_anti").unionByName(kept.join(again, on, "left_semi").dropDuplicates(["doc_id", mark]))
     return kept.select(*docs.columns)

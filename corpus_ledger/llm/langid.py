@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import buffers, chargrams
-from .tables import written
+from .tables import opened, shared, written
 
 SIZES = (1, 2, 3)
 CELLS = 1 << 12
@@ -142,10 +142,10 @@ def identified(docs: DataFrame, model: Model | None, id: str = "doc_id", text: s
     to the language first in order. Repeated rows each come out.
     """
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    handle = shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = opened(Model, handle)
         for batch, data, offsets in _pieces(batches):
             n = batch.num_rows
             known = has_letter(data, offsets) if m is not None and len(m.languages) else np.zeros(n, bool)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import buffers
+from .tables import opened, shared
 
 SPACE = "▁"
 #: Stands for a space sign that is itself in the text; no valid text holds it.
@@ -216,10 +217,11 @@ def encoded(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text")
     spaces in front only.
     """
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(Model(model))
+    handle = shared(docs.sparkSession, Model(model))
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(opened(Model, handle))
         for batch, data, offsets in buffers.slices(batches, "text", 1 << 20):
             ids, counts = encoder(data, offsets)
             ends = np.cumsum(counts)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import buffers
-from .tables import new_path, release, written
+from .tables import new_path, opened, release, shared, written
 
 #: Fixed values of the file format.
 VERSION = 1
@@ -256,13 +256,13 @@ def write_ids(ids: DataFrame, path: str) -> Frequencies:
     counts = rows.mapInArrow(_counted, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     table = Frequencies.of({r["id"]: r["n"] for r in counts})
     spark.createDataFrame([(table.to_json(),)], "body string").coalesce(1).write.text(f"{path}/frequencies")
-    shared = spark.sparkContext.broadcast(table)
+    handle = shared(spark, table)
     kind = ids.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tables, shard, block, first = shared.value.tables(), TaskContext.get().partitionId(), 0, 0
+        tables, shard, block, first = opened(Frequencies, handle).tables(), TaskContext.get().partitionId(), 0, 0
         docs: list[tuple] = []
         size = 0
 
@@ -299,12 +299,12 @@ def read_ids(spark: SparkSession, path: str, texts: bool = False) -> DataFrame:
     A block whose CRC-32 does not fit raises an error.
     """
     body = "".join(r["value"] for r in spark.read.text(f"{path}/frequencies").collect())
-    shared = spark.sparkContext.broadcast(Frequencies.from_json(body))
+    handle = shared(spark, Frequencies.from_json(body))
     blocks = spark.read.parquet(f"{path}/blocks")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value.tables()
+        tables = opened(Frequencies, handle).tables()
         for batch in batches:
             for k in range(batch.num_rows):
                 b = {name: batch.column(j)[k].as_py() for j, name in enumerate(batch.schema.names) if name != "doc_ids"}

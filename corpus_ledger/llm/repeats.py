@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import buffers
-from .tables import written
+from .tables import opened, shared, written
 
 #: Rows of the count-min sketch and cells in each; both bound the merged sketch.
 ROWS = 2
@@ -85,6 +85,7 @@ def count_min_filter(docs: DataFrame, anchors: Callable) -> Filter:
     as its filled cells with counts up to two; Spark adds the counts up.
     """
 
+    @buffers.lean
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def filled(parts):
             keys = np.concatenate(parts) if parts else np.zeros(0, buffers.U64)
@@ -96,7 +97,7 @@ def count_min_filter(docs: DataFrame, anchors: Callable) -> Filter:
         for keys in anchors(batches):
             parts.append(keys)
             held += len(keys)
-            if held > 4_000_000:
+            if held > 2_000_000:
                 yield from filled(parts)
                 parts, held = [], 0
         yield from filled(parts)
@@ -113,6 +114,7 @@ def _packed(cells: DataFrame, bits: int) -> list[np.ndarray]:
     """The filter's rows, put together from pieces of at most 64 kB that tasks fill."""
     shift, piece_bits = CELL_BITS - bits, min(19, bits)
 
+    @buffers.lean
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -173,13 +175,14 @@ def candidate_runs(docs: DataFrame, kind: Kind, whole: bool = False) -> DataFram
     the hashes of each run's windows.
     """
     spark = docs.sparkSession
-    wanted = spark.sparkContext.broadcast(count_min_filter(docs.select("text"), kind.anchors))
+    wanted = shared(spark, count_min_filter(docs.select("text"), kind.anchors))
 
+    @buffers.lean
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 40
-        filter_ = wanted.value
+        filter_ = opened(Filter, wanted)
         for batch, data, offsets in buffers.slices(batches, "text", SLICE):
             n = batch.num_rows
             codes, at = kind.items(data, offsets)
@@ -264,6 +267,7 @@ def removal(found: DataFrame, runs: DataFrame, repeated: DataFrame, kind: Kind,
     )
     width = kind.width
 
+    @buffers.lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []

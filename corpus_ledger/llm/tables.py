@@ -18,6 +18,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -30,6 +38,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared(spark: SparkSession, value):
+    """Broadcast what an object holds (arrays, lists and numbers), not its class.
+
+    A broadcast is a plain pickle: one of a class of this package could only be opened where the package can be imported. The class
+    goes to the tasks with their code, and :func:`opened` puts the two together there.
+    """
+    return spark.sparkContext.broadcast(None if value is None else vars(value))
+
+
+def opened(kind: type, handle):
+    """The object of a class that was shared."""
+    if handle.value is None:
+        return None
+    value = object.__new__(kind)
+    value.__dict__.update(handle.value)
+    return value
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop shuffle files of finished steps now, not whenever the driver next runs short of memory."""
     gc.collect()

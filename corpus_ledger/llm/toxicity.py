@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import buffers, chargrams
+from .tables import opened, shared
 
 SIZES = (4, 5)
 CELLS = 1 << 20
@@ -47,6 +48,7 @@ def training_ids(by_id: DataFrame, most: int = MOST_PER_CLASS) -> DataFrame:
     return pick[0].unionByName(pick[1])
 
 
+@buffers.lean
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of each class have a cell, and (cell -1) how many texts there are."""
     counts = np.zeros((2, CELLS), np.int32)
@@ -106,6 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     index = np.full(CELLS, -1, np.int32)
     index[chosen] = np.arange(len(chosen))
 
+    @buffers.lean
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in buffers.slices(batches, "text"):
             text, cell = chargrams.grams(*chargrams.code_points(data, offsets), SIZES, CELLS, index >= 0)
@@ -154,12 +157,14 @@ def scored(docs: DataFrame, classifier: Classifier, id: str = "doc_id", text: st
     NULL and empty texts, and texts shorter than the n-grams, get the score of a text without
     features. Repeated rows each come out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    handle = shared(docs.sparkSession, classifier)
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value.table()
+        own = opened(Classifier, handle)
+        table = own.table()
         for batch, data, offsets in buffers.slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(data, offsets, table))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.scores(data, offsets, table))], names=["doc_id", "score"])
 
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
@@ -172,11 +177,13 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """Rows of ``docs`` with a score below 0.5, as they are; a NULL or empty text has the score of a text without features."""
-    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    handle = shared(docs.sparkSession, classifier)
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value.table()
+        own = opened(Classifier, handle)
+        table = own.table()
         for batch, data, offsets in buffers.slices(batches, "text"):
-            yield batch.filter(pa.array(shared.value.scores(data, offsets, table) < 0.5))
+            yield batch.filter(pa.array(own.scores(data, offsets, table) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
