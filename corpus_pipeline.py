@@ -16,7 +16,11 @@ ORACLE_SQL = None
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score below 0.5; the classifier learns from the labels of the given documents."""
+    """Documents with a score below 0.5; the classifier learns from the labels of the given documents.
+
+    NULL and empty texts have the score of a text without features and stay; repeated rows are judged alike, each for
+    itself; without labels of both classes there is nothing to learn, and all stay or, if all labels are toxic, none.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
@@ -38,12 +42,18 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose words do not lie in windows of the benchmark to a twentieth or more; their texts stay whole."""
+    """Documents whose words do not lie in windows of the benchmark to a twentieth or more; their texts stay whole.
+
+    NULL and empty texts have no words and stay, repeated rows are judged alike, and an empty benchmark keeps all.
+    """
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every text, with a check that decoding gives the text back."""
+    """Piece ids of every text, with a check that decoding gives the text back.
+
+    NULL counts as empty, and an empty text has no pieces; repeated rows each come out, and so do rows without an id.
+    """
     return pieces.encoding_report(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
