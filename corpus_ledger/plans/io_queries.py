@@ -166,6 +166,20 @@ def pdf_scan(spark, sf_dir):
     return artefacts.checked_pdfs(spark, f"{root}/pdfs", f"{root}/papers").select("stem", "dir", "length", "is_valid", "bytes_read")
 
 
+@query(
+    "pdf_inventory",
+    sql=f"""SELECT stem, dir, length FROM (SELECT {fixtures.STEM} AS stem, unnest(['papers', 'pdfs']) AS dir, doc_id, {LENGTH} AS length FROM documents WHERE text IS NOT NULL) x
+WHERE dir = 'papers' AND doc_id % 4 <> 0 OR dir = 'pdfs' AND doc_id % 3 <> 0""",
+)
+def pdf_inventory(spark, sf_dir):
+    """PDF files of two folders, some in both, by name, folder and size; their contents are not read."""
+    root = scratch_folder(spark)
+    pdfs = fixtures.pdf_files(spark, sf_dir).filter("content IS NOT NULL")
+    for folder, some, suffix in (("papers", "doc_id % 4 <> 0", ".pdf"), ("pdfs", "doc_id % 3 <> 0", ".Pdf")):
+        files.write_files(pdfs.filter(some).withColumn("name", F.concat("stem", F.lit(suffix))), f"{root}/{folder}", body="content")
+    return artefacts.list_pdfs(spark, f"{root}/papers", f"{root}/pdfs").select("stem", "dir", "length")
+
+
 @query(
     "files_since_scan", "extractions",
     sql="""SELECT stem, parser, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS scan FROM extractions
