@@ -17,8 +17,10 @@ from .tables import written
 
 SHINGLE_WORDS = 5
 ONE_IN = 4
-#: Text of one bucket of neighbouring ids, about; a single longer text has one of its own.
-BUCKET_CHARS = 16_000_000
+#: Text of one bucket of neighbouring ids, about; a single longer text has one of its own. There are about ``MOST_BUCKETS`` at
+#: most: beyond that much text buckets grow with it, so borders stay few enough for the driver and the plan.
+BUCKET_CHARS = 4_000_000
+MOST_BUCKETS = 1 << 15
 SPACE = "[ \\t-\\r]+"
 
 
@@ -86,8 +88,8 @@ def bucket_starts(rows: DataFrame) -> list[tuple[bool, int, int]]:
     """The least ``(_has, _id, _key)`` of each bucket, in order: runs of texts in that order, cut by running size.
 
     Only ids, hashes and lengths are sorted, by ranges that are written once; the driver gets one
-    row per range and one per bucket. However uneven the ids, a bucket holds ``BUCKET_CHARS`` and
-    at most one text more; only rows that repeat id and text stay together.
+    row per range and one per bucket, at most ``MOST_BUCKETS`` and one. However uneven the ids, a bucket holds ``BUCKET_CHARS``
+    (or its share of all text, if that is more) and at most one text more; only rows that repeat id and text stay together.
     """
     place = F.struct("_has", "_id", "_key")
     narrow = written(rows.groupBy("_has", "_id", "_key").agg(F.sum((F.length("_text") + 100).cast("long")).alias("_n")), "lengths")
@@ -96,10 +98,11 @@ def bucket_starts(rows: DataFrame) -> list[tuple[bool, int, int]]:
     if not totals:
         return []
     before = [0, *accumulate(r["n"] for r in totals)]
+    size = max(BUCKET_CHARS, -(-before[-1] // MOST_BUCKETS))
     offsets = rows.sparkSession.createDataFrame([(r["_part"], before[k]) for k, r in enumerate(totals)], "_part int, _before long")
     earlier = Window.partitionBy("_part").orderBy("_has", "_id", "_key").rowsBetween(Window.unboundedPreceding, -1)
     at = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    numbered = ranged.join(F.broadcast(offsets), "_part").select(place.alias("place"), F.floor(at / F.lit(BUCKET_CHARS)).alias("_bucket"))
+    numbered = ranged.join(F.broadcast(offsets), "_part").select(place.alias("place"), F.floor(at / F.lit(size)).alias("_bucket"))
     return sorted(tuple(r["start"]) for r in numbered.groupBy("_bucket").agg(F.min("place").alias("start")).collect())
 
 
@@ -126,7 +129,7 @@ def edited_pairs(docs: DataFrame, id: str = "doc_id", text: str = "text", one_in
     (NULL last), then by a hash of the text, so ties are in a fixed order. Rows that repeat id
     and text share one place in the order and each come out. NULL text counts as empty.
 
-    Texts move once: to their bucket, a run of about ``BUCKET_CHARS`` of text in that order,
+    Texts move once: to their bucket, a run of neighbouring texts in that order,
     where the next text is the neighbour in the sort order. Only one text per bucket has its
     neighbour elsewhere and is fetched for it.
     """

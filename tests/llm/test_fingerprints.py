@@ -57,6 +57,18 @@ def test_uneven_ids_are_spread_by_text_size(spark, monkeypatch, ids):
             assert edited[i] == t[: len(t) - k] + after[:k]
 
 
+def test_number_of_buckets_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(fp, "BUCKET_CHARS", 100)
+    monkeypatch.setattr(fp, "MOST_BUCKETS", 5)
+    rows = [(i, f"{i} " * (20 + i % 7)) for i in range(200)]
+    keyed = frame(spark, rows).select(F.lit(True).alias("_has"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), F.col("text").alias("_text"))
+    assert 3 <= len(fp.bucket_starts(keyed)) <= 6
+    got = {r["doc_id"]: r["edited"] for r in fp.edited_pairs(frame(spark, rows)).select("doc_id", "edited").collect()}
+    for (i, t), (_, after) in zip(rows[::-1], rows[-2::-1] + rows[-1:], strict=True):
+        k = len(t) // 3
+        assert got[i] == t[: len(t) - k] + after[:k]
+
+
 def test_empty_table(spark):
     assert fp.document_fingerprints(frame(spark, [])).collect() == []
 
