@@ -30,18 +30,15 @@ def _stream_view(spark: SparkSession, sf_dir: str, name: str, streamed: str) ->
     return spark.sql(text, **used)
 
 
-def _landed_events(spark: SparkSession, sf_dir: str, folder: str, odd: int) -> None:
-    Source(spark, sf_dir).ledger_events.filter(F.col("id") % 2 == odd).write.parquet(f"{folder}/half={odd}")
-
-
 def _ledger_stream(spark: SparkSession, sf_dir: str, root: str, base: DataFrame | None = None) -> str:
-    """The ledger after two runs over events that land in two halves out of order; the stream's checkpoint."""
-    schema = Source(spark, sf_dir).ledger_events.schema
+    """The ledger after two batches of events that land in two halves out of order; the stream's checkpoint."""
+    rows, files = Source(spark, sf_dir).ledger_events, spark.sparkContext.defaultParallelism
     for odd in (1, 0):
-        _landed_events(spark, sf_dir, f"{root}/events", odd)
-        events = spark.readStream.schema(schema).parquet(f"{root}/events")
-        # Half of the events are as late as the table is long.
-        keeper.start_ledger(events, f"{root}/keeper", base=base, lateness="1000 days").awaitTermination()
+        rows.filter(F.col("id") % 2 == odd).repartition(files).write.parquet(f"{root}/events/half={odd}")
+    # As many files to a batch as a half has; older ones come first.
+    events = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/events")
+    # Half of the events are as late as the table is long.
+    keeper.start_ledger(events, f"{root}/keeper", base=base, lateness="1000 days", idle_batches=False).awaitTermination()
     return f"{root}/keeper"
 
 

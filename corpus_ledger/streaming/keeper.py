@@ -239,12 +239,13 @@ def changes_of(events: DataFrame, lateness: str = LATENESS, start: DataFrame | N
 
 def start_ledger(
     events: DataFrame, checkpoint: str, on_change: Callable[[DataFrame, int], None] | None = None, base: DataFrame | None = None,
-    lateness: str = LATENESS, interval: str | None = None,
+    lateness: str = LATENESS, interval: str | None = None, idle_batches: bool = True,
 ) -> StreamingQuery:
     """Keep the ledger of an event stream in the state under ``checkpoint``; read it with :func:`read_ledger`.
 
     ``on_change`` gets the changed ledger rows of each batch and its number. ``base`` is a ledger to begin with. A batch that
-    runs again begins with the state before it, so each event counts once.
+    runs again begins with the state before it, so each event counts once. Without ``idle_batches`` timers fire with the
+    next events only, not in a batch of their own.
     """
     spark = events.sparkSession
     kind = events.schema["created_at"].dataType.simpleString()
@@ -253,7 +254,8 @@ def start_ledger(
         held = as_set_events(base).withColumn("created_at", F.lit(None).cast(kind))
         seen = base.select("doi", _micros(F.col("last_updated").cast(kind), kind).alias("seen"))
         start = combined(event_summaries(held)).drop("seen").join(seen, "doi").select("doi", *FIELDS)
-    with _setting(spark, "spark.sql.streaming.stateStore.providerClass", STORE):
+    idle = str(idle_batches).lower()
+    with _setting(spark, "spark.sql.streaming.stateStore.providerClass", STORE), _setting(spark, "spark.sql.streaming.noDataMicroBatches.enabled", idle):
         writer = changes_of(events, lateness, start).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
         if on_change is None:
             writer = writer.format("noop")
