@@ -197,12 +197,12 @@ def keywords(spark, sf_dir):
 
 # -- provider payloads, built from the texts' own numbers --------------------------------
 
-URL = "'https://repo.example.org/' || CAST(doc_id AS VARCHAR)"
+# Payloads carry digests and lines of the texts, so every text counts.
+URL = "'https://repo.example.org/' || md5(text)"
 
 
 def _urls(documents):
-    ident = F.col("doc_id").cast("string")
-    return documents.withColumn("u", F.concat(F.lit("https://repo.example.org/"), ident)).withColumn("k", F.col("n_chars") % 7)
+    return documents.withColumn("u", F.concat(F.lit("https://repo.example.org/"), F.md5("text"))).withColumn("k", F.col("n_chars") % 7)
 
 
 @query(
@@ -264,14 +264,15 @@ def openalex_url(spark, sf_dir):
 @query(
     "semantic_scholar_record",
     sql=f"""
-WITH t AS (SELECT doc_id, n_chars, nullif({MIRRORS}, '') || CAST(doc_id AS VARCHAR) || '.pdf' AS u FROM documents)
-SELECT doc_id, u AS raw_url, CASE WHEN u LIKE 'https://doi.org/%' OR u LIKE 'http://dx.doi.org/%' THEN NULL ELSE u END AS pdf_url, n_chars % 2 = 0 AS open_access, '' AS title, CAST(2000 + n_chars % 20 AS INT) AS year, 'V' AS venue, {LABEL_SQL} AS pdf_source FROM t""",
+WITH t AS (SELECT doc_id, n_chars, split_part(text, chr(10), 1) AS title, nullif({MIRRORS}, '') || CAST(doc_id AS VARCHAR) || '.pdf' AS u FROM documents)
+SELECT doc_id, u AS raw_url, CASE WHEN u LIKE 'https://doi.org/%' OR u LIKE 'http://dx.doi.org/%' THEN NULL ELSE u END AS pdf_url, n_chars % 2 = 0 AS open_access, CASE WHEN n_chars % 3 <> 0 THEN title ELSE '' END AS title, CAST(2000 + n_chars % 20 AS INT) AS year, 'V' AS venue, {LABEL_SQL} AS pdf_source FROM t""",
 )
 def semantic_scholar_record(spark, sf_dir):
     root = F.nullif(F.expr(MIRRORS), F.lit(""))
     docs = Source(spark, sf_dir).documents.withColumn("u", F.concat(root, F.col("doc_id").cast("string"), F.lit(".pdf")))
     payload = F.concat(
-        F.lit('{"venue": "V", "year": '), (2000 + F.col("n_chars") % 20).cast("string"), F.when(F.col("n_chars") % 2 == 0, ', "isOpenAccess": true').otherwise(""),
+        F.lit('{"venue": "V", '), F.when(F.col("n_chars") % 3 != 0, F.concat(F.regexp_extract(F.to_json(F.struct(fixtures.first_line(F.col("text")).alias("title"))), r"(?s)^\{(.*)\}$", 1), F.lit(", "))).otherwise(""),
+        F.lit('"year": '), (2000 + F.col("n_chars") % 20).cast("string"), F.when(F.col("n_chars") % 2 == 0, ', "isOpenAccess": true').otherwise(""),
         F.lit(', "openAccessPdf": '), F.coalesce(F.concat(F.lit('{"url": "'), F.col("u"), F.lit('"}')), F.lit("null")), F.lit("}"),
     )
     rows = docs.select("doc_id", payload.alias("payload"))
@@ -280,11 +281,11 @@ def semantic_scholar_record(spark, sf_dir):
 
 @query(
     "europe_pmc_url",
-    sql="""SELECT doc_id, CASE n_chars % 4 WHEN 0 THEN 'https://europepmc.org/articles/PMC' || doc_id || '?pdf=render' WHEN 1 THEN 'https://europepmc.org/articles/PMC' || doc_id WHEN 2 THEN 'https://other.org/' || doc_id END AS url FROM documents""",
+    sql="""SELECT doc_id, CASE n_chars % 4 WHEN 0 THEN 'https://europepmc.org/articles/PMC' || doc_id || '?pdf=render' WHEN 1 THEN 'https://europepmc.org/articles/PMC' || doc_id WHEN 2 THEN 'https://other.org/' || md5(text) END AS url FROM documents""",
 )
 def europe_pmc_url(spark, sf_dir):
     ident, k = F.col("doc_id").cast("string"), F.col("n_chars") % 4
-    url = F.when(k < 2, F.concat(F.lit("https://europepmc.org/articles/PMC"), ident)).otherwise(F.concat(F.lit("https://other.org/"), ident))
+    url = F.when(k < 2, F.concat(F.lit("https://europepmc.org/articles/PMC"), ident)).otherwise(F.concat(F.lit("https://other.org/"), F.md5("text")))
     payload = F.concat(
         F.lit('{"resultList": {"result": [{'), F.when(k == 0, F.concat(F.lit('"pmcid": "PMC'), ident, F.lit('", '))).otherwise(""),
         F.lit('"fullTextUrlList": {"fullTextUrl": [{"availability": "Subscription required", "url": "s"}, {"availability": "'),

@@ -49,7 +49,7 @@ def _stamp(micros: Column, kind: str) -> Column:
 
 
 def event_summaries(events: DataFrame) -> DataFrame:
-    """One summary per event: what it sets, and whether it resets or adds a retry."""
+    """One summary per event: what it sets, and whether it resets or adds a retry. Events without a DOI are left out."""
     events = ledger._with_optional(events)
     kind = events.schema["created_at"].dataType.simpleString()
     at, number, is_reset = _micros(F.col("created_at"), kind), F.col("id").cast("bigint"), F.col("event_type") == "reset"
