@@ -345,14 +345,59 @@ def _pivoted(unsettled: DataFrame, turn: int) -> DataFrame:
     )
 
 
+def _prefixes(common):
+    """The rarest quarter of each set's shingles, and one, with their places in the order of rarity."""
+
+    @buffers.lean
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.zeros(CELLS, np.int64)
+        cells, hits = common.value
+        often[cells] = hits
+        for batch in _sets(rows):
+            lists = batch.column(1)
+            sizes = np.asarray(lists.value_lengths()).astype(np.int64)
+            shingle = np.asarray(lists.flatten()).astype(np.int64)
+            own = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort([shingle, often[shingle & (CELLS - 1)], own])
+            place = buffers.places(sizes)
+            first = place <= sizes[own] // 4
+            keys = np.asarray(batch.column(0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shingle[order][first]), pa.array(keys[own][first]), pa.array(sizes[own][first]), pa.array(place[first])],
+                names=["shingle", "key", "n", "place"],
+            )
+
+    return run
+
+
+def _sharing_rare_shingles(open_sets: DataFrame, rows: DataFrame, classes: DataFrame, common) -> DataFrame:
+    """Pairs of sets (``key``, ``part``) in different components that can be alike by what they share of their rarest shingles.
+
+    All sets order their shingles alike, rare ones first. Sets of sizes p and q that link share 3(p + q)/7 shingles or more, so from their
+    first common one on both have that many left, which puts it in the first quarter of either. Near copies of one text
+    that are too far from it have so many shingles of their own that what all copies share comes too late: they do not
+    meet, however many there are.
+    """
+    wanted = classes.join(open_sets.select("key"), "key").select(F.col("least").alias("doc_id"))
+    texts = rows.join(wanted, "doc_id", "left_semi").select("text")
+    found = texts.mapInArrow(_prefixes(common), "shingle bigint, key bigint, n bigint, place bigint")
+    found = written(found.join(open_sets, "key"), "prefixes")
+    left, right = found.alias("l"), found.alias("r")
+    rest = F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place"))
+    near = (F.col("l.key") < F.col("r.key")) & (F.col("l.part") != F.col("r.part")) & (rest * 7 >= (F.col("l.n") + F.col("r.n")) * 3)
+    pairs = left.join(right, (F.col("l.shingle") == F.col("r.shingle")) & near)
+    return pairs.select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for each row of ``docs``.
 
     Texts link if their sets of 5-word shingles have Jaccard similarity 0.75 or more; the
     component id is the smallest id reachable by links. Texts of equal sets are one class, and
     links are sought between classes: in each bucket of sets that share a block, all sets are
-    compared with a pivot, with other pivots while much is open, and then any two that are still
-    in different components. NULL and empty
+    compared with a pivot, and with other pivots while much is open. Of the sets that are then still
+    in different components, those in small buckets are compared, and those in heavy ones if they share a
+    shingle that is rare enough in both (``_sharing_rare_shingles``). NULL and empty
     texts, and rows without an id, link with nothing and keep their own id. Repeated rows each
     come out. Sets are compared by 64-bit shingle hashes.
     """
@@ -397,15 +442,20 @@ def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         unsettled, open_pairs, heavy = _unsettled(buckets, parts)
         if turn > 1 and heavy > before * 0.7:
             break  # what is left there is alike without being linked
-    # What shares a bucket and is not connected yet is compared in full.
+    # What shares a bucket and is not connected yet: pairs of small buckets, at most MANY times their rows, are compared. Sets
+    # of heavy buckets have to share a rare shingle first.
     if open_pairs:
-        left, right = unsettled.alias("l"), unsettled.alias("r")
+        light = unsettled.filter(~F.col("heavy"))
+        left, right = light.alias("l"), light.alias("r")
         apart = (
             left.join(right, F.col("l.sign") == F.col("r.sign"))
             .filter("l.key < r.key AND l.part <> r.part AND 4 * least(l.n, r.n) >= 3 * greatest(l.n, r.n)")
             .select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
             .distinct()
         )
+        if heavy:
+            crowd = unsettled.filter("heavy").select("key", "part").distinct()
+            apart = apart.unionByName(_sharing_rare_shingles(crowd, rows, classes, common)).distinct()
         links = links.unionByName(verified(apart, sketches, rows, classes))
         parts = written(components(links), "parts")
     release(spark)

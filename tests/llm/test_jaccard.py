@@ -66,6 +66,44 @@ def test_against_all_pairs(spark, seed, monkeypatch):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr) == brute(rows)
 
 
+def test_heavy_buckets_lose_no_link(spark, monkeypatch):
+    """Near copies of one text at every distance around the limit, with links among them that the text is no part of."""
+    monkeypatch.setattr(jaccard, "MANY", 0)
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 0)  # nothing but the first pivots and the join by rare shingles
+    rnd = random.Random(12)
+    base = [f"b{k}" for k in range(160)]
+    rows = [(0, " ".join(base))]
+    for copy in range(70):
+        words = list(base)
+        for _ in range(rnd.randrange(0, 14)):
+            words[rnd.randrange(len(words))] = f"c{copy}x{rnd.randrange(10**6)}"
+        rows.append((len(rows), " ".join(words)))
+        if copy % 3 == 0:  # a near copy of the near copy, longer or shorter
+            again = words + [f"d{copy}"] * rnd.randrange(0, 25) if copy % 2 else words[: rnd.randrange(110, 160)]
+            rows.append((len(rows), " ".join(again)))
+    got = jaccard.near_duplicates(frame(spark, rows, clash="key").repartition(3)).collect()
+    want = brute(rows)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr) == want
+    assert 5 < len({c for _, _, c in want}) < 60
+
+
+def test_prefixes_meet_at_the_limit():
+    """Any two sets that link share a shingle of their prefixes that passes the test on what is left, whatever the order."""
+    rnd = np.random.default_rng(6)
+    for n in [1, 2, 3, 4, 5, 7, 8, 20, 63, 200]:
+        for _ in range(200):
+            m = int(rnd.integers(n, 4 * n // 3 + 1))
+            shared = -(-3 * (n + m) // 7)
+            if shared > n:
+                continue
+            pool = rnd.permutation(n + m)
+            a, b = sorted(pool[:n]), sorted(np.concatenate([pool[:shared], pool[n : n + m - shared]]))
+            found = False
+            for x in set(a[: n // 4 + 1]) & set(b[: m // 4 + 1]):
+                found |= 7 * min(n - a.index(x), m - b.index(x)) >= 3 * (n + m)
+            assert found
+
+
 def test_empty_table(spark):
     assert jaccard.near_duplicates(frame(spark, [], clash="key")).collect() == []
 
