@@ -193,9 +193,9 @@ def test_scans_meet_without_gap_or_overlap(spark, tmp_path):
     one.done()
     time.sleep(0.02)
     two = scan()
-    edge = two.before / 1000
+    edge = two.before * 1_000_000
     (folder / "c.json").write_text("1")
-    os.utime(folder / "c.json", (edge, edge))  # written in the very millisecond of the mark
+    os.utime(folder / "c.json", ns=(edge, edge))  # written in the very millisecond of the mark
     assert [r["stem"] for r in two.files().collect()] == ["b"]
     assert [r["stem"] for r in scan().files().collect()] != []  # not done: the next scan begins at the same mark
     two.done()
