@@ -24,7 +24,10 @@ def plan(pending: DataFrame, out: str, size: int, limit: int | None = None) -> N
     """Store which files ``(stem, path)`` belong to which batch, in stem order; a plan that is there stays."""
     if sinks.exists(pending.sparkSession, f"{out}/plan/_SUCCESS"):
         return
-    rows = pending.select("stem", "path")
+    # Stored first: rows are numbered in several passes, and the listing of a folder is made once.
+    stored = f"{out}/pending"
+    pending.select("stem", "path").write.mode("overwrite").parquet(stored)
+    rows = pending.sparkSession.read.schema("stem string, path string").parquet(stored)
     rows = rows.orderBy("stem").limit(limit) if limit and limit > 0 else rows
     in_batches(rows, size, "stem").select("stem", "path", "batch").write.partitionBy("batch").mode("overwrite").parquet(f"{out}/plan")
 

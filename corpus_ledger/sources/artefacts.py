@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import time
-from datetime import datetime, timezone
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,25 +26,32 @@ def _name_columns(path: Column) -> dict[str, Column]:
     }
 
 
+def _present(folders: tuple[str, ...]) -> None:
+    for folder in folders:
+        fs, own = files.opened(folder)
+        if fs.get_file_info(own).type == pafs.FileType.NotFound:
+            raise FileNotFoundError(f"no folder {folder}")
+
+
 def list_extractions(spark: SparkSession, folder: str) -> DataFrame:
-    """Presence of extraction files. No content is read: the column is never selected."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
-    return files.withColumns(_name_columns(F.col("path"))).select(INVENTORY)
+    """Presence of extraction files that hold something. No file is opened."""
+    _present((folder,))
+    found = files.file_infos(spark, folder, pattern="*.json", any_case=False).filter("length > 0")
+    return found.withColumns(_name_columns(F.col("path"))).select(INVENTORY)
 
 
 def read_extractions(spark: SparkSession, folder: str) -> DataFrame:
-    """Extraction files with their text, one row per file."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
-    return files.withColumns(_name_columns(F.col("_metadata.file_path"))).select(
-        "stem", "dir", "parser", F.col("_metadata.file_size").alias("length"),
-        F.col("_metadata.file_modification_time").alias("modificationTime"), F.col("value").alias("body"),
-    )
+    """Extraction files that hold something, with their text, one row per file."""
+    _present((folder,))
+    found = files.file_contents(spark, folder, pattern="*.json", any_case=False).filter("length > 0")
+    return found.withColumns(_name_columns(F.col("path"))).select(*INVENTORY, F.col("content").cast("string").alias("body"))
 
 
 def list_pdfs(spark: SparkSession, *folders: str) -> DataFrame:
-    """Name, size and time of PDF files, whatever the case of the extension."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(list(folders))
-    return files.withColumns(_name_columns(F.col("path"))).select(
+    """Name, size and time of PDF files that hold something, whatever the case of the extension."""
+    _present(folders)
+    found = files.file_infos(spark, *folders, pattern="*.pdf").filter("length > 0")
+    return found.withColumns(_name_columns(F.col("path"))).select(
         "stem", "dir", "length", "modificationTime", F.unix_seconds("modificationTime").alias("mtime_s")
     )
 
@@ -74,16 +81,13 @@ class Scan:
         self.before = max(self.after, int(time.time() * 1000) - settle_ms)
 
     def files(self) -> DataFrame:
-        """Name columns, size and time; the times are tested while listing, no content is read."""
-        reader = self.spark.read.format("binaryFile").option("pathGlobFilter", self.pattern).option("timeZone", "UTC")
-        reader = reader.option("modifiedBefore", _iso(self.before)).option("modifiedAfter", _iso(self.after - 1))  # both ends are open
-        found = reader.load(self.folder)
-        return found.withColumns(_name_columns(F.col("path"))).select(INVENTORY)
+        """Name columns, size and time of files that hold something; none is opened."""
+        _present((self.folder,))
+        found = files.file_infos(self.spark, self.folder, pattern=self.pattern, any_case=False).filter("length > 0")
+        written = F.unix_millis("modificationTime")
+        own = found.filter((written >= self.after) & (written < self.before))
+        return own.withColumns(_name_columns(F.col("path"))).select(INVENTORY)
 
     def done(self) -> None:
         """Keep the mark: the next scan starts here."""
         sinks.noted(self.spark, f"{self.marks}/{self.before}", 1)
-
-
-def _iso(millis: int) -> str:
-    return datetime.fromtimestamp(max(millis, 0) / 1000, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")

@@ -5,6 +5,7 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,3 +256,72 @@ def test_work_filter_judges_a_batch_once(spark, tmp_path):
         (tmp_path / "filter/commits" / name).unlink()
     assert listed() == {0: ["a", "q"], 1: ["d"]}
     assert listed("d", "e") == {0: ["a", "q"], 1: ["d"], 2: ["e"]}
+
+
+def test_files_of_a_large_folder_leave_nothing_on_the_driver(spark, tmp_path, monkeypatch):
+    """The driver neither lists nor moves files, and the number of tasks does not grow with the number of files."""
+    out, n = f"{tmp_path}/output", 3000
+    driver = os.getpid()
+    calls = []
+    real = files.names_in
+    monkeypatch.setattr(files, "names_in", lambda *a: calls.append(os.getpid()) or real(*a))
+    rows = spark.range(n).selectExpr("concat('10.1_', id) AS stem", "if(id % 2 = 0, 'grobid', 'pymupdf') AS parser", "concat('{\"n\": ', id, '}') AS body")
+    sinks.write_documents(rows, out)
+    assert sorted(os.listdir(out)) == sorted(f"10.1_{i}{'_fast' * (i % 2)}.json" for i in range(n))
+    most = files.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    edges = files.file_edges(spark, out, pattern="*.json", head=1, tail=1)
+    for found in (artefacts.list_extractions(spark, out), artefacts.read_extractions(spark, out), edges):
+        assert found.count() == n and found.rdd.getNumPartitions() <= most
+    read = {r["stem"]: (r["parser"], r["dir"], r["length"], r["body"]) for r in artefacts.read_extractions(spark, out).collect()}
+    assert read == {f"10.1_{i}": ("pymupdf" if i % 2 else "grobid", "output", len(f'{{"n": {i}}}'), f'{{"n": {i}}}') for i in range(n)}
+    assert driver not in calls
+
+
+def test_listings_as_sparks_readers_give_them(spark, tmp_path):
+    """Files without content, hidden ones and other names are no rows; names are those of the files, and text is not re-coded."""
+    folder = tmp_path / "in put"
+    folder.mkdir()
+    for name, body in {"a b%20.json": b'"\xff"', "b_fast.json": b"{}", "empty.json": b"", "_c.json": b"{}", ".d.json": b"{}", "e.JSON": b"{}", "f.Pdf": b"%PDF-"}.items():
+        (folder / name).write_bytes(body)
+    (folder / "g.json").mkdir()
+    assert {(r["stem"], r["dir"], r["parser"], r["length"]) for r in artefacts.list_extractions(spark, str(folder)).collect()} == {
+        ("a b%20", "in put", "grobid", 3), ("b", "in put", "pymupdf", 2)
+    }
+    body = artefacts.read_extractions(spark, str(folder)).filter("parser = 'grobid'").select(F.col("body").cast("binary").alias("b")).first()["b"]
+    assert bytes(body) == b'"\xff"'
+    assert [r["stem"] for r in artefacts.list_pdfs(spark, f"file://{folder}").collect()] == ["f"]
+    stamp = os.stat(folder / "f.Pdf").st_mtime_ns // 1_000_000
+    assert artefacts.list_pdfs(spark, str(folder)).select(F.unix_millis("modificationTime")).first()[0] == stamp
+    with pytest.raises(Exception, match="no folder"):
+        artefacts.list_extractions(spark, f"{folder}/none")
+
+
+def test_a_move_that_runs_again_finds_its_file(tmp_path):
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b"]), pa.array(["p", "p"])], names=["name", "place"])
+    (tmp_path / "_s" / "p").mkdir(parents=True)
+    for name in "ab":
+        (tmp_path / "_s" / "p" / name).write_text(name)
+    for _ in range(2):
+        assert [b.column(0).to_pylist() for b in files._moved(str(tmp_path), "_s")(iter([batch]))] == [[2]]
+    assert (tmp_path / "a").read_text() == "a" and (tmp_path / "b").read_text() == "b"
+    (tmp_path / "b").unlink()
+    with pytest.raises(FileNotFoundError):
+        list(files._moved(str(tmp_path), "_s")(iter([batch])))
+
+
+def test_revisions_are_dealt_to_tasks_of_bounded_number(spark, tmp_path):
+    for i in range(700):
+        (tmp_path / f"{i}.json").write_text("{}")
+    reader = files.RevisionReader({"path": str(tmp_path), "pattern": "*.json", "settlems": "0", "parts": "3"})
+    time.sleep(0.02)
+    end = reader.latestOffset()
+    parts = reader.partitions({"after": -1}, end)
+    rows = [n for p in parts for batch in reader.read(p) for n in batch.column(1).to_pylist()]
+    assert len(parts) == 3 and sorted(rows) == sorted(f"{i}.json" for i in range(700))
+    assert reader.latestOffset() == end  # nothing new: the offset stays
+    time.sleep(0.02)
+    (tmp_path / "5.json").write_text("{ }")
+    time.sleep(0.02)
+    after = reader.latestOffset()
+    rows = [n for p in reader.partitions(end, after) for batch in reader.read(p) for n in batch.column(1).to_pylist()]
+    assert rows == ["5.json"]
