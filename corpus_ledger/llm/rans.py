@@ -140,8 +140,9 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-#: Words a worker remembers at most; past it, it starts anew.
-MOST_WORDS = 1_000_000
+#: Words a worker remembers take so many bytes at most; past it, it starts anew. So many words go to the tokenizer at a time.
+KEPT_BYTES = 32 << 20
+AT_ONCE = 4096
 
 
 class WordIds:
@@ -151,8 +152,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[int, int] = {}
-        self.flat: list[np.ndarray] = []
+        self.known = buffers.Kept()
 
     @classmethod
     def of_worker(cls, path: str) -> WordIds:
@@ -175,19 +175,23 @@ class WordIds:
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
         hashes, first, inverse = np.unique(buffers.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        hashes = hashes.tolist()
-        new = [k for k, h in enumerate(hashes) if h not in self.known]
+        if self.known.nbytes > KEPT_BYTES:
+            self.known = buffers.Kept()
         body = data.tobytes()
-        words = [body[starts[first[k]] : ends[first[k]]].decode(errors="replace") for k in new]
-        if len(self.known) > MOST_WORDS:
-            self.known, self.flat, new = {}, [], list(range(len(hashes)))
-            words = [body[starts[f] : ends[f]].decode(errors="replace") for f in first]
-        for k, e in zip(new, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.known[hashes[k]] = len(self.flat)
-            self.flat.append(np.array(e.ids, np.int32))
-        per = [self.flat[self.known[h]] for h in hashes]
-        size = np.array([len(p) for p in per], np.int64)
-        table, begin = np.concatenate(per), np.cumsum(size) - size
+
+        def encode(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            sizes, values = [], []
+            for k in range(0, len(new), AT_ONCE):
+                places, ids = first[new[k : k + AT_ONCE]], []
+                words = [body[s:e].decode(errors="replace") for s, e in zip(starts[places].tolist(), ends[places].tolist(), strict=True)]
+                for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+                    own = e.ids
+                    sizes.append(len(own))
+                    ids += own
+                values.append(np.array(ids, np.int32))
+            return np.array(sizes, np.int64), np.concatenate(values)
+
+        table, begin, size = self.known.runs(hashes, encode, np.ones(len(hashes), bool))
         counts = size[inverse]
         ids = table[np.repeat(begin[inverse], counts) + buffers.places(counts)]
         total = np.concatenate([[0], np.cumsum(counts)])
@@ -202,12 +206,13 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id: str = "
     """
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words = WordIds.of_worker(tokenizer)
-        for batch, data, offsets in buffers.slices(batches, "text"):
+        for batch, data, offsets in buffers.slices(batches, "text", 1 << 20):
             ids, counts = words(data, offsets)
             n = batch.num_rows
             closed = np.full(len(ids) + n, end_id, "<u2" if max(ids.max(initial=0), end_id) < 1 << 16 else "<u4")
@@ -230,6 +235,7 @@ def _ids(body: bytes, width: int) -> np.ndarray:
     return np.frombuffer(body, f"<u{width}")
 
 
+@buffers.lean
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
@@ -259,6 +265,7 @@ def write_ids(ids: DataFrame, path: str) -> Frequencies:
     handle = shared(spark, table)
     kind = ids.schema["doc_id"].dataType.simpleString()
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -303,6 +310,7 @@ def read_ids(spark: SparkSession, path: str, texts: bool = False) -> DataFrame:
     blocks = spark.read.parquet(f"{path}/blocks")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
 
+    @buffers.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = opened(Frequencies, handle).tables()
         for batch in batches:

@@ -82,6 +82,17 @@ def test_damage_is_noticed(spark, tmp_path):
         rans.read_ids(spark, f"{path}2").collect()
 
 
+def test_words_of_a_worker_are_bounded(monkeypatch):
+    monkeypatch.setattr(rans, "KEPT_BYTES", 4000)
+    words = rans.WordIds(PATH)
+    for part in range(20):
+        texts = [" ".join(f"w{part}x{k}" for k in range(50)), "", f"again and again {part}"]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        ids, counts = words(data, np.cumsum([0, *[len(t) for t in texts]]))
+        assert ids.tolist() == [i for t in texts for i in plain(t)[:-1]] and counts.tolist() == [len(plain(t)) - 1 for t in texts]
+        assert words.known.nbytes < 4000 + 60 * 60 and len(words.known) < 160
+
+
 def test_empty_table(spark):
     assert rans.encoded_documents(frame(spark, [], "n"), PATH).collect() == []
 
