@@ -6,7 +6,8 @@ makes of its own characters, and each two neighbours are what merging makes of t
 position, the pieces that end there, longest first along the automaton's output links: a piece is taken if it stays apart from
 the piece the best split ends with where it begins. Exactly one does. Whether two pieces stay apart is read off their
 merge trees (``Merges.apart``). No piece joins a space to what is before it, so the split of a text is the splits of its words one
-after the other, and each word is searched once per task.
+after the other, and each word is searched once per task. Nor does a piece
+go across two ASCII characters that no piece has side by side, so texts are cut there as well, and fewer different words are left.
 """
 
 from __future__ import annotations
@@ -51,6 +52,7 @@ class Model:
             if SPACE in inner or ("\n" in self.pieces[k] and len(self.pieces[k]) > 1):
                 raise ValueError("a piece crosses words")
         self.rank, self.left, self.right = merge_trees(self.pieces, self.scores, self.plain)
+        self.joined = joined_bytes([self.pieces[k].replace(SPACE, " ") for k in self.plain])
 
     def bodies(self) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all pieces, one after the other, and where each begins."""
@@ -61,6 +63,17 @@ class Model:
         return np.frombuffer(b"".join(own), np.uint8), at
 
 
+def joined_bytes(pieces: list[str]) -> np.ndarray:
+    """For each two bytes: could a piece go across them? Two ASCII characters that no piece has side by side are never merged."""
+    table = np.ones((256, 256), bool)
+    table[:128, :128] = False
+    for piece in pieces:
+        for a, b in zip(piece, piece[1:]):
+            if a < "\x80" and b < "\x80":
+                table[ord(a), ord(b)] = True
+    return table
+
+
 def merge_trees(pieces: list[str], scores: list[float], plain: list[int]) -> tuple[list[int], list[int], list[int]]:
     """For each piece its place in the order of merges (best first; -1 for single characters) and the two pieces of its last merge.
 
@@ -85,7 +98,7 @@ def merge_trees(pieces: list[str], scores: list[float], plain: list[int]) -> tup
     return rank, left, right
 
 
-#: Words longer than this are searched each time; kept words take so many bytes at most (each counts for its ids as well).
+#: Words longer than this are searched each time they are in a slice; what is kept takes so many bytes at most.
 LONG_WORD = 256
 KEPT_BYTES = 48 << 20
 
@@ -104,10 +117,13 @@ class Encoder:
                 self.automaton.add_word(model.pieces[k], (len(model.pieces[k]), k))
         self.automaton.make_automaton()
         self.body, self.at = model.bodies()
-        self.known: dict[int, np.ndarray] = {}
-        self.kept = 0
+        self.known = buffers.Kept()
         self.pairs: dict[int, bool] = {}
 
+    @property
+    def kept(self) -> int:
+        return self.known.nbytes
+
     def apart(self, a: int, b: int) -> bool:
         """Do two neighbouring pieces stay apart when their characters are merged?
 
@@ -145,6 +161,7 @@ class Encoder:
         n = len(text)
         last = [-2] * (n + 1)  # the piece the split up to here ends with; -1 for a character without one, -2 for none yet
         last[0] = -1
+        pairs = self.pairs
         size, done = [0] * (n + 1), 0
         for end, (length, piece) in self.automaton.iter(text):
             end += 1
@@ -154,8 +171,14 @@ class Encoder:
                 done += 1
             if last[end] == -2:
                 before = last[end - length]
-                if before == -1 or self.apart(before, piece):
-                    last[end], size[end] = piece, length
+                if before >= 0:
+                    stays = pairs.get(before << 24 | piece)
+                    if stays is None:
+                        stays = self.apart(before, piece)
+                        pairs = self.pairs
+                    if not stays:
+                        continue
+                last[end], size[end] = piece, length
         for e in range(1, n + 1):
             if last[e] == -2:
                 last[e], size[e] = -1, 1
@@ -177,25 +200,27 @@ class Encoder:
         new[offsets] = True
         first = new[:-1].copy()
         new = first | line | (space & ~np.concatenate([[False], space[:-1]])) | np.concatenate([[False], line[:-1]])
+        new[1:] |= ~self.model.joined[data[:-1], data[1:]]
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], len(data))
         front = first[starts]
         hashes = buffers.word_hashes(data, starts, ends) ^ front.astype(buffers.U64)
         own, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if self.kept > KEPT_BYTES:
-            self.known, self.kept = {}, 0
-        body, parts = data.tobytes(), []
-        for h, k in zip(own.tolist(), where.tolist(), strict=True):
-            ids = self.known.get(h)
-            if ids is None:
-                unit = body[starts[k] : ends[k]].decode().replace(SPACE, LITERAL).replace(" ", SPACE)
-                ids = np.array(self.word(SPACE + unit if front[k] else unit), np.int32)
-                if ends[k] - starts[k] <= LONG_WORD:
-                    self.known[h] = ids
-                    self.kept += 200 + ids.nbytes
-            parts.append(ids)
-        size = np.array([len(p) for p in parts], np.int64)
-        table, begin = np.concatenate(parts), np.cumsum(size) - size
+            self.known = buffers.Kept()
+        body = data.tobytes()
+
+        def search(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            sizes, flat = [], []
+            places = where[some]
+            for s, e, leads in zip(starts[places].tolist(), ends[places].tolist(), front[places].tolist(), strict=True):
+                unit = body[s:e].decode().replace(SPACE, LITERAL).replace(" ", SPACE)
+                ids = self.word(SPACE + unit if leads else unit)
+                sizes.append(len(ids))
+                flat += ids
+            return np.array(sizes, np.int64), np.array(flat, np.int32)
+
+        table, begin, size = self.known.runs(own, search, (ends - starts)[where] <= LONG_WORD)
         counts = size[inverse]
         ids = table[np.repeat(begin[inverse], counts) + buffers.places(counts)]
         total = np.concatenate([[0], np.cumsum(counts)])

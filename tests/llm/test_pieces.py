@@ -66,6 +66,18 @@ def test_kept_words_are_bounded(monkeypatch):
         assert encoder.kept < 2000 + 51 * 300 and len(encoder.known) < 60
 
 
+def test_words_are_cut_where_no_piece_joins():
+    """What stands beside a word without joining it makes no other word of it."""
+    import numpy as np
+
+    encoder = pieces.Encoder(MODEL)
+    text = "".join(f" tion{a}" for a in "\x01\x02\x03\x04\x05") * 3
+    data = np.frombuffer(text.encode(), np.uint8)
+    ids, _ = encoder(data, np.array([0, len(data)]))
+    assert ids.tolist() == LIBRARY.encode(text)
+    assert len(encoder.known) == 7  # the word, the first one with a space more, and five marks
+
+
 def test_empty_table(spark):
     assert pieces.encoding_report(frame(spark, [], "exact"), PATH).collect() == []
 
