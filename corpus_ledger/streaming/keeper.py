@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 VARIABLE = "ledger"
 LATENESS = "7 days"
 BEFORE_ALL = -(1 << 63)
+#: Summaries a task holds at a time to merge them; any number gives the same state.
+HELD = 100_000
 
 
 # -- events to summaries and back --------------------------------------------------------
@@ -110,21 +114,21 @@ def _newest(a: tuple, b: tuple) -> tuple:
     return b if a[0] is None or b[:2] > a[:2] else a
 
 
-def merged(a: tuple, b: tuple) -> tuple:
-    """The summary of two summaries (values in the order of ``FIELDS``)."""
-    a, b = dict(zip(FIELDS, a)), dict(zip(FIELDS, b))
-    cells = {c[0]: c for c in a["cells"]}
-    for c in b["cells"]:
-        have = cells.get(c[0])
-        if have is None or c[2:] > have[2:]:
-            cells[c[0]] = c
-    reset = _newest((a["reset_at"], a["reset_id"]), (b["reset_at"], b["reset_id"]))
-    base = _newest((a["base_at"], a["base_id"], a["base"]), (b["base_at"], b["base_id"], b["base"]))
-    steps = [s for part in (a, b) for s in part["steps"] if base[0] is None or s > base[:2]]
+def merged(*parts: tuple) -> tuple:
+    """The summary of several summaries (values in the order of ``FIELDS``)."""
+    cells: dict[str, tuple] = {}
+    for p in parts:
+        for c in p[0]:
+            have = cells.get(c[0])
+            if have is None or c[2:] > have[2:]:
+                cells[c[0]] = c
+    reset = reduce(_newest, [p[4:6] for p in parts])
+    base = reduce(_newest, [p[6:9] for p in parts])
+    steps = [s for p in parts for s in p[1] if base[0] is None or s > base[:2]]
     # Counted steps are after the base unless it is newer than the newest of them.
-    settled = [p for p in (a, b) if p["settled"] and (base[0] is None or base[0] <= p["settled_at"])]
-    settled_at = max([p["settled_at"] for p in settled], default=BEFORE_ALL)
-    return (list(cells.values()), steps, sum(p["settled"] for p in settled), settled_at, *reset, *base, max(a["seen"], b["seen"]))
+    settled = [p for p in parts if p[2] and (base[0] is None or base[0] <= p[3])]
+    settled_at = max([p[3] for p in settled], default=BEFORE_ALL)
+    return (list(cells.values()), steps, sum(p[2] for p in settled), settled_at, *reset, *base, max(p[9] for p in parts))
 
 
 def settled_before(summary: tuple, horizon: int) -> tuple:
@@ -138,33 +142,85 @@ def settled_before(summary: tuple, horizon: int) -> tuple:
 
 
 def _plain(row) -> tuple:
-    """A summary as tuples only, from a row of Arrow or of Spark."""
-    own = row if isinstance(row, dict) else row.asDict(recursive=True)
+    """A summary as tuples only (the state store takes no rows within), from a row or a plain tuple of Spark's."""
+    cells, steps, *rest = [row[f] for f in FIELDS] if hasattr(row, "__fields__") else row
     tuples = lambda items: [tuple(i.values()) if isinstance(i, dict) else tuple(i) for i in items or []]
-    return (tuples(own["cells"]), tuples(own["steps"]), *[own[f] for f in FIELDS[2:]])
-
-
-def combined(summaries: DataFrame, rows: int = 50_000) -> DataFrame:
-    """Merge the summaries of a DOI that a task meets close together, before they are shuffled."""
+    return (tuples(cells), tuples(steps), *rest)
+
+
+def _lists(kind: pa.DataType, items: pa.Array, owner: np.ndarray, n: int) -> pa.ListArray:
+    """A list for each of ``n`` owners, from items in the order of their owners."""
+    at = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), items, type=kind)
+
+
+def merged_rows(rows: pa.Table) -> pa.RecordBatch:
+    """``merged`` over all rows of each DOI at once, one row for each DOI."""
+    rows = rows.combine_chunks().to_batches()[0]
+    column = lambda name: rows.column(rows.schema.get_field_index(name))
+    longs = lambda values: np.asarray(values.fill_null(0), np.int64)
+    keys = column("doi").dictionary_encode()
+    owner, n = np.asarray(keys.indices, np.int64), len(keys.dictionary)
+
+    def newest(at: str, number: str) -> np.ndarray:
+        """Row of each DOI's greatest stamp, the first of equal ones; -1 if it has none."""
+        some = np.flatnonzero(np.asarray(column(at).is_valid()))
+        order = some[np.lexsort([-some, longs(column(number))[some], longs(column(at))[some], owner[some]])]
+        last = np.append(owner[order][1:] != owner[order][:-1], True)[: len(order)]
+        best = np.full(n, -1)
+        best[owner[order][last]] = order[last]
+        return best
+
+    def items(name: str):
+        lists = column(name)
+        own = np.repeat(owner, longs(lists.value_lengths()))
+        flat = lists.flatten()
+        return lists.type, flat, own, longs(flat.field("at")), longs(flat.field("id"))
+
+    reset, base = newest("reset_at", "reset_id"), newest("base_at", "base_id")
+    has_base, base_at, base_id = base >= 0, longs(column("base_at"))[base], longs(column("base_id"))[base]
+    kind, flat, own, at, number = items("cells")
+    name = np.asarray(flat.field("name").dictionary_encode().indices, np.int64)
+    order = np.lexsort([-np.arange(len(own)), number, at, name, own])
+    group = own[order] * (name.max(initial=0) + 1) + name[order]
+    order = order[np.append(group[1:] != group[:-1], True)[: len(order)]]
+    cells = _lists(kind, flat.take(pa.array(order)), own[order], n)
+    kind, flat, own, at, number = items("steps")
+    stays = np.flatnonzero(~has_base[own] | (at > base_at[own]) | ((at == base_at[own]) & (number > base_id[own])))
+    stays = stays[np.argsort(own[stays], kind="stable")]
+    steps = _lists(kind, flat.take(pa.array(stays)), own[stays], n)
+    count, until = longs(column("settled")), longs(column("settled_at"))
+    counted = np.flatnonzero((count > 0) & (~has_base[owner] | (base_at[owner] <= until)))
+    settled, settled_at, seen = np.zeros(n, np.int64), np.full(n, BEFORE_ALL), np.full(n, BEFORE_ALL)
+    np.add.at(settled, owner[counted], count[counted])
+    np.maximum.at(settled_at, owner[counted], until[counted])
+    np.maximum.at(seen, owner, longs(column("seen")))
+    of = lambda name, best: column(name).take(pa.array(best, mask=best < 0))
+    made = {
+        "doi": keys.dictionary, "cells": cells, "steps": steps, "settled": pa.array(settled), "settled_at": pa.array(settled_at), "seen": pa.array(seen),
+        **{c: of(c, reset) for c in ("reset_at", "reset_id")}, **{c: of(c, base) for c in ("base_at", "base_id", "base")},
+    }
+    return pa.RecordBatch.from_arrays([made[f.name] for f in rows.schema], schema=rows.schema)
+
+
+def combined(summaries: DataFrame, rows: int = HELD) -> DataFrame:
+    """Merge the summaries of a DOI that a task meets close together. A task holds about ``rows`` summaries at a time."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, held = None, {}
-
-        def out() -> pa.RecordBatch:
-            columns = list(zip(*[(doi, *s) for doi, s in held.items()]))
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            schema = batch.schema
-            for row in batch.to_pylist():
-                new = _plain(row)
-                have = held.get(row["doi"])
-                held[row["doi"]] = new if have is None else merged(have, new)
-            if len(held) >= rows:
-                yield out()
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= rows:
+                one = merged_rows(pa.Table.from_batches(held))
+                held = [one]
+                if 2 * one.num_rows > rows:
+                    yield one
+                    held = []
         if held:
-            yield out()
+            yield merged_rows(pa.Table.from_batches(held))
+        del held
+        pa.default_memory_pool().release_unused()
 
     return summaries.mapInArrow(work, f"doi string, {SUMMARY}")
 
@@ -178,7 +234,7 @@ class Keeper(StatefulProcessor):
 
     def _held(self) -> tuple | None:
         had = self.state.get()
-        return None if had is None else _plain(dict(zip(FIELDS, had)))
+        return None if had is None else _plain(tuple(had))
 
     def _wait(self, steps: list[tuple]) -> None:
         self.handle.registerTimer(max(0, max(steps)[0] // 1000 + 1))
@@ -186,9 +242,8 @@ class Keeper(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = self._held()
         waiting = bool(now and now[1])
-        for row in rows:
-            new = _plain(row)
-            now = new if now is None else merged(now, new)
+        parts = [*([] if now is None else [now]), *map(_plain, rows)]
+        now = merged(*parts) if len(parts) > 1 else parts[0]
         self.state.update(now)
         if now[1] and not waiting:
             self._wait(now[1])
@@ -234,7 +289,10 @@ def changes_of(events: DataFrame, lateness: str = LATENESS, start: DataFrame | N
     at = F.when(F.col("seen") != BEFORE_ALL, F.timestamp_micros("seen"))
     summaries = event_summaries(events).withColumn("stamp", at).withWatermark("stamp", lateness).drop("stamp")
     first = None if start is None else start.groupBy("doi")
-    return combined(summaries).groupBy("doi").transformWithState(Keeper(), f"doi string, {SUMMARY}", "Update", "EventTime", first)
+    # A key of the state costs calls to the store for each batch, and a row of it costs Python time: what tasks have merged meets by
+    # DOI and is merged again, so that the state takes about one row of a DOI in a batch, however the events are spread.
+    met = combined(combined(summaries).repartition("doi"), 2 * HELD)
+    return met.groupBy("doi").transformWithState(Keeper(), f"doi string, {SUMMARY}", "Update", "EventTime", first)
 
 
 def start_ledger(

@@ -68,6 +68,39 @@ def test_merging_in_any_order(spark, seed):
         assert as_text(keeper.ledger_of(got)) == wanted
 
 
+@pytest.mark.parametrize("most", [2, 40, 1000])
+def test_merging_by_columns(spark, most):
+    """Summaries merged by columns, a few or many at a time, are those merged one by one; counts of settled steps too."""
+    events = spark.createDataFrame(random_events(300, 4, hot="d0"), schemas.EVENTS)
+    once = keeper.combined(keeper.event_summaries(events).coalesce(1), most)
+    assert most < 1000 or once.count() == once.select("doi").distinct().count()
+    rows = [(r["doi"], keeper._plain(r)) for r in once.collect()]
+    rows += [(doi, keeper.settled_before(s, s[9])) for doi, s in rows[::2]]
+    total = {}
+    for doi, s in rows:
+        total.setdefault(doi, []).append(s)
+    got = keeper.combined(spark.createDataFrame([(doi, *s) for doi, s in rows], f"doi string, {keeper.SUMMARY}").coalesce(1))
+    own = lambda s: (sorted(map(tuple, s[0])), sorted(map(tuple, s[1])), *s[2:])
+    assert {r["doi"]: own(keeper._plain(r)) for r in got.collect()} == {doi: own(keeper.merged(*s)) for doi, s in total.items()}
+    assert as_text(keeper.ledger_of(keeper.combined(keeper.event_summaries(events).coalesce(1)))) == as_text(ledger.fold(events))
+
+
+def test_state_takes_one_row_of_a_doi_in_a_batch(spark, tmp_path, monkeypatch):
+    class Single(keeper.Keeper):
+        def handleInputRows(self, key, rows, timerValues):
+            rows = list(rows)
+            if len(rows) != 1:
+                raise ValueError(f"{len(rows)} rows of a DOI")
+            return super().handleInputRows(key, iter(rows), timerValues)
+
+    monkeypatch.setattr(keeper, "Keeper", Single)
+    rows = random_events(200, 5, hot="hot")
+    for part in range(4):  # all in one batch
+        land(spark, rows[part::4], f"{tmp_path}/events", part)
+    run_ledger(spark, tmp_path)
+    assert as_text(keeper.read_ledger(spark, f"{tmp_path}/keeper")) == as_text(ledger.fold(spark.createDataFrame(rows, schemas.EVENTS)))
+
+
 def test_settled_steps(spark):
     s = keeper.merged(*[([], [(at, 1)], 0, keeper.BEFORE_ALL, None, None, None, None, None, at) for at in (10, 20)])
     s = keeper.merged(s, ([], [(30, 1)], 0, keeper.BEFORE_ALL, None, None, None, None, None, 30))
