@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import buffers
 from .components import components
-from .tables import release, unused, written
+from .tables import discard, release, unused, written
 
 SHINGLE_WORDS = 5
 BAND = 4  # sizes of one band differ by less than this factor
@@ -35,6 +35,9 @@ COMMON = 1 << 18
 #: Rounds with other pivots for buckets whose open pairs are more than so many times their rows.
 PIVOT_ROUNDS = 6
 MANY = 4
+#: Prefixes are dealt into so many buckets by shingle, a power of two, and a task gives out what it holds after so many entries.
+BUCKETS = 1 << 10
+HELD = 1 << 19
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -309,10 +312,18 @@ def verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, classes: Da
         .select("a", "b")
     )
     links = written(matched, "links")
+    discard(close, sets)
     release(rows.sparkSession)
     return links
 
 
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of more links: those found before go in as the ties of their nodes, not as all their links."""
+    more = components(links.unionByName(parts.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    discard(parts, links)
+    return more
+
+
 def _unsettled(buckets: DataFrame, parts: DataFrame) -> tuple[DataFrame, int, int]:
     """Rows (with ``part``) of buckets whose sets are in several components, how many pairs that leaves open, and how many in heavy buckets."""
     placed = buckets.join(parts, buckets["key"] == parts["node"], "left").select("sign", "key", "n", F.coalesce("root", "key").alias("part"))
@@ -321,7 +332,9 @@ def _unsettled(buckets: DataFrame, parts: DataFrame) -> tuple[DataFrame, int, in
     mixed = sizes.select("sign", "rows", ((F.col("rows") * F.col("rows") - F.col("q")) / 2).cast("long").alias("pairs")).filter("pairs > 0")
     mixed = written(mixed.withColumn("heavy", F.col("pairs") > F.col("rows") * MANY), "mixed")
     n = mixed.agg(F.sum("pairs"), F.sum(F.when(F.col("heavy"), F.col("pairs")))).first()
-    return written(placed.join(mixed.select("sign", "heavy"), "sign"), "open"), n[0] or 0, n[1] or 0
+    unsettled = written(placed.join(mixed.select("sign", "heavy"), "sign"), "open")
+    discard(mixed)
+    return unsettled, n[0] or 0, n[1] or 0
 
 
 def _pivoted(unsettled: DataFrame, turn: int) -> DataFrame:
@@ -346,7 +359,7 @@ def _pivoted(unsettled: DataFrame, turn: int) -> DataFrame:
 
 
 def _prefixes(common):
-    """The rarest quarter of each set's shingles, and one, with their places in the order of rarity."""
+    """The rarest quarter of each set's shingles, and one, in the order of rarity."""
 
     @buffers.lean
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,29 +372,111 @@ def _prefixes(common):
             shingle = np.asarray(lists.flatten()).astype(np.int64)
             own = np.repeat(np.arange(len(sizes)), sizes)
             order = np.lexsort([shingle, often[shingle & (CELLS - 1)], own])
-            place = buffers.places(sizes)
-            first = place <= sizes[own] // 4
-            keys = np.asarray(batch.column(0))
+            first = buffers.places(sizes) <= sizes[own] // 4
+            kept = np.minimum(sizes, sizes // 4 + 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shingle[order][first]), pa.array(keys[own][first]), pa.array(sizes[own][first]), pa.array(place[first])],
-                names=["shingle", "key", "n", "place"],
+                [batch.column(0), pa.array(sizes), buffers.lists(shingle[order][first], kept, pa.int64())], names=["key", "n", "shingles"]
             )
 
     return run
 
 
-def _sharing_rare_shingles(open_sets: DataFrame, rows: DataFrame, classes: DataFrame, common) -> DataFrame:
-    """Pairs of sets (``key``, ``part``) in different components that can be alike by what they share of their rarest shingles.
+DEALT = "bucket int, shingle array<bigint>, key array<bigint>, part array<bigint>, n array<bigint>, place array<bigint>"
 
-    All sets order their shingles alike, rare ones first. Sets of sizes p and q that link share 3(p + q)/7 shingles or more, so from their
-    first common one on both have that many left, which puts it in the first quarter of either. Near copies of one text
-    that are too far from it have so many shingles of their own that what all copies share comes too late: they do not
-    meet, however many there are.
+
+@buffers.lean
+def _dealt(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Prefixes of sets (``key``, ``n``, ``part``, ``shingles``), dealt by shingle: one row for each bucket with all a task has for it."""
+    held: list[list[np.ndarray]] = []
+
+    def given():
+        shingle, *others = [np.concatenate(c) for c in zip(*held, strict=True)]
+        held.clear()
+        bucket = shingle & (BUCKETS - 1)
+        order = np.argsort(bucket, kind="stable")
+        there, counts = np.unique(bucket, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(there, pa.int32()), *[buffers.lists(c[order], counts, pa.int64()) for c in (shingle, *others)]],
+            names=["bucket", "shingle", "key", "part", "n", "place"],
+        )
+
+    size = 0
+    for batch in rows:
+        key, n, part = (np.asarray(batch.column(k)).astype(np.int64) for k in range(3))
+        counts = np.asarray(batch.column(3).value_lengths()).astype(np.int64)
+        shingle = np.asarray(batch.column(3).flatten()).astype(np.int64)
+        held.append([shingle, *[np.repeat(c, counts) for c in (key, part, n)], buffers.places(counts)])
+        size += len(shingle)
+        if size > HELD:
+            yield given()
+            size = 0
+    if size:
+        yield given()
+
+
+def meeting(shingle: np.ndarray, part: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which entries can be half of a pair: another component has the shingle, and the smaller of two sets has it in its first seventh."""
+    order = np.argsort(shingle, kind="stable")
+    shingle, part, front = shingle[order], part[order], (7 * place <= n)[order]
+    start = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
+    group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(shingle))))
+    highest, lowest = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+    least, most = np.minimum.reduceat(part, start)[group], np.maximum.reduceat(part, start)[group]
+    ahead = np.minimum.reduceat(np.where(front, part, highest), start)[group]
+    ahead_most = np.maximum.reduceat(np.where(front, part, lowest), start)[group]
+    some = np.logical_or.reduceat(front, start)[group]
+    found = np.where(front, least != most, some & ((ahead != part) | (ahead_most != part)))
+    kept = np.zeros(len(shingle), bool)
+    kept[order] = found
+    return kept
+
+
+@buffers.lean
+def _met(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_dealt`` sorted by bucket: the entries that can meet another, one bucket at a time."""
+    names = ["shingle", "key", "part", "n", "place"]
+
+    def found(lists):
+        shingle, key, part, n, place = (np.concatenate(c) for c in zip(*lists, strict=True))
+        kept = meeting(shingle, part, n, place)
+        return pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (shingle, key, part, n, place)], names=names)
+
+    bucket, held = None, []
+    for batch in rows:
+        at = np.asarray(batch.column(0))
+        edge = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else []
+        for a, b in zip(edge, [*edge[1:], len(at)], strict=True):
+            if held and at[a] != bucket:
+                yield found(held)
+                held = []
+            bucket = at[a]
+            held.append([np.asarray(c.slice(a, b - a).flatten()).astype(np.int64) for c in batch.columns[1:]])
+    if held:
+        yield found(held)
+
+
+def _rare_prefixes(open_sets: DataFrame, rows: DataFrame, classes: DataFrame, common) -> DataFrame:
+    """``shingle``, ``key``, ``part``, ``n``, ``place``: what can meet of the prefixes of sets (``key``, ``part``).
+
+    Most shingles of a prefix are in one set or one component alone. The prefixes are dealt by shingle as arrays, a row for each bucket and
+    task, and only entries that others can meet become rows.
     """
     wanted = classes.join(open_sets.select("key"), "key").select(F.col("least").alias("doc_id"))
     texts = rows.join(wanted, "doc_id", "left_semi").select("text")
-    found = texts.mapInArrow(_prefixes(common), "shingle bigint, key bigint, n bigint, place bigint")
-    found = written(found.join(open_sets, "key"), "prefixes")
+    prefixes = texts.mapInArrow(_prefixes(common), "key bigint, n bigint, shingles array<bigint>")
+    dealt = prefixes.join(open_sets, "key").select("key", "n", "part", "shingles").mapInArrow(_dealt, DEALT)
+    ordered = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return written(ordered.mapInArrow(_met, "shingle bigint, key bigint, part bigint, n bigint, place bigint"), "prefixes")
+
+
+def _sharing_rare_shingles(found: DataFrame) -> DataFrame:
+    """Pairs of sets in different components that can be alike by what they share of their rarest shingles.
+
+    All sets order their shingles alike, rare ones first. Sets of sizes p and q that link share 3(p + q)/7 shingles or more, so from their
+    first common one on both have that many left, which puts it in the first quarter of either and in the first seventh of the smaller. Near
+    copies of one text that are too far from it have so many shingles of their own that what all copies share comes too late: they do not
+    meet, however many there are.
+    """
     left, right = found.alias("l"), found.alias("r")
     rest = F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place"))
     near = (F.col("l.key") < F.col("r.key")) & (F.col("l.part") != F.col("r.part")) & (rest * 7 >= (F.col("l.n") + F.col("r.n")) * 3)
@@ -397,15 +492,15 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     links are sought between classes: in each bucket of sets that share a block, all sets are
     compared with a pivot, and with other pivots while much is open. Of the sets that are then still
     in different components, those in small buckets are compared, and those in heavy ones if they share a
-    shingle that is rare enough in both (``_sharing_rare_shingles``). NULL and empty
+    shingle that is rare enough in both (``_rare_prefixes``, ``_sharing_rare_shingles``). NULL and empty
     texts, and rows without an id, link with nothing and keep their own id. Repeated rows each
     come out. Sets are compared by 64-bit shingle hashes.
     """
-    return placed_rows(docs, id, text).drop("text_hash")
+    return placed_rows(docs, id, text)[0].drop("text_hash")
 
 
-def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """As ``near_duplicates``, and ``text_hash`` (``xxhash64`` of the text), which tells rows of one id apart."""
+def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[DataFrame]]:
+    """As ``near_duplicates``, and ``text_hash`` (``xxhash64`` of the text), which tells rows of one id apart; and the tables it reads."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -424,6 +519,7 @@ def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         buckets = written(sorted_signs.mapInArrow(_buckets, "sign bigint, key bigint, n bigint, pivot bigint"), "buckets")
         if buckets.filter("sign IS NULL").isEmpty():
             break
+        discard(buckets)
         seed += 1  # a set's blocks fell together too much: deal all sets out anew
     del signs, sorted_signs
     release(spark)
@@ -431,14 +527,15 @@ def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     sketches = noted.filter(F.size("bits") > 0).dropDuplicates(["key"]).select("key", "n", "bits")
     stars = buckets.filter("pivot <> key").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     links = verified(stars, sketches, rows, classes)
-    parts = written(components(links), "parts")
+    parts = components(links)
+    discard(links)
     unsettled, open_pairs, heavy = _unsettled(buckets, parts)
     for turn in range(PIVOT_ROUNDS):
         if not heavy:
             break
-        links = links.unionByName(verified(_pivoted(unsettled.filter("heavy"), turn), sketches, rows, classes))
-        parts = written(components(links), "parts")
+        parts = _joined(parts, verified(_pivoted(unsettled.filter("heavy"), turn), sketches, rows, classes))
         before = heavy
+        discard(unsettled)
         unsettled, open_pairs, heavy = _unsettled(buckets, parts)
         if turn > 1 and heavy > before * 0.7:
             break  # what is left there is alike without being linked
@@ -453,18 +550,20 @@ def placed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
             .select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
             .distinct()
         )
+        found = []
         if heavy:
-            crowd = unsettled.filter("heavy").select("key", "part").distinct()
-            apart = apart.unionByName(_sharing_rare_shingles(crowd, rows, classes, common)).distinct()
-        links = links.unionByName(verified(apart, sketches, rows, classes))
-        parts = written(components(links), "parts")
+            found.append(_rare_prefixes(unsettled.filter("heavy").select("key", "part").distinct(), rows, classes, common))
+            apart = apart.unionByName(_sharing_rare_shingles(found[0])).distinct()
+        parts = _joined(parts, verified(apart, sketches, rows, classes))
+        discard(*found)
+    discard(buckets, unsettled)
     release(spark)
     rooted = classes.join(parts, classes["key"] == parts["node"], "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     component = rooted.join(smallest, "root").select("key", "component_id")
     linked = listed.join(component, "key").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id")
     alone = members.filter("key IS NULL OR doc_id IS NULL").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone)
+    return linked.unionByName(alone), [noted, parts]
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -474,9 +573,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     repeat the text too. Texts without words, and rows without an id, are linked with nothing and
     all stay.
     """
-    found = placed_rows(docs).filter("doc_id IS NOT NULL AND n_shingles > 0")
+    found, behind = placed_rows(docs)
+    found = found.filter("doc_id IS NOT NULL AND n_shingles > 0")
     by_row = found.groupBy("doc_id", "text_hash").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     by_row = written(by_row, "placed")
+    discard(*behind)
     least = by_row.filter("component_id = doc_id").groupBy("doc_id").agg(F.min("text_hash").alias("least"))
     gone = by_row.join(least, "doc_id", "left").filter("component_id <> doc_id OR text_hash <> least").select("doc_id", "text_hash")
     again = by_row.filter("n > 1").select("doc_id", "text_hash")

@@ -1,6 +1,7 @@
 """Parity-sketch join against all pairs of sets."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,64 @@ def test_prefixes_meet_at_the_limit():
             assert found
 
 
+def test_prefixes_become_rows_only_where_others_meet_them(spark, monkeypatch):
+    """Of sets with shingles of their own, only what two components share becomes rows, each entry that can be half of a pair."""
+    monkeypatch.setattr(jaccard, "HELD", 40)
+    rnd = random.Random(4)
+    common = [f"c{k}" for k in range(30)]
+    texts = [" ".join([f"w{d}x{k}" for k in range(60)]) for d in range(20)]
+    texts += [" ".join([*common, *[f"w{d}x{k}" for k in range(rnd.randrange(4))]]) for d in range(20, 30)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    hashes = {d: jaccard.shingle_sets(*[np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])])[0] for d, t in enumerate(texts)}
+    keys = {d: int(buffers.signed(jaccard.class_keys(h, np.array([len(h)])))[0]) for d, h in hashes.items()}
+    part = {keys[d]: d // 2 for d in keys}
+    classes = spark.createDataFrame([(keys[d], d) for d in keys], "key bigint, least bigint").dropDuplicates(["key"])
+    open_sets = spark.createDataFrame(list(part.items()), "key bigint, part bigint")
+    none = spark.sparkContext.broadcast((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    got = {tuple(r) for r in jaccard._rare_prefixes(open_sets, rows, classes, none).select("shingle", "key", "part", "n", "place").collect()}
+    entries = {}
+    for d, h in hashes.items():
+        for place, shingle in enumerate(sorted(buffers.signed(h).tolist())[: len(h) // 4 + 1]):
+            entries[shingle, keys[d]] = (shingle, keys[d], part[keys[d]], len(h), place)
+    able = lambda x, y: x[0] == y[0] and x[2] != y[2] and (7 * x[4] <= x[3] or 7 * y[4] <= y[3])
+    halves = {x for x in entries.values() if any(able(x, y) for y in entries.values())}
+    assert halves <= got < set(entries.values())
+    assert 0 < len(halves) and not [x for x in got if x[1] in {keys[d] for d in range(20)}]
+    assert {x for x in got if 7 * x[4] <= x[3]} == {x for x in halves if 7 * x[4] <= x[3]}
+
+
+def test_meeting_keeps_all_halves_of_pairs():
+    rnd = np.random.default_rng(8)
+    for _ in range(30):
+        shingle, part, n = rnd.integers(0, 25, 80), rnd.integers(-3, 3, 80), rnd.integers(1, 60, 80)
+        place = rnd.integers(0, n // 4 + 1)
+        want = [any(shingle[i] == shingle[j] and part[i] != part[j] and (7 * place[i] <= n[i] or 7 * place[j] <= n[j]) for j in range(80)) for i in range(80)]
+        kept = jaccard.meeting(shingle, part, n, place)
+        assert (kept | ~np.array(want)).all()
+        front = 7 * place <= n
+        assert (kept[~front] == np.array(want)[~front]).all()
+
+
+def tables_left(spark, job):
+    """Tables below the checkpoint folder that a job leaves behind."""
+    from corpus_ledger.session import ensure_checkpoint_dir
+
+    there = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(there.iterdir())
+    found = job()
+    left = sorted(x.name.split("-")[0] for x in set(there.iterdir()) - before)
+    return found, left
+
+
+def test_tables_of_finished_steps_are_deleted(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MANY", 0)
+    docs = frame(spark, cases(1), clash="key")
+    found, left = tables_left(spark, lambda: jaccard.near_duplicates(docs))
+    assert left == ["classes", "parts"] and found.count() == docs.count()
+    found, left = tables_left(spark, lambda: jaccard.one_of_each(docs))
+    assert left == ["placed"] and found.count() > 0
+
+
 def test_empty_table(spark):
     assert jaccard.near_duplicates(frame(spark, [], clash="key")).collect() == []
 
@@ -152,6 +211,24 @@ def test_components_of_paths_and_loops(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_ties_to_the_smallest_need_no_round(spark, monkeypatch):
+    monkeypatch.setattr(components, "_large_star", None)
+    edges = [(1, k) for k in range(2, 30)] + [(30, k) for k in range(31, 40)] + [(1, 2), (5, 1)]
+    got = dict(components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
+    assert got == {**{k: 1 for k in range(1, 30)}, **{k: 30 for k in range(30, 40)}}
+
+
+def test_components_of_random_graphs(spark):
+    rnd = random.Random(2)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(230)]
+    root = {k: k for e in edges for k in e}
+    for _ in range(300):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert len(got) == len(root) and dict(got) == root
+
+
 def test_parity_bits_bound_the_difference():
     a = np.arange(1, 90, dtype=np.uint64) * np.uint64(buffers.BASE)
     b = np.concatenate([a[5:], a[:3] + np.uint64(17)])
