@@ -37,7 +37,7 @@ PIVOT_ROUNDS = 6
 MANY = 4
 #: Prefixes are dealt into so many buckets by shingle, a power of two, and a task gives out what it holds after so many entries.
 BUCKETS = 1 << 10
-HELD = 1 << 19
+HELD = 1 << 18
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -359,24 +359,45 @@ def _pivoted(unsettled: DataFrame, turn: int) -> DataFrame:
 
 
 def _prefixes(common):
-    """The rarest quarter of each set's shingles, and one, in the order of rarity."""
+    """The rarest quarter of each set's shingles, and one, dealt by shingle: a row for each bucket with all a task has for it.
+
+    Rows have the ``key`` and ``part`` of the set their text should have: texts of a repeated id that have another are left out.
+    """
+
+    def dealt(held):
+        shingle, *others = [np.concatenate(c) for c in zip(*held, strict=True)]
+        bucket = shingle & (BUCKETS - 1)
+        order = np.argsort(bucket, kind="stable")
+        there, counts = np.unique(bucket, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(there, pa.int32()), *[buffers.lists(c[order], counts, pa.int64()) for c in (shingle, *others)]],
+            names=["bucket", "shingle", "key", "part", "n", "place"],
+        )
 
     @buffers.lean
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.zeros(CELLS, np.int64)
         cells, hits = common.value
         often[cells] = hits
-        for batch in _sets(rows):
-            lists = batch.column(1)
-            sizes = np.asarray(lists.value_lengths()).astype(np.int64)
-            shingle = np.asarray(lists.flatten()).astype(np.int64)
-            own = np.repeat(np.arange(len(sizes)), sizes)
+        held: list[list[np.ndarray]] = []
+        size = 0
+        for batch, data, offsets in buffers.slices(rows, "text", buffers.SLICE_BYTES // 2):
+            hashes, counts = shingle_sets(data, offsets)
+            keys = buffers.signed(class_keys(hashes, counts))
+            right = (keys == np.asarray(batch.column(batch.schema.get_field_index("key")))) & (counts > 0)
+            shingle = buffers.signed(hashes[np.repeat(right, counts)])
+            n, own = counts[right], np.repeat(np.arange(int(right.sum())), counts[right])
             order = np.lexsort([shingle, often[shingle & (CELLS - 1)], own])
-            first = buffers.places(sizes) <= sizes[own] // 4
-            kept = np.minimum(sizes, sizes // 4 + 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), buffers.lists(shingle[order][first], kept, pa.int64())], names=["key", "n", "shingles"]
-            )
+            place = buffers.places(n)
+            first = place <= n[own] // 4
+            own, part = own[first], np.asarray(batch.column(batch.schema.get_field_index("part")))[right]
+            held.append([shingle[order][first], keys[right][own], part[own], n[own], place[first]])
+            size += len(own)
+            if size > HELD:
+                yield dealt(held)
+                held, size = [], 0
+        if size:
+            yield dealt(held)
 
     return run
 
@@ -384,36 +405,6 @@ def _prefixes(common):
 DEALT = "bucket int, shingle array<bigint>, key array<bigint>, part array<bigint>, n array<bigint>, place array<bigint>"
 
 
-@buffers.lean
-def _dealt(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Prefixes of sets (``key``, ``n``, ``part``, ``shingles``), dealt by shingle: one row for each bucket with all a task has for it."""
-    held: list[list[np.ndarray]] = []
-
-    def given():
-        shingle, *others = [np.concatenate(c) for c in zip(*held, strict=True)]
-        held.clear()
-        bucket = shingle & (BUCKETS - 1)
-        order = np.argsort(bucket, kind="stable")
-        there, counts = np.unique(bucket, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(there, pa.int32()), *[buffers.lists(c[order], counts, pa.int64()) for c in (shingle, *others)]],
-            names=["bucket", "shingle", "key", "part", "n", "place"],
-        )
-
-    size = 0
-    for batch in rows:
-        key, n, part = (np.asarray(batch.column(k)).astype(np.int64) for k in range(3))
-        counts = np.asarray(batch.column(3).value_lengths()).astype(np.int64)
-        shingle = np.asarray(batch.column(3).flatten()).astype(np.int64)
-        held.append([shingle, *[np.repeat(c, counts) for c in (key, part, n)], buffers.places(counts)])
-        size += len(shingle)
-        if size > HELD:
-            yield given()
-            size = 0
-    if size:
-        yield given()
-
-
 def meeting(shingle: np.ndarray, part: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Which entries can be half of a pair: another component has the shingle, and the smaller of two sets has it in its first seventh."""
     order = np.argsort(shingle, kind="stable")
@@ -433,7 +424,7 @@ def meeting(shingle: np.ndarray, part: np.ndarray, n: np.ndarray, place: np.ndar
 
 @buffers.lean
 def _met(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``_dealt`` sorted by bucket: the entries that can meet another, one bucket at a time."""
+    """Rows of ``_prefixes`` sorted by bucket: the entries that can meet another, one bucket at a time."""
     names = ["shingle", "key", "part", "n", "place"]
 
     def found(lists):
@@ -461,10 +452,9 @@ def _rare_prefixes(open_sets: DataFrame, rows: DataFrame, classes: DataFrame, co
     Most shingles of a prefix are in one set or one component alone. The prefixes are dealt by shingle as arrays, a row for each bucket and
     task, and only entries that others can meet become rows.
     """
-    wanted = classes.join(open_sets.select("key"), "key").select(F.col("least").alias("doc_id"))
-    texts = rows.join(wanted, "doc_id", "left_semi").select("text")
-    prefixes = texts.mapInArrow(_prefixes(common), "key bigint, n bigint, shingles array<bigint>")
-    dealt = prefixes.join(open_sets, "key").select("key", "n", "part", "shingles").mapInArrow(_dealt, DEALT)
+    wanted = classes.join(open_sets, "key").select(F.col("least").alias("doc_id"), "key", "part")
+    texts = rows.select("doc_id", "text").join(wanted, "doc_id").select("text", "key", "part")
+    dealt = texts.mapInArrow(_prefixes(common), DEALT)
     ordered = dealt.repartition("bucket").sortWithinPartitions("bucket")
     return written(ordered.mapInArrow(_met, "shingle bigint, key bigint, part bigint, n bigint, place bigint"), "prefixes")
 
