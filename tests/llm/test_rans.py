@@ -101,3 +101,58 @@ def test_words_equal_whole_texts(spark):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     got = rans.token_ids(frame(spark, list(enumerate(texts)), "n"), PATH).collect()
     assert all(np.frombuffer(r["ids"], f"<u{r['width']}").tolist() == plain(texts[r["doc_id"]]) for r in got)
+
+
+def as_slice(texts):
+    bodies = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(bodies), np.uint8), np.cumsum([0, *[len(b) for b in bodies]])
+
+
+class Counted:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_of_letters_are_encoded_together():
+    words = rans.WordIds(PATH)
+    words.tokenizer, words.spaced = Counted(words.tokenizer), Counted(words.spaced)
+    rnd = np.random.default_rng(3)
+    texts = [" ".join("".join(rnd.choice(list("abcdeéñœ"), rnd.integers(1, 12))) + end for _ in range(100)) for end in ("", ".", "$$$") * 20]
+    ids, counts = words(*as_slice(texts))
+    assert ids.tolist() == [i for t in texts for i in plain_ids(t)] and counts.tolist() == [len(plain_ids(t)) for t in texts]
+    assert words.tokenizer.texts + words.spaced.texts < 120
+
+
+def test_letters_beside_marks():
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalpha()]
+    latin = [chr(c) for c in range(0xA0, 0x300)]
+    texts = [f"{a}{m}{b}{m}{a}{b} {m}{a}{m} {a}\u0301{m}\u0338{b}" for a in ["x", "s", "É", "ß", "İ"] for m in marks for b in ["y", "S", "œ"]]
+    texts += [f"a{c}b {c}. .{c}{c}'s {c}\u0307 {c}" for c in latin] + ["É", "", "é", "\u0301.", "'ll.'LL"]
+    words = rans.WordIds(PATH)
+    for group in (texts, texts[::-1], [*texts, "<|endoftext|>A.É"]):
+        ids, counts = words(*as_slice(group))
+        assert ids.tolist() == [i for t in group for i in plain_ids(t)] and counts.tolist() == [len(plain_ids(t)) for t in group]
+
+
+def test_another_model_takes_words_one_by_one(tmp_path):
+    """Without marked last tokens, or where accents are dropped, words are not put together."""
+    from tokenizers import Tokenizer, normalizers
+
+    bare = Tokenizer.from_file(PATH)
+    bare.normalizer = normalizers.Sequence([normalizers.NFD(), normalizers.StripAccents(), normalizers.Lowercase()])
+    bare.save(str(tmp_path / "t.json"))
+    words, texts = rans.WordIds(str(tmp_path / "t.json")), ["Élan été a.b", "naïve"]
+    assert words.last is None
+    assert words(*as_slice(texts))[0].tolist() == [i for t in texts for i in bare.encode(t, add_special_tokens=False).ids]
+
+
+def plain_ids(text, kept={}):
+    if not kept:
+        from tokenizers import Tokenizer
+
+        kept["t"] = Tokenizer.from_file(PATH)
+    return kept["t"].encode(text, add_special_tokens=False).ids
